@@ -5,8 +5,9 @@ Plan shape for the flight side (the large table):
     scan flights (pruned to 5 columns, season range pushed down)
       -> explode origin/destination roles      (narrow, one pass instead of two scans)
       -> parse hhmm, drop invalid              (narrow)
-      -> broadcast hash join airports          (size-checked dimension, no shuffle of flights)
-      -> sunset math + +-30 min filter         (codegen, narrow)
+      -> broadcast hash join with the solar table on (airport, date) + the +-30 min test
+         (solar table: distinct (airport, date) keys x airports, sunset math once per key,
+          checkpointed and size-checked before the broadcast)
       -> partial count per airport             (map-side combine)
       -> shuffle of at most #airports rows per task -> final count
 
@@ -23,7 +24,7 @@ from sunset_engine.functions.columns import safe_ratio, to_double
 from sunset_engine.functions.solar import (near_sunset, offset_from_longitude, offset_from_timezone,
                                            with_sunset_minute)
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
-from sunset_engine.operators.joins import broadcast_if_bounded
+from sunset_engine.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
                                             season_inclusive)
 from sunset_engine.operators.timezones import nearest_timezone
@@ -76,34 +77,58 @@ def _offset(df: DataFrame, date: str, offset: str) -> DataFrame:
     raise ValueError(f"offset must be 'longitude' or 'timezone', not {offset!r}")
 
 
-def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
-                        years: tuple[int, int] | None = None, offset: str = "longitude",
-                        half_window: int = 30, compat: bool = False) -> DataFrame:
-    """Flight ends within +-``half_window`` minutes of local sunset at their airport."""
+def _season_ends(flights: DataFrame, start, end, years, compat: bool) -> DataFrame:
     season = flights.where(season_exclusive("flight_date", start, end, years))
-    ends = (flight_roles(season)
+    return (flight_roles(season)
             .withColumn("event_minute", hhmm_to_minutes("time_text", compat))
-            .where(F.col("event_minute").isNotNull()))
-    ap = broadcast_if_bounded(airport_keys(airports))
-    joined = ends.join(ap, "airport_id")
-    joined = with_sunset_minute(_offset(joined, "flight_date", offset), "flight_date",
-                                "latitude_deg", "longitude_deg", "offset_hours")
-    return (joined.where(near_sunset("event_minute", "sunset_minute", half_window))
-            .select("event_id", "role", "airport_id", "latitude_deg", "longitude_deg", "flight_date",
-                    "event_minute", "sunset_minute"))
+            .where(F.col("event_minute").isNotNull() & (F.col("airport_id") != ""))
+            .drop("time_text"))
+
+
+def _materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Checkpoint a small derived lookup (lineage cut, survives executor loss), broadcast if bounded."""
+    return broadcast_if_bounded(df.checkpoint(eager=True), max_rows)
 
 
 def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
-                years: tuple[int, int] | None = None, offset: str = "longitude") -> DataFrame:
-    """Sunset minute for every distinct (airport, date) the season's flights touch."""
-    season = flights.where(season_exclusive("flight_date", start, end, years))
-    keys = flight_roles(season).select("airport_id", "flight_date").distinct()
+                years: tuple[int, int] | None = None, offset: str = "longitude",
+                compat: bool = False) -> DataFrame:
+    """Sunset minute for every (airport, date) that a season flight end touches.
+
+    The keys are a distinct over two columns of the flight ends (map-side partial
+    aggregate, so the shuffle carries at most #airports x #days rows per task),
+    joined to the size-checked airport dimension. Each airport copy keeps its own
+    coordinates, so duplicated codes fan out as in the reference.
+    """
+    keys = _season_ends(flights, start, end, years, compat).select("airport_id", "flight_date").distinct()
     joined = keys.join(broadcast_if_bounded(airport_keys(airports)), "airport_id")
     joined = with_sunset_minute(_offset(joined, "flight_date", offset), "flight_date",
                                 "latitude_deg", "longitude_deg", "offset_hours")
     return joined.select(*GROUP_KEY, "flight_date", "sunset_minute")
 
 
+def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
+                        years: tuple[int, int] | None = None, offset: str = "longitude",
+                        half_window: int = 30, compat: bool = False) -> DataFrame:
+    """Flight ends within +-``half_window`` minutes of local sunset at their airport.
+
+    The solar table (bounded by airports x days, not by flights) is checkpointed
+    and broadcast behind a row-count check; the flight ends then meet it in one
+    broadcast hash join whose condition is the cheap window test, so the flight
+    side is never shuffled before the per-airport count.
+    """
+    ends = _season_ends(flights, start, end, years, compat)
+    solar = solar_table(flights, airports, start, end, years, offset, compat)
+    solar = _materialize_small(solar.where(F.col("sunset_minute").isNotNull())
+                               .withColumnRenamed("airport_id", "s_airport_id")
+                               .withColumnRenamed("flight_date", "s_flight_date"))
+    cond = ((F.col("airport_id") == F.col("s_airport_id")) & (F.col("flight_date") == F.col("s_flight_date"))
+            & near_sunset("event_minute", "sunset_minute", half_window))
+    return (ends.join(solar, cond)
+            .select("event_id", "role", "airport_id", "latitude_deg", "longitude_deg", "flight_date",
+                    "event_minute", "sunset_minute"))
+
+
 def flight_frequencies(near_flights: DataFrame) -> DataFrame:
     """Near-sunset flight ends per (airport, latitude, longitude) (A1)."""
     return near_flights.groupBy(*GROUP_KEY).agg(F.count(F.lit(1)).alias("flight_count"))
@@ -137,7 +162,8 @@ def near_sunset_strikes(strikes: DataFrame, years=FALL_YEARS, months=FALL_MONTHS
     solar = keys.withColumns({"latitude_deg": F.col("k_lat"), "longitude_deg": F.col("k_lon")})
     solar = with_sunset_minute(_offset(solar, "k_date", offset), "k_date",
                                "k_lat", "k_lon", "offset_hours")
-    solar = solar.select("k_lat", "k_lon", "k_date", "sunset_minute").where(F.col("sunset_minute").isNotNull())
+    solar = _materialize_small(
+        solar.select("k_lat", "k_lon", "k_date", "sunset_minute").where(F.col("sunset_minute").isNotNull()))
     cond = ((F.col("latitude_deg") == F.col("k_lat")) & (F.col("longitude_deg") == F.col("k_lon"))
             & (F.col("incident_date") == F.col("k_date"))
             & near_sunset("event_minute", "sunset_minute", half_window))
