@@ -10,7 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from sunset_engine.functions import text as X
+from sunset_engine.functions.columns import to_double
+from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
+from sunset_engine.operators import quality as QL
 from sunset_engine.operators import traffic as T
+from sunset_engine.operators.season import season_exclusive, season_inclusive
+from sunset_engine.operators.timezones import nearest_timezone
 from sunset_engine.sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +46,112 @@ def strike_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.strike_counts(near_strikes(spark, sf_dir))
 
 
+# Known-code list of the checks: medium and large airports only.
+KNOWN_TYPES = ["medium_airport", "large_airport"]
+# Order-date season for the orders table (its dates span 1995-2001).
+ORDER_YEARS = (1996, 1998)
+
+
+def season_filter_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = TD.read_table(spark, sf_dir, "orders")
+    return (o.select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+            .where(season_exclusive("order_date")))
+
+
+def season_filter_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = TD.read_table(spark, sf_dir, "orders")
+    return (o.select("o_orderkey", F.year("o_orderdate").alias("order_year"),
+                     F.month("o_orderdate").alias("order_month"))
+            .where(season_inclusive("order_year", "order_month", ORDER_YEARS)))
+
+
+def hhmm_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = TD.flights(spark, sf_dir)
+    return f.select("event_id", hhmm_to_minutes("dep_time").alias("dep_minute"),
+                    hhmm_to_minutes("dep_time", compat=True).alias("dep_minute_compat"),
+                    hhmm_to_minutes("arr_time").alias("arr_minute"))
+
+
+def parse_strike_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = TD.strikes(spark, sf_dir)
+    return (s.where(F.trim(F.regexp_replace("time", '"', "")) != "")
+            .select("event_id", parse_us_date("incident_date").alias("incident_date"),
+                    clock_to_minutes("time").alias("event_minute")))
+
+
+def clean_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = TD.strikes(spark, sf_dir)
+    return (s.select("event_id", to_double("airport_latitude").alias("latitude_deg"),
+                     to_double("airport_longitude").alias("longitude_deg"))
+            .na.drop())
+
+
+def airport_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.airport_keys(TD.airports(spark, sf_dir), KNOWN_TYPES)
+
+
+def text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sup = TD.read_table(spark, sf_dir, "supplier")
+    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string"))
+    return (sup.select("s_suppkey", line.alias("line"), "s_name")
+            .select("s_suppkey", "line",
+                    X.before_first("line").alias("first_field"),
+                    X.after_last("line").alias("last_field"),
+                    X.field("line", 1).alias("second_field"),
+                    X.drop_first_char("s_name").alias("name_tail"),
+                    X.key_line("s_suppkey", "s_name", ": ").alias("key_line")))
+
+
+def first_rows(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
+    o = TD.read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_totalprice").orderBy("o_orderkey").limit(n)
+
+
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = TD.read_table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("line_count"))
+
+
+def known_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.airport_keys(TD.airports(spark, sf_dir), KNOWN_TYPES).select(F.col("airport_id").alias("code"))
+
+
+def missing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QL.missing_codes(QL.flight_codes(TD.flights(spark, sf_dir)), known_codes(spark, sf_dir))
+
+
+def missing_timezones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QL.missing_codes(TD.timezone_sites(spark, sf_dir), known_codes(spark, sf_dir))
+
+
+def airport_timezones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = TD.airports(spark, sf_dir)
+    return a.select("airport_id", nearest_timezone("latitude_deg", "longitude_deg").alias("timezone"))
+
+
+def near_flights_tz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.near_sunset_flights(TD.flights(spark, sf_dir), TD.airports(spark, sf_dir), START, END,
+                                 offset="timezone")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "season_filter_exclusive": season_filter_exclusive,
+        "season_filter_inclusive": season_filter_inclusive,
+        "hhmm_to_minutes": hhmm_minutes,
+        "parse_strike_times": parse_strike_times,
+        "clean_coordinates": clean_coordinates,
+        "airport_keys": airport_keys,
+        "text_fields": text_fields,
+        "first_rows": first_rows,
+        "top_n": lambda s, d: T.top_n(supplier_lines(s, d), "line_count", ["l_suppkey"], 50),
+        "bottom_n": lambda s, d: T.top_n(supplier_lines(s, d), "line_count", ["l_suppkey"], 50, ascending=True),
+        "top_and_bottom": lambda s, d: T.top_and_bottom(supplier_lines(s, d), "line_count", ["l_suppkey"], 50),
+        "missing_codes": missing_codes,
+        "missing_timezones": missing_timezones,
+        "nearest_timezone": airport_timezones,
+        "near_sunset_flights_tz": near_flights_tz,
+        "dataset_profile": lambda s, d: QL.profile(TD.read_table(s, d, "events")),
         "near_sunset_flights": near_flights,
         "flight_frequencies": frequencies,
         "top_airports": top_airports,

@@ -14,10 +14,23 @@ from sunset_engine.sources import testdata as TD
 START, END = TD.TEST_FLIGHT_SEASON
 
 
-def _near_flights_ctes() -> str:
+def _tz_offset(date: str, tz: str) -> str:
+    noon = f"(cast({date} as timestamp) + interval 12 hour)"
+    return f"((epoch({noon}) - epoch(timezone({tz}, {noon}))) / {Q.dbl(3600.0)})"
+
+
+def _near_flights_ctes(by_timezone: bool = False) -> str:
     season = Q.season_exclusive("flight_date", START, END)
+    if by_timezone:
+        offset = _tz_offset("t.flight_date", "z.timezone")
+        tz_join = "join airport_tz z on z.airport_id = a.airport_id"
+        tz_ctes = _airport_tz_ctes() + ",\n"
+    else:
+        offset = f"round(a.longitude_deg / {Q.dbl(15.0)})"
+        tz_join = ""
+        tz_ctes = ""
     return f"""with {Q.airports_cte()},
-{Q.flights_cte()},
+{tz_ctes}{Q.flights_cte()},
 ends as (
   select event_id, flight_date, 'origin' as role, origin as airport_id, dep_time as time_text from flights
   where {season}
@@ -27,8 +40,8 @@ ends as (
 timed as (select *, {Q.hhmm_minutes('time_text')} as event_minute from ends),
 joined as (
   select t.event_id, t.role, t.airport_id, a.latitude_deg, a.longitude_deg, t.flight_date, t.event_minute,
-         round(a.longitude_deg / {Q.dbl(15.0)}) as offset_hours
-  from timed t join airports a on t.airport_id = a.airport_id
+         {offset} as offset_hours
+  from timed t join airports a on t.airport_id = a.airport_id {tz_join}
   where t.event_minute is not null),
 {Q.solar_ctes('joined', 'flight_date', 'latitude_deg', 'longitude_deg', 'offset_hours')},
 near as (
@@ -64,11 +77,91 @@ strike_counts as (
   from near_strikes group by airport_id, latitude_deg, longitude_deg)"""
 
 
+def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    p1, p2 = f"radians({lat1})", f"radians({lat2})"
+    dp = f"({p2} - {p1})"
+    dl = f"(radians({lon2}) - radians({lon1}))"
+    h = f"pow(sin({dp} / 2), 2) + cos({p1}) * cos({p2}) * pow(sin({dl} / 2), 2)"
+    return f"asin(least({Q.dbl(1.0)}, sqrt({h}))) * 2"
+
+
+def _tz_points() -> str:
+    from sunset_engine.operators.timezones import US_TIMEZONE_POINTS
+    rows = ", ".join(f"('{tz}', {Q.dbl(la)}, {Q.dbl(lo)})" for tz, la, lo in US_TIMEZONE_POINTS)
+    return f"tz_points as (select * from (values {rows}) as t(tz, la, lo))"
+
+
+def _airport_tz_ctes() -> str:
+    return f"""{_tz_points()},
+airport_tz as (
+  select airport_id, tz as timezone from (
+    select a.airport_id, p.tz,
+           row_number() over (partition by a.airport_id, a.latitude_deg, a.longitude_deg
+                              order by {_haversine('a.latitude_deg', 'a.longitude_deg', 'p.la', 'p.lo')}, p.tz) as rn
+    from airports a join tz_points p on true) where rn = 1)"""
+
+
+def _known_codes_cte() -> str:
+    return """known as (select distinct airport_id as code from airports
+  where type in ('medium_airport', 'large_airport') and airport_id <> '')"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["season_filter_exclusive"] = f"""select o_orderkey, cast(o_orderdate as date) as order_date from orders
+where {Q.season_exclusive('cast(o_orderdate as date)', (8, 1), (11, 30))}"""
+    q["season_filter_inclusive"] = """select o_orderkey, year(o_orderdate) as order_year,
+       month(o_orderdate) as order_month from orders
+where year(o_orderdate) between 1996 and 1998 and month(o_orderdate) between 8 and 11"""
+    cut = "substring(trim(dep_time), 1, length(trim(dep_time)) - 2)"
+    q["hhmm_to_minutes"] = f"""with {Q.flights_cte()}
+select event_id, {Q.hhmm_minutes('dep_time')} as dep_minute,
+       (try_cast({cut} as integer) // 100) * 60 + try_cast({cut} as integer) % 100 as dep_minute_compat,
+       {Q.hhmm_minutes('arr_time')} as arr_minute
+from flights"""
+    q["parse_strike_times"] = f"""with {Q.strikes_cte()}
+select event_id, try_strptime(trim(incident_date), '%m/%d/%Y')::date as incident_date,
+       {Q.clock_minutes('time')} as event_minute
+from strikes where trim(replace(time, '"', '')) <> ''"""
+    q["clean_coordinates"] = f"""with {Q.strikes_cte()}
+select * from (
+  select event_id, {Q.to_double('airport_latitude')} as latitude_deg,
+         {Q.to_double('airport_longitude')} as longitude_deg from strikes)
+where event_id is not null and latitude_deg is not null and longitude_deg is not null"""
+    q["airport_keys"] = f"""with {Q.airports_cte()}
+select trim(replace(airport_id, '"', '')) as airport_id, latitude_deg, longitude_deg, type from airports
+where trim(replace(airport_id, '"', '')) <> '' and type in ('medium_airport', 'large_airport')"""
+    q["text_fields"] = """select s_suppkey, line, split_part(line, ',', 1) as first_field,
+       reverse(split_part(reverse(line), ',', 1)) as last_field,
+       split_part(line, ',', 2) as second_field,
+       substr(s_name, 2) as name_tail,
+       cast(s_suppkey as varchar) || ': ' || s_name as key_line
+from (select s_suppkey, s_name,
+             cast(s_suppkey as varchar) || ',' || s_name || ',' || cast(s_nationkey as varchar) as line
+      from supplier)"""
+    q["first_rows"] = "select o_orderkey, o_custkey, o_totalprice from orders order by o_orderkey limit 10"
+    lines = "(select l_suppkey, count(*) as line_count from lineitem group by l_suppkey)"
+    q["top_n"] = f"select * from {lines} order by line_count desc, l_suppkey limit 50"
+    q["bottom_n"] = f"select * from {lines} order by line_count asc, l_suppkey limit 50"
+    q["top_and_bottom"] = f"""(select *, 'top' as list from {lines} order by line_count desc, l_suppkey limit 50)
+union all
+(select *, 'bottom' as list from {lines} order by line_count asc, l_suppkey limit 50)"""
+    q["missing_codes"] = f"""with {Q.airports_cte()}, {Q.flights_cte()}, {_known_codes_cte()}
+select distinct code from (select origin as code from flights union all select dest as code from flights)
+where code not in (select code from known)"""
+    q["missing_timezones"] = f"""with {Q.airports_cte()}, {_known_codes_cte()}
+select distinct {Q.code('c_nationkey')} as code from customer
+where {Q.code('c_nationkey')} not in (select code from known)"""
+    q["nearest_timezone"] = f"""with {Q.airports_cte()}, {_airport_tz_ctes()}
+select airport_id, timezone from airport_tz"""
+    q["dataset_profile"] = """select count(*) as n_rows, count_if(event_id is null) as nulls_event_id,
+       count_if(ts is null) as nulls_ts, count_if(user_id is null) as nulls_user_id,
+       count_if(event_type is null) as nulls_event_type, count_if(value is null) as nulls_value,
+       count_if(props is null) as nulls_props from events"""
     near = _near_flights_ctes()
 
     q["near_sunset_flights"] = near + "\nselect * from near"
+    q["near_sunset_flights_tz"] = _near_flights_ctes(by_timezone=True) + "\nselect * from near"
     q["flight_frequencies"] = near + "\nselect * from freq"
     q["top_airports"] = near + """
 select * from freq order by flight_count desc, airport_id, latitude_deg, longitude_deg limit 50"""
