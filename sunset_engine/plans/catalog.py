@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from sunset_engine.functions import text as X
 from sunset_engine.functions.columns import to_double
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
+from sunset_engine.functions.geo import GRID_BOUNDS
 from sunset_engine.operators import quality as QL
+from sunset_engine.operators import raster as R
 from sunset_engine.operators import traffic as T
 from sunset_engine.operators.season import season_exclusive, season_inclusive
 from sunset_engine.operators.timezones import nearest_timezone
@@ -134,8 +136,47 @@ def near_flights_tz(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  offset="timezone")
 
 
+GRID = dict(bounds=GRID_BOUNDS, resolution=TD.TEST_GRID_RESOLUTION)
+
+
+def airports_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.airport_keys(TD.airports(spark, sf_dir)).select(*R.ZONE_KEY)
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID)
+
+
+def zonal_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.zonal_mean(zones(spark, sf_dir), TD.raster_cells(spark, sf_dir), **GRID)
+
+
+def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zonal bird population joined to strikes per flight (J5): the model's input table."""
+    spf = T.strike_per_flight(frequencies(spark, sf_dir), strike_counts(spark, sf_dir))
+    return (zonal_means(spark, sf_dir).select("airport_id", "bird_population")
+            .join(spf.select("airport_id", F.col("strike_count").alias("bird_strike_count"), "flight_count",
+                             F.col("strike_ratio").alias("bird_flight_ratio")), "airport_id"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "albers_forward": lambda s, d: R.project_airports(airports_geo(s, d)).select(
+            "airport_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y")),
+        "albers_round_trip": lambda s, d: R.round_trip(R.project_airports(airports_geo(s, d))).select(
+            "airport_id", F.round("lat_back", 9).alias("lat_back"), F.round("lon_back", 9).alias("lon_back")),
+        "zone_corners": lambda s, d: zones(s, d).drop("latitude_deg", "longitude_deg"),
+        "zone_outline": lambda s, d: R.zone_outline(zones(s, d)),
+        "zone_labels": lambda s, d: R.zone_labels(zones(s, d)),
+        "presence_raster": lambda s, d: R.presence_raster(zones(s, d)),
+        "normalized_raster": lambda s, d: R.normalized_cells(TD.raster_cells(s, d), **GRID).select(
+            "row", "col", F.round("value", 6).alias("value")),
+        "nonzero_cells": lambda s, d: R.nonzero_cells(TD.raster_cells(s, d)),
+        "zonal_mean": lambda s, d: zonal_means(s, d).select(
+            "airport_id", F.round("bird_population", 6).alias("bird_population"), "n_pixels"),
+        "training_table": lambda s, d: training_table(s, d).select(
+            "airport_id", F.round("bird_population", 6).alias("bird_population"), "bird_strike_count",
+            "flight_count", F.round("bird_flight_ratio", 6).alias("bird_flight_ratio")),
         "season_filter_exclusive": season_filter_exclusive,
         "season_filter_inclusive": season_filter_inclusive,
         "hhmm_to_minutes": hhmm_minutes,

@@ -106,8 +106,85 @@ def _known_codes_cte() -> str:
   where type in ('medium_airport', 'large_airport') and airport_id <> '')"""
 
 
+def _geo_ctes() -> str:
+    from sunset_engine.functions import geo as G
+    bounds, res = G.GRID_BOUNDS, TD.TEST_GRID_RESOLUTION
+    h, w = G.grid_shape(bounds, res)
+    dist = TD.TEST_ZONE_MILES * G.METRES_PER_MILE
+    corner_cols = ", ".join(f"c{k}_{v}" for k in range(4) for v in ("x", "y"))
+    return f"""{Q.airports_cte()},
+geo_src as (select airport_id, latitude_deg, longitude_deg from airports
+  where latitude_deg is not null and longitude_deg is not null),
+{Q.step_ctes('geo_src', G.albers_forward_steps('latitude_deg', 'longitude_deg', 'x', 'y', '_pa_'), 'proj0', '_pa_')},
+proj as (select * from proj0 where isfinite(x) and isfinite(y)),
+{Q.step_ctes('proj', G.albers_inverse_steps('x', 'y', 'lat_back', 'lon_back', '_pi_'), 'rtrip', '_pi_')},
+{Q.step_ctes('rtrip', G.zone_corner_steps('lat_back', 'lon_back', dist, bounds, res), 'corn', '_z')},
+{Q.step_ctes('corn', G.pixel_steps('x', 'y', 'col', 'row', bounds, res), 'pix')},
+zones as (select airport_id, latitude_deg, longitude_deg, col, row, {corner_cols} from pix
+  where row >= 0 and row < {h} and col >= 0 and col < {w})"""
+
+
+def _side(xa: str, ya: str, xb: str, yb: str) -> str:
+    return f"case when ({xb} - {xa}) * (row - {ya}) - ({yb} - {ya}) * (col - {xa}) >= 0 then 1 else -1 end"
+
+
+def _raster_ctes() -> str:
+    from sunset_engine.functions import geo as G
+    h, w = G.grid_shape(G.GRID_BOUNDS, TD.TEST_GRID_RESOLUTION)
+    v0 = "coalesce(case when isnan(value) then 0.0 else value end, 0.0)"
+    s = [_side("c2_x", "c2_y", "c3_x", "c3_y"), _side("c3_x", "c3_y", "c0_x", "c0_y"),
+         _side("c0_x", "c0_y", "c1_x", "c1_y"), _side("c1_x", "c1_y", "c2_x", "c2_y")]
+    return f"""{Q.raster_cte()},
+rstats as (
+  select case when count(*) < {h * w} then least(min({v0}), 0.0) else min({v0}) end as mn,
+         case when count(*) < {h * w} then greatest(max({v0}), 0.0) else max({v0}) end as mx
+  from raster_cells),
+norm as (
+  select row, col, case when mx <> mn then ({v0} - mn) / (mx - mn) else {v0} end as value
+  from raster_cells, rstats),
+zero_norm as (select case when mx <> mn then (0.0 - mn) / (mx - mn) else 0.0 end as z from rstats),
+bbox as (
+  select z.*, unnest(generate_series(least(c0_y, c1_y, c2_y, c3_y), greatest(c0_y, c1_y, c2_y, c3_y))) as row_
+  from zones z),
+bbox2 as (
+  select * exclude (row, col, row_), row_ as row,
+         unnest(generate_series(least(c0_x, c1_x, c2_x, c3_x), greatest(c0_x, c1_x, c2_x, c3_x))) as col
+  from bbox),
+zone_pix as (
+  select airport_id, latitude_deg, longitude_deg, row, col from bbox2
+  where {s[0]} = {s[1]} and {s[1]} = {s[2]} and {s[2]} = {s[3]}
+    and row >= 0 and row < {h} and col >= 0 and col < {w}),
+zonal as (
+  select p.airport_id,
+         avg(coalesce(n.value, (select z from zero_norm))) as bird_population,
+         count(*) as n_pixels
+  from zone_pix p left join norm n on p.row = n.row and p.col = n.col
+  group by p.airport_id, p.latitude_deg, p.longitude_deg)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    geo = "with " + _geo_ctes()
+    q["albers_forward"] = geo + "\nselect airport_id, round(x, 3) as x, round(y, 3) as y from proj"
+    q["albers_round_trip"] = geo + """
+select airport_id, round(lat_back, 9) as lat_back, round(lon_back, 9) as lon_back from rtrip"""
+    corner_cols = ", ".join(f"c{k}_{v}" for k in range(4) for v in ("x", "y"))
+    q["zone_corners"] = geo + f"\nselect airport_id, col, row, {corner_cols} from zones"
+    q["zone_outline"] = geo + "\n" + """select airport_id, point, x, y from (
+  select airport_id, 0 as point, c0_x as x, c0_y as y from zones
+  union all select airport_id, 1, c1_x, c1_y from zones
+  union all select airport_id, 2, c2_x, c2_y from zones
+  union all select airport_id, 3, c3_x, c3_y from zones
+  union all select airport_id, 4, c0_x, c0_y from zones)"""
+    q["zone_labels"] = geo + """
+select airport_id, cast(col as double) - 1.0 as label_x, cast(row as double) - 7.0 as label_y from zones"""
+    q["presence_raster"] = geo + "\nselect distinct row, col, cast(1.0 as float) as value from zones"
+    raster = geo + ",\n" + _raster_ctes()
+    q["normalized_raster"] = raster + "\nselect row, col, round(value, 6) as value from norm"
+    q["nonzero_cells"] = ("with " + Q.raster_cte() + """
+select row, col from raster_cells where coalesce(case when isnan(value) then 0.0 else value end, 0.0) <> 0""")
+    q["zonal_mean"] = raster + """
+select airport_id, round(bird_population, 6) as bird_population, n_pixels from zonal"""
     q["season_filter_exclusive"] = f"""select o_orderkey, cast(o_orderdate as date) as order_date from orders
 where {Q.season_exclusive('cast(o_orderdate as date)', (8, 1), (11, 30))}"""
     q["season_filter_inclusive"] = """select o_orderkey, year(o_orderdate) as order_year,
@@ -190,6 +267,13 @@ select f.airport_id, f.latitude_deg, f.longitude_deg,
        cast(s.strike_count as double) / cast(f.flight_count as double) as strike_ratio
 from freq f join (select substr(airport_id, 2) as airport_id, strike_count from strike_counts) s
   on f.airport_id = s.airport_id"""
+    q["training_table"] = both + ",\n" + _geo_ctes().replace(Q.airports_cte() + ",", "", 1) + ",\n" + _raster_ctes() + """
+select z.airport_id, round(z.bird_population, 6) as bird_population,
+       cast(s.strike_count as double) as bird_strike_count, cast(f.flight_count as double) as flight_count,
+       round(cast(s.strike_count as double) / cast(f.flight_count as double), 6) as bird_flight_ratio
+from zonal z
+join freq f on f.airport_id = z.airport_id
+join (select substr(airport_id, 2) as airport_id, strike_count from strike_counts) s on f.airport_id = s.airport_id"""
     q["strike_ratio_left"] = both + """
 select f.airport_id, f.latitude_deg, f.longitude_deg, f.flight_count, s.strike_count,
        cast(coalesce(s.strike_count, 0) as double) / cast(f.flight_count as double) as strike_ratio
