@@ -78,10 +78,10 @@ def albers_forward_steps(lat: str, lon: str, x: str, y: str, tmp: str) -> list[S
         (f"{tmp}q", lambda m, c: (c(f"{tmp}s") / (m.lit(1.0) - c(f"{tmp}s") * c(f"{tmp}s") * e2)
                                   - m.ln((m.lit(1.0) - c(f"{tmp}s") * e) / (m.lit(1.0) + c(f"{tmp}s") * e))
                                   * (1.0 / (2.0 * e))) * (1.0 - e2)),
-        (f"{tmp}rho", lambda m, c: m.sqrt(m.lit(ALBERS_C) - c(f"{tmp}q") * n) * (WGS84_A / n)),
-        (f"{tmp}th", lambda m, c: (m.radians(c(lon)) - m.lit(math.radians(ALBERS_LON0))) * n),
-        (x, lambda m, c: c(f"{tmp}rho") * m.sin(c(f"{tmp}th"))),
-        (y, lambda m, c: m.lit(ALBERS_RHO0) - c(f"{tmp}rho") * m.cos(c(f"{tmp}th"))),
+        [(f"{tmp}rho", lambda m, c: m.sqrt(m.lit(ALBERS_C) - c(f"{tmp}q") * n) * (WGS84_A / n)),
+         (f"{tmp}th", lambda m, c: (m.radians(c(lon)) - m.lit(math.radians(ALBERS_LON0))) * n)],
+        [(x, lambda m, c: c(f"{tmp}rho") * m.sin(c(f"{tmp}th"))),
+         (y, lambda m, c: m.lit(ALBERS_RHO0) - c(f"{tmp}rho") * m.cos(c(f"{tmp}th")))],
     ]
 
 
@@ -129,13 +129,13 @@ def destination_steps(lat: str, lon: str, bearing_deg: float, dist_m: float,
         (f"{t}sg0", lambda m, c: m.lit(dist_m) / (c(f"{t}aa") * b)),
     ]
 
-    def sigma_terms(i: int) -> list[Step]:
+    def sigma_terms(i: int) -> list:
         sg = f"{t}sg{i}"
-        return [
+        return [[
             (f"{t}cm{i}", lambda m, c: m.cos(c(f"{t}s1") * 2.0 + c(sg))),
             (f"{t}ss{i}", lambda m, c: m.sin(c(sg))),
             (f"{t}cs{i}", lambda m, c: m.cos(c(sg))),
-        ]
+        ]]
 
     for i in range(VINCENTY_ITERATIONS):
         steps += sigma_terms(i)
@@ -164,10 +164,10 @@ def pixel_steps(x: str, y: str, col_out: str, row_out: str, bounds=GRID_BOUNDS,
                 resolution: float = GRID_RESOLUTION) -> list[Step]:
     """World metres to (col, row), truncated toward zero as ``int()`` does."""
     xmin, _, _, ymax = bounds
-    return [
+    return [[
         (col_out, lambda m, c: m.trunc_int((c(x) - xmin) / resolution)),
         (row_out, lambda m, c: m.trunc_int((m.lit(ymax) - c(y)) / resolution)),
-    ]
+    ]]
 
 
 def apply_steps(df: DataFrame, steps: list, drop_prefix: str | None = None) -> DataFrame:
@@ -197,7 +197,9 @@ def zone_corner_steps(lat: str, lon: str, dist_m: float, bounds=GRID_BOUNDS,
         chain += albers_forward_steps(f"_z{k}lat", f"_z{k}lon", f"_z{k}x", f"_z{k}y", f"_z{k}a")
         chain += pixel_steps(f"_z{k}x", f"_z{k}y", f"c{k}_x", f"c{k}_y", bounds, resolution)
         chains.append(chain)
-    return [list(group) for group in zip(*chains)]
+    def as_group(step):
+        return step if isinstance(step, list) else [step]
+    return [[pair for step in position for pair in as_group(step)] for position in zip(*chains)]
 
 
 def side_sign(m, c, xa: str, ya: str, xb: str, yb: str, px: str, py: str):

@@ -42,15 +42,17 @@ def round_trip(projected: DataFrame) -> DataFrame:
 
 def airport_zones(airports: DataFrame, zone_miles: float = ZONE_MILES, bounds=GRID_BOUNDS,
                   resolution: float = GRID_RESOLUTION) -> DataFrame:
-    """One zone per airport inside the grid: its pixel and 4 corner pixels.
+    """One zone per airport inside the grid: its pixel and 4 corner pixels.
 
     Columns: airport_id, latitude_deg, longitude_deg, col, row, c{k}_x, c{k}_y for k = 0..3,
-    corners in bearing order 45, 135, 225, 315 degrees.
+    corners in bearing order 45, 135, 225, 315 degrees. Corners start from the
+    airport's own coordinates; projecting there and back (``round_trip``) returns
+    them to within 1e-12 degrees, so that detour is left out here.
     """
     height, width = grid_shape(bounds, resolution)
-    a = round_trip(project_airports(airports))
-    a = apply_steps(a, zone_corner_steps("lat_back", "lon_back", zone_miles * METRES_PER_MILE, bounds, resolution),
-                    "_z")
+    a = project_airports(airports)
+    a = apply_steps(a, zone_corner_steps("latitude_deg", "longitude_deg", zone_miles * METRES_PER_MILE, bounds,
+                                         resolution), "_z")
     a = apply_steps(a, pixel_steps("x", "y", "col", "row", bounds, resolution))
     cols = [f"c{k}_{v}" for k in range(4) for v in ("x", "y")]
     return (a.select(*ZONE_KEY, "col", "row", *cols)

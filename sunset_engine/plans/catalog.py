@@ -17,7 +17,9 @@ from sunset_engine.functions.columns import to_double
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
 from sunset_engine.functions.geo import GRID_BOUNDS
 from sunset_engine.operators import quality as QL
+from sunset_engine.operators import model as M
 from sunset_engine.operators import raster as R
+from sunset_engine.operators import stats as ST
 from sunset_engine.operators import traffic as T
 from sunset_engine.operators.season import season_exclusive, season_inclusive
 from sunset_engine.operators.timezones import nearest_timezone
@@ -143,8 +145,19 @@ def airports_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.airport_keys(TD.airports(spark, sf_dir)).select(*R.ZONE_KEY)
 
 
+_ZONES: dict[tuple[str, str], DataFrame] = {}
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID)
+    """Airport zones, built once per session and data folder and checkpointed.
+
+    The zone table is a small dimension (one row per airport) that several
+    reports share; materialising it keeps their plans short.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ZONES:
+        _ZONES[key] = R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID).checkpoint(eager=True)
+    return _ZONES[key]
 
 
 def zonal_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +172,51 @@ def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("strike_ratio").alias("bird_flight_ratio")), "airport_id"))
 
 
+def _r6(df: DataFrame) -> DataFrame:
+    """Round every double column to 6 decimals (cross-engine comparison of sums)."""
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def lineitem_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TD.read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                                           "l_extendedprice")
+
+
+def fitted_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.fit_residuals(lineitem_xy(spark, sf_dir), "l_quantity", "l_extendedprice",
+                            ["l_orderkey", "l_linenumber"])
+
+
+def training_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _r6(ST.summary(training_table(spark, sf_dir), "bird_population", "bird_flight_ratio"))
+
+
+def model_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    data = M.prepare(training_table(spark, sf_dir))
+    return M.split(data, key="airport_id")
+
+
+def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = model_input(spark, sf_dir)
+    return M.predictions(M.fit_forest(train), test)
+
+
+def rf_cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = model_input(spark, sf_dir)
+    return M.predictions(M.cross_validate(train).bestModel, test)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "pearson": lambda s, d: _r6(ST.pearson(lineitem_xy(s, d), "l_quantity", "l_extendedprice")),
+        "line_fit": lambda s, d: _r6(ST.line_fit(lineitem_xy(s, d), "l_quantity", "l_extendedprice")),
+        "fit_residuals": lambda s, d: _r6(fitted_line(s, d)),
+        "regression_metrics": lambda s, d: _r6(ST.regression_metrics(fitted_line(s, d), "l_extendedprice",
+                                                                     "fitted")),
+        "pearson_p_value": lambda s, d: ST.pearson_p_value(s, lineitem_xy(s, d), "l_quantity", "l_extendedprice"),
+        "training_stats": training_stats,
+        "rf_predictions": rf_predictions,
+        "rf_cross_validated": rf_cross_validated,
         "albers_forward": lambda s, d: R.project_airports(airports_geo(s, d)).select(
             "airport_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y")),
         "albers_round_trip": lambda s, d: R.round_trip(R.project_airports(airports_geo(s, d))).select(

@@ -118,7 +118,7 @@ geo_src as (select airport_id, latitude_deg, longitude_deg from airports
 {Q.step_ctes('geo_src', G.albers_forward_steps('latitude_deg', 'longitude_deg', 'x', 'y', '_pa_'), 'proj0', '_pa_')},
 proj as (select * from proj0 where isfinite(x) and isfinite(y)),
 {Q.step_ctes('proj', G.albers_inverse_steps('x', 'y', 'lat_back', 'lon_back', '_pi_'), 'rtrip', '_pi_')},
-{Q.step_ctes('rtrip', G.zone_corner_steps('lat_back', 'lon_back', dist, bounds, res), 'corn', '_z')},
+{Q.step_ctes('proj', G.zone_corner_steps('latitude_deg', 'longitude_deg', dist, bounds, res), 'corn', '_z')},
 {Q.step_ctes('corn', G.pixel_steps('x', 'y', 'col', 'row', bounds, res), 'pix')},
 zones as (select airport_id, latitude_deg, longitude_deg, col, row, {corner_cols} from pix
   where row >= 0 and row < {h} and col >= 0 and col < {w})"""
@@ -231,6 +231,24 @@ select distinct {Q.code('c_nationkey')} as code from customer
 where {Q.code('c_nationkey')} not in (select code from known)"""
     q["nearest_timezone"] = f"""with {Q.airports_cte()}, {_airport_tz_ctes()}
 select airport_id, timezone from airport_tz"""
+    xy = "(select l_orderkey, l_linenumber, l_quantity as x, l_extendedprice as y from lineitem)"
+    q["pearson"] = f"select count(*) as n, round(corr(x, y), 6) as pearson_r from {xy}"
+    q["line_fit"] = f"""select round(regr_slope(y, x), 6) as slope, round(regr_intercept(y, x), 6) as intercept,
+       round(regr_r2(y, x), 6) as r2 from {xy}"""
+    fitted = f"""fitted as (
+  select l_orderkey, l_linenumber, x as l_quantity, y as l_extendedprice,
+         x * (select regr_slope(y, x) from {xy}) + (select regr_intercept(y, x) from {xy}) as fitted
+  from {xy})"""
+    q["fit_residuals"] = f"""with {fitted}
+select l_orderkey, l_linenumber, round(l_quantity, 6) as l_quantity, round(l_extendedprice, 6) as l_extendedprice,
+       round(fitted, 6) as fitted, round(l_extendedprice - fitted, 6) as residual from fitted"""
+    q["regression_metrics"] = f"""with {fitted}
+select round(sqrt(avg((l_extendedprice - fitted) * (l_extendedprice - fitted))), 6) as rmse,
+       round(avg((l_extendedprice - fitted) * (l_extendedprice - fitted)), 6) as mse,
+       round(avg(abs(l_extendedprice - fitted)), 6) as mae,
+       round(1 - sum((l_extendedprice - fitted) * (l_extendedprice - fitted))
+                 / (var_pop(l_extendedprice) * count(*)), 6) as r2
+from fitted"""
     q["dataset_profile"] = """select count(*) as n_rows, count_if(event_id is null) as nulls_event_id,
        count_if(ts is null) as nulls_ts, count_if(user_id is null) as nulls_user_id,
        count_if(event_type is null) as nulls_event_type, count_if(value is null) as nulls_value,
@@ -274,6 +292,17 @@ select z.airport_id, round(z.bird_population, 6) as bird_population,
 from zonal z
 join freq f on f.airport_id = z.airport_id
 join (select substr(airport_id, 2) as airport_id, strike_count from strike_counts) s on f.airport_id = s.airport_id"""
+    q["training_stats"] = q["training_table"].split("\nselect z.airport_id")[0] + """,
+training as (
+  select z.bird_population, cast(s.strike_count as double) / cast(f.flight_count as double) as ratio
+  from zonal z join freq f on f.airport_id = z.airport_id
+  join (select substr(airport_id, 2) as airport_id, strike_count from strike_counts) s
+    on f.airport_id = s.airport_id)
+select count(*) as n, round(corr(bird_population, ratio), 6) as pearson_r,
+       round(regr_slope(ratio, bird_population), 6) as slope,
+       round(regr_intercept(ratio, bird_population), 6) as intercept,
+       round(regr_r2(ratio, bird_population), 6) as r2
+from training"""
     q["strike_ratio_left"] = both + """
 select f.airport_id, f.latitude_deg, f.longitude_deg, f.flight_count, s.strike_count,
        cast(coalesce(s.strike_count, 0) as double) / cast(f.flight_count as double) as strike_ratio
