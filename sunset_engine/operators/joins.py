@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sunset_engine.session import scratch_path
+
 # A dimension side up to this many rows is shipped to every executor.
 # Airports worldwide are ~80k rows of a few columns, far below this bound.
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -19,3 +23,21 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor re-reads the files instead of
+    recomputing the pipeline) and costs one job, unlike ``checkpoint()``, which
+    computes an unpersisted input twice.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialize_small(df: DataFrame, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a derived lookup table and broadcast it when its row count is within bound."""
+    return broadcast_if_bounded(materialize(df, name), max_rows)

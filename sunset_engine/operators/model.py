@@ -1,7 +1,7 @@
 """Random-forest regression of strikes per flight on bird population and traffic (M1-M9).
 
 The training table has one row per airport, so it is bounded by the number of
-airports, not by the flight volume. It is checkpointed once before fitting:
+airports, not by the flight volume. It is written once before fitting:
 cross-validation runs 46 fits, and each must read the small table, not
 recompute the whole flight pipeline.
 """
@@ -16,6 +16,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sunset_engine.operators.joins import materialize
+
 # The reference model setup.
 FEATURES = ("bird_population", "flight_count")
 LABEL = "bird_flight_ratio"
@@ -28,8 +30,12 @@ TRAIN_FRACTION = 0.7
 
 
 def prepare(df: DataFrame, partitions: int = 1) -> DataFrame:
-    """Drop rows with any NULL (F9) and checkpoint the small table (lineage cut)."""
-    return df.na.drop().coalesce(partitions).checkpoint(eager=True)
+    """Drop rows with any NULL (F9) and write the small table once (lineage cut).
+
+    One row per airport: a single partition is enough and keeps each of the
+    many small training jobs at one task.
+    """
+    return materialize(df.na.drop().coalesce(partitions), "training").cache()
 
 
 def split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SEED,

@@ -7,7 +7,7 @@ Plan shape for the flight side (the large table):
       -> parse hhmm, drop invalid              (narrow)
       -> broadcast hash join with the solar table on (airport, date) + the +-30 min test
          (solar table: distinct (airport, date) keys x airports, sunset math once per key,
-          checkpointed and size-checked before the broadcast)
+          written to the checkpoint folder and size-checked before the broadcast)
       -> partial count per airport             (map-side combine)
       -> shuffle of at most #airports rows per task -> final count
 
@@ -24,7 +24,7 @@ from sunset_engine.functions.columns import safe_ratio, to_double
 from sunset_engine.functions.solar import (near_sunset, offset_from_longitude, offset_from_timezone,
                                            with_sunset_minute)
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
-from sunset_engine.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from sunset_engine.operators.joins import broadcast_if_bounded, materialize_small
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
                                             season_inclusive)
 from sunset_engine.operators.timezones import nearest_timezone
@@ -85,11 +85,6 @@ def _season_ends(flights: DataFrame, start, end, years, compat: bool) -> DataFra
             .drop("time_text"))
 
 
-def _materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Checkpoint a small derived lookup (lineage cut, survives executor loss), broadcast if bounded."""
-    return broadcast_if_bounded(df.checkpoint(eager=True), max_rows)
-
-
 def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
                 years: tuple[int, int] | None = None, offset: str = "longitude",
                 compat: bool = False) -> DataFrame:
@@ -112,16 +107,18 @@ def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_STAR
                         half_window: int = 30, compat: bool = False) -> DataFrame:
     """Flight ends within +-``half_window`` minutes of local sunset at their airport.
 
-    The solar table (bounded by airports x days, not by flights) is checkpointed
-    and broadcast behind a row-count check; the flight ends then meet it in one
+    The solar table (bounded by airports x days, not by flights) is written once
+    to the shared checkpoint folder and broadcast behind a row-count check; the flight ends then meet it in one
     broadcast hash join whose condition is the cheap window test, so the flight
     side is never shuffled before the per-airport count.
     """
     ends = _season_ends(flights, start, end, years, compat)
     solar = solar_table(flights, airports, start, end, years, offset, compat)
-    solar = _materialize_small(solar.where(F.col("sunset_minute").isNotNull())
-                               .withColumnRenamed("airport_id", "s_airport_id")
-                               .withColumnRenamed("flight_date", "s_flight_date"))
+    # No "sunset_minute IS NOT NULL" filter here: Catalyst would push it below the
+    # solar projections and inline the whole formula into it. A NULL sunset fails
+    # the window comparison of the join anyway.
+    solar = materialize_small(solar.withColumnRenamed("airport_id", "s_airport_id")
+                              .withColumnRenamed("flight_date", "s_flight_date"), "solar_flights")
     cond = ((F.col("airport_id") == F.col("s_airport_id")) & (F.col("flight_date") == F.col("s_flight_date"))
             & near_sunset("event_minute", "sunset_minute", half_window))
     return (ends.join(solar, cond)
@@ -162,8 +159,8 @@ def near_sunset_strikes(strikes: DataFrame, years=FALL_YEARS, months=FALL_MONTHS
     solar = keys.withColumns({"latitude_deg": F.col("k_lat"), "longitude_deg": F.col("k_lon")})
     solar = with_sunset_minute(_offset(solar, "k_date", offset), "k_date",
                                "k_lat", "k_lon", "offset_hours")
-    solar = _materialize_small(
-        solar.select("k_lat", "k_lon", "k_date", "sunset_minute").where(F.col("sunset_minute").isNotNull()))
+    solar = materialize_small(
+        solar.select("k_lat", "k_lon", "k_date", "sunset_minute"), "solar_strikes")
     cond = ((F.col("latitude_deg") == F.col("k_lat")) & (F.col("longitude_deg") == F.col("k_lon"))
             & (F.col("incident_date") == F.col("k_date"))
             & near_sunset("event_minute", "sunset_minute", half_window))

@@ -18,6 +18,7 @@ from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes,
 from sunset_engine.functions.geo import GRID_BOUNDS
 from sunset_engine.operators import quality as QL
 from sunset_engine.operators import model as M
+from sunset_engine.operators.joins import materialize
 from sunset_engine.operators import raster as R
 from sunset_engine.operators import stats as ST
 from sunset_engine.operators import traffic as T
@@ -152,11 +153,11 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport zones, built once per session and data folder and checkpointed.
 
     The zone table is a small dimension (one row per airport) that several
-    reports share; materialising it keeps their plans short.
+    reports share; writing it once to the checkpoint folder keeps their plans short.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ZONES:
-        _ZONES[key] = R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID).checkpoint(eager=True)
+        _ZONES[key] = materialize(R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID), "zones")
     return _ZONES[key]
 
 
