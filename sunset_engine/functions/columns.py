@@ -35,3 +35,13 @@ def finite(c) -> Column:
     """True when the double is neither NULL, NaN nor infinite."""
     x = as_col(c)
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+
+
+def round_significant(c, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (comparing large sums across engines).
+
+    Scales by the decimal exponent, rounds, scales back; 0 and NULL pass through.
+    """
+    x = as_col(c).cast("double")
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - (digits - 1))
+    return F.when((x == 0) | x.isNull(), x).otherwise(F.round(x / scale) * scale)

@@ -242,12 +242,12 @@ select airport_id, timezone from airport_tz"""
     q["fit_residuals"] = f"""with {fitted}
 select l_orderkey, l_linenumber, round(l_quantity, 6) as l_quantity, round(l_extendedprice, 6) as l_extendedprice,
        round(fitted, 6) as fitted, round(l_extendedprice - fitted, 6) as residual from fitted"""
+    e = "(l_extendedprice - fitted)"
+    sig = Q.round_significant
     q["regression_metrics"] = f"""with {fitted}
-select round(sqrt(avg((l_extendedprice - fitted) * (l_extendedprice - fitted))), 6) as rmse,
-       round(avg((l_extendedprice - fitted) * (l_extendedprice - fitted)), 6) as mse,
-       round(avg(abs(l_extendedprice - fitted)), 6) as mae,
-       round(1 - sum((l_extendedprice - fitted) * (l_extendedprice - fitted))
-                 / (var_pop(l_extendedprice) * count(*)), 6) as r2
+select {sig(f"sqrt(avg({e} * {e}))")} as rmse, {sig(f"avg({e} * {e})")} as mse,
+       {sig(f"avg(abs({e}))")} as mae,
+       {sig(f"1 - sum({e} * {e}) / (var_pop(l_extendedprice) * count(*))")} as r2
 from fitted"""
     q["dataset_profile"] = """select count(*) as n_rows, count_if(event_id is null) as nulls_event_id,
        count_if(ts is null) as nulls_ts, count_if(user_id is null) as nulls_user_id,

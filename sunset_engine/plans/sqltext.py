@@ -76,6 +76,11 @@ def raster_cte() -> str:
   from lineitem group by 1, 2)"""
 
 
+def round_significant(x: str, digits: int = 10) -> str:
+    scale = f"pow(10.0, floor(log10(abs({x}))) - {digits - 1})"
+    return f"(case when ({x}) = 0 or ({x}) is null then ({x}) else round(({x}) / {scale}) * {scale} end)"
+
+
 def hhmm_minutes(x: str) -> str:
     t = f"try_cast(trunc(try_cast(trim({x}) as double)) as integer)"
     return f"(({t}) // 100) * 60 + ({t}) % 100"
