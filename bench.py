@@ -35,6 +35,7 @@ HEADLINE = [
     "fit_residuals",
     "pearson_p_value",
     "rf_predictions",          # single forest fit (reference setup: 100 trees, depth 5)
+    "rf_metrics",              # single fit + RMSE, MSE, MAE, R^2
     "rf_cross_validated",      # 3 x 3 grid, 5 folds, refit: 46 forest fits
 ]
 

@@ -95,7 +95,11 @@ def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=F
     joined to the size-checked airport dimension. Each airport copy keeps its own
     coordinates, so duplicated codes fan out as in the reference.
     """
-    keys = _season_ends(flights, start, end, years, compat).select("airport_id", "flight_date").distinct()
+    # Keys need no time-validity filter (extra keys only add unused solar rows), so
+    # this scan reads three flight columns: origin, destination and date.
+    season = flights.where(season_exclusive("flight_date", start, end, years))
+    keys = (season.select("flight_date", F.explode(F.array("origin", "dest")).alias("airport_id"))
+            .where(F.col("airport_id") != "").distinct())
     joined = keys.join(broadcast_if_bounded(airport_keys(airports)), "airport_id")
     joined = with_sunset_minute(_offset(joined, "flight_date", offset), "flight_date",
                                 "latitude_deg", "longitude_deg", "offset_hours")

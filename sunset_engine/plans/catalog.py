@@ -146,26 +146,33 @@ def airports_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.airport_keys(TD.airports(spark, sf_dir)).select(*R.ZONE_KEY)
 
 
-_ZONES: dict[tuple[str, str], DataFrame] = {}
+_MEMO: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airport zones, built once per session and data folder and checkpointed.
+def _shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A small shared intermediate, written once per session and data folder.
 
-    The zone table is a small dimension (one row per airport) that several
-    reports share; writing it once to the checkpoint folder keeps their plans short.
+    Used for tables bounded by the number of airports that several reports
+    read (zones, the training table): they are built once, written to the
+    checkpoint folder, and every later report reads the files.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ZONES:
-        _ZONES[key] = materialize(R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID), "zones")
-    return _ZONES[key]
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = materialize(build(), name)
+    return _MEMO[key]
+
+
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airport zones (one row per airport inside the grid)."""
+    return _shared(spark, sf_dir, "zones",
+                   lambda: R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID))
 
 
 def zonal_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.zonal_mean(zones(spark, sf_dir), TD.raster_cells(spark, sf_dir), **GRID)
 
 
-def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zonal bird population joined to strikes per flight (J5): the model's input table."""
     spf = T.strike_per_flight(frequencies(spark, sf_dir), strike_counts(spark, sf_dir))
     return (zonal_means(spark, sf_dir).select("airport_id", "bird_population")
@@ -173,6 +180,11 @@ def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("strike_ratio").alias("bird_flight_ratio")), "airport_id"))
 
 
+def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training table, written once per session (the reference writes it as a CSV)."""
+    return _shared(spark, sf_dir, "training", lambda: build_training_table(spark, sf_dir))
+
+
 def _r6(df: DataFrame) -> DataFrame:
     """Round every double column to 6 decimals (cross-engine comparison of sums)."""
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
@@ -207,6 +219,12 @@ def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.predictions(M.fit_forest(train), test)
 
 
+def rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single forest fit, then RMSE, MSE, MAE and R^2 on the test rows in one aggregate."""
+    train, test = model_input(spark, sf_dir)
+    return ST.regression_metrics(M.predictions(M.fit_forest(train), test), M.LABEL)
+
+
 def rf_cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = model_input(spark, sf_dir)
     return M.predictions(M.cross_validate(train).bestModel, test)
@@ -222,6 +240,7 @@ def queries() -> dict[str, Query]:
         "pearson_p_value": lambda s, d: ST.pearson_p_value(s, lineitem_xy(s, d), "l_quantity", "l_extendedprice"),
         "training_stats": training_stats,
         "rf_predictions": rf_predictions,
+        "rf_metrics": rf_metrics,
         "rf_cross_validated": rf_cross_validated,
         "albers_forward": lambda s, d: R.project_airports(airports_geo(s, d)).select(
             "airport_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y")),
@@ -230,6 +249,7 @@ def queries() -> dict[str, Query]:
         "zone_corners": lambda s, d: zones(s, d).drop("latitude_deg", "longitude_deg"),
         "zone_outline": lambda s, d: R.zone_outline(zones(s, d)),
         "zone_labels": lambda s, d: R.zone_labels(zones(s, d)),
+        "zone_pixels": lambda s, d: R.zone_pixels(zones(s, d), **GRID).select("airport_id", "row", "col"),
         "presence_raster": lambda s, d: R.presence_raster(zones(s, d)),
         "normalized_raster": lambda s, d: R.normalized_cells(TD.raster_cells(s, d), **GRID).select(
             "row", "col", F.round("value", 6).alias("value")),

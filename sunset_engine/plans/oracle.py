@@ -183,6 +183,7 @@ select airport_id, cast(col as double) - 1.0 as label_x, cast(row as double) - 7
     q["normalized_raster"] = raster + "\nselect row, col, round(value, 6) as value from norm"
     q["nonzero_cells"] = ("with " + Q.raster_cte() + """
 select row, col from raster_cells where coalesce(case when isnan(value) then 0.0 else value end, 0.0) <> 0""")
+    q["zone_pixels"] = raster + "\nselect airport_id, row, col from zone_pix"
     q["zonal_mean"] = raster + """
 select airport_id, round(bird_population, 6) as bird_population, n_pixels from zonal"""
     q["season_filter_exclusive"] = f"""select o_orderkey, cast(o_orderdate as date) as order_date from orders

@@ -99,6 +99,12 @@ def write_sorted_report(df: DataFrame, path: str, by: list[str], mode: str = "ov
     write_single_csv(df.orderBy(*by), path, header=True, mode=mode)
 
 
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Raster cells ``(row, col, value)`` from Parquet; filters on ``tile_row`` prune tile folders."""
+    return spark.read.parquet(path).select(F.col("row").cast("int"), F.col("col").cast("int"),
+                                           F.col("value").cast("double"))
+
+
 def write_cells(cells: DataFrame, path: str, tile: int = 256, mode: str = "overwrite") -> None:
     """Raster cells as Parquet partitioned by tile row, so zone reads prune tiles (K7)."""
     (cells.withColumn("tile_row", (F.col("row") / tile).cast("int"))
