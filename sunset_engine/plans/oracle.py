@@ -151,7 +151,8 @@ bbox2 as (
          unnest(generate_series(least(c0_x, c1_x, c2_x, c3_x), greatest(c0_x, c1_x, c2_x, c3_x))) as col
   from bbox),
 zone_pix as (
-  select airport_id, latitude_deg, longitude_deg, row, col from bbox2
+  select airport_id, latitude_deg, longitude_deg, cast(row as integer) as row, cast(col as integer) as col
+  from bbox2
   where {s[0]} = {s[1]} and {s[1]} = {s[2]} and {s[2]} = {s[3]}
     and row >= 0 and row < {h} and col >= 0 and col < {w}),
 zonal as (
@@ -188,8 +189,8 @@ select row, col from raster_cells where coalesce(case when isnan(value) then 0.0
 select airport_id, round(bird_population, 6) as bird_population, n_pixels from zonal"""
     q["season_filter_exclusive"] = f"""select o_orderkey, cast(o_orderdate as date) as order_date from orders
 where {Q.season_exclusive('cast(o_orderdate as date)', (8, 1), (11, 30))}"""
-    q["season_filter_inclusive"] = """select o_orderkey, year(o_orderdate) as order_year,
-       month(o_orderdate) as order_month from orders
+    q["season_filter_inclusive"] = """select o_orderkey, cast(year(o_orderdate) as integer) as order_year,
+       cast(month(o_orderdate) as integer) as order_month from orders
 where year(o_orderdate) between 1996 and 1998 and month(o_orderdate) between 8 and 11"""
     cut = "substring(trim(dep_time), 1, length(trim(dep_time)) - 2)"
     q["hhmm_to_minutes"] = f"""with {Q.flights_cte()}
@@ -250,10 +251,10 @@ select {sig(f"sqrt(avg({e} * {e}))")} as rmse, {sig(f"avg({e} * {e})")} as mse,
        {sig(f"avg(abs({e}))")} as mae,
        {sig(f"1 - sum({e} * {e}) / (var_pop(l_extendedprice) * count(*))")} as r2
 from fitted"""
-    q["dataset_profile"] = """select count(*) as n_rows, count_if(event_id is null) as nulls_event_id,
-       count_if(ts is null) as nulls_ts, count_if(user_id is null) as nulls_user_id,
-       count_if(event_type is null) as nulls_event_type, count_if(value is null) as nulls_value,
-       count_if(props is null) as nulls_props from events"""
+    q["dataset_profile"] = """select count(*) as n_rows, cast(count_if(event_id is null) as bigint) as nulls_event_id,
+       cast(count_if(ts is null) as bigint) as nulls_ts, cast(count_if(user_id is null) as bigint) as nulls_user_id,
+       cast(count_if(event_type is null) as bigint) as nulls_event_type, cast(count_if(value is null) as bigint) as nulls_value,
+       cast(count_if(props is null) as bigint) as nulls_props from events"""
     near = _near_flights_ctes()
 
     q["near_sunset_flights"] = near + "\nselect * from near"
