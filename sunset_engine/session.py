@@ -8,6 +8,20 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~100 TB of flights), applied only where the
+# cluster configuration leaves them unset. The flight scan is the one big read:
+# 512 MB splits keep the task count near 200 k. Every shuffle in the plans
+# carries partially aggregated or distinct rows, so AQE coalesces the initial
+# 4000 partitions down to what the data needs.
+CLUSTER_DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "sunset_engine") -> SparkSession:
     """Build (or reuse) a session with AQE on, UI off and a UTC session clock.
@@ -30,6 +44,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        submitted = spark.sparkContext.getConf()
+        for key, value in CLUSTER_DEFAULTS.items():
+            if not submitted.contains(key):
+                spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
 
