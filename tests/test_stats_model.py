@@ -1,3 +1,4 @@
+import math
 import os
 
 import pytest
@@ -77,3 +78,15 @@ def test_cross_validation_small_grid(spark):
     cv = M.cross_validate(train, trees=(5, 10), depths=(2,), folds=3)
     assert len(cv.avgMetrics) == 2
     assert M.predictions(cv.bestModel, test).count() == test.count()
+
+
+def test_t_test_p_value_properties():
+    p = ST.t_test_p_value
+    assert p(0.0, 50) == pytest.approx(1.0)
+    assert p(1.0, 50) == 0.0 and p(None, 50) is None and p(0.3, 2) is None
+    assert p(0.3, 40) == pytest.approx(p(-0.3, 40))
+    assert p(0.1, 40) > p(0.3, 40) > p(0.6, 40)
+    # large samples: t = 1.959964 gives the normal two-sided 5 %
+    n = 10**7
+    r = 1.959964 / math.sqrt(n - 2 + 1.959964**2)
+    assert p(r, n) == pytest.approx(0.05, abs=1e-4)
