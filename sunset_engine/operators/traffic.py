@@ -77,8 +77,19 @@ def _offset(df: DataFrame, date: str, offset: str) -> DataFrame:
     raise ValueError(f"offset must be 'longitude' or 'timezone', not {offset!r}")
 
 
+def _season(flights: DataFrame, start, end, years) -> DataFrame:
+    """Season filter; on a table partitioned by ``flight_year``/``flight_month`` it also
+    prunes partitions (the month range and, when known, the year range)."""
+    out = flights.where(season_exclusive("flight_date", start, end, years))
+    if "flight_month" in flights.columns:
+        out = out.where(F.col("flight_month").between(start[0], end[0]))
+    if years is not None and "flight_year" in flights.columns:
+        out = out.where(F.col("flight_year").between(years[0], years[1]))
+    return out
+
+
 def _season_ends(flights: DataFrame, start, end, years, compat: bool) -> DataFrame:
-    season = flights.where(season_exclusive("flight_date", start, end, years))
+    season = _season(flights, start, end, years)
     return (flight_roles(season)
             .withColumn("event_minute", hhmm_to_minutes("time_text", compat))
             .where(F.col("event_minute").isNotNull() & (F.col("airport_id") != ""))
@@ -97,7 +108,7 @@ def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=F
     """
     # Keys need no time-validity filter (extra keys only add unused solar rows), so
     # this scan reads three flight columns: origin, destination and date.
-    season = flights.where(season_exclusive("flight_date", start, end, years))
+    season = _season(flights, start, end, years)
     keys = (season.select("flight_date", F.explode(F.array("origin", "dest")).alias("airport_id"))
             .where(F.col("airport_id") != "").distinct())
     joined = keys.join(broadcast_if_bounded(airport_keys(airports)), "airport_id")

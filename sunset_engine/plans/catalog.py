@@ -278,6 +278,8 @@ def queries() -> dict[str, Query]:
         "near_sunset_flights": near_flights,
         "flight_frequencies": frequencies,
         "top_airports": top_airports,
+        "bottom_airports": lambda s, d: T.top_n(frequencies(s, d), "flight_count", T.GROUP_KEY, 50, ascending=True),
+        "top_and_bottom_airports": lambda s, d: T.top_and_bottom(frequencies(s, d), "flight_count", T.GROUP_KEY, 50),
         "solar_table": lambda s, d: T.solar_table(TD.flights(s, d), TD.airports(s, d), START, END),
         "near_sunset_strikes": near_strikes,
         "strike_counts": strike_counts,

@@ -1,5 +1,6 @@
 """End-to-end jobs over files, one per workflow of the reference.
 
+* ``ingest_flights`` flight CSVs -> Parquet partitioned by year and month
 * ``flight_job``   near-sunset flights -> frequencies -> strikes per flight -> top/bottom N reports
 * ``strike_job``   near-sunset bird strikes -> counts per airport
 * ``ratio_report`` flight counts LEFT JOIN strike counts -> ratio, sorted
@@ -30,15 +31,34 @@ from sunset_engine.operators.joins import materialize
 from sunset_engine.operators.season import FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS
 from sunset_engine.sources import csvio
 
+
 COUNT_SCHEMA = "airport_id string, latitude_deg double, longitude_deg double, {} long"
 
 
+def ingest_flights(spark: SparkSession, csv_path: str, out_path: str, mode: str = "errorifexists") -> None:
+    """Convert flight CSVs once into Parquet partitioned by year and month.
+
+    Later runs read five columns instead of whole lines, and the season filter
+    prunes month folders (August to November is 4 of 12).
+    """
+    f = csvio.read_flights(spark, csv_path)
+    (f.withColumns({"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
+     .repartition("flight_year", "flight_month", (F.hash("event_id") % 64))
+     .write.mode(mode).partitionBy("flight_year", "flight_month").parquet(out_path))
+
+
 def flight_job(spark: SparkSession, flights_path: str, airports_path: str, strike_counts_path: str,
                out_dir: str, n: int = 50, start=FALL_START, end=FALL_END, years=FALL_YEARS,
-               offset: str = "timezone", mode: str = "errorifexists") -> dict[str, DataFrame]:
-    """Near-sunset flight ends and the per-airport reports built from them."""
-    near = T.near_sunset_flights(csvio.read_flights(spark, flights_path), csvio.read_airports(spark, airports_path),
-                                 start, end, years, offset)
+               offset: str = "timezone", mode: str = "errorifexists",
+               flights_format: str = "csv") -> dict[str, DataFrame]:
+    """Near-sunset flight ends and the per-airport reports built from them.
+
+    ``flights_format="parquet"`` reads the output of ``ingest_flights``, whose
+    year/month partitions the season filter prunes.
+    """
+    flights = (spark.read.parquet(flights_path) if flights_format == "parquet"
+               else csvio.read_flights(spark, flights_path))
+    near = T.near_sunset_flights(flights, csvio.read_airports(spark, airports_path), start, end, years, offset)
     near = materialize(near, "near_sunset_flights")            # one pass over the flights, reused below
     csvio.write_csv(near, os.path.join(out_dir, "sunset_flights"), mode=mode)
     freq = materialize(T.flight_frequencies(near), "flight_frequencies")

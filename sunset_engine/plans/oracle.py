@@ -263,6 +263,13 @@ from fitted"""
     q["top_airports"] = near + """
 select * from freq order by flight_count desc, airport_id, latitude_deg, longitude_deg limit 50"""
 
+    q["bottom_airports"] = near + """
+select * from freq order by flight_count asc, airport_id, latitude_deg, longitude_deg limit 50"""
+    q["top_and_bottom_airports"] = near + """,
+top as (select *, 'top' as list from freq order by flight_count desc, airport_id, latitude_deg, longitude_deg limit 50),
+bottom as (select *, 'bottom' as list from freq
+           order by flight_count asc, airport_id, latitude_deg, longitude_deg limit 50)
+select * from top union all select * from bottom"""
     q["solar_table"] = f"""with {Q.airports_cte()},
 {Q.flights_cte()},
 keys as (

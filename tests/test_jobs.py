@@ -99,3 +99,15 @@ def test_stats_and_model_jobs(spark, tmp_dir):
     pred, metrics = jobs.model_job(spark, path, os.path.join(tmp_dir, "run"), cross_validate=False)
     assert pred.count() > 0 and metrics["rmse"] >= 0
     assert os.path.isdir(os.path.join(tmp_dir, "run_trained_regressor_model"))
+
+
+def test_ingest_prunes_months(spark, files, tmp_dir):
+    out = os.path.join(tmp_dir, "flights_pq")
+    jobs.ingest_flights(spark, os.path.join(files, "flights.csv"), out)
+    assert os.path.isdir(os.path.join(out, "flight_year=2019", "flight_month=10"))
+    t = spark.read.parquet(out)
+    near = T.near_sunset_flights(t, csvio.read_airports(spark, os.path.join(files, "airports.csv")),
+                                 years=(2018, 2020), offset="timezone")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(flight_month" in plan or "flight_month#" in plan
+    assert sorted(r.airport_id for r in near.collect()) == ["APA", "DEN", "DEN", "DEN"]
