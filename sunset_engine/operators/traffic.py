@@ -17,6 +17,8 @@ group before the map-side partial aggregate.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from sunset_engine.functions.columns import safe_ratio, to_double
 from sunset_engine.functions.solar import (near_sunset, offset_from_longitude, offset_from_timezone,
                                            with_sunset_minute)
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
-from sunset_engine.operators.joins import broadcast_if_bounded, materialize_small
+from sunset_engine.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, materialize_small
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
                                             season_inclusive)
 from sunset_engine.operators.timezones import nearest_timezone
@@ -96,44 +98,86 @@ def _season_ends(flights: DataFrame, start, end, years, compat: bool) -> DataFra
             .drop("time_text"))
 
 
+def season_days(start, end, years: tuple[int, int]) -> list[tuple[dt.date, dt.date]]:
+    """First and last kept day of the exclusive season in each year (empty years skipped)."""
+    out = []
+    for y in range(years[0], years[1] + 1):
+        lo = dt.date(y, *start) + dt.timedelta(days=1)
+        hi = dt.date(y, *end) - dt.timedelta(days=1)
+        if lo <= hi:
+            out.append((lo, hi))
+    return out
+
+
+def _solar(joined: DataFrame, offset: str) -> DataFrame:
+    joined = with_sunset_minute(_offset(joined, "flight_date", offset), "flight_date",
+                                "latitude_deg", "longitude_deg", "offset_hours")
+    return joined.select(*GROUP_KEY, "flight_date", "sunset_minute")
+
+
 def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
                 years: tuple[int, int] | None = None, offset: str = "longitude",
                 compat: bool = False) -> DataFrame:
     """Sunset minute for every (airport, date) that a season flight end touches.
 
-    The keys are a distinct over two columns of the flight ends (map-side partial
-    aggregate, so the shuffle carries at most #airports x #days rows per task),
-    joined to the size-checked airport dimension. Each airport copy keeps its own
-    coordinates, so duplicated codes fan out as in the reference.
+    The keys are a distinct over the flights' origin, destination and date
+    (map-side partial aggregate, so the shuffle carries at most #airports x #days
+    rows per task), joined to the size-checked airport dimension. Each airport
+    copy keeps its own coordinates, so duplicated codes fan out as in the reference.
     """
     # Keys need no time-validity filter (extra keys only add unused solar rows), so
     # this scan reads three flight columns: origin, destination and date.
     season = _season(flights, start, end, years)
     keys = (season.select("flight_date", F.explode(F.array("origin", "dest")).alias("airport_id"))
             .where(F.col("airport_id") != "").distinct())
-    joined = keys.join(broadcast_if_bounded(airport_keys(airports)), "airport_id")
-    joined = with_sunset_minute(_offset(joined, "flight_date", offset), "flight_date",
-                                "latitude_deg", "longitude_deg", "offset_hours")
-    return joined.select(*GROUP_KEY, "flight_date", "sunset_minute")
+    return _solar(keys.join(broadcast_if_bounded(airport_keys(airports)), "airport_id"), offset)
+
+
+def calendar_solar_table(airports: DataFrame, start=FALL_START, end=FALL_END, years=FALL_YEARS,
+                         offset: str = "longitude") -> DataFrame:
+    """Sunset minute for every airport on every day of the season (E1), without reading flights.
+
+    Each airport row expands to its season days with ``explode(sequence(...))``:
+    #airports x #days rows, a size known before anything runs.
+    """
+    ranges = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+                       for lo, hi in season_days(start, end, years)])
+    ap = airport_keys(airports)
+    extra = [c for c in ("timezone",) if c in ap.columns]
+    days = (ap.select(*GROUP_KEY, *extra, F.explode(ranges).alias("r"))
+            .select(*GROUP_KEY, *extra, F.explode(F.sequence("r.lo", "r.hi")).alias("flight_date")))
+    return _solar(days, offset)
 
 
 def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
                         years: tuple[int, int] | None = None, offset: str = "longitude",
-                        half_window: int = 30, compat: bool = False) -> DataFrame:
+                        half_window: int = 30, compat: bool = False,
+                        max_solar_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Flight ends within +-``half_window`` minutes of local sunset at their airport.
 
-    The solar table (bounded by airports x days, not by flights) is written once
-    to the shared checkpoint folder and broadcast behind a row-count check; the flight ends then meet it in one
+    The solar table is bounded by airports x days, not by flights. When the
+    season's years are known and airports x days is within ``max_solar_rows``,
+    it is built from the airport dimension and the season calendar, so the
+    flights are scanned once; otherwise from the distinct (airport, date) keys of
+    the flights. Either way it is written to the shared checkpoint folder and
+    broadcast behind a row-count check, and the flight ends meet it in one
     broadcast hash join whose condition is the cheap window test, so the flight
     side is never shuffled before the per-airport count.
     """
     ends = _season_ends(flights, start, end, years, compat)
-    solar = solar_table(flights, airports, start, end, years, offset, compat)
+    solar = None
+    if years is not None:
+        n_days = sum((hi - lo).days + 1 for lo, hi in season_days(start, end, years))
+        n_airports = airport_keys(airports).limit(max_solar_rows + 1).count()
+        if n_airports * n_days <= max_solar_rows:
+            solar = calendar_solar_table(airports, start, end, years, offset)
+    if solar is None:
+        solar = solar_table(flights, airports, start, end, years, offset, compat)
     # No "sunset_minute IS NOT NULL" filter here: Catalyst would push it below the
     # solar projections and inline the whole formula into it. A NULL sunset fails
     # the window comparison of the join anyway.
     solar = materialize_small(solar.withColumnRenamed("airport_id", "s_airport_id")
-                              .withColumnRenamed("flight_date", "s_flight_date"), "solar_flights")
+                              .withColumnRenamed("flight_date", "s_flight_date"), "solar_flights", max_solar_rows)
     cond = ((F.col("airport_id") == F.col("s_airport_id")) & (F.col("flight_date") == F.col("s_flight_date"))
             & near_sunset("event_minute", "sunset_minute", half_window))
     return (ends.join(solar, cond)

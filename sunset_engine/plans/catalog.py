@@ -31,7 +31,8 @@ START, END = TD.TEST_FLIGHT_SEASON
 
 
 def near_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.near_sunset_flights(TD.flights(spark, sf_dir), TD.airports(spark, sf_dir), START, END)
+    return T.near_sunset_flights(TD.flights(spark, sf_dir), TD.airports(spark, sf_dir), START, END,
+                                 TD.TEST_FLIGHT_YEARS)
 
 
 def frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,7 @@ def airport_timezones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_flights_tz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.near_sunset_flights(TD.flights(spark, sf_dir), TD.airports(spark, sf_dir), START, END,
-                                 offset="timezone")
+                                 TD.TEST_FLIGHT_YEARS, offset="timezone")
 
 
 GRID = dict(bounds=GRID_BOUNDS, resolution=TD.TEST_GRID_RESOLUTION)
@@ -281,6 +282,7 @@ def queries() -> dict[str, Query]:
         "bottom_airports": lambda s, d: T.top_n(frequencies(s, d), "flight_count", T.GROUP_KEY, 50, ascending=True),
         "top_and_bottom_airports": lambda s, d: T.top_and_bottom(frequencies(s, d), "flight_count", T.GROUP_KEY, 50),
         "solar_table": lambda s, d: T.solar_table(TD.flights(s, d), TD.airports(s, d), START, END),
+        "solar_calendar": lambda s, d: T.calendar_solar_table(TD.airports(s, d), START, END, TD.TEST_FLIGHT_YEARS),
         "near_sunset_strikes": near_strikes,
         "strike_counts": strike_counts,
         "strike_per_flight": lambda s, d: T.strike_per_flight(frequencies(s, d), strike_counts(s, d)),

@@ -8,6 +8,7 @@ both the query and its oracle.
 
 from __future__ import annotations
 
+from sunset_engine.operators import traffic as T
 from sunset_engine.plans import sqltext as Q
 from sunset_engine.sources import testdata as TD
 
@@ -284,6 +285,18 @@ joined as (
 {Q.solar_ctes('joined', 'flight_date', 'latitude_deg', 'longitude_deg', 'offset_hours')}
 select airport_id, latitude_deg, longitude_deg, flight_date, sunset_minute from solar"""
 
+    days = T.season_days(START, END, TD.TEST_FLIGHT_YEARS)
+    ranges = " union all ".join(
+        f"select unnest(generate_series(date '{lo}', date '{hi}', interval 1 day))::date as flight_date"
+        for lo, hi in days)
+    q["solar_calendar"] = f"""with {Q.airports_cte()},
+days as ({ranges}),
+joined as (
+  select a.airport_id, a.latitude_deg, a.longitude_deg, d.flight_date,
+         round(a.longitude_deg / {Q.dbl(15.0)}) as offset_hours
+  from airports a join days d on true where a.airport_id <> ''),
+{Q.solar_ctes('joined', 'flight_date', 'latitude_deg', 'longitude_deg', 'offset_hours')}
+select airport_id, latitude_deg, longitude_deg, flight_date, sunset_minute from solar"""
     strikes = _near_strikes_ctes()
     q["strike_counts"] = "with " + strikes + "\nselect * from strike_counts"
     q["near_sunset_strikes"] = "with " + strikes + "\nselect * from near_strikes"

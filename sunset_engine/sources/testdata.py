@@ -23,6 +23,7 @@ TEST_GRID_WIDTH = 461
 TEST_ZONE_MILES = 50.0
 # Season used with the January-only events table (exclusive ends, F2).
 TEST_FLIGHT_SEASON = ((1, 5), (1, 25))
+TEST_FLIGHT_YEARS = (2024, 2024)
 # Strike season (inclusive, F3): years and months.
 TEST_STRIKE_YEARS = (2024, 2024)
 TEST_STRIKE_MONTHS = (1, 1)

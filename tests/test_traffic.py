@@ -76,4 +76,8 @@ def test_flight_plan_broadcasts_and_prunes(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(flight_date), GreaterThan(flight_date" in plan.replace("\n", " ") or \
         "GreaterThan(flight_date" in plan
     assert "BatchEvalPython" not in plan
+    # years known: the solar table comes from airports x season days, flights are scanned once
+    assert plan.count("FileScan parquet [event_id") == 1, plan
     assert near.count() == 50
+    keyed = T.near_sunset_flights(spark.read.parquet(path), _airports(spark))
+    assert sorted(r.event_id for r in keyed.collect()) == sorted(r.event_id for r in near.collect())
