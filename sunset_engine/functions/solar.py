@@ -43,12 +43,15 @@ def offset_from_longitude(lon) -> Column:
 def offset_from_timezone(date, tz) -> Column:
     """UTC offset in hours of an IANA zone on a date, DST included.
 
-    Taken at 12:00 UTC of the day, i.e. around local noon in the Americas, which
-    avoids the night-time DST switch. ``from_utc_timestamp`` resolves the zone per row.
+    Taken at 12:00 UTC of the day (around local noon in the Americas, away from
+    the night-time DST switch). The arithmetic stays on ``timestamp_ntz`` wall
+    clocks, so the session time zone does not enter; ``convert_timezone``
+    resolves the zone per row.
     """
-    noon = F.to_timestamp(as_col(date)) + F.expr("INTERVAL 12 HOURS")
-    local = F.from_utc_timestamp(noon, as_col(tz))
-    return (F.unix_timestamp(local) - F.unix_timestamp(noon)) / 3600.0
+    noon = F.make_timestamp_ntz(F.year(as_col(date)), F.month(as_col(date)), F.dayofmonth(as_col(date)),
+                                F.lit(12), F.lit(0), F.lit(0))
+    local = F.convert_timezone(F.lit("UTC"), as_col(tz), noon)
+    return F.timestamp_diff("SECOND", noon, local) / 3600.0
 
 
 def with_sunset_minute(df: DataFrame, date, lat, lon, offset_hours, out: str = "sunset_minute") -> DataFrame:
