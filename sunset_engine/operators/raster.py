@@ -106,9 +106,17 @@ def presence_raster(zones: DataFrame) -> DataFrame:
     return zones.select("row", "col").distinct().withColumn("value", F.lit(1.0).cast("float"))
 
 
-def _range_stats(cells: DataFrame, n_cells: int) -> Column:
+def _value(nodata: float | None) -> Column:
+    """Cell value with NULL, NaN and (when given) the ``nodata`` value read as 0."""
+    v = F.col("value").cast("double")
+    if nodata is not None:
+        v = F.when(v == F.lit(float(nodata)), F.lit(None).cast("double")).otherwise(v)
+    return nan_to_zero(v)
+
+
+def _range_stats(cells: DataFrame, n_cells: int, nodata: float | None = None) -> Column:
     """Scalar subquery: struct(mn, mx) over the whole grid, implicit zero cells included (A5)."""
-    v = nan_to_zero("value")
+    v = _value(nodata)
     some_absent = F.count(F.lit(1)) < F.lit(n_cells)
     return cells.select(F.struct(
         F.when(some_absent, F.least(F.min(v), F.lit(0.0))).otherwise(F.min(v)).alias("mn"),
@@ -121,11 +129,16 @@ def _normalize(v: Column, stats: Column) -> Column:
     return F.when(mx != mn, (v - mn) / (mx - mn)).otherwise(v)
 
 
-def normalized_cells(cells: DataFrame, bounds=GRID_BOUNDS, resolution: float = GRID_RESOLUTION) -> DataFrame:
-    """Min-max normalised cells; unchanged when the raster is constant."""
+def normalized_cells(cells: DataFrame, bounds=GRID_BOUNDS, resolution: float = GRID_RESOLUTION,
+                     nodata: float | None = None) -> DataFrame:
+    """Min-max normalised cells; unchanged when the raster is constant.
+
+    Only NULL and NaN count as 0 by default, as in the reference; ``nodata``
+    adds one more value that does.
+    """
     height, width = grid_shape(bounds, resolution)
-    stats = _range_stats(cells, height * width)
-    return cells.select("row", "col", _normalize(nan_to_zero("value"), stats).alias("value"))
+    stats = _range_stats(cells, height * width, nodata)
+    return cells.select("row", "col", _normalize(_value(nodata), stats).alias("value"))
 
 
 def nonzero_cells(cells: DataFrame) -> DataFrame:
@@ -134,7 +147,7 @@ def nonzero_cells(cells: DataFrame) -> DataFrame:
 
 
 def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
-               resolution: float = GRID_RESOLUTION) -> DataFrame:
+               resolution: float = GRID_RESOLUTION, nodata: float | None = None) -> DataFrame:
     """Mean normalised cell value over each zone's pixels (A6): ``bird_population``.
 
     Pixels without a stored cell contribute the normalised value of 0. The zone
@@ -142,11 +155,11 @@ def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
     the cell table is never shuffled; only per-zone partial sums move.
     """
     height, width = grid_shape(bounds, resolution)
-    stats = _range_stats(cells, height * width)
+    stats = _range_stats(cells, height * width, nodata)
     zero = _normalize(F.lit(0.0), stats)
     pix = zone_pixels(zones, bounds, resolution)
     totals = pix.groupBy(*ZONE_KEY).agg(F.count(F.lit(1)).alias("n_pixels"))
-    norm = cells.select("row", "col", _normalize(nan_to_zero("value"), stats).alias("v"))
+    norm = cells.select("row", "col", _normalize(_value(nodata), stats).alias("v"))
     matched = (norm.join(broadcast_if_bounded(pix), ["row", "col"])
                .groupBy(*ZONE_KEY).agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("m")))
     return (totals.join(matched, ZONE_KEY, "left")

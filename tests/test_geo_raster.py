@@ -97,3 +97,13 @@ def test_presence_raster(spark):
     assert pres.count() == 7 and {r.value for r in pres.collect()} == {1.0}
     assert dict(pres.dtypes)["value"] == "float"
     assert z.select(F.max("col")).first()[0] < G.grid_shape()[1]
+
+
+def test_nodata_value_counts_as_zero(spark):
+    bounds = (0.0, 0.0, 2.0, 2.0)
+    cells = spark.createDataFrame([(0, 0, -9999.0), (0, 1, 2.0), (1, 0, 4.0), (1, 1, 0.0)],
+                                  "row int, col int, value double")
+    plain = sorted(r.value for r in R.normalized_cells(cells, bounds, 1.0).collect())
+    masked = sorted(r.value for r in R.normalized_cells(cells, bounds, 1.0, nodata=-9999.0).collect())
+    assert plain[0] == 0.0 and plain[-1] == 1.0 and plain[1] > 0.99  # -9999 stretches the range
+    assert masked == [0.0, 0.0, 0.5, 1.0]
