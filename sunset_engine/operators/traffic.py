@@ -149,6 +149,10 @@ def calendar_solar_table(airports: DataFrame, start=FALL_START, end=FALL_END, ye
     return _solar(days, offset)
 
 
+def _renamed(solar: DataFrame) -> DataFrame:
+    return solar.withColumnRenamed("airport_id", "s_airport_id").withColumnRenamed("flight_date", "s_flight_date")
+
+
 def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
                         years: tuple[int, int] | None = None, offset: str = "longitude",
                         half_window: int = 30, compat: bool = False,
@@ -157,12 +161,12 @@ def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_STAR
 
     The solar table is bounded by airports x days, not by flights. When the
     season's years are known and airports x days is within ``max_solar_rows``,
-    it is built from the airport dimension and the season calendar, so the
-    flights are scanned once; otherwise from the distinct (airport, date) keys of
-    the flights. Either way it is written to the shared checkpoint folder and
-    broadcast behind a row-count check, and the flight ends meet it in one
-    broadcast hash join whose condition is the cheap window test, so the flight
-    side is never shuffled before the per-airport count.
+    it is built from the airport dimension and the season calendar and broadcast
+    (its size is proven by the airport count), so the flights are scanned once;
+    otherwise from the distinct (airport, date) keys of the flights, written to
+    the shared checkpoint folder and broadcast behind a row-count check. The
+    flight ends meet it in one broadcast hash join whose condition is the cheap
+    window test, so the flight side is never shuffled before the per-airport count.
     """
     ends = _season_ends(flights, start, end, years, compat)
     solar = None
@@ -170,14 +174,15 @@ def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_STAR
         n_days = sum((hi - lo).days + 1 for lo, hi in season_days(start, end, years))
         n_airports = airport_keys(airports).limit(max_solar_rows + 1).count()
         if n_airports * n_days <= max_solar_rows:
-            solar = calendar_solar_table(airports, start, end, years, offset)
+            # bounded by construction (airports x days, counted above): broadcast directly,
+            # each executor rebuilds nothing; the table is computed once per query
+            solar = F.broadcast(_renamed(calendar_solar_table(airports, start, end, years, offset)))
     if solar is None:
-        solar = solar_table(flights, airports, start, end, years, offset, compat)
-    # No "sunset_minute IS NOT NULL" filter here: Catalyst would push it below the
-    # solar projections and inline the whole formula into it. A NULL sunset fails
-    # the window comparison of the join anyway.
-    solar = materialize_small(solar.withColumnRenamed("airport_id", "s_airport_id")
-                              .withColumnRenamed("flight_date", "s_flight_date"), "solar_flights", max_solar_rows)
+        # No "sunset_minute IS NOT NULL" filter here: Catalyst would push it below the
+        # solar projections and inline the whole formula into it. A NULL sunset fails
+        # the window comparison of the join anyway.
+        solar = materialize_small(_renamed(solar_table(flights, airports, start, end, years, offset, compat)),
+                                  "solar_flights", max_solar_rows)
     cond = ((F.col("airport_id") == F.col("s_airport_id")) & (F.col("flight_date") == F.col("s_flight_date"))
             & near_sunset("event_minute", "sunset_minute", half_window))
     return (ends.join(solar, cond)
