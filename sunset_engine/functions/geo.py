@@ -16,6 +16,7 @@ import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sunset_engine.functions.mathns import SPARK
 
@@ -109,23 +110,27 @@ def albers_inverse_steps(x: str, y: str, lat: str, lon: str, tmp: str) -> list[S
 
 
 def destination_steps(lat: str, lon: str, bearing_deg: float, dist_m: float,
-                      lat_out: str, lon_out: str, tmp: str) -> list[Step]:
-    """Steps adding the point ``dist_m`` metres from (lat, lon) on ``bearing_deg`` (G3, Vincenty direct)."""
+                      lat_out: str, lon_out: str, tmp: str) -> list:
+    """Steps adding the point ``dist_m`` metres from (lat, lon) on ``bearing_deg`` (G3, Vincenty direct).
+
+    Independent quantities of one dependency level are grouped into one step.
+    """
     f, a, b = WGS84_F, WGS84_A, WGS84_B
     sa1, ca1 = math.sin(math.radians(bearing_deg)), math.cos(math.radians(bearing_deg))
     t = tmp
-    steps: list[Step] = [
+    steps: list = [
         (f"{t}tu", lambda m, c: m.tan(m.radians(c(lat))) * (1.0 - f)),
         (f"{t}cu", lambda m, c: m.lit(1.0) / m.sqrt(c(f"{t}tu") * c(f"{t}tu") + 1.0)),
-        (f"{t}su", lambda m, c: c(f"{t}tu") * c(f"{t}cu")),
-        (f"{t}s1", lambda m, c: m.atan2(c(f"{t}tu"), m.lit(ca1))),
-        (f"{t}sa", lambda m, c: c(f"{t}cu") * sa1),
+        [(f"{t}su", lambda m, c: c(f"{t}tu") * c(f"{t}cu")),
+         (f"{t}s1", lambda m, c: m.atan2(c(f"{t}tu"), m.lit(ca1))),
+         (f"{t}sa", lambda m, c: c(f"{t}cu") * sa1)],
         (f"{t}c2a", lambda m, c: m.lit(1.0) - c(f"{t}sa") * c(f"{t}sa")),
-        (f"{t}u2", lambda m, c: c(f"{t}c2a") * ((a * a - b * b) / (b * b))),
-        (f"{t}aa", lambda m, c: m.lit(1.0) + c(f"{t}u2") / 16384.0 * (
+        [(f"{t}u2", lambda m, c: c(f"{t}c2a") * ((a * a - b * b) / (b * b))),
+         (f"{t}cc", lambda m, c: c(f"{t}c2a") * (f / 16.0) * (m.lit(4.0) + (m.lit(4.0) - c(f"{t}c2a") * 3.0) * f))],
+        [(f"{t}aa", lambda m, c: m.lit(1.0) + c(f"{t}u2") / 16384.0 * (
             m.lit(4096.0) + c(f"{t}u2") * (m.lit(-768.0) + c(f"{t}u2") * (m.lit(320.0) - c(f"{t}u2") * 175.0)))),
-        (f"{t}bb", lambda m, c: c(f"{t}u2") / 1024.0 * (
-            m.lit(256.0) + c(f"{t}u2") * (m.lit(-128.0) + c(f"{t}u2") * (m.lit(74.0) - c(f"{t}u2") * 47.0)))),
+         (f"{t}bb", lambda m, c: c(f"{t}u2") / 1024.0 * (
+             m.lit(256.0) + c(f"{t}u2") * (m.lit(-128.0) + c(f"{t}u2") * (m.lit(74.0) - c(f"{t}u2") * 47.0))))],
         (f"{t}sg0", lambda m, c: m.lit(dist_m) / (c(f"{t}aa") * b)),
     ]
 
@@ -148,14 +153,13 @@ def destination_steps(lat: str, lon: str, bearing_deg: float, dist_m: float,
     steps += sigma_terms(k)
     sg, cm, ss, cs = f"{t}sg{k}", f"{t}cm{k}", f"{t}ss{k}", f"{t}cs{k}"
     steps += [
-        (f"{t}tmp", lambda m, c: c(f"{t}su") * c(ss) - c(f"{t}cu") * c(cs) * ca1),
-        (lat_out, lambda m, c: m.degrees(m.atan2(
+        [(f"{t}tmp", lambda m, c: c(f"{t}su") * c(ss) - c(f"{t}cu") * c(cs) * ca1),
+         (f"{t}lam", lambda m, c: m.atan2(c(ss) * sa1, c(f"{t}cu") * c(cs) - c(f"{t}su") * c(ss) * ca1))],
+        [(lat_out, lambda m, c: m.degrees(m.atan2(
             c(f"{t}su") * c(cs) + c(f"{t}cu") * c(ss) * ca1,
             m.sqrt(c(f"{t}sa") * c(f"{t}sa") + c(f"{t}tmp") * c(f"{t}tmp")) * (1.0 - f)))),
-        (f"{t}lam", lambda m, c: m.atan2(c(ss) * sa1, c(f"{t}cu") * c(cs) - c(f"{t}su") * c(ss) * ca1)),
-        (f"{t}cc", lambda m, c: c(f"{t}c2a") * (f / 16.0) * (m.lit(4.0) + (m.lit(4.0) - c(f"{t}c2a") * 3.0) * f)),
-        (lon_out, lambda m, c: c(lon) + m.degrees(c(f"{t}lam") - (m.lit(1.0) - c(f"{t}cc")) * f * c(f"{t}sa") * (
-            c(sg) + c(f"{t}cc") * c(ss) * (c(cm) + c(f"{t}cc") * c(cs) * (c(cm) * c(cm) * 2.0 - 1.0))))),
+         (lon_out, lambda m, c: c(lon) + m.degrees(c(f"{t}lam") - (m.lit(1.0) - c(f"{t}cc")) * f * c(f"{t}sa") * (
+             c(sg) + c(f"{t}cc") * c(ss) * (c(cm) + c(f"{t}cc") * c(cs) * (c(cm) * c(cm) * 2.0 - 1.0)))))],
     ]
     return steps
 
@@ -171,14 +175,32 @@ def pixel_steps(x: str, y: str, col_out: str, row_out: str, bounds=GRID_BOUNDS,
 
 
 def apply_steps(df: DataFrame, steps: list, drop_prefix: str | None = None) -> DataFrame:
-    """Apply steps as ``withColumns``; temporaries starting with ``drop_prefix`` are dropped.
+    """Apply steps as one ``select`` per dependency level.
 
-    A step is ``(name, fn)`` or a list of independent ``(name, fn)`` pairs that
-    are added together in one ``withColumns``.
+    A step is ``(name, fn)`` or a list of independent ``(name, fn)`` pairs added
+    together. Temporaries starting with ``drop_prefix`` are dropped right after
+    their last use, which keeps every intermediate projection narrow.
     """
-    for step in steps:
-        group = step if isinstance(step, list) else [step]
-        df = df.withColumns({name: fn(SPARK, SPARK.col) for name, fn in group})
+    groups = [step if isinstance(step, list) else [step] for step in steps]
+    built, last_use = [], {}
+    for i, group in enumerate(groups):
+        used: set[str] = set()
+
+        def ref(name: str, used=used):
+            used.add(name)
+            return F.col(name)
+
+        built.append([(name, fn(SPARK, ref)) for name, fn in group])
+        for name in used:
+            last_use[name] = i
+
+    def dead(col: str, i: int) -> bool:
+        return bool(drop_prefix) and col.startswith(drop_prefix) and last_use.get(col, -1) < i
+
+    for i, group in enumerate(built):
+        new = {name for name, _ in group}
+        keep = [c for c in df.columns if c not in new and not dead(c, i)]
+        df = df.select(*keep, *[expr.alias(name) for name, expr in group])
     if drop_prefix:
         df = df.drop(*[c for c in df.columns if c.startswith(drop_prefix)])
     return df
