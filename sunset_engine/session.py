@@ -59,13 +59,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
 
-    Only when the session names none (local tests) is a scratch folder created.
+    Only a local session without one (tests) gets a scratch folder; on a cluster
+    a missing setting is an error, never a driver-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS, S3, ...)")
     local = tempfile.mkdtemp(prefix="sunset-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
