@@ -40,9 +40,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     )
     if master is not None:
         builder = builder.master(master)
-        if master.startswith("local"):
-            # local mode: the driver JVM is the whole cluster
-            builder = builder.config("spark.driver.memory", "8g")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
