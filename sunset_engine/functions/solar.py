@@ -41,17 +41,17 @@ def offset_from_longitude(lon) -> Column:
 
 
 def offset_from_timezone(date, tz) -> Column:
-    """UTC offset in hours of an IANA zone on a date, DST included.
+    """UTC offset in hours of an IANA zone in effect at the start of the local day.
 
-    Taken at 12:00 UTC of the day (around local noon in the Americas, away from
-    the night-time DST switch). The arithmetic stays on ``timestamp_ntz`` wall
-    clocks, so the session time zone does not enter; ``convert_timezone``
-    resolves the zone per row.
+    On a DST switch day this is the offset before the switch (US zones switch at
+    02:00), which is what a calendar-date sunset lookup uses. The arithmetic stays
+    on ``timestamp_ntz`` wall clocks, so the session time zone does not enter;
+    ``convert_timezone`` resolves the zone per row.
     """
-    noon = F.make_timestamp_ntz(F.year(as_col(date)), F.month(as_col(date)), F.dayofmonth(as_col(date)),
-                                F.lit(12), F.lit(0), F.lit(0))
-    local = F.convert_timezone(F.lit("UTC"), as_col(tz), noon)
-    return F.timestamp_diff("SECOND", noon, local) / 3600.0
+    midnight = F.make_timestamp_ntz(F.year(as_col(date)), F.month(as_col(date)), F.dayofmonth(as_col(date)),
+                                    F.lit(0), F.lit(0), F.lit(0))
+    utc = F.convert_timezone(as_col(tz), F.lit("UTC"), midnight)
+    return F.timestamp_diff("SECOND", utc, midnight) / 3600.0
 
 
 def with_sunset_minute(df: DataFrame, date, lat, lon, offset_hours, out: str = "sunset_minute") -> DataFrame:

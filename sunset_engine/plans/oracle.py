@@ -16,8 +16,8 @@ START, END = TD.TEST_FLIGHT_SEASON
 
 
 def _tz_offset(date: str, tz: str) -> str:
-    noon = f"(cast({date} as timestamp) + interval 12 hour)"
-    return f"((epoch({noon}) - epoch(timezone({tz}, {noon}))) / {Q.dbl(3600.0)})"
+    midnight = f"cast({date} as timestamp)"
+    return f"((epoch({midnight}) - epoch(timezone({tz}, {midnight}))) / {Q.dbl(3600.0)})"
 
 
 def _near_flights_ctes(by_timezone: bool = False) -> str:

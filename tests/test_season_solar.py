@@ -43,9 +43,12 @@ def test_no_sunset_in_polar_night_is_null(spark):
 
 def test_timezone_offset_follows_dst(spark):
     df = spark.createDataFrame([(dt.date(2019, 7, 1), "America/Denver"), (dt.date(2019, 12, 1), "America/Denver"),
-                                (dt.date(2019, 7, 1), "America/Phoenix")], "d date, tz string")
+                                (dt.date(2019, 7, 1), "America/Phoenix"),
+                                (dt.date(2019, 11, 3), "America/Denver"), (dt.date(2019, 11, 4), "America/Denver"),
+                                (dt.date(2019, 3, 10), "America/New_York")], "d date, tz string")
     got = [r.o for r in df.select(offset_from_timezone("d", "tz").alias("o")).collect()]
-    assert got == [-6.0, -7.0, -7.0]
+    # switch days keep the offset in effect at local midnight (before the 02:00 switch)
+    assert got == [-6.0, -7.0, -7.0, -6.0, -7.0, -5.0]
 
 
 def test_window_is_strict_and_does_not_wrap(spark):
