@@ -84,6 +84,11 @@ def predictions(model, test: DataFrame, keys=("airport_id",), features=FEATURES,
     return model.transform(test).select(*keys, *features, label, "prediction")
 
 
+def residuals(pred: DataFrame, label: str = LABEL) -> DataFrame:
+    """Prediction, target and ``residual = target - prediction`` per row."""
+    return pred.select("prediction", label, (F.col(label) - F.col("prediction")).alias("residual"))
+
+
 def evaluate(pred: DataFrame, label: str = LABEL) -> dict[str, float]:
     """The four metrics of the reference evaluator."""
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")

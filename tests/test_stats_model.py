@@ -65,6 +65,8 @@ def test_forest_fit_predict_save(spark, tmp_dir):
     pred = M.predictions(model, test)
     assert pred.columns == ["airport_id", "bird_population", "flight_count", "bird_flight_ratio", "prediction"]
     metrics = M.evaluate(pred)
+    res = M.residuals(pred).collect()
+    assert all(abs(r.residual - (r.bird_flight_ratio - r.prediction)) < 1e-15 for r in res)
     assert set(metrics) == {"rmse", "mse", "mae", "r2"} and metrics["rmse"] >= 0
     M.save(model, f"{tmp_dir}/model")
     M.save(model, f"{tmp_dir}/model")  # overwrite
