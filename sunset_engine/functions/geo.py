@@ -15,10 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from sunset_engine.functions.mathns import SPARK
+from sunset_engine.functions.steps import apply_steps  # noqa: F401  (re-exported for callers)
 
 # WGS84 ellipsoid.
 WGS84_A = 6378137.0
@@ -174,38 +171,6 @@ def pixel_steps(x: str, y: str, col_out: str, row_out: str, bounds=GRID_BOUNDS,
     ]]
 
 
-def apply_steps(df: DataFrame, steps: list, drop_prefix: str | None = None) -> DataFrame:
-    """Apply steps as one ``select`` per dependency level.
-
-    A step is ``(name, fn)`` or a list of independent ``(name, fn)`` pairs added
-    together. Temporaries starting with ``drop_prefix`` are dropped right after
-    their last use, which keeps every intermediate projection narrow.
-    """
-    groups = [step if isinstance(step, list) else [step] for step in steps]
-    built, last_use = [], {}
-    for i, group in enumerate(groups):
-        used: set[str] = set()
-
-        def ref(name: str, used=used):
-            used.add(name)
-            return F.col(name)
-
-        built.append([(name, fn(SPARK, ref)) for name, fn in group])
-        for name in used:
-            last_use[name] = i
-
-    def dead(col: str, i: int) -> bool:
-        return bool(drop_prefix) and col.startswith(drop_prefix) and last_use.get(col, -1) < i
-
-    for i, group in enumerate(built):
-        new = {name for name, _ in group}
-        keep = [c for c in df.columns if c not in new and not dead(c, i)]
-        df = df.select(*keep, *[expr.alias(name) for name, expr in group])
-    if drop_prefix:
-        df = df.drop(*[c for c in df.columns if c.startswith(drop_prefix)])
-    return df
-
-
 def zone_corner_steps(lat: str, lon: str, dist_m: float, bounds=GRID_BOUNDS,
                       resolution: float = GRID_RESOLUTION, bearings=CORNER_BEARINGS) -> list[Step]:
     """Corner k of the zone: destination on bearing k, projected, to pixel ``c{k}_x``/``c{k}_y``.

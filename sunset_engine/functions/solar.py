@@ -2,8 +2,8 @@
 
 The sunset of a place and a day follows the closed-form solar algorithm of the
 *Almanac for Computers* (1990, US Naval Observatory), with the official zenith of
-90 degrees 50 minutes. It is written as a chain of ``withColumns`` steps, one per
-intermediate quantity, so Catalyst keeps each sub-expression once and the whole
+90 degrees 50 minutes. It is written as a chain of steps, one projection per
+dependency level, so Catalyst keeps each sub-expression once and the whole
 chain runs inside one whole-stage-codegen span: no Python per row, no shuffle.
 
 Where the day has no sunset (polar day or night) the result is NULL, and a
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunset_engine.functions.columns import as_col, pmod
+from sunset_engine.functions.steps import apply_steps
 
 # Fixed values of the published algorithm (not tuning knobs).
 OFFICIAL_ZENITH_DEG = 90.8333
@@ -31,10 +32,6 @@ DECLINATION_SINE_FACTOR = 0.39782
 SIDEREAL_RATE = 0.06571
 SIDEREAL_OFFSET = 6.622
 
-_TMP = ["_sun_lh", "_sun_t", "_sun_m", "_sun_l", "_sun_ra0", "_sun_ra", "_sun_sd", "_sun_cd",
-        "_sun_ch", "_sun_ut"]
-
-
 def offset_from_longitude(lon) -> Column:
     """Whole-hour UTC offset ``round(lon / 15)``: the solar time-zone approximation."""
     return F.round(as_col(lon) / 15.0)
@@ -54,42 +51,40 @@ def offset_from_timezone(date, tz) -> Column:
     return F.timestamp_diff("SECOND", utc, midnight) / 3600.0
 
 
+def sunset_steps(date, lat, lon, offset_hours, out: str = "sunset_minute") -> list:
+    """The algorithm as dependency-level steps (see ``steps.apply_steps``); temporaries start with ``_sun_``."""
+    cos_zenith = math.cos(math.radians(OFFICIAL_ZENITH_DEG))
+    d, la, lo, off = as_col(date), as_col(lat), as_col(lon), as_col(offset_hours)
+    return [
+        ("_sun_lh", lambda m, c: lo / 15.0),
+        ("_sun_t", lambda m, c: F.dayofyear(d) + (F.lit(18.0) - c("_sun_lh")) / 24.0),
+        ("_sun_m", lambda m, c: c("_sun_t") * MEAN_ANOMALY_RATE - MEAN_ANOMALY_OFFSET),
+        ("_sun_l", lambda m, c: pmod(c("_sun_m") + F.sin(F.radians(c("_sun_m"))) * CENTER_EQ_1
+                                     + F.sin(F.radians(c("_sun_m") * 2.0)) * CENTER_EQ_2 + PERIHELION_LONGITUDE,
+                                     360.0)),
+        [("_sun_ra0", lambda m, c: pmod(F.degrees(F.atan(F.tan(F.radians(c("_sun_l"))) * RIGHT_ASCENSION_FACTOR)),
+                                        360.0)),
+         ("_sun_sd", lambda m, c: F.sin(F.radians(c("_sun_l"))) * DECLINATION_SINE_FACTOR)],
+        # right ascension moved into the quadrant of the true longitude, in hours
+        [("_sun_ra", lambda m, c: (c("_sun_ra0") + F.floor(c("_sun_l") / 90.0) * 90.0
+                                   - F.floor(c("_sun_ra0") / 90.0) * 90.0) / 15.0),
+         ("_sun_cd", lambda m, c: F.cos(F.asin(c("_sun_sd"))))],
+        ("_sun_ch", lambda m, c: F.try_divide(F.lit(cos_zenith) - c("_sun_sd") * F.sin(F.radians(la)),
+                                              c("_sun_cd") * F.cos(F.radians(la)))),
+        ("_sun_ut", lambda m, c: F.when(F.abs(c("_sun_ch")) <= 1.0,
+                                        pmod(F.degrees(F.acos(c("_sun_ch"))) / 15.0 + c("_sun_ra")
+                                             - c("_sun_t") * SIDEREAL_RATE - SIDEREAL_OFFSET - c("_sun_lh"), 24.0))),
+        (out, lambda m, c: F.pmod(F.round(pmod(c("_sun_ut") + off, 24.0) * 60.0), F.lit(1440.0)).cast("int")),
+    ]
+
+
 def with_sunset_minute(df: DataFrame, date, lat, lon, offset_hours, out: str = "sunset_minute") -> DataFrame:
     """Add ``out``: local sunset as minute of day (0-1439), NULL when the sun never sets/rises.
 
     ``date`` is a DATE column, ``lat``/``lon`` doubles in degrees (east positive),
     ``offset_hours`` the local UTC offset for that date.
     """
-    d2r = math.pi / 180.0
-    cos_zenith = math.cos(OFFICIAL_ZENITH_DEG * d2r)
-    df = df.withColumn("_sun_lh", as_col(lon) / 15.0)
-    df = df.withColumn("_sun_t", F.dayofyear(as_col(date)) + (F.lit(18.0) - F.col("_sun_lh")) / 24.0)
-    df = df.withColumn("_sun_m", F.col("_sun_t") * MEAN_ANOMALY_RATE - MEAN_ANOMALY_OFFSET)
-    df = df.withColumn(
-        "_sun_l",
-        pmod(F.col("_sun_m") + F.sin(F.radians("_sun_m")) * CENTER_EQ_1
-             + F.sin(F.radians(F.col("_sun_m") * 2.0)) * CENTER_EQ_2 + PERIHELION_LONGITUDE, 360.0))
-    df = df.withColumn(
-        "_sun_ra0", pmod(F.degrees(F.atan(F.tan(F.radians("_sun_l")) * RIGHT_ASCENSION_FACTOR)), 360.0))
-    # right ascension moved into the quadrant of the true longitude, in hours
-    df = df.withColumn(
-        "_sun_ra",
-        (F.col("_sun_ra0") + F.floor(F.col("_sun_l") / 90.0) * 90.0
-         - F.floor(F.col("_sun_ra0") / 90.0) * 90.0) / 15.0)
-    df = df.withColumn("_sun_sd", F.sin(F.radians("_sun_l")) * DECLINATION_SINE_FACTOR)
-    df = df.withColumn("_sun_cd", F.cos(F.asin("_sun_sd")))
-    df = df.withColumn(
-        "_sun_ch",
-        F.try_divide(F.lit(cos_zenith) - F.col("_sun_sd") * F.sin(F.radians(as_col(lat))),
-                     F.col("_sun_cd") * F.cos(F.radians(as_col(lat)))))
-    df = df.withColumn(
-        "_sun_ut",
-        F.when(F.abs(F.col("_sun_ch")) <= 1.0,
-               pmod(F.degrees(F.acos("_sun_ch")) / 15.0 + F.col("_sun_ra")
-                    - F.col("_sun_t") * SIDEREAL_RATE - SIDEREAL_OFFSET - F.col("_sun_lh"), 24.0)))
-    local_hours = pmod(F.col("_sun_ut") + as_col(offset_hours), 24.0)
-    df = df.withColumn(out, F.pmod(F.round(local_hours * 60.0), F.lit(1440.0)).cast("int"))
-    return df.drop(*_TMP)
+    return apply_steps(df, sunset_steps(date, lat, lon, offset_hours, out), "_sun_")
 
 
 def near_sunset(minute, sunset_minute, half_window: int = 30) -> Column:

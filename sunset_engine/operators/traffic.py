@@ -92,10 +92,10 @@ def _season(flights: DataFrame, start, end, years) -> DataFrame:
 
 def _season_ends(flights: DataFrame, start, end, years, compat: bool) -> DataFrame:
     season = _season(flights, start, end, years)
-    return (flight_roles(season)
-            .withColumn("event_minute", hhmm_to_minutes("time_text", compat))
-            .where(F.col("event_minute").isNotNull() & (F.col("airport_id") != ""))
-            .drop("time_text"))
+    ends = flight_roles(season)
+    return (ends.select("event_id", "flight_date", "role", "airport_id",
+                        hhmm_to_minutes("time_text", compat).alias("event_minute"))
+            .where(F.col("event_minute").isNotNull() & (F.col("airport_id") != "")))
 
 
 def season_days(start, end, years: tuple[int, int]) -> list[tuple[dt.date, dt.date]]:
