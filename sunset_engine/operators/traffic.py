@@ -2,17 +2,22 @@
 
 Plan shape for the flight side (the large table):
 
-    scan flights (pruned to 5 columns, season range pushed down)
+    scan flights once (pruned to 5 columns; season range pushed down; month
+                       folders pruned on the year/month-partitioned table)
       -> explode origin/destination roles      (narrow, one pass instead of two scans)
       -> parse hhmm, drop invalid              (narrow)
       -> broadcast hash join with the solar table on (airport, date) + the +-30 min test
-         (solar table: distinct (airport, date) keys x airports, sunset math once per key,
-          written to the checkpoint folder and size-checked before the broadcast)
       -> partial count per airport             (map-side combine)
       -> shuffle of at most #airports rows per task -> final count
 
-A hub holding a third of all flights costs nothing extra: it never forms a
-group before the map-side partial aggregate.
+The solar table holds the sunset minute per (airport, day), so the
+trigonometry runs once per airport-day, not per flight. With known years it
+is airports x season days (size proven by the airport count, no flight read);
+otherwise the distinct (airport, date) keys of the flights, written to the
+checkpoint folder and size-checked before the broadcast.
+
+A hub holding a third of all flights costs nothing extra: the flight side is
+never shuffled before the map-side partial aggregate.
 """
 
 from __future__ import annotations
