@@ -6,8 +6,9 @@
 * World to pixel coordinates on a north-up grid, truncating toward zero.
 
 Formulas are Python functions over a math namespace ``m`` (see ``mathns``) and
-are applied as chains of ``withColumns`` steps: every intermediate is computed
-once per row, all inside whole-stage codegen.
+are applied by ``steps.apply_steps``, one projection per dependency level: every
+intermediate is computed once per row, all inside whole-stage codegen. The same
+step lists render as SQL for the DuckDB cross-check.
 """
 
 from __future__ import annotations

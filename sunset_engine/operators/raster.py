@@ -7,7 +7,7 @@ operator below accounts for the implicit zeros exactly.
 
 Plan shape of ``zonal_mean``:
 
-    airports -> Albers -> inverse -> 4 Vincenty corners -> pixels   (narrow, per airport)
+    airports -> Albers -> 4 Vincenty corners -> pixels             (narrow, per airport)
       -> explode bounding-box rows x cols, half-plane test, in-grid  (narrow, ~140 px per zone)
     zone pixels (size-checked broadcast) JOIN cells on (row, col)   (cells streamed, no shuffle)
       -> partial sum/count per zone -> tiny shuffle -> final
