@@ -111,3 +111,16 @@ def test_ingest_prunes_months(spark, files, tmp_dir):
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(flight_month" in plan or "flight_month#" in plan
     assert sorted(r.airport_id for r in near.collect()) == ["APA", "DEN", "DEN", "DEN"]
+
+
+def test_command_line(spark, files, tmp_dir, capsys):
+    from sunset_engine.__main__ import main
+
+    out = os.path.join(tmp_dir, "cli")
+    assert main(["strikes", os.path.join(files, "strikes.csv"), os.path.join(out, "counts")], spark) == 0
+    assert main(["flights", os.path.join(files, "flights.csv"), os.path.join(files, "airports.csv"),
+                 os.path.join(out, "counts"), out, "--n", "1"], spark) == 0
+    top = spark.read.option("header", True).csv(os.path.join(out, "top_n")).collect()
+    assert [r.airport_id for r in top] == ["DEN"]
+    assert main(["codes", os.path.join(files, "codes.csv"), os.path.join(files, "flights.csv")], spark) == 0
+    assert capsys.readouterr().out.split() == ["APA"]
