@@ -31,13 +31,19 @@ from sunset_engine.functions.columns import safe_ratio, to_double
 from sunset_engine.functions.solar import (near_sunset, offset_from_longitude, offset_from_timezone,
                                            with_sunset_minute)
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
-from sunset_engine.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, materialize_small
+from sunset_engine.operators.joins import broadcast_if_bounded, materialize_small
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
                                             season_inclusive)
 from sunset_engine.operators.timezones import nearest_timezone
 
 GROUP_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
 
+# Broadcast bound of the solar table. Its rows are narrow (code, two doubles,
+# date, minute: ~50 bytes), so 8 M rows stay under ~400 MB. The airports with an
+# IATA code (~9 k) times three 120-day seasons (~3.2 M rows) fit; avoiding the
+# fallback's extra scan of the flight table is worth far more than the broadcast.
+SOLAR_BROADCAST_ROWS = 8_000_000
+
 
 def clean_code(c):
     """Airport code with double quotes removed and blanks trimmed."""
@@ -161,7 +167,7 @@ def _renamed(solar: DataFrame) -> DataFrame:
 def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
                         years: tuple[int, int] | None = None, offset: str = "longitude",
                         half_window: int = 30, compat: bool = False,
-                        max_solar_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        max_solar_rows: int = SOLAR_BROADCAST_ROWS) -> DataFrame:
     """Flight ends within +-``half_window`` minutes of local sunset at their airport.
 
     The solar table is bounded by airports x days, not by flights. When the
