@@ -57,3 +57,13 @@ def test_window_is_strict_and_does_not_wrap(spark):
     kept = [(r.s, r.m) for r in df.where(near_sunset("m", "s")).collect()]
     assert kept == [(600, 629), (600, 571)]
     assert df.where(near_sunset(F.col("m"), F.col("s"), 31)).count() == 4
+
+
+def test_nearest_timezone_point(spark):
+    from sunset_engine.operators.timezones import nearest_timezone
+
+    df = spark.createDataFrame([("DEN", 39.86, -104.67), ("JFK", 40.64, -73.78), ("PHX", 33.43, -112.01),
+                                ("ORD", 41.97, -87.90), ("SFO", 37.62, -122.38)], "a string, lat double, lon double")
+    got = {r.a: r.tz for r in df.select("a", nearest_timezone("lat", "lon").alias("tz")).collect()}
+    assert got == {"DEN": "America/Denver", "JFK": "America/New_York", "PHX": "America/Phoenix",
+                   "ORD": "America/Chicago", "SFO": "America/Los_Angeles"}
