@@ -23,7 +23,7 @@ CLUSTER_DEFAULTS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "sunset_engine") -> SparkSession:
+              app_name: str = "sunset_engine", conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on, UI off and a UTC session clock.
 
     On a cluster the master and the shuffle width come from ``spark-submit``;
@@ -42,6 +42,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.master.startswith("local"):
