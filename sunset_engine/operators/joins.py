@@ -14,6 +14,11 @@ from sunset_engine.session import scratch_path
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows (one job reading at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast join only when ``df`` is proven to hold at most ``max_rows`` rows.
 
@@ -21,8 +26,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     bound the plain frame is returned, and Spark plans a shuffle join (with AQE
     free to switch strategies at run time).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

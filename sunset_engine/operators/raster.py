@@ -23,7 +23,7 @@ from sunset_engine.functions.columns import finite, nan_to_zero
 from sunset_engine.functions.geo import (GRID_BOUNDS, GRID_RESOLUTION, METRES_PER_MILE, ZONE_MILES,
                                          albers_forward_steps, albers_inverse_steps, apply_steps, grid_shape,
                                          pixel_steps, zone_corner_steps)
-from sunset_engine.operators.joins import broadcast_if_bounded
+from sunset_engine.operators.joins import is_bounded
 
 ZONE_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
 
@@ -158,11 +158,13 @@ def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
     stats = _range_stats(cells, height * width, nodata)
     zero = _normalize(F.lit(0.0), stats)
     pix = zone_pixels(zones, bounds, resolution)
+    small = is_bounded(pix)
     totals = pix.groupBy(*ZONE_KEY).agg(F.count(F.lit(1)).alias("n_pixels"))
     norm = cells.select("row", "col", _normalize(_value(nodata), stats).alias("v"))
-    matched = (norm.join(broadcast_if_bounded(pix), ["row", "col"])
+    matched = (norm.join(F.broadcast(pix) if small else pix, ["row", "col"])
                .groupBy(*ZONE_KEY).agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("m")))
-    return (totals.join(matched, ZONE_KEY, "left")
+    # one row per zone, so at most as many rows as the checked pixel table
+    return (totals.join(F.broadcast(matched) if small else matched, ZONE_KEY, "left")
             .select("airport_id",
                     ((F.coalesce(F.col("s"), F.lit(0.0))
                       + (F.col("n_pixels") - F.coalesce(F.col("m"), F.lit(0))) * zero)

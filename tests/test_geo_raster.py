@@ -107,3 +107,13 @@ def test_nodata_value_counts_as_zero(spark):
     masked = sorted(r.value for r in R.normalized_cells(cells, bounds, 1.0, nodata=-9999.0).collect())
     assert plain[0] == 0.0 and plain[-1] == 1.0 and plain[1] > 0.99  # -9999 stretches the range
     assert masked == [0.0, 0.0, 0.5, 1.0]
+
+
+def test_zonal_plan_streams_cells_past_broadcast_pixels(spark):
+    z = R.airport_zones(spark.createDataFrame(SEVEN, AP))
+    cells = spark.range(0, 2000).selectExpr("cast(1200 + id % 100 as int) as row",
+                                            "cast(1600 + id div 100 as int) as col", "cast(id % 3 as double) as value")
+    plan = R.zonal_mean(z, cells)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Subquery" in plan  # raster min/max as a scalar subquery

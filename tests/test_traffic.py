@@ -81,3 +81,14 @@ def test_flight_plan_broadcasts_and_prunes(spark, tmp_dir):
     assert near.count() == 50
     keyed = T.near_sunset_flights(spark.read.parquet(path), _airports(spark))
     assert sorted(r.event_id for r in keyed.collect()) == sorted(r.event_id for r in near.collect())
+
+
+def test_code_check_is_a_hash_anti_join(spark):
+    from sunset_engine.operators import quality as QL
+
+    f = spark.createDataFrame([(1, DAY, "DEN", "ATL", "1.0", "1.0"), (2, DAY, "XXX", "DEN", "1.0", "1.0")], FLIGHTS)
+    known = spark.createDataFrame([("DEN",), ("ATL",)], "code string")
+    missing = QL.missing_codes(QL.flight_codes(f), known)
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastNestedLoopJoin" not in plan
+    assert [r.code for r in missing.collect()] == ["XXX"]
