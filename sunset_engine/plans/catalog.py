@@ -92,7 +92,7 @@ def clean_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airport_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.airport_keys(TD.airports(spark, sf_dir), KNOWN_TYPES)
+    return T.airport_keys(TD.sites(spark, sf_dir), KNOWN_TYPES)
 
 
 def text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +130,7 @@ def missing_timezones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airport_timezones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = TD.airports(spark, sf_dir)
+    a = TD.sites(spark, sf_dir)
     return a.select("airport_id", nearest_timezone("latitude_deg", "longitude_deg").alias("timezone"))
 
 
@@ -163,11 +163,21 @@ def _shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Dat
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airport zones (one row per airport inside the grid)."""
+    """Zones of the airports the flights use (one row per airport inside the grid)."""
     return _shared(spark, sf_dir, "zones",
                    lambda: R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID))
 
 
+def sites_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.airport_keys(TD.sites(spark, sf_dir)).select(*R.ZONE_KEY)
+
+
+def site_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones of all airport sites (grows with the scale factor)."""
+    return _shared(spark, sf_dir, "site_zones",
+                   lambda: R.airport_zones(sites_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID))
+
+
 def zonal_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.zonal_mean(zones(spark, sf_dir), TD.raster_cells(spark, sf_dir), **GRID)
 
@@ -242,15 +252,15 @@ def queries() -> dict[str, Query]:
         "rf_predictions": rf_predictions,
         "rf_metrics": rf_metrics,
         "rf_cross_validated": rf_cross_validated,
-        "albers_forward": lambda s, d: R.project_airports(airports_geo(s, d)).select(
+        "albers_forward": lambda s, d: R.project_airports(sites_geo(s, d)).select(
             "airport_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y")),
-        "albers_round_trip": lambda s, d: R.round_trip(R.project_airports(airports_geo(s, d))).select(
+        "albers_round_trip": lambda s, d: R.round_trip(R.project_airports(sites_geo(s, d))).select(
             "airport_id", F.round("lat_back", 9).alias("lat_back"), F.round("lon_back", 9).alias("lon_back")),
-        "zone_corners": lambda s, d: zones(s, d).drop("latitude_deg", "longitude_deg"),
-        "zone_outline": lambda s, d: R.zone_outline(zones(s, d)),
-        "zone_labels": lambda s, d: R.zone_labels(zones(s, d)),
-        "zone_pixels": lambda s, d: R.zone_pixels(zones(s, d), **GRID).select("airport_id", "row", "col"),
-        "presence_raster": lambda s, d: R.presence_raster(zones(s, d)),
+        "zone_corners": lambda s, d: site_zones(s, d).drop("latitude_deg", "longitude_deg"),
+        "zone_outline": lambda s, d: R.zone_outline(site_zones(s, d)),
+        "zone_labels": lambda s, d: R.zone_labels(site_zones(s, d)),
+        "zone_pixels": lambda s, d: R.zone_pixels(site_zones(s, d), **GRID).select("airport_id", "row", "col"),
+        "presence_raster": lambda s, d: R.presence_raster(site_zones(s, d)),
         "normalized_raster": lambda s, d: R.normalized_cells(TD.raster_cells(s, d), **GRID).select(
             "row", "col", F.round("value", 6).alias("value")),
         "nonzero_cells": lambda s, d: R.nonzero_cells(TD.raster_cells(s, d)),
@@ -281,7 +291,7 @@ def queries() -> dict[str, Query]:
         "bottom_airports": lambda s, d: T.top_n(frequencies(s, d), "flight_count", T.GROUP_KEY, 50, ascending=True),
         "top_and_bottom_airports": lambda s, d: T.top_and_bottom(frequencies(s, d), "flight_count", T.GROUP_KEY, 50),
         "solar_table": lambda s, d: T.solar_table(TD.flights(s, d), TD.airports(s, d), START, END),
-        "solar_calendar": lambda s, d: T.calendar_solar_table(TD.airports(s, d), START, END, TD.TEST_FLIGHT_YEARS),
+        "solar_calendar": lambda s, d: T.calendar_solar_table(TD.sites(s, d), START, END, TD.TEST_FLIGHT_YEARS),
         "near_sunset_strikes": near_strikes,
         "strike_counts": strike_counts,
         "strike_per_flight": lambda s, d: T.strike_per_flight(frequencies(s, d), strike_counts(s, d)),

@@ -107,13 +107,14 @@ def _known_codes_cte() -> str:
   where type in ('medium_airport', 'large_airport') and airport_id <> '')"""
 
 
-def _geo_ctes() -> str:
+def _geo_ctes(sites: bool = False) -> str:
     from sunset_engine.functions import geo as G
     bounds, res = G.GRID_BOUNDS, TD.TEST_GRID_RESOLUTION
     h, w = G.grid_shape(bounds, res)
     dist = TD.TEST_ZONE_MILES * G.METRES_PER_MILE
     corner_cols = ", ".join(f"c{k}_{v}" for k in range(4) for v in ("x", "y"))
-    return f"""{Q.airports_cte()},
+    source = Q.sites_cte() if sites else Q.airports_cte()
+    return f"""{source},
 geo_src as (select airport_id, latitude_deg, longitude_deg from airports
   where latitude_deg is not null and longitude_deg is not null),
 {Q.step_ctes('geo_src', G.albers_forward_steps('latitude_deg', 'longitude_deg', 'x', 'y', '_pa_'), 'proj0', '_pa_')},
@@ -166,7 +167,7 @@ zonal as (
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    geo = "with " + _geo_ctes()
+    geo = "with " + _geo_ctes(sites=True)
     q["albers_forward"] = geo + "\nselect airport_id, round(x, 3) as x, round(y, 3) as y from proj"
     q["albers_round_trip"] = geo + """
 select airport_id, round(lat_back, 9) as lat_back, round(lon_back, 9) as lon_back from rtrip"""
@@ -181,11 +182,11 @@ select airport_id, round(lat_back, 9) as lat_back, round(lon_back, 9) as lon_bac
     q["zone_labels"] = geo + """
 select airport_id, cast(col as double) - 1.0 as label_x, cast(row as double) - 7.0 as label_y from zones"""
     q["presence_raster"] = geo + "\nselect distinct row, col, cast(1.0 as float) as value from zones"
-    raster = geo + ",\n" + _raster_ctes()
+    q["zone_pixels"] = geo + ",\n" + _raster_ctes() + "\nselect airport_id, row, col from zone_pix"
+    raster = "with " + _geo_ctes() + ",\n" + _raster_ctes()
     q["normalized_raster"] = raster + "\nselect row, col, round(value, 6) as value from norm"
     q["nonzero_cells"] = ("with " + Q.raster_cte() + """
 select row, col from raster_cells where coalesce(case when isnan(value) then 0.0 else value end, 0.0) <> 0""")
-    q["zone_pixels"] = raster + "\nselect airport_id, row, col from zone_pix"
     q["zonal_mean"] = raster + """
 select airport_id, round(bird_population, 6) as bird_population, n_pixels from zonal"""
     q["season_filter_exclusive"] = f"""select o_orderkey, cast(o_orderdate as date) as order_date from orders
@@ -208,7 +209,7 @@ select * from (
   select event_id, {Q.to_double('airport_latitude')} as latitude_deg,
          {Q.to_double('airport_longitude')} as longitude_deg from strikes)
 where event_id is not null and latitude_deg is not null and longitude_deg is not null"""
-    q["airport_keys"] = f"""with {Q.airports_cte()}
+    q["airport_keys"] = f"""with {Q.sites_cte()}
 select trim(replace(airport_id, '"', '')) as airport_id, latitude_deg, longitude_deg, type from airports
 where trim(replace(airport_id, '"', '')) <> '' and type in ('medium_airport', 'large_airport')"""
     q["text_fields"] = """select s_suppkey, line, split_part(line, ',', 1) as first_field,
@@ -232,7 +233,7 @@ where code not in (select code from known)"""
     q["missing_timezones"] = f"""with {Q.airports_cte()}, {_known_codes_cte()}
 select distinct {Q.code('c_nationkey')} as code from customer
 where {Q.code('c_nationkey')} not in (select code from known)"""
-    q["nearest_timezone"] = f"""with {Q.airports_cte()}, {_airport_tz_ctes()}
+    q["nearest_timezone"] = f"""with {Q.sites_cte()}, {_airport_tz_ctes()}
 select airport_id, timezone from airport_tz"""
     xy = "(select l_orderkey, l_linenumber, l_quantity as x, l_extendedprice as y from lineitem)"
     q["pearson"] = f"select count(*) as n, round(corr(x, y), 6) as pearson_r from {xy}"
@@ -289,7 +290,7 @@ select airport_id, latitude_deg, longitude_deg, flight_date, sunset_minute from
     ranges = " union all ".join(
         f"select unnest(generate_series(date '{lo}', date '{hi}', interval 1 day))::date as flight_date"
         for lo, hi in days)
-    q["solar_calendar"] = f"""with {Q.airports_cte()},
+    q["solar_calendar"] = f"""with {Q.sites_cte()},
 days as ({ranges}),
 joined as (
   select a.airport_id, a.latitude_deg, a.longitude_deg, d.flight_date,

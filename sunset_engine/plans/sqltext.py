@@ -38,6 +38,16 @@ def airports_cte() -> str:
   from nation)"""
 
 
+def sites_cte(name: str = "airports") -> str:
+    cases = " ".join(f"when c_mktsegment = '{k}' then '{v}'" for k, v in TD.SEGMENT_AIRPORT_TYPE.items())
+    return f"""{name} as (
+  select 'C' || lpad(cast(c_custkey as varchar), 6, '0') as airport_id,
+         {dbl(27.3)} + ((c_custkey * 37) % 2000) / {dbl(100.0)} as latitude_deg,
+         {dbl(-120.7)} + ((c_custkey * 53) % 4900) / {dbl(100.0)} as longitude_deg,
+         case {cases} end as type
+  from customer)"""
+
+
 def flights_cte() -> str:
     am = "((hour(ts) * 60 + minute(ts) + 90) % 1440)"
     return f"""flights as (

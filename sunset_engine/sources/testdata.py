@@ -31,6 +31,9 @@ TEST_STRIKE_MONTHS = (1, 1)
 # Fixed airport-type labels per nation region (stands in for the airports `type` column).
 REGION_AIRPORT_TYPE = {0: "small_airport", 1: "heliport", 2: "medium_airport",
                        3: "large_airport", 4: "large_airport"}
+# Fixed airport-type labels per customer market segment (airport sites, see `sites`).
+SEGMENT_AIRPORT_TYPE = {"AUTOMOBILE": "small_airport", "BUILDING": "large_airport", "FURNITURE": "seaplane_base",
+                        "HOUSEHOLD": "heliport", "MACHINERY": "medium_airport"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +58,26 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airport sites, one per customer: a dimension that grows with the scale factor.
+
+    Positions spread over the continental grid (latitude 27.3-47.29, longitude
+    -120.7 to -71.71); the market segment stands in for the airport type. The
+    geometry and dimension reports run on these; the flight pipeline keeps the
+    nation airports that the flights refer to.
+    """
+    k = F.col("c_custkey")
+    type_col = F.lit(None).cast("string")
+    for segment, label in SEGMENT_AIRPORT_TYPE.items():
+        type_col = F.when(F.col("c_mktsegment") == segment, F.lit(label)).otherwise(type_col)
+    return read_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("C"), F.lpad(k.cast("string"), 6, "0")).alias("airport_id"),
+        (F.lit(27.3) + ((k * 37) % 2000) / 100.0).alias("latitude_deg"),
+        (F.lit(-120.7) + ((k * 53) % 4900) / 100.0).alias("longitude_deg"),
+        type_col.alias("type"),
+    )
+
+
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every non-error event is a flight; its clock time is the local departure time.
 
