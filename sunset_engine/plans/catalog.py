@@ -247,7 +247,8 @@ def queries() -> dict[str, Query]:
         "fit_residuals": lambda s, d: _r6(fitted_line(s, d)),
         "regression_metrics": lambda s, d: _sig(ST.regression_metrics(fitted_line(s, d), "l_extendedprice",
                                                                       "fitted")),
-        "pearson_p_value": lambda s, d: ST.pearson_p_value(s, lineitem_xy(s, d), "l_quantity", "l_extendedprice"),
+        "pearson_p_value": lambda s, d: ST.pearson_p_value(s, lineitem_xy(s, d), "l_quantity", "l_extendedprice")
+        .select("n", F.round("pearson_r", 9).alias("pearson_r"), F.round("p_value", 9).alias("p_value")),
         "training_stats": training_stats,
         "rf_predictions": rf_predictions,
         "rf_metrics": rf_metrics,

@@ -253,6 +253,33 @@ select {sig(f"sqrt(avg({e} * {e}))")} as rmse, {sig(f"avg({e} * {e})")} as mse,
        {sig(f"avg(abs({e}))")} as mae,
        {sig(f"1 - sum({e} * {e}) / (var_pop(l_extendedprice) * count(*))")} as r2
 from fitted"""
+    # Two-sided p-value of r: Student t tail through the regularised incomplete
+    # beta function, evaluated by the same continued fraction as a recursive CTE.
+    q["pearson_p_value"] = f"""with recursive
+st as (select count(*) as n, cast(count(*) as double) as nd,
+              covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) as r
+       from {xy} where x is not null and y is not null),
+prm as (select n, r, (nd - 2) / 2 as a0, cast(0.5 as double) as b0,
+               (nd - 2) / ((nd - 2) + r * r * (nd - 2) / (1 - r * r)) as x0 from st),
+sw as (select n, r, x0 > (a0 + 1.0) / (a0 + b0 + 2.0) as flip,
+              case when x0 > (a0 + 1.0) / (a0 + b0 + 2.0) then b0 else a0 end as a,
+              case when x0 > (a0 + 1.0) / (a0 + b0 + 2.0) then a0 else b0 end as b,
+              case when x0 > (a0 + 1.0) / (a0 + b0 + 2.0) then 1.0 - x0 else x0 end as x from prm),
+fr as (select *, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1.0 - x)) / a as front,
+              1.0 - (a + b) * x / (a + 1.0) as d0 from sw),
+cf(m, c, d, h) as (
+  select 0, cast(1 as double), 1 / d0, 1 / d0 from fr
+  union all
+  select m + 1, c2, d2, h * d1 * c1 * d2 * c2 from (
+    select m, h, d1, c1, 1.0 / (1.0 + n2 * d1) as d2, 1.0 + n2 / c1 as c2 from (
+      select m, h, n2, 1.0 / (1.0 + n1 * d) as d1, 1.0 + n1 / c as c1 from (
+        select cf.m, cf.c, cf.d, cf.h,
+               (cf.m + 1) * (b - (cf.m + 1)) * x / ((a + 2 * (cf.m + 1) - 1) * (a + 2 * (cf.m + 1))) as n1,
+               -(a + (cf.m + 1)) * (a + b + (cf.m + 1)) * x / ((a + 2 * (cf.m + 1)) * (a + 2 * (cf.m + 1) + 1)) as n2
+        from cf, fr where cf.m < 3000))))
+select n, round(r, 9) as pearson_r,
+       round(case when abs(r) >= 1 then 0.0 when flip then 1.0 - front * h else front * h end, 9) as p_value
+from fr, (select h from cf where m = 3000)"""
     q["dataset_profile"] = """select count(*) as n_rows, cast(count_if(event_id is null) as bigint) as nulls_event_id,
        cast(count_if(ts is null) as bigint) as nulls_ts, cast(count_if(user_id is null) as bigint) as nulls_user_id,
        cast(count_if(event_type is null) as bigint) as nulls_event_type, cast(count_if(value is null) as bigint) as nulls_value,
