@@ -220,6 +220,25 @@ def parse_strikes(strikes: DataFrame) -> DataFrame:
                    & F.col("longitude_deg").isNotNull() & F.col("incident_date").isNotNull()))
 
 
+def strike_rejects(strikes: DataFrame) -> DataFrame:
+    """One row: strike rows read, rejected per reason, and kept by ``parse_strikes``.
+
+    Where the reference would stop on a bad value, rows with unusable fields are
+    dropped; this report counts them, in one aggregate pass.
+    """
+    minute = clock_to_minutes("time")
+    lat, lon = to_double("airport_latitude"), to_double("airport_longitude")
+    day = parse_us_date("incident_date")
+    bad_coord = lat.isNull() | lon.isNull()
+    return strikes.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(minute.isNull()).alias("n_bad_time"),
+        F.count_if(bad_coord).alias("n_bad_coordinates"),
+        F.count_if(day.isNull()).alias("n_bad_date"),
+        F.count_if(minute.isNotNull() & ~bad_coord & day.isNotNull()).alias("n_kept"),
+    )
+
+
 def near_sunset_strikes(strikes: DataFrame, years=FALL_YEARS, months=FALL_MONTHS,
                         offset: str = "longitude", half_window: int = 30) -> DataFrame:
     """Strikes in the season and within +-``half_window`` minutes of sunset at the strike's position.

@@ -295,6 +295,7 @@ def queries() -> dict[str, Query]:
         "solar_calendar": lambda s, d: T.calendar_solar_table(TD.sites(s, d), START, END, TD.TEST_FLIGHT_YEARS),
         "near_sunset_strikes": near_strikes,
         "strike_counts": strike_counts,
+        "strike_rejects": lambda s, d: T.strike_rejects(TD.strikes(s, d)),
         "strike_per_flight": lambda s, d: T.strike_per_flight(frequencies(s, d), strike_counts(s, d)),
         "strike_ratio_left": lambda s, d: T.strike_ratio_left(frequencies(s, d), strike_counts(s, d)),
     }

@@ -204,6 +204,16 @@ from flights"""
 select event_id, try_strptime(trim(incident_date), '%m/%d/%Y')::date as incident_date,
        {Q.clock_minutes('time')} as event_minute
 from strikes where trim(replace(time, '"', '')) <> ''"""
+    t_min = Q.clock_minutes('time')
+    bad_coord = f"({Q.to_double('airport_latitude')} is null or {Q.to_double('airport_longitude')} is null)"
+    bad_day = "try_strptime(trim(incident_date), '%m/%d/%Y') is null"
+    q["strike_rejects"] = f"""with {Q.strikes_cte()}
+select count(*) as n_rows,
+       cast(count_if(({t_min}) is null) as bigint) as n_bad_time,
+       cast(count_if({bad_coord}) as bigint) as n_bad_coordinates,
+       cast(count_if({bad_day}) as bigint) as n_bad_date,
+       cast(count_if(({t_min}) is not null and not {bad_coord} and not ({bad_day})) as bigint) as n_kept
+from strikes"""
     q["clean_coordinates"] = f"""with {Q.strikes_cte()}
 select * from (
   select event_id, {Q.to_double('airport_latitude')} as latitude_deg,
