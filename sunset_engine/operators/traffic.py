@@ -170,24 +170,31 @@ def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_STAR
                         max_solar_rows: int = SOLAR_BROADCAST_ROWS) -> DataFrame:
     """Flight ends within +-``half_window`` minutes of local sunset at their airport.
 
-    The solar table is bounded by airports x days, not by flights. When the
-    season's years are known and airports x days is within ``max_solar_rows``,
-    it is built from the airport dimension and the season calendar and broadcast
-    (its size is proven by the airport count), so the flights are scanned once;
-    otherwise from the distinct (airport, date) keys of the flights, written to
-    the shared checkpoint folder and broadcast behind a row-count check. The
+    The solar table is bounded by airports x days, not by flights. When
+    airports x season days is within ``max_solar_rows`` it is built from the
+    airport dimension and the season calendar and broadcast (its size is proven
+    by the airport count); the years are the given ones, else the range of the
+    flight dates (one narrow aggregate over that column). Otherwise it comes
+    from the distinct (airport, date) keys of the flights, written to the shared
+    checkpoint folder and broadcast behind a row-count check. The
     flight ends meet it in one broadcast hash join whose condition is the cheap
     window test, so the flight side is never shuffled before the per-airport count.
     """
     ends = _season_ends(flights, start, end, years, compat)
     solar = None
-    if years is not None:
-        n_days = sum((hi - lo).days + 1 for lo, hi in season_days(start, end, years))
+    calendar_years = years
+    if calendar_years is None:
+        # one narrow aggregate over the date column gives the year range
+        lo_hi = flights.agg(F.min("flight_date"), F.max("flight_date")).first()
+        if lo_hi[0] is not None:
+            calendar_years = (lo_hi[0].year, lo_hi[1].year)
+    if calendar_years is not None:
+        n_days = sum((hi - lo).days + 1 for lo, hi in season_days(start, end, calendar_years))
         n_airports = airport_keys(airports).limit(max_solar_rows + 1).count()
         if n_airports * n_days <= max_solar_rows:
             # bounded by construction (airports x days, counted above): broadcast directly,
             # each executor rebuilds nothing; the table is computed once per query
-            solar = F.broadcast(_renamed(calendar_solar_table(airports, start, end, years, offset)))
+            solar = F.broadcast(_renamed(calendar_solar_table(airports, start, end, calendar_years, offset)))
     if solar is None:
         # No "sunset_minute IS NOT NULL" filter here: Catalyst would push it below the
         # solar projections and inline the whole formula into it. A NULL sunset fails

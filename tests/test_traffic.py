@@ -79,7 +79,10 @@ def test_flight_plan_broadcasts_and_prunes(spark, tmp_dir):
     # years known: the solar table comes from airports x season days, flights are scanned once
     assert plan.count("FileScan parquet [event_id") == 1, plan
     assert near.count() == 50
-    keyed = T.near_sunset_flights(spark.read.parquet(path), _airports(spark))
+    inferred = T.near_sunset_flights(spark.read.parquet(path), _airports(spark))  # years from the dates
+    assert sorted(r.event_id for r in inferred.collect()) == sorted(r.event_id for r in near.collect())
+    # a bound of one row forces the keyed solar table and a shuffle join: same rows
+    keyed = T.near_sunset_flights(spark.read.parquet(path), _airports(spark), max_solar_rows=1)
     assert sorted(r.event_id for r in keyed.collect()) == sorted(r.event_id for r in near.collect())
 
 
