@@ -124,3 +124,29 @@ def test_command_line(spark, files, tmp_dir, capsys):
     assert [r.airport_id for r in top] == ["DEN"]
     assert main(["codes", os.path.join(files, "codes.csv"), os.path.join(files, "flights.csv")], spark) == 0
     assert capsys.readouterr().out.split() == ["APA"]
+
+
+def test_command_line_stats_model_codes_ingest(spark, files, tmp_dir, capsys):
+    import json
+
+    from sunset_engine.__main__ import main
+
+    path = os.path.join(tmp_dir, "training.csv")
+    with open(path, "w") as f:
+        f.write("airport_id,bird_population,bird_strike_count,flight_count,bird_flight_ratio\n")
+        for i in range(30):
+            f.write(f"A{i:02d},{(i % 5) / 5:.4f},{i % 3},{50 + 7 * i},{(i % 5) / 500 + 0.002:.6f}\n")
+    assert main(["stats", path], spark) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["n"] == 30 and set(stats) >= {"pearson_r", "p_value", "slope", "intercept", "r2"}
+    assert main(["model", path, os.path.join(tmp_dir, "m"), "--no-cv"], spark) == 0
+    metrics = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(metrics) == {"rmse", "mse", "mae", "r2"}
+    tz = os.path.join(tmp_dir, "tz.csv")
+    with open(tz, "w") as f:
+        f.write('code,zone\n"DEN","America/Denver"\n"XYZ","America/Chicago"\n')
+    assert main(["codes", os.path.join(files, "codes.csv"), tz, "--timezones"], spark) == 0
+    assert capsys.readouterr().out.split() == ["XYZ"]
+    out = os.path.join(tmp_dir, "pq")
+    assert main(["ingest", os.path.join(files, "flights.csv"), out], spark) == 0
+    assert spark.read.parquet(out).count() == 4
