@@ -97,6 +97,14 @@ def test_stream_of_flight_files(spark, tmp_dir):
     totals = S.running_totals(spark, os.path.join(tmp_dir, "out")).collect()
     assert [(r.airport_id, r.flight_count) for r in totals] == [("APA", 6)]
     assert q.exception() is None
+    # a restart on the same checkpoint processes nothing twice; a new file is counted once
+    spark.createDataFrame([(100, day, "APA", "APA", hhmm, "0.0")], schema).write.mode("append").parquet(src)
+    for _ in range(2):
+        q = S.start_counts(spark, src, spark.read.parquet(src).schema, airports, os.path.join(tmp_dir, "out"),
+                           os.path.join(tmp_dir, "ckpt"))
+        q.awaitTermination(120)
+    totals = S.running_totals(spark, os.path.join(tmp_dir, "out")).collect()
+    assert [(r.airport_id, r.flight_count) for r in totals] == [("APA", 7)]
 
 
 def test_profile(spark):
