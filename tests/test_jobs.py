@@ -150,3 +150,16 @@ def test_command_line_stats_model_codes_ingest(spark, files, tmp_dir, capsys):
     out = os.path.join(tmp_dir, "pq")
     assert main(["ingest", os.path.join(files, "flights.csv"), out], spark) == 0
     assert spark.read.parquet(out).count() == 4
+
+
+def test_command_line_flights_from_ingested_parquet(spark, files, tmp_dir):
+    from sunset_engine.__main__ import main
+
+    out = os.path.join(tmp_dir, "run")
+    pq = os.path.join(tmp_dir, "flights_pq")
+    assert main(["ingest", os.path.join(files, "flights.csv"), pq], spark) == 0
+    assert main(["strikes", os.path.join(files, "strikes.csv"), os.path.join(out, "counts")], spark) == 0
+    assert main(["flights", pq, os.path.join(files, "airports.csv"), os.path.join(out, "counts"), out,
+                 "--parquet"], spark) == 0
+    freq = spark.read.option("header", True).csv(os.path.join(out, "flight_frequencies")).collect()
+    assert {r.airport_id: int(r.flight_count) for r in freq} == {"DEN": 3, "APA": 1}
