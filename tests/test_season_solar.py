@@ -67,3 +67,11 @@ def test_nearest_timezone_point(spark):
     got = {r.a: r.tz for r in df.select("a", nearest_timezone("lat", "lon").alias("tz")).collect()}
     assert got == {"DEN": "America/Denver", "JFK": "America/New_York", "PHX": "America/Phoenix",
                    "ORD": "America/Chicago", "SFO": "America/Los_Angeles"}
+
+
+def test_fall_sunsets_get_earlier_every_day(spark):
+    days = [dt.date(2019, 8, 2) + dt.timedelta(days=i) for i in range(120)]
+    got = _sunset(spark, [(d, 39.86, -104.67, -7.0) for d in days])
+    assert all(0 <= m < 1440 for m in got)
+    assert all(b <= a for a, b in zip(got, got[1:]))
+    assert got[0] - got[-1] > 150  # about three hours earlier by late November
