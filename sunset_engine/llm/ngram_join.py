@@ -107,7 +107,6 @@ def _postings(k: int, percent: int, shared) -> Callable:
         for batch in batches:
             out: list[np.ndarray] = []
             cls: list[int] = []
-            sizes: list[int] = []
             done: set[int] = set()
             for tokens in _sets(batch, k):
                 if not len(tokens) or (c := class_of(tokens)) in done:
@@ -115,40 +114,57 @@ def _postings(k: int, percent: int, shared) -> Callable:
                 done.add(c)
                 out.append(prefix(tokens, frequent, level, 0, percent))
                 cls.append(c)
-                sizes.append(len(tokens))
             if out:
-                times = [len(x) for x in out]
                 yield pa.RecordBatch.from_pydict({
                     "token": pa.array(np.concatenate(out).view(np.int64)),
-                    "cls": pa.array(np.repeat(np.array(cls, np.int64), times)),
-                    "n": pa.array(np.repeat(np.array(sizes, np.int32), times))})
+                    "cls": pa.array(np.repeat(np.array(cls, np.int64), [len(x) for x in out]))})
     return run
 
 
-def _full_sets(k: int, percent: int, shared) -> Callable:
+def _of_class(k: int, columns: Callable[[np.ndarray], list[np.ndarray]], names: list[str]) -> Callable:
+    """Rows (cls, text) to (cls, arrays of the text's tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, level = shared.value
         for batch in batches:
             wanted = batch.column("cls").to_pylist()
+            cls: list[int] = []
+            out: list[list[np.ndarray]] = [[] for _ in names]
             for i, tokens in enumerate(_sets(batch, k)):
                 if len(tokens) and class_of(tokens) == wanted[i]:
-                    one = lambda x, kind: pa.array([x], pa.list_(kind))
-                    others = [prefix(tokens, frequent, level, o, percent).astype(np.uint32).view(np.int32) for o in (1, 2)]
-                    yield pa.RecordBatch.from_pydict({
-                        "cls": pa.array([wanted[i]], pa.int64()), "n": pa.array([len(tokens)], pa.int32()),
-                        "p1": one(others[0], pa.int32()), "p2": one(others[1], pa.int32()), "tokens": one(tokens.view(np.int64), pa.int64())})
+                    cls.append(wanted[i])
+                    for x, held in zip(columns(tokens), out, strict=True):
+                        held.append(x)
+            if cls:
+                lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in held])), pa.int32()), pa.array(np.concatenate(held))) for held in out]
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), *lists], names=["cls", *names])
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs (a, b), those whose sets reach the similarity; the other orders' prefixes first."""
-    side = lambda c, *cols: sets.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
-    passed = (pairs.join(side("a", "n", "p1", "p2"), "a").join(side("b", "n", "p1", "p2"), "b")
-              .where(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-              .where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b")).select("a", "b", "n_a", "n_b"))
-    return (passed.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
-            .withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")))
-            .where(F.expr(f"100L * common >= {percent}L * (n_a + n_b - common)")).select("a", "b"))
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, shared) -> DataFrame:
+    """Of candidate pairs of classes (a, b), those whose sets reach the similarity.
+
+    Sizes first, then the prefixes under the other orders, then the full sets; each is read
+    only for the classes that the step before left.
+    """
+    def fetched(left: DataFrame, columns: Callable, names: list[str], kind: str) -> DataFrame:
+        wanted = materialize(left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+                             .join(classes, "cls").select(F.col("rep").alias("doc_id"), "cls"), "ngram-wanted")
+        return materialize(docs.join(broadcast_if_bounded(wanted, BROADCAST_IDS), "doc_id").select("cls", "text")
+                           .mapInArrow(_of_class(k, columns, names), "cls long, " + ", ".join(f"{n} {kind}" for n in names)), "ngram-sets")
+
+    def both(left: DataFrame, of: DataFrame, names: list[str]) -> DataFrame:
+        for c in ("a", "b"):
+            left = left.join(of.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in names]), c)
+        return left
+
+    def other_orders(tokens: np.ndarray) -> list[np.ndarray]:
+        return [prefix(tokens, *shared.value, o, percent).astype(np.uint32).view(np.int32) for o in (1, 2)]
+
+    sized = materialize(both(pairs, classes, ["n"]).where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"), "ngram-sized")
+    passed = materialize(both(sized, fetched(sized, other_orders, ["p1", "p2"], "array<int>"), ["p1", "p2"])
+                         .where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b")).select("a", "b", "n_a", "n_b"), "ngram-passed")
+    return (both(passed, fetched(passed, lambda tokens: [tokens.view(np.int64)], ["tokens"], "array<long>"), ["tokens"])
+            .withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long"))
+            .where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,33 +191,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     level = np.log2(np.maximum(top["seen"].to_numpy(np.float64), 1)).astype(np.uint64)
     shared = spark.sparkContext.broadcast((frequent[by], level[by]))
 
-    postings = materialize(docs.mapInArrow(_postings(k, percent, shared), "token long, cls long, n int"), "ngram-postings")
+    documents = facts.where("token is null")
+    classes = materialize(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")).where("rep is not null"), "ngram-classes")
+    postings = materialize(docs.mapInArrow(_postings(k, percent, shared), "token long, cls long"), "ngram-postings")
     hubs = postings.groupBy("token").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).where("hub <> last").select("token", "hub")
-    lists = materialize(postings.join(hubs, "token").distinct(), "ngram-lists")
+    lists = materialize(postings.join(hubs, "token"), "ngram-lists")
     tried = materialize(lists.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct(), "ngram-pairs")
+    star = connected_components(_verified(tried, docs, classes, k, percent, shared), "ngram-star")
 
-    documents = facts.where("token is null")
-    classes = documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    wanted = materialize(tried.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-                         .join(classes.where("rep is not null"), "cls").select(F.col("rep").alias("doc_id"), "cls"), "ngram-wanted")
-    sets = materialize(docs.join(broadcast_if_bounded(wanted, BROADCAST_IDS), "doc_id").select("cls", "text")
-                       .mapInArrow(_full_sets(k, percent, shared), "cls long, n int, p1 array<int>, p2 array<int>, tokens array<long>"), "ngram-sets")
-
-    star = connected_components(_verified(tried, sets, percent), "ngram-star")
-    now = materialize(lists.join(star.withColumnRenamed("id", "cls"), "cls", "left")
-                      .select("token", "cls", "n", F.coalesce("component_id", "cls").alias("c")), "ngram-now")
+    where = classes.join(star.withColumnRenamed("id", "cls"), "cls", "left").select("cls", "n", F.coalesce("component_id", "cls").alias("c"))
+    now = materialize(lists.select("token", "cls").join(where, "cls"), "ngram-now")
     mixed = now.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     open_lists = now.join(mixed, "token")
     other = open_lists.select("token", F.col("cls").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"))
     rest = (open_lists.join(other, "token").where("c <> d and cls < b")
             .where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select(F.col("cls").alias("a"), "b").distinct()
             .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    links = star.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(_verified(rest, sets, percent))
+    links = star.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(
+        _verified(materialize(rest, "ngram-rest"), docs, classes, k, percent, shared))
     rep = lambda c: classes.select(F.col("cls").alias(c), F.col("rep").alias(f"rep_{c}"))
     found = connected_components(links.join(rep("a"), "a").join(rep("b"), "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "ngram-all")
 
     of_class = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("cls", "rep", "component_id")
-    # Rows that repeat an id may lie in several classes: the id takes the smallest component of them.
     return (documents.join(of_class, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id")))
 
