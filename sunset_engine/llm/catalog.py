@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sunset_engine.llm.binary_codes import op1_binary_codes
+from sunset_engine.llm.bpe_table import op10_bpe_table
 from sunset_engine.llm.ngram_join import op2_ngram_jaccard
+from sunset_engine.llm.segment_search import op5_segment_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_binary_codes": op1_binary_codes,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op5_segment_search": op5_segment_search,
+    "op10_bpe_table": op10_bpe_table,
 }
 
 ORACLE: dict[str, str] = {
