@@ -11,6 +11,7 @@ from sunset_engine.llm.binary_codes import op1_binary_codes
 from sunset_engine.llm.bpe_table import op10_bpe_table
 from sunset_engine.llm.byte_gru import op3_byte_gru
 from sunset_engine.llm.ngram_join import op2_ngram_jaccard
+from sunset_engine.llm.ordinal_quality import op6_ordinal_quality
 from sunset_engine.llm.packing import op7_best_fit_packing
 from sunset_engine.llm.pii import op8_feistel_pseudonyms
 from sunset_engine.llm.segment_search import op5_segment_search
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_gru": op3_byte_gru,
     "op4_warc_chunks": warc.op4_warc_chunks,
     "op5_segment_search": op5_segment_search,
+    "op6_ordinal_quality": op6_ordinal_quality,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_url_model_ratio": url_filter.op9_url_model_ratio,

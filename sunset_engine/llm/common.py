@@ -82,14 +82,16 @@ def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """64-bit hash of every word of every text, A-Z lower-cased, and each text's first word.
 
-    Words are runs of bytes that ``separator`` does not mark. The bytes are taken in
+    Words are runs of bytes that ``separator`` does not mark. ``prefixes`` adds, for each
+    length in bytes, the hashes of the words' beginnings. The bytes are taken in
     windows that end between words, so memory is bounded by the longest word or the window.
     """
     n = len(data)
     hashes, places = [], []
+    begun: list[list[np.ndarray]] = [[] for _ in prefixes]
     at = 0
     begins = np.zeros(n + 1, bool)
     begins[offsets[:-1]] = True
@@ -114,10 +116,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = W
             value = np.where(word, _LOWER[part], np.uint64(0)) * powers[:len(part)]
             hashes.append(mix(np.add.reduceat(value, starts) * inverse[starts]))
             places.append(starts + at)
+            if prefixes:
+                ends = np.append(starts, len(part))
+                nth = np.arange(len(part)) - np.repeat(np.append(0, starts), np.diff(np.append(0, ends)))
+                for size, out in zip(prefixes, begun, strict=True):
+                    out.append(mix(np.add.reduceat(np.where(nth < size, value, np.uint64(0)), starts) * inverse[starts] + _PLACE[size]))
         at = to
     found = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     place = np.concatenate(places) if places else np.zeros(0, np.int64)
-    return found, np.searchsorted(place, offsets)
+    return found, np.searchsorted(place, offsets), *(np.concatenate(x) if x else np.zeros(0, np.uint64) for x in begun)
 
 
 def shingle_sets(words: np.ndarray, first: np.ndarray, k: int) -> Iterator[np.ndarray]:
