@@ -1,19 +1,20 @@
 """N-gram Jaccard join by multiple-global-order prefix filtering.
 
 Two sets with Jaccard similarity of at least t share a token among the first
-n - ceil(t n) + 1 tokens of each, whatever order all tokens are put in, so long as it
-is one order for all sets. Candidates here must share such a prefix token under several
-orders at once: the first order finds them (frequent tokens last, then by hash), the
-others (same frequency levels, other hashes) are checked on the candidates before the
-full sets are compared.
-
-Frequency levels come from counts over all documents: each task counts its own tokens,
-those that repeat within a task are summed, and the most frequent ones make a table of
-bounded size. The table only shapes the orders; any order gives all links.
-
-Texts with equal shingle sets form one class and are compared once. A token's classes are
-first paired with one hub each, which settles large groups of near copies in linear work;
-a second round pairs classes of the same token that are still in different components.
+p = n - ceil(t n) + 1 tokens of each, whatever order all tokens are put in, so long as it is
+one order for all sets. Candidates here must share such prefix tokens under three orders.
+
+The first order finds them. It is set by what the corpus holds: tokens whose hash falls in a
+fixed lowest range come first, of these the ones in a single text, then the others by the
+number of texts; tokens beyond the range follow by hash. A text therefore sends only its
+lowest-hashed tokens (a third more than p) to be counted, and most texts end there: with p
+tokens of their own they have no partner. The two other orders, by other hashes, are checked
+on the candidates before full sets are compared.
+
+Texts with equal sets form one class and are compared once. Each shared prefix token names the
+class that shares most as its hub. Classes are compared with their hubs first. What stays in
+another component than its hub is compared with all classes of that hub, in blocks that answer
+with a spanning forest: no list of all pairs is ever made.
 """
 
 from __future__ import annotations
@@ -23,150 +24,173 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunset_engine.llm.common import connected_components, mix, shingle_sets, string_bytes, table, word_hashes
 from sunset_engine.operators.joins import broadcast_if_bounded, materialize
 
-# Tokens of a task are counted together up to this many; 8 bytes each.
-FLUSH_TOKENS = 1 << 21
-# A token is reported as frequent when a task saw it in so many texts.
-LOCAL_FREQUENT = 4
-# Entries of the frequency table that tasks get (12 bytes each).
-FREQUENT_TOKENS = 1 << 18
 # Documents whose ids may be broadcast (8 bytes each) to pick candidates' texts without moving texts.
 BROADCAST_IDS = 1_000_000
-ORDER_SALTS = np.array([0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x243F6A8885A308D3], np.uint64)
+# A block of a hub's classes: tokens of their sets, and classes.
+BLOCK_TOKENS = 500_000
+BLOCK_ROWS = 2048
+ORDER_SALTS = np.array([0x5BE0CD19137E2179, 0x243F6A8885A308D3], np.uint64)
+SIGN = np.uint64(1 << 63)
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def range_end(percent: int) -> int:
+    """End of the hash range that comes first: it holds a third more tokens of a set than its prefix has."""
+    return min((1 << 64) - 1, (100 - percent) * (1 << 64) // 75)
+
+
 def class_of(tokens: np.ndarray) -> int:
     """63-bit id of a shingle set."""
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little") >> 1
 
 
+def signed(tokens: np.ndarray) -> np.ndarray:
+    """As signed numbers in the same order."""
+    return (tokens ^ SIGN).view(np.int64)
+
+
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
     return shingle_sets(*word_hashes(*string_bytes(batch.column("text"))), k)
 
 
-def _facts(k: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def counted() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= LOCAL_FREQUENT
-            m = int(often.sum())
-            return pa.RecordBatch.from_pydict({
-                "doc_id": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "cls": pa.nulls(m, pa.int64()),
-                "token": pa.array(tokens[often].view(np.int64)), "seen": pa.array(counts[often].astype(np.int64))})
+def _facts(k: int, percent: int) -> Callable:
+    """Documents to their classes, and to the tokens that each class (once a batch) sends to be counted."""
+    end = np.uint64(range_end(percent))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, cls = [], []
+            n, cls, first = [], [], []
+            sent: dict[int, np.ndarray] = {}
             for tokens in _sets(batch, k):
+                c = class_of(tokens) if len(tokens) else None
+                low = int(np.searchsorted(tokens, end))
                 n.append(len(tokens))
-                cls.append(class_of(tokens) if len(tokens) else None)
-                held.append(tokens)
-                size += len(tokens)
-                if size >= FLUSH_TOKENS:
-                    yield counted()
-                    held, size = [], 0
-            m = len(n)
+                cls.append(c)
+                first.append(low)
+                if c is not None and c not in sent:
+                    sent[c] = signed(tokens[:max(low, prefix_length(len(tokens), percent))])
+            m, tokens = len(n), np.concatenate([np.zeros(0, np.int64), *sent.values()])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64()),
-                "token": pa.nulls(m, pa.int64()), "seen": pa.nulls(m, pa.int64())})
-        if held:
-            yield counted()
+                "low": pa.array(first, pa.int64()), "token": pa.nulls(m, pa.int64())})
+            t = len(tokens)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.nulls(t, pa.int64()), "n": pa.nulls(t, pa.int64()),
+                "cls": pa.array(np.repeat(np.fromiter(sent, np.int64, len(sent)), [len(x) for x in sent.values()])),
+                "low": pa.nulls(t, pa.int64()), "token": pa.array(tokens)})
     return run
 
 
-def ranks(tokens: np.ndarray, frequent: np.ndarray, level: np.ndarray, order: int) -> np.ndarray:
-    """Place of each token in one of the global orders: frequency level, then a hash of that order."""
-    key = mix(tokens ^ ORDER_SALTS[order]) >> np.uint64(6)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        key |= np.where(frequent[at] == tokens, level[at], np.uint64(0)) << np.uint64(58)
-    return key
-
-
-def prefix(tokens: np.ndarray, frequent: np.ndarray, level: np.ndarray, order: int, percent: int) -> np.ndarray:
+def prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The prefix under one of the orders by other hashes."""
     p = prefix_length(len(tokens), percent)
-    if p >= len(tokens):
-        return tokens
-    return tokens[np.argpartition(ranks(tokens, frequent, level, order), p - 1)[:p]]
+    ranks = mix(tokens ^ ORDER_SALTS[order])
+    return np.sort(tokens[np.argpartition(ranks, p - 1)[:p]] if p < len(tokens) else tokens)
 
 
-def _postings(k: int, percent: int, shared) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, level = shared.value
-        for batch in batches:
-            out: list[np.ndarray] = []
-            cls: list[int] = []
-            done: set[int] = set()
-            for tokens in _sets(batch, k):
-                if not len(tokens) or (c := class_of(tokens)) in done:
-                    continue
-                done.add(c)
-                out.append(prefix(tokens, frequent, level, 0, percent))
-                cls.append(c)
-            if out:
-                yield pa.RecordBatch.from_pydict({
-                    "token": pa.array(np.concatenate(out).view(np.int64)),
-                    "cls": pa.array(np.repeat(np.array(cls, np.int64), [len(x) for x in out]))})
-    return run
-
-
-def _of_class(k: int, columns: Callable[[np.ndarray], list[np.ndarray]], names: list[str]) -> Callable:
-    """Rows (cls, text) to (cls, arrays of the text's tokens)."""
+def _fetched(k: int, percent: int) -> Callable:
+    """Rows (cls, text) to (cls, n, the prefixes of the other orders, all tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column("cls").to_pylist()
             cls: list[int] = []
-            out: list[list[np.ndarray]] = [[] for _ in names]
+            out: list[list[np.ndarray]] = [[], [], []]
             for i, tokens in enumerate(_sets(batch, k)):
                 if len(tokens) and class_of(tokens) == wanted[i]:
                     cls.append(wanted[i])
-                    for x, held in zip(columns(tokens), out, strict=True):
-                        held.append(x)
+                    for held, x in zip(out, (prefix(tokens, 0, percent), prefix(tokens, 1, percent), tokens), strict=True):
+                        held.append(x.view(np.int64))
             if cls:
                 lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in held])), pa.int32()), pa.array(np.concatenate(held))) for held in out]
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), *lists], names=["cls", *names])
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array([len(x) for x in out[2]], pa.int64()), *lists], names=["cls", "n", "p1", "p2", "tokens"])
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, shared) -> DataFrame:
-    """Of candidate pairs of classes (a, b), those whose sets reach the similarity.
-
-    Sizes first, then the prefixes under the other orders, then the full sets; each is read
-    only for the classes that the step before left.
-    """
-    def fetched(left: DataFrame, columns: Callable, names: list[str], kind: str) -> DataFrame:
-        wanted = materialize(left.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-                             .join(classes, "cls").select(F.col("rep").alias("doc_id"), "cls"), "ngram-wanted")
-        return materialize(docs.join(broadcast_if_bounded(wanted, BROADCAST_IDS), "doc_id").select("cls", "text")
-                           .mapInArrow(_of_class(k, columns, names), "cls long, " + ", ".join(f"{n} {kind}" for n in names)), "ngram-sets")
-
-    def both(left: DataFrame, of: DataFrame, names: list[str]) -> DataFrame:
-        for c in ("a", "b"):
-            left = left.join(of.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in names]), c)
-        return left
-
-    def other_orders(tokens: np.ndarray) -> list[np.ndarray]:
-        return [prefix(tokens, *shared.value, o, percent).astype(np.uint32).view(np.int32) for o in (1, 2)]
-
-    sized = materialize(both(pairs, classes, ["n"]).where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"), "ngram-sized")
-    passed = materialize(both(sized, fetched(sized, other_orders, ["p1", "p2"], "array<int>"), ["p1", "p2"])
-                         .where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b")).select("a", "b", "n_a", "n_b"), "ngram-passed")
-    return (both(passed, fetched(passed, lambda tokens: [tokens.view(np.int64)], ["tokens"], "array<long>"), ["tokens"])
+def _star(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those whose sets reach the similarity: sizes, then the other orders, then the sets."""
+    for c in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "p1", "p2", "tokens")]), c)
+    return (pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+            .where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b"))
             .withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long"))
             .where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"))
 
 
+class _Index:
+    """Counts of the tokens that a set has in common with each of many sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        tokens = np.concatenate([np.zeros(0, np.int64), *sets])
+        by = np.argsort(tokens, kind="stable")
+        self.tokens, self.owner, self.size = tokens[by], np.repeat(np.arange(len(sets)), [len(x) for x in sets])[by], len(sets)
+
+    def common(self, tokens: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(self.tokens, tokens, "left"), np.searchsorted(self.tokens, tokens, "right")
+        times = high - low
+        at = np.repeat(low - np.append(0, np.cumsum(times))[:-1], times) + np.arange(times.sum())
+        return np.bincount(self.owner[at], minlength=self.size)
+
+
+def _compared(percent: int) -> Callable:
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        kind, i, j = (key[x].as_py() for x in (1, 2, 3))
+        group = group.sort_by("cls").combine_chunks()
+        cls, role, block, n = (group.column(c).to_numpy() for c in ("cls", "role", "block", "n"))
+        lists = {c: [x.values.to_numpy() for x in group.column(c)] for c in ("p1", "p2", "tokens")}
+        left = np.flatnonzero((role == 1) & (block == i))
+        right = np.flatnonzero((role == kind) & (block == j))
+        index = {c: _Index([lists[c][r] for r in right]) for c in lists}
+        root = np.arange(len(cls))
+        for a in left:
+            fits = (100 * np.minimum(n[a], n[right]) >= percent * np.maximum(n[a], n[right])) & (right != a)
+            for c in ("p1", "p2"):
+                if fits.any():
+                    fits &= index[c].common(lists[c][a]) > 0
+            if fits.any():
+                common = index["tokens"].common(lists["tokens"][a])
+                for b in right[fits & (100 * common >= percent * (n[a] + n[right] - common))]:
+                    x, y = a, b
+                    while root[x] != x:
+                        x = root[x]
+                    while root[y] != y:
+                        y = root[y]
+                    root[max(x, y)] = min(x, y)
+        while (root[root] != root).any():
+            root = root[root]
+        some = root != np.arange(len(cls))
+        return pa.table({"a": pa.array(cls[some]), "b": pa.array(cls[root[some]])})
+    return run
+
+
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of hubs' classes (cls, hub, role: 1 outside its hub's component, 0 inside) that have a class outside.
+
+    Blocks of outsiders meet each other and the blocks of insiders.
+    """
+    of = sets.select("cls", "n")
+    sizes = (members.join(of, "cls").groupBy("hub").agg(*[
+        F.ceil(F.greatest(F.sum(F.when(F.col("role") == r, F.col("n")).otherwise(0)) / BLOCK_TOKENS, F.sum(F.when(F.col("role") == r, 1).otherwise(0)) / BLOCK_ROWS)).cast("int").alias(f"blocks{r}")
+        for r in (0, 1)]).where("blocks1 > 0"))
+    dealt = members.join(sizes, "hub").withColumn("block", F.expr("pmod(xxhash64(cls), if(role = 1, blocks1, blocks0))").cast("int"))
+    steps = lambda n: F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda x: x < n)
+    outside = F.concat(
+        F.transform(steps(F.col("blocks1")), lambda o: F.struct(F.lit(1).alias("kind"), F.least("block", o).alias("i"), F.greatest("block", o).alias("j"))),
+        F.transform(steps(F.col("blocks0")), lambda o: F.struct(F.lit(0).alias("kind"), F.col("block").alias("i"), o.alias("j"))))
+    inside = F.transform(steps(F.col("blocks1")), lambda o: F.struct(F.lit(0).alias("kind"), o.alias("i"), F.col("block").alias("j")))
+    dealt = dealt.withColumn("to", F.explode(F.when(F.col("role") == 1, outside).otherwise(inside)))
+    return (dealt.select("hub", "to.kind", "to.i", "to.j", "cls", "role", "block").join(sets, "cls")
+            .groupBy("hub", "kind", "i", "j").applyInArrow(_compared(percent), "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (doc_id, n_shingles, component_id) per document.
 
@@ -181,37 +205,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     its class, or null. An empty table gives no rows; other columns are not read. Sets are of
     64-bit hashes.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    facts = materialize(docs.mapInArrow(_facts(k), "doc_id long, n long, cls long, token long, seen long"), "ngram-facts")
-    top = (facts.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
-           .orderBy(F.desc("seen"), "token").limit(FREQUENT_TOKENS).toPandas().sort_values("token"))
-    frequent = top["token"].to_numpy(np.int64).view(np.uint64)
-    by = np.argsort(frequent)
-    level = np.log2(np.maximum(top["seen"].to_numpy(np.float64), 1)).astype(np.uint64)
-    shared = spark.sparkContext.broadcast((frequent[by], level[by]))
-
-    documents = facts.where("token is null")
-    classes = materialize(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")).where("rep is not null"), "ngram-classes")
-    postings = materialize(docs.mapInArrow(_postings(k, percent, shared), "token long, cls long"), "ngram-postings")
-    hubs = postings.groupBy("token").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).where("hub <> last").select("token", "hub")
-    lists = materialize(postings.join(hubs, "token"), "ngram-lists")
-    tried = materialize(lists.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct(), "ngram-pairs")
-    star = connected_components(_verified(tried, docs, classes, k, percent, shared), "ngram-star")
-
-    where = classes.join(star.withColumnRenamed("id", "cls"), "cls", "left").select("cls", "n", F.coalesce("component_id", "cls").alias("c"))
-    now = materialize(lists.select("token", "cls").join(where, "cls"), "ngram-now")
-    mixed = now.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    open_lists = now.join(mixed, "token")
-    other = open_lists.select("token", F.col("cls").alias("b"), F.col("c").alias("d"), F.col("n").alias("m"))
-    rest = (open_lists.join(other, "token").where("c <> d and cls < b")
-            .where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select(F.col("cls").alias("a"), "b").distinct()
-            .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    links = star.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(
-        _verified(materialize(rest, "ngram-rest"), docs, classes, k, percent, shared))
+    facts = materialize(docs.mapInArrow(_facts(k, percent), "doc_id long, n long, cls long, low long, token long"), "ngram-facts")
+    documents, sent = facts.where("token is null"), facts.where("token is not null").select("token", "cls")
+    classes = materialize(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"))
+                          .where("rep is not null"), "ngram-classes")
+
+    # The first order. Only tokens of several classes matter from here on.
+    shared = sent.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token")
+    hits = materialize(sent.join(shared, "token").distinct(), "ngram-hits")
+    ranged = F.col("token") < F.lit(range_end(percent) - (1 << 63))
+    counted = hits.join(hits.groupBy("token").agg(F.count("*").alias("texts")), "token").withColumn("ranged", ranged)
+    room = (classes.join(hits.where(ranged).groupBy("cls").agg(F.count("*").alias("common")), "cls", "left")
+            .select("cls", "n", F.expr(f"n - (({percent} * n + 99) div 100) + 1 - (low - coalesce(common, 0))").alias("room")).where("room > 0"))
+    place = F.row_number().over(Window.partitionBy("cls", "ranged").orderBy("texts", "token"))
+    first = materialize(counted.join(room, "cls").withColumn("place", place).where("not ranged or place <= room").select("token", "cls", "n"), "ngram-first")
+    texts = first.groupBy("token").agg(F.count("*").alias("texts")).where("texts > 1")
+    lists = materialize(first.join(texts, "token"), "ngram-lists")
+    weight = lists.groupBy("cls").agg((F.sum("texts") / F.max("n")).alias("weight"))
+    hubs = lists.join(weight, "cls").groupBy("token").agg(F.max_by("cls", "weight").alias("hub"))
+    members = materialize(lists.select("token", "cls").join(hubs, "token").select("cls", "hub").distinct(), "ngram-members")
+
+    wanted = materialize(members.select(F.explode(F.array("cls", "hub")).alias("cls")).distinct()
+                         .join(classes, "cls").select(F.col("rep").alias("doc_id"), "cls"), "ngram-wanted")
+    sets = materialize(docs.join(broadcast_if_bounded(wanted, BROADCAST_IDS), "doc_id").select("cls", "text")
+                       .mapInArrow(_fetched(k, percent), "cls long, n long, p1 array<long>, p2 array<long>, tokens array<long>"), "ngram-sets")
+    star = connected_components(_star(members.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")), sets, percent), "ngram-star")
+    of = lambda c: star.select(F.col("id").alias(c), F.col("component_id").alias(f"of_{c}"))
+    placed = members.unionAll(members.select(F.col("hub").alias("cls"), "hub")).distinct().join(of("cls"), "cls", "left").join(of("hub"), "hub", "left")
+    roles = materialize(placed.select("cls", "hub", F.expr("if(coalesce(of_cls, cls) = coalesce(of_hub, hub), 0, 1)").alias("role")), "ngram-roles")
+    links = star.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(_rest(roles, sets, percent))
     rep = lambda c: classes.select(F.col("cls").alias(c), F.col("rep").alias(f"rep_{c}"))
     found = connected_components(links.join(rep("a"), "a").join(rep("b"), "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "ngram-all")
-
     of_class = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("cls", "rep", "component_id")
     return (documents.join(of_class, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id")))
