@@ -17,6 +17,11 @@ CACHE_WORDS = 400_000
 ENCODE_AT_ONCE = 20_000
 
 
+def lean_memory() -> None:
+    """Arrow's buffers of this worker go back to the system when they are dropped."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def load_tokenizer(text: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -62,6 +67,7 @@ def in_chunks(texts: pa.Array, cut: re.Pattern) -> Iterator[tuple[np.ndarray, pa
 
     A text longer than the bound is cut at the first place that ``cut`` matches at or after it.
     """
+    lean_memory()
     rows: list[int] = []
     parts: list[str] = []
     size = 0
