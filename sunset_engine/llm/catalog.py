@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from sunset_engine.llm import url_filter, warc
 from sunset_engine.llm.binary_codes import op1_binary_codes
 from sunset_engine.llm.bpe_table import op10_bpe_table
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_url_model_ratio": url_filter.op9_url_model_ratio,
     "op10_bpe_table": op10_bpe_table,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

@@ -32,12 +32,14 @@ SAMPLE_PER_GRADE = 4000
 LEAST_TEXTS = 15
 EPOCHS = 12
 BATCH = 64
+# Small samples are passed over more often, up to so many steps.
+LEAST_STEPS = 2000
 RATE = 0.15
 DECAY = 2e-5
 SEED = 5
 SLICE_BYTES = 1 << 24
 # Selection: probability of the upper grade.
-KEEP = 0.5
+KEEP = 0.4
 
 
 def _classes() -> np.ndarray:
@@ -111,7 +113,7 @@ def fit(values: np.ndarray, offsets: np.ndarray, grade: np.ndarray, weight: np.n
     theta_sq = np.full(grades - 1, 1e-3)
     size = np.diff(offsets)
     weight = weight / weight.mean()
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(grade))))):
         order = rng.permutation(len(grade))
         for at in range(0, len(order), BATCH):
             pick = order[at:at + BATCH]
