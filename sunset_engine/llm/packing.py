@@ -39,9 +39,12 @@ FILLINGS = 12
 
 Pattern = tuple[tuple[int, ...], int]         # lengths in order, times used
 
-# A space before a letter, digit, mark or other visible ASCII always begins a token of this tokenizer.
+# A space before a letter, digit, mark or other visible ASCII always begins a token of this tokenizer, and
+# so does a single line feed between visible characters.
 SAFE_CUT = re.compile(r" (?=[^\W_]|[!-~])")
-NOT_SAFE = " ([\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}\\x{3000}\\x{feff}]|$)"
+NOT_SAFE = "[ \\n]([\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200f}\\x{2028}-\\x{202f}\\x{205f}\\x{3000}\\x{feff}]|$)|^\\n"
+# ASCII marks at the end of a word are tokens of their own.
+MARKS_AT_END = r"^(?P<stem>(?s:.*)[\p{L}\p{N}])(?P<marks>[!-/:-@\[-`{-~]+)$"
 
 
 # ---- the search, on counts by length ------------------------------------------------------------
@@ -173,7 +176,7 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
 def _word_parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Parts that the tokenizer treats apart: (distinct parts, code of each part, offsets by text)."""
     unsafe = pc.match_substring_regex(texts, NOT_SAFE).to_numpy(zero_copy_only=False)
-    split = pc.split_pattern(texts, " ")
+    split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
     words, offsets = split.flatten(), split.offsets.to_numpy()
     offsets = offsets - offsets[0]
     if unsafe.any():
@@ -192,11 +195,30 @@ def _word_parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     codes = np.empty(len(words), np.int64)
     codes[first] = heads.indices.to_numpy()
     codes[~first] = rest.indices.to_numpy() + len(heads.dictionary)
-    spaced = pc.binary_join_element_wise("", rest.dictionary, " ")
+    spaced = pc.if_else(pc.starts_with(rest.dictionary, "\n"), rest.dictionary, pc.binary_join_element_wise("", rest.dictionary, " "))
     both = pa.concat_arrays([heads.dictionary, spaced]).dictionary_encode()
     return both.dictionary, both.indices.to_numpy()[codes], offsets
 
 
+def _ids_of(encode: WordIds, words: pa.Array) -> pa.Array:
+    """Ids of distinct words; marks at the end are encoded apart, so that there are fewer words."""
+    plain = words
+    for token in encode.special:                              # such a string is one token, marks and all
+        plain = pc.if_else(pc.match_substring(words, token), "", plain)
+    found = pc.extract_regex(plain, MARKS_AT_END)
+    stems = pc.coalesce(pc.struct_field(found, "stem"), words).dictionary_encode()
+    marks = pc.coalesce(pc.struct_field(found, "marks"), pa.scalar("")).dictionary_encode()
+    parts = [flat(encode(x.dictionary).take(x.indices)) for x in (stems, marks)]
+    size = [np.diff(offsets) for _, offsets in parts]
+    ends = np.append(0, np.cumsum(size[0] + size[1]))
+    out = np.empty(ends[-1], np.int32)
+    begins = ends[:-1]
+    for (values, offsets), n in zip(parts, size, strict=True):
+        out[np.repeat(begins - offsets[:-1], n) + np.arange(len(values))] = values
+        begins = begins + n
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out))
+
+
 def _cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """(piece, start, length, crc32) of a document's ids."""
     n = len(ids)
@@ -224,7 +246,7 @@ def _pieces(shared, capacity: int, end_id: int) -> Callable:
 
             for rows, texts in in_chunks(batch.column("text"), SAFE_CUT):
                 words, codes, offsets = _word_parts(texts)
-                values, ends = flat(encode(words).take(pa.array(codes)))
+                values, ends = flat(_ids_of(encode, words).take(pa.array(codes)))
                 values = values.view(np.uint32)
                 ends = ends[offsets]
                 for i, r in enumerate(rows.tolist()):

@@ -37,6 +37,7 @@ class WordIds:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.words = pa.array([], pa.string())
         self.ids = pa.array([], pa.list_(pa.int32()))
 
