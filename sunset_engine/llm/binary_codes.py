@@ -190,3 +190,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
 def op1_binary_codes(spark, sf_dir: str) -> DataFrame:
     """All embeddings, cosine of 0.98 or more within a label."""
     return near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT a, a AS b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN counts ON vec_id = counts.a
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sunset_engine.llm import url_filter, warc
+from sunset_engine.llm import binary_codes, ngram_join, segment_search, url_filter, warc
 from sunset_engine.llm.binary_codes import op1_binary_codes
 from sunset_engine.llm.bpe_table import op10_bpe_table
 from sunset_engine.llm.byte_gru import op3_byte_gru
@@ -32,7 +32,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_binary_codes": binary_codes.ORACLE,
+    "op2_ngram_jaccard": ngram_join.ORACLE,
     "op4_warc_chunks": warc.ORACLE,
+    "op5_segment_search": segment_search.ORACLE,
     "op9_url_model_ratio": url_filter.oracle(),
 }
 

@@ -254,3 +254,18 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataF
 def op2_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Documents of the corpus: 4-word shingles, similarity of 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+ORACLE = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN generate_series(1, len(w) - 3)])
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+tokens AS (SELECT doc_id, unnest(s) AS t FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+pairs AS (SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT a, a AS b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, n AS n_shingles, coalesce(c, doc_id) AS component_id FROM sizes LEFT JOIN least ON doc_id = a
+"""
