@@ -108,11 +108,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     field = lambda name: F.regexp_extract("head", rf"\r\n{name}: ([^\r]*)", 1)
     some = lambda c: F.when(c != "", c)
     page = lambda c: some(F.regexp_extract(c, r"^<urn:page:(-?\d+)", 1)).cast("long")
-    good = F.octet_length("chunk") == field("Content-Length").cast("long")
+    good = F.octet_length("chunk") == field("Content-Length").try_cast("long")
     return parsed.select(
         field("WARC-Type").alias("type"), page(field("WARC-Record-ID")).alias("page_id"), field("WARC-Copy").alias("copy"),
         page(field("WARC-Refers-To")).alias("refers_to"), F.regexp_extract(field("WARC-Payload-Digest"), r"^sha256:(.*)$", 1).alias("digest"),
-        field("WARC-Payload-Length").cast("long").alias("bytes"), some(field("WARC-Segment-Number")).cast("int").alias("segment"),
+        field("WARC-Payload-Length").try_cast("long").alias("bytes"), field("WARC-Segment-Number").try_cast("int").alias("segment"),
         F.when(good, F.col("chunk")).otherwise(F.raise_error(F.lit("a WARC record is cut short"))).alias("chunk"))
 
 
