@@ -1,7 +1,8 @@
 """Command line for the file jobs: ``python -m sunset_engine <job> ...`` or ``spark-submit``.
 
-    python -m sunset_engine strikes  STRIKES_CSV OUT_COUNTS
+    python -m sunset_engine strikes  STRIKES_CSV OUT_COUNTS [--header] [--timezones CSV]
     python -m sunset_engine flights  FLIGHTS AIRPORTS_CSV STRIKE_COUNTS OUT_DIR [--n 50] [--parquet]
+                                       [--years FIRST LAST] [--timezones CSV] [--offset timezone|longitude]
     python -m sunset_engine ingest   FLIGHTS_CSV OUT_PARQUET
     python -m sunset_engine ratio    FLIGHT_FREQUENCIES STRIKE_COUNTS OUT
     python -m sunset_engine zonal    AIRPORTS_CSV CELLS OUT [--miles 5]
@@ -30,11 +31,14 @@ def build_parser() -> argparse.ArgumentParser:
     a = sub.add_parser("strikes", help="near-sunset strike counts per airport")
     a.add_argument("strikes"), a.add_argument("out")
     a.add_argument("--header", action="store_true", help="the strike export has a header line")
+    a.add_argument("--timezones", help="CSV of airport codes and IANA zones")
     a = sub.add_parser("flights", help="near-sunset flights, frequencies, strikes per flight, top/bottom N")
     a.add_argument("flights"), a.add_argument("airports"), a.add_argument("strike_counts"), a.add_argument("out_dir")
     a.add_argument("--n", type=int, default=50)
     a.add_argument("--parquet", action="store_true", help="flights are the output of `ingest`")
     a.add_argument("--offset", choices=["timezone", "longitude"], default="timezone")
+    a.add_argument("--years", type=int, nargs=2, metavar=("FIRST", "LAST"), help="all years by default")
+    a.add_argument("--timezones", help="CSV of airport codes and IANA zones")
     a = sub.add_parser("ingest", help="flight CSVs to year/month-partitioned Parquet")
     a.add_argument("flights"), a.add_argument("out")
     a = sub.add_parser("ratio", help="strikes per flight for every airport, sorted")
@@ -59,10 +63,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     args = build_parser().parse_args(argv)
     spark = spark or get_spark(app_name=f"sunset_engine.{args.job}")
     if args.job == "strikes":
-        jobs.strike_job(spark, args.strikes, args.out, header=args.header)
+        jobs.strike_job(spark, args.strikes, args.out, header=args.header, timezones_path=args.timezones)
     elif args.job == "flights":
         jobs.flight_job(spark, args.flights, args.airports, args.strike_counts, args.out_dir, n=args.n,
-                        offset=args.offset, flights_format="parquet" if args.parquet else "csv")
+                        offset=args.offset, flights_format="parquet" if args.parquet else "csv",
+                        years=tuple(args.years) if args.years else None, timezones_path=args.timezones)
     elif args.job == "ingest":
         jobs.ingest_flights(spark, args.flights, args.out)
     elif args.job == "ratio":

@@ -29,9 +29,8 @@ def season_exclusive(date, start=FALL_START, end=FALL_END, years: tuple[int, int
     md = F.month(d) * 100 + F.dayofmonth(d)
     cond = (md > start[0] * 100 + start[1]) & (md < end[0] * 100 + end[1])
     if years is not None:
-        lo = dt.date(years[0], start[0], start[1])
-        hi = dt.date(years[1], end[0], end[1])
-        cond = (d > F.lit(lo)) & (d < F.lit(hi)) & cond
+        # whole years: the day test above does the rest, and any (month, day) pair is allowed
+        cond = (d >= F.lit(dt.date(years[0], 1, 1))) & (d <= F.lit(dt.date(years[1], 12, 31))) & cond
     return cond
 
 

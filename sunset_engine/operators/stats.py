@@ -7,11 +7,11 @@ ANSI-safe: a constant column gives NULL instead of a division error.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sunset_engine.functions.columns import as_col
+
 
 def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop()
@@ -57,56 +57,39 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
                     (F.lit(1.0) - F.try_divide(F.sum(e * e), ss_tot)).alias("r2"))
 
 
-def _incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b) by Lentz's continued fraction."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - _incomplete_beta(b, a, 1.0 - x)
-    tiny, eps = 1e-300, 1e-16
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 20000):
-        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-                    -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1.0 + num * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + num / c
-            c = c if abs(c) > tiny else tiny
-            h *= d * c
-        if abs(d * c - 1.0) < eps:
-            break
-    return front * h
-
-
-# Beyond this many degrees of freedom the t tail equals the normal tail far below
-# reporting precision, and the continued fraction would need O(sqrt(dof)) terms.
-NORMAL_TAIL_DOF = 1e7
-
-
-def t_test_p_value(r: float | None, n: int) -> float | None:
-    """Two-sided p-value of Pearson's r under H0: rho = 0 (Student t with n - 2 df)."""
-    if r is None or n < 3:
-        return None
-    dof = n - 2.0
-    if abs(r) >= 1.0:
-        return 0.0
-    t2 = r * r * dof / (1.0 - r * r)
-    if dof > NORMAL_TAIL_DOF:
-        return math.erfc(math.sqrt(t2 / 2.0))
-    return _incomplete_beta(dof / 2.0, 0.5, dof / (dof + t2))
-
-
-def pearson_p_value(spark: SparkSession, df: DataFrame, x: str, y: str) -> DataFrame:
-    """n, Pearson r and its two-sided p-value.
-
-    The data pass is one distributed aggregate; the p-value is then a function
-    of the two resulting numbers, evaluated on the driver.
+# Steps of the tail integral (Simpson's rule, an even number) and its width in units where the tail has fallen
+# by exp(-41).
+TAIL_STEPS = 1200
+
+
+def t_test_p_value(r, n) -> Column:
+    """Two-sided p-value of Pearson's r under H0: rho = 0 (Student t with n - 2 degrees of freedom), one formula for all n.
+
+    With d degrees of freedom and s = sqrt(d ln(1 + t^2 / d)) the density of t becomes
+    exp(-s^2 / 2) sqrt(v / (1 - exp(-v))) up to a factor, v = s^2 / d: nearly normal, for any d.
+    The p-value is its integral from s on over that from 0 on, both by Simpson's rule. Since
+    t^2 / d = r^2 / (1 - r^2), s is sqrt(-d ln(1 - r^2)). NULL below three pairs or without r.
     """
-    r = pearson(df, x, y).first()
-    return spark.createDataFrame([(int(r["n"]), r["pearson_r"], t_test_p_value(r["pearson_r"], int(r["n"])))],
-                                 "n long, pearson_r double, p_value double")
+    r, d = as_col(r).cast("double"), as_col(n).cast("double") - 2.0
+
+    def tail(s: Column) -> Column:
+        """Integral of the density from ``s`` on, times exp(s^2 / 2)."""
+        step = F.lit(41.0) / (s + 4.5) / (TAIL_STEPS / 2) / 2.0
+
+        def height(i: Column) -> Column:
+            y = step * i
+            v = (s + y) * (s + y) / d
+            shape = F.when(v < 1e-8, F.lit(1.0) + v / 2.0).otherwise(v / -F.expm1(-v))
+            return F.exp(-s * y - y * y / 2.0) * F.sqrt(shape)
+
+        weight = lambda i: F.when((i == 0) | (i == TAIL_STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(TAIL_STEPS)), F.lit(0.0), lambda a, i: a + weight(i) * height(i)) * step
+
+    s = F.sqrt(-d * F.log1p(-r * r))
+    p = F.exp(-s * s / 2.0) * tail(s) / tail(F.lit(0.0))
+    return F.when(r.isNull() | (d < 1), F.lit(None).cast("double")).when(F.abs(r) >= 1.0, 0.0).otherwise(F.least(F.lit(1.0), p))
+
+
+def pearson_p_value(df: DataFrame, x: str, y: str) -> DataFrame:
+    """n, Pearson r and its two-sided p-value (A9): one aggregate and column math on its one row."""
+    return pearson(df, x, y).withColumn("p_value", t_test_p_value("pearson_r", "n"))

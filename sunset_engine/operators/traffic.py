@@ -6,15 +6,15 @@ Plan shape for the flight side (the large table):
                        folders pruned on the year/month-partitioned table)
       -> explode origin/destination roles      (narrow, one pass instead of two scans)
       -> parse hhmm, drop invalid              (narrow)
-      -> broadcast hash join with the solar table on (airport, date) + the +-30 min test
+      -> hash join with one row per airport: an array of sunset times by day of the year,
+         looked up by index                    (broadcast behind a check of the airport count)
+      -> the +-30 min test
       -> partial count per airport             (map-side combine)
       -> shuffle of at most #airports rows per task -> final count
 
-The solar table holds the sunset minute per (airport, day), so the
-trigonometry runs once per airport-day, not per flight. With known years it
-is airports x season days (size proven by the airport count, no flight read);
-otherwise the distinct (airport, date) keys of the flights, written to the
-checkpoint folder and size-checked before the broadcast.
+The trigonometry runs once per airport and day of the season, not per flight, and nothing
+of the flights has to be known before: no pre-scan of their dates, and years play no part,
+since the algorithm depends on the day of the year and the zone's offset on the row's date.
 
 A hub holding a third of all flights costs nothing extra: the flight side is
 never shuffled before the map-side partial aggregate.
@@ -28,21 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunset_engine.functions.columns import safe_ratio, to_double
-from sunset_engine.functions.solar import (near_sunset, offset_from_longitude, offset_from_timezone,
-                                           with_sunset_minute)
+from sunset_engine.functions.solar import (local_minute, near_sunset, offset_from_longitude, offset_from_timezone,
+                                           sunset_ut_steps, with_sunset_minute)
+from sunset_engine.functions.steps import apply_steps
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
-from sunset_engine.operators.joins import broadcast_if_bounded, materialize_small
+from sunset_engine.operators.joins import broadcast_if_bounded
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
                                             season_inclusive)
 from sunset_engine.operators.timezones import nearest_timezone
 
 GROUP_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
 
-# Broadcast bound of the solar table. Its rows are narrow (code, two doubles,
-# date, minute: ~50 bytes), so 8 M rows stay under ~400 MB. The airports with an
-# IATA code (~9 k) times three 120-day seasons (~3.2 M rows) fit; avoiding the
-# fallback's extra scan of the flight table is worth far more than the broadcast.
-SOLAR_BROADCAST_ROWS = 8_000_000
+# Airports whose arrays (8 bytes a season day) may be broadcast: within 100 MB for a season of 120 days.
+SOLAR_BROADCAST_AIRPORTS = 100_000
 
 
 def clean_code(c):
@@ -112,11 +110,12 @@ def _season_ends(flights: DataFrame, start, end, years, compat: bool) -> DataFra
 def season_days(start, end, years: tuple[int, int]) -> list[tuple[dt.date, dt.date]]:
     """First and last kept day of the exclusive season in each year (empty years skipped)."""
     out = []
+    first, last = start[0] * 100 + start[1], end[0] * 100 + end[1]
     for y in range(years[0], years[1] + 1):
-        lo = dt.date(y, *start) + dt.timedelta(days=1)
-        hi = dt.date(y, *end) - dt.timedelta(days=1)
-        if lo <= hi:
-            out.append((lo, hi))
+        days = [d for n in range(366) if (d := dt.date(y, 1, 1) + dt.timedelta(days=n)).year == y
+                and first < d.month * 100 + d.day < last]
+        if days:
+            out.append((days[0], days[-1]))
     return out
 
 
@@ -127,7 +126,7 @@ def _solar(joined: DataFrame, offset: str) -> DataFrame:
 
 
 def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
-                years: tuple[int, int] | None = None, offset: str = "longitude",
+                years: tuple[int, int] | None = None, offset: str = "timezone",
                 compat: bool = False) -> DataFrame:
     """Sunset minute for every (airport, date) that a season flight end touches.
 
@@ -145,14 +144,16 @@ def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=F
 
 
 def calendar_solar_table(airports: DataFrame, start=FALL_START, end=FALL_END, years=FALL_YEARS,
-                         offset: str = "longitude") -> DataFrame:
+                         offset: str = "timezone") -> DataFrame:
     """Sunset minute for every airport on every day of the season (E1), without reading flights.
 
     Each airport row expands to its season days with ``explode(sequence(...))``:
     #airports x #days rows, a size known before anything runs.
     """
-    ranges = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
-                       for lo, hi in season_days(start, end, years)])
+    days = season_days(start, end, years)
+    ranges = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in days])
+    if not days:                               # a season without a day
+        ranges = F.array().cast("array<struct<lo:date,hi:date>>")
     ap = airport_keys(airports)
     extra = [c for c in ("timezone",) if c in ap.columns]
     days = (ap.select(*GROUP_KEY, *extra, F.explode(ranges).alias("r"))
@@ -160,50 +161,50 @@ def calendar_solar_table(airports: DataFrame, start=FALL_START, end=FALL_END, ye
     return _solar(days, offset)
 
 
-def _renamed(solar: DataFrame) -> DataFrame:
-    return solar.withColumnRenamed("airport_id", "s_airport_id").withColumnRenamed("flight_date", "s_flight_date")
+def season_day_range(start, end) -> tuple[int, int]:
+    """First and last day of the year that the exclusive season can touch, leap years or not; (1, 0) when none."""
+    days = [d.timetuple().tm_yday for lo_hi in season_days(start, end, (2019, 2020)) for d in lo_hi]
+    return (min(days), max(days)) if days else (1, 0)
+
+
+def airport_sunsets(airports: DataFrame, start=FALL_START, end=FALL_END, offset: str = "timezone") -> DataFrame:
+    """One row per airport: its zone, and the universal time of sunset on every day of the season.
+
+    Columns: the group key, ``zone`` (NULL for offsets by longitude), ``first_day`` and
+    ``sunsets`` (index 0 is that day of the year), ``copies`` (rows of this airport).
+    """
+    if offset not in ("longitude", "timezone"):
+        raise ValueError(f"offset must be 'longitude' or 'timezone', not {offset!r}")
+    ap = airport_keys(airports)
+    zone = F.lit(None).cast("string")
+    if offset == "timezone":
+        zone = nearest_timezone("latitude_deg", "longitude_deg")
+        zone = F.coalesce(F.col("timezone"), zone) if "timezone" in ap.columns else zone
+    lo, hi = season_day_range(start, end)
+    days = F.explode(F.sequence(F.lit(lo), F.lit(hi))) if lo <= hi else F.explode(F.array().cast("array<int>"))
+    each = ap.withColumn("zone", zone).groupBy(*GROUP_KEY, "zone").agg(F.count(F.lit(1)).alias("copies"))
+    each = apply_steps(each.withColumn("day", days), sunset_ut_steps("day", "latitude_deg", "longitude_deg", "ut"), "_sun_")
+    return (each.groupBy(*GROUP_KEY, "zone", "copies").agg(F.sort_array(F.collect_list(F.struct("day", "ut"))).alias("s"))
+            .select(*GROUP_KEY, "zone", "copies", F.lit(lo).alias("first_day"), F.col("s.ut").alias("sunsets")))
 
 
 def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
-                        years: tuple[int, int] | None = None, offset: str = "longitude",
+                        years: tuple[int, int] | None = None, offset: str = "timezone",
                         half_window: int = 30, compat: bool = False,
-                        max_solar_rows: int = SOLAR_BROADCAST_ROWS) -> DataFrame:
+                        max_airports: int = SOLAR_BROADCAST_AIRPORTS) -> DataFrame:
     """Flight ends within +-``half_window`` minutes of local sunset at their airport.
 
-    The solar table is bounded by airports x days, not by flights. When
-    airports x season days is within ``max_solar_rows`` it is built from the
-    airport dimension and the season calendar and broadcast (its size is proven
-    by the airport count); the years are the given ones, else the range of the
-    flight dates (one narrow aggregate over that column). Otherwise it comes
-    from the distinct (airport, date) keys of the flights, written to the shared
-    checkpoint folder and broadcast behind a row-count check. The
-    flight ends meet it in one broadcast hash join whose condition is the cheap
-    window test, so the flight side is never shuffled before the per-airport count.
+    Every flight end meets its airport's row (``airport_sunsets``) in one hash join and
+    looks its day up by index. ``max_airports`` bounds the broadcast of those rows; with
+    more, the same join is planned by shuffle. ``years`` only narrows the flights read.
     """
     ends = _season_ends(flights, start, end, years, compat)
-    solar = None
-    calendar_years = years
-    if calendar_years is None:
-        # one narrow aggregate over the date column gives the year range
-        lo_hi = flights.agg(F.min("flight_date"), F.max("flight_date")).first()
-        if lo_hi[0] is not None:
-            calendar_years = (lo_hi[0].year, lo_hi[1].year)
-    if calendar_years is not None:
-        n_days = sum((hi - lo).days + 1 for lo, hi in season_days(start, end, calendar_years))
-        n_airports = airport_keys(airports).limit(max_solar_rows + 1).count()
-        if n_airports * n_days <= max_solar_rows:
-            # bounded by construction (airports x days, counted above): broadcast directly,
-            # each executor rebuilds nothing; the table is computed once per query
-            solar = F.broadcast(_renamed(calendar_solar_table(airports, start, end, calendar_years, offset)))
-    if solar is None:
-        # No "sunset_minute IS NOT NULL" filter here: Catalyst would push it below the
-        # solar projections and inline the whole formula into it. A NULL sunset fails
-        # the window comparison of the join anyway.
-        solar = materialize_small(_renamed(solar_table(flights, airports, start, end, years, offset, compat)),
-                                  "solar_flights", max_solar_rows)
-    cond = ((F.col("airport_id") == F.col("s_airport_id")) & (F.col("flight_date") == F.col("s_flight_date"))
-            & near_sunset("event_minute", "sunset_minute", half_window))
-    return (ends.join(solar, cond)
+    sunsets = broadcast_if_bounded(airport_sunsets(airports, start, end, offset), max_airports)
+    hours = offset_from_longitude("longitude_deg") if offset == "longitude" else offset_from_timezone("flight_date", "zone")
+    ut = F.get("sunsets", F.dayofyear("flight_date") - F.col("first_day"))
+    near = (ends.join(sunsets, "airport_id").withColumn("sunset_minute", local_minute(ut, hours))
+            .where(near_sunset("event_minute", "sunset_minute", half_window)))
+    return (near.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select("event_id", "role", "airport_id", "latitude_deg", "longitude_deg", "flight_date",
                     "event_minute", "sunset_minute"))
 
@@ -215,8 +216,9 @@ def flight_frequencies(near_flights: DataFrame) -> DataFrame:
 
 def parse_strikes(strikes: DataFrame) -> DataFrame:
     """Typed strike rows: date, minute of day and coordinates; unusable rows dropped."""
+    extra = ["timezone"] if "timezone" in strikes.columns else []
     return (strikes
-            .select("event_id",
+            .select("event_id", *extra,
                     clean_code("airport_id").alias("airport_id"),
                     parse_us_date("incident_date").alias("incident_date"),
                     F.col("incident_year"), F.col("incident_month"),
@@ -247,26 +249,20 @@ def strike_rejects(strikes: DataFrame) -> DataFrame:
 
 
 def near_sunset_strikes(strikes: DataFrame, years=FALL_YEARS, months=FALL_MONTHS,
-                        offset: str = "longitude", half_window: int = 30) -> DataFrame:
+                        offset: str = "timezone", half_window: int = 30) -> DataFrame:
     """Strikes in the season and within +-``half_window`` minutes of sunset at the strike's position.
 
-    Strikes carry their own coordinates, so the sunset is computed once per
-    distinct (latitude, longitude, date) and joined back with the window test as
-    the join condition; strikes at one airport and day share one evaluation.
+    The sunset is computed per strike: one pass over the strikes, no shuffle. Zones come
+    from a ``timezone`` column, or without one from the distinct positions, joined back.
     """
     s = parse_strikes(strikes.where(season_inclusive("incident_year", "incident_month", years, months)))
-    keys = s.select(F.col("latitude_deg").alias("k_lat"), F.col("longitude_deg").alias("k_lon"),
-                    F.col("incident_date").alias("k_date")).distinct()
-    solar = keys.withColumns({"latitude_deg": F.col("k_lat"), "longitude_deg": F.col("k_lon")})
-    solar = with_sunset_minute(_offset(solar, "k_date", offset), "k_date",
-                               "k_lat", "k_lon", "offset_hours")
-    # Written once: the size check and the join then read the files instead of
-    # recomputing the distinct over the parsed strikes twice (measured faster).
-    solar = materialize_small(solar.select("k_lat", "k_lon", "k_date", "sunset_minute"), "solar_strikes")
-    cond = ((F.col("latitude_deg") == F.col("k_lat")) & (F.col("longitude_deg") == F.col("k_lon"))
-            & (F.col("incident_date") == F.col("k_date"))
-            & near_sunset("event_minute", "sunset_minute", half_window))
-    return (s.join(solar, cond)
+    if offset == "timezone" and "timezone" not in s.columns:
+        place = ["latitude_deg", "longitude_deg"]
+        s = s.join(s.select(*place).distinct().withColumn("timezone", nearest_timezone(*place)), place)
+    s = with_sunset_minute(_offset(s, "incident_date", offset), "incident_date", "latitude_deg", "longitude_deg", "offset_hours")
+    # The window test stays above the formula: pushed below, it would repeat the formula's text at every level.
+    return (s.withColumn("sunset_minute", F.explode(F.array("sunset_minute")))
+            .where(near_sunset("event_minute", "sunset_minute", half_window))
             .select("event_id", "airport_id", "latitude_deg", "longitude_deg", "incident_date",
                     "event_minute", "sunset_minute"))
 

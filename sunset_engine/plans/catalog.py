@@ -31,7 +31,7 @@ START, END = TD.TEST_FLIGHT_SEASON
 
 def near_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.near_sunset_flights(TD.flights(spark, sf_dir), TD.airports(spark, sf_dir), START, END,
-                                 TD.TEST_FLIGHT_YEARS)
+                                 TD.TEST_FLIGHT_YEARS, offset="longitude")
 
 
 def frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,8 @@ def top_airports(spark: SparkSession, sf_dir: str, n: int = 50) -> DataFrame:
 
 
 def near_strikes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.near_sunset_strikes(TD.strikes(spark, sf_dir), TD.TEST_STRIKE_YEARS, TD.TEST_STRIKE_MONTHS)
+    return T.near_sunset_strikes(TD.strikes(spark, sf_dir), TD.TEST_STRIKE_YEARS, TD.TEST_STRIKE_MONTHS,
+                                 offset="longitude")
 
 
 def strike_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +248,7 @@ def queries() -> dict[str, Query]:
         "fit_residuals": lambda s, d: _r6(fitted_line(s, d)),
         "regression_metrics": lambda s, d: _sig(ST.regression_metrics(fitted_line(s, d), "l_extendedprice",
                                                                       "fitted")),
-        "pearson_p_value": lambda s, d: ST.pearson_p_value(s, lineitem_xy(s, d), "l_quantity", "l_extendedprice")
+        "pearson_p_value": lambda s, d: ST.pearson_p_value(lineitem_xy(s, d), "l_quantity", "l_extendedprice")
         .select("n", F.round("pearson_r", 9).alias("pearson_r"), F.round("p_value", 9).alias("p_value")),
         "training_stats": training_stats,
         "rf_predictions": rf_predictions,
@@ -291,8 +292,10 @@ def queries() -> dict[str, Query]:
         "top_airports": top_airports,
         "bottom_airports": lambda s, d: T.top_n(frequencies(s, d), "flight_count", T.GROUP_KEY, 50, ascending=True),
         "top_and_bottom_airports": lambda s, d: T.top_and_bottom(frequencies(s, d), "flight_count", T.GROUP_KEY, 50),
-        "solar_table": lambda s, d: T.solar_table(TD.flights(s, d), TD.airports(s, d), START, END),
-        "solar_calendar": lambda s, d: T.calendar_solar_table(TD.sites(s, d), START, END, TD.TEST_FLIGHT_YEARS),
+        "solar_table": lambda s, d: T.solar_table(TD.flights(s, d), TD.airports(s, d), START, END,
+                                                  offset="longitude"),
+        "solar_calendar": lambda s, d: T.calendar_solar_table(TD.sites(s, d), START, END, TD.TEST_FLIGHT_YEARS,
+                                                              offset="longitude"),
         "near_sunset_strikes": near_strikes,
         "strike_counts": strike_counts,
         "strike_rejects": lambda s, d: T.strike_rejects(TD.strikes(s, d)),

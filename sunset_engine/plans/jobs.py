@@ -29,6 +29,7 @@ from sunset_engine.operators import stats as ST
 from sunset_engine.operators import traffic as T
 from sunset_engine.operators.joins import materialize
 from sunset_engine.operators.season import FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS
+from sunset_engine.operators.timezones import with_timezones
 from sunset_engine.sources import csvio
 
 
@@ -42,23 +43,30 @@ def ingest_flights(spark: SparkSession, csv_path: str, out_path: str, mode: str
     prunes month folders (August to November is 4 of 12).
     """
     f = csvio.read_flights(spark, csv_path)
+    # Rows of a month are brought together to keep files few; Spark splits the months that are too large for one task.
     (f.withColumns({"flight_year": F.year("flight_date"), "flight_month": F.month("flight_date")})
-     .repartition("flight_year", "flight_month", (F.hash("event_id") % 64))
+     .hint("rebalance", "flight_year", "flight_month")
      .write.mode(mode).partitionBy("flight_year", "flight_month").parquet(out_path))
 
 
 def flight_job(spark: SparkSession, flights_path: str, airports_path: str, strike_counts_path: str,
-               out_dir: str, n: int = 50, start=FALL_START, end=FALL_END, years=FALL_YEARS,
+               out_dir: str, n: int = 50, start=FALL_START, end=FALL_END, years: tuple[int, int] | None = None,
                offset: str = "timezone", mode: str = "errorifexists",
-               flights_format: str = "csv") -> dict[str, DataFrame]:
+               flights_format: str = "csv", timezones_path: str | None = None) -> dict[str, DataFrame]:
     """Near-sunset flight ends and the per-airport reports built from them.
 
+    All years are kept unless ``years`` gives a first and a last one. ``timezones_path`` names a
+    file of airport codes and IANA zones; airports without an entry take the nearest reference point's.
+
     ``flights_format="parquet"`` reads the output of ``ingest_flights``, whose
     year/month partitions the season filter prunes.
     """
     flights = (spark.read.parquet(flights_path) if flights_format == "parquet"
                else csvio.read_flights(spark, flights_path))
-    near = T.near_sunset_flights(flights, csvio.read_airports(spark, airports_path), start, end, years, offset)
+    airports = csvio.read_airports(spark, airports_path)
+    if timezones_path:
+        airports = with_timezones(airports, csvio.read_timezones(spark, timezones_path))
+    near = T.near_sunset_flights(flights, airports, start, end, years, offset)
     near = materialize(near, "near_sunset_flights")            # one pass over the flights, reused below
     csvio.write_csv(near, os.path.join(out_dir, "sunset_flights"), mode=mode)
     freq = materialize(T.flight_frequencies(near), "flight_frequencies")
@@ -75,10 +83,17 @@ def flight_job(spark: SparkSession, flights_path: str, airports_path: str, strik
 
 
 def strike_job(spark: SparkSession, strikes_path: str, out_path: str, header: bool = False, years=FALL_YEARS,
-               months=FALL_MONTHS, offset: str = "timezone", mode: str = "errorifexists") -> DataFrame:
-    """Near-sunset strikes counted per (airport, latitude, longitude), one CSV with header."""
-    counts = T.strike_counts(T.near_sunset_strikes(csvio.read_strikes(spark, strikes_path, header), years, months,
-                                                   offset))
+               months=FALL_MONTHS, offset: str = "timezone", mode: str = "errorifexists",
+               timezones_path: str | None = None) -> DataFrame:
+    """Near-sunset strikes counted per (airport, latitude, longitude), one CSV with header.
+
+    ``timezones_path``: airport codes (of three letters) and IANA zones; else the nearest reference point's.
+    """
+    strikes = csvio.read_strikes(spark, strikes_path, header)
+    if timezones_path:
+        strikes = with_timezones(strikes, csvio.read_timezones(spark, timezones_path),
+                                 T.strip_first_letter(T.clean_code("airport_id")))
+    counts = T.strike_counts(T.near_sunset_strikes(strikes, years, months, offset))
     csvio.write_single_csv(counts, out_path, mode=mode)
     return counts
 
@@ -120,19 +135,19 @@ def stats_job(spark: SparkSession, training_path: str, x: str = "bird_population
               y: str = "bird_flight_ratio") -> DataFrame:
     """One row: n, Pearson r, p-value, slope, intercept, R^2."""
     t = csvio.read_training(spark, training_path)
-    p = ST.pearson_p_value(spark, t, x, y).select("p_value")
-    return ST.summary(t, x, y).withColumn("p_value", p.select(F.first("p_value")).scalar())
+    return ST.summary(t, x, y).withColumn("p_value", ST.t_test_p_value("pearson_r", "n"))
 
 
 def model_job(spark: SparkSession, training_path: str, out_prefix: str, cross_validate: bool = True,
-              parallelism: int = 4) -> tuple[DataFrame, dict[str, float]]:
+              parallelism: int | None = None, model_suffix: str = "-model",
+              predictions_suffix: str = "-predictions") -> tuple[DataFrame, dict[str, float]]:
     """Cross-validated forest: saves the best pipeline and the test predictions, returns metrics."""
     data = M.prepare(csvio.read_training(spark, training_path))
     train, test = M.split(data)
     model = M.cross_validate(train, parallelism=parallelism).bestModel if cross_validate else M.fit_forest(train)
-    M.save(model, out_prefix + "_trained_regressor_model")
+    M.save(model, out_prefix + model_suffix)
     pred = M.predictions(model, test)
-    csvio.write_csv(pred, out_prefix + "_predictions", mode="overwrite")
+    csvio.write_csv(pred, out_prefix + predictions_suffix, mode="overwrite")
     return pred, M.evaluate(pred)
 
 

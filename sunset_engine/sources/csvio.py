@@ -1,6 +1,6 @@
 """CSV sources and sinks for the raw inputs and the report files.
 
-Every reader declares its schema: no inference pass over large inputs, and bad
+The large inputs (flights, airports) have a declared schema: no inference pass over them, and bad
 values become NULL (``PERMISSIVE``) instead of failing the job. The CSV reader is
 quote-aware, so a quoted comma such as ``"A, Inc."`` stays inside its field, and
 it accepts CRLF line ends. ``header=True`` drops the header line of every file.
@@ -41,9 +41,11 @@ def read_flights(spark: SparkSession, path: str, header: bool = True) -> DataFra
     """Flights with the columns the pipeline uses: flight_date, origin, dest, dep_time, arr_time.
 
     Only the first 11 fields are declared; later fields of wider files are ignored.
+    ``event_id`` is a hash of the fields read: the same for a row however the file is split
+    (rows that agree in all of them share it).
     """
     raw = read_csv(spark, path, FLIGHT_COLUMNS, header)
-    return raw.select(F.monotonically_increasing_id().alias("event_id"),
+    return raw.select(F.xxhash64(*FLIGHT_COLUMNS).alias("event_id"),
                       parse_iso_date("FlightDate").alias("flight_date"),
                       strip_quotes("Origin").alias("origin"), strip_quotes("Dest").alias("dest"),
                       F.coalesce(F.col("DepTime"), F.lit("")).alias("dep_time"),
@@ -61,7 +63,7 @@ def read_strikes(spark: SparkSession, path: str, header: bool = False) -> DataFr
     """Wildlife-strike rows by field position; headerless by default, as the export is used."""
     raw = spark.read.option("header", header).option("quote", '"').option("escape", '"').csv(path)
     cols = raw.columns
-    out = raw.select(F.monotonically_increasing_id().alias("event_id"),
+    out = raw.select(F.xxhash64(*cols).alias("event_id"),
                      *[F.col(cols[i]).alias(name) for name, i in STRIKE_FIELDS.items()])
     return out.withColumns({
         "incident_month": F.trim(F.col("incident_month")).try_cast("int"),
@@ -75,6 +77,12 @@ def read_code_list(spark: SparkSession, path: str, sep: str = ";", header: bool
     return raw.select(strip_quotes(F.col(raw.columns[0])).alias("code"))
 
 
+def read_timezones(spark: SparkSession, path: str, sep: str = ",", header: bool = True, code: int = 0, zone: int = 1) -> DataFrame:
+    """Airport codes with their IANA zone: fields ``code`` and ``zone`` of a delimited file, quotes stripped."""
+    raw = spark.read.option("header", header).option("sep", sep).option("quote", '"').csv(path)
+    return raw.select(strip_quotes(F.col(raw.columns[code])).alias("code"), strip_quotes(F.col(raw.columns[zone])).alias("timezone"))
+
+
 def read_training(spark: SparkSession, path: str) -> DataFrame:
     """The training table CSV with inferred types, as the model stage reads it (S3)."""
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
@@ -95,17 +103,22 @@ def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str =
 
 
 def write_sorted_report(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
-    """Fully sorted report table in one file (K8)."""
-    write_single_csv(df.orderBy(*by), path, header=True, mode=mode)
+    """Fully sorted report table in one file, NULLs last (K8). A report has one row per airport."""
+    (df.repartition(1).sortWithinPartitions(*[F.asc_nulls_last(c) for c in by])
+     .write.mode(mode).option("header", True).csv(path))
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Raster cells ``(row, col, value)`` from Parquet; filters on ``tile_row`` prune tile folders."""
-    return spark.read.parquet(path).select(F.col("row").cast("int"), F.col("col").cast("int"),
-                                           F.col("value").cast("double"))
+    """Raster cells ``(row, col, value)`` from Parquet (S7); ``tile_row`` too where the table is partitioned by it.
+
+    A filter on ``tile_row`` then reads only those folders.
+    """
+    t = spark.read.parquet(path)
+    extra = ["tile_row"] if "tile_row" in t.columns else []
+    return t.select(F.col("row").cast("int"), F.col("col").cast("int"), F.col("value").cast("double"), *extra)
 
 
 def write_cells(cells: DataFrame, path: str, tile: int = 256, mode: str = "overwrite") -> None:
-    """Raster cells as Parquet partitioned by tile row, so zone reads prune tiles (K7)."""
+    """Raster cells as Parquet partitioned by tile row, so that readers of some rows can prune folders (K7)."""
     (cells.withColumn("tile_row", (F.col("row") / tile).cast("int"))
      .write.mode(mode).partitionBy("tile_row").parquet(path))

@@ -40,7 +40,7 @@ def test_strikes_by_position_headerless(spark, tmp_dir):
     p = os.path.join(tmp_dir, "strikes.csv")
     _write(p, '1,09/04/2019,9,2019,18:40,Dusk,"KDEN",DENVER,39.86,-104.67\n'
               "2,9/5/2019,9,2019, ,Night,KATL,ATLANTA,,-84.4\n")
-    rows = csvio.read_strikes(spark, p).orderBy("event_id").collect()
+    rows = csvio.read_strikes(spark, p).orderBy("incident_date").collect()
     assert rows[0].incident_date == "09/04/2019" and rows[0].incident_year == 2019 and rows[0].time == "18:40"
     assert rows[1].airport_latitude is None and rows[1].incident_month == 9
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 
@@ -98,7 +99,7 @@ def test_stats_and_model_jobs(spark, tmp_dir):
     assert s.n == 40 and 0.9 < s.pearson_r <= 1.0 and s.p_value < 1e-6
     pred, metrics = jobs.model_job(spark, path, os.path.join(tmp_dir, "run"), cross_validate=False)
     assert pred.count() > 0 and metrics["rmse"] >= 0
-    assert os.path.isdir(os.path.join(tmp_dir, "run_trained_regressor_model"))
+    assert os.path.isdir(os.path.join(tmp_dir, "run-model"))
 
 
 def test_ingest_prunes_months(spark, files, tmp_dir):
@@ -109,7 +110,8 @@ def test_ingest_prunes_months(spark, files, tmp_dir):
     near = T.near_sunset_flights(t, csvio.read_airports(spark, os.path.join(files, "airports.csv")),
                                  years=(2018, 2020), offset="timezone")
     plan = near._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(flight_month" in plan or "flight_month#" in plan
+    pruned = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert re.search(r"flight_month#\d+ >= 8\)", pruned) and "isnotnull(flight_year" in pruned
     assert sorted(r.airport_id for r in near.collect()) == ["APA", "DEN", "DEN", "DEN"]
 
 
@@ -163,3 +165,35 @@ def test_command_line_flights_from_ingested_parquet(spark, files, tmp_dir):
                  "--parquet"], spark) == 0
     freq = spark.read.option("header", True).csv(os.path.join(out, "flight_frequencies")).collect()
     assert {r.airport_id: int(r.flight_count) for r in freq} == {"DEN": 3, "APA": 1}
+
+
+def test_flights_of_other_years_are_kept(spark, files, tmp_dir):
+    """A 2021 flight near sunset counts, in the job and on the command line, unless years are given."""
+    from sunset_engine.__main__ import main
+
+    path, zones = os.path.join(tmp_dir, "flights.csv"), os.path.join(tmp_dir, "zones.csv")
+    with open(path, "w") as f:
+        f.write(",".join(csvio.FLIGHT_COLUMNS) + "\n2021-10-01,A,DEN,XXX,False,False,0,1841.0,0,0,\n")
+    with open(zones, "w") as f:
+        f.write('code,zone\n"DEN","America/Denver"\n')
+    counts = os.path.join(tmp_dir, "counts")
+    assert main(["strikes", os.path.join(files, "strikes.csv"), counts, "--timezones", zones], spark) == 0
+    for extra, expected in (([], 1), (["--years", "2018", "2020"], 0), (["--timezones", zones], 1)):
+        out = os.path.join(tmp_dir, "out" + "".join(extra).replace("/", "_"))
+        assert main(["flights", path, os.path.join(files, "airports.csv"), counts, out, *extra], spark) == 0
+        assert spark.read.option("header", True).csv(os.path.join(out, "sunset_flights")).count() == expected
+
+
+def test_ratio_report_file_ends_with_nulls(spark, tmp_dir):
+    df = spark.createDataFrame([("A", None), ("B", 2.0), ("C", 1.0)], "airport_id string, strike_ratio double")
+    csvio.write_sorted_report(df.repartition(3), os.path.join(tmp_dir, "r"), ["strike_ratio"])
+    part = [f for f in os.listdir(os.path.join(tmp_dir, "r")) if f.endswith(".csv")]
+    assert len(part) == 1
+    with open(os.path.join(tmp_dir, "r", part[0])) as f:
+        assert [line.split(",")[0] for line in f.read().split()[1:]] == ["C", "B", "A"]
+
+
+def test_ingest_leaves_splitting_to_spark(spark, files):
+    """The write asks for a rebalance by month, which has no fixed number of buckets."""
+    f = csvio.read_flights(spark, os.path.join(files, "flights.csv")).selectExpr("*", "year(flight_date) y", "month(flight_date) m")
+    assert "REBALANCE_PARTITIONS_BY_COL" in f.hint("rebalance", "y", "m")._jdf.queryExecution().executedPlan().toString()

@@ -1,40 +1,21 @@
 import math
-import os
 
 import pytest
 from pyspark.ml import PipelineModel
 
 from sunset_engine.operators import model as M
 from sunset_engine.operators import stats as ST
-from sunset_engine.sources.csvio import read_training
 
-# The two published training tables are read only as data, from paths given by
-# GOLDEN_TRAINING_CSV (current table, 128 airports) and GOLDEN_TRAINING_OLD_CSV
-# (earlier table, 127 airports); without them these tests are skipped.
-# Golden statistics of bird_population vs bird_flight_ratio on those tables:
-GOLDEN = {
-    "GOLDEN_TRAINING_CSV": dict(n=128, r=0.046994025378, p=0.598365652527, slope=0.001066635243,
-                                intercept=0.003253406992, r2=0.002208438421),
-    "GOLDEN_TRAINING_OLD_CSV": dict(n=127, r=0.176318324897, p=0.047375912823, slope=0.002564684245,
-                                    intercept=0.002292154328, r2=0.031088151695),
-}
-
-
-@pytest.mark.parametrize("env", list(GOLDEN))
-def test_golden_statistics(spark, env):
-    path = os.environ.get(env)
-    if not path or not os.path.exists(path):
-        pytest.skip(f"{env} not set")
-    g = GOLDEN[env]
-    df = read_training(spark, path)
-    s = ST.summary(df, "bird_population", "bird_flight_ratio").first()
-    assert s.n == g["n"]
-    assert s.pearson_r == pytest.approx(g["r"], abs=1e-9)
-    assert s.slope == pytest.approx(g["slope"], abs=1e-9)
-    assert s.intercept == pytest.approx(g["intercept"], abs=1e-9)
-    assert s.r2 == pytest.approx(g["r2"], abs=1e-9)
-    p = ST.pearson_p_value(spark, df, "bird_population", "bird_flight_ratio").first()
-    assert p.p_value == pytest.approx(g["p"], abs=1e-8)
+def test_golden_statistics(spark):
+    """A published example: Anscombe's first data set (1973), r 0.816, p 0.00217, line y = 3.00 + 0.500 x, R^2 0.667."""
+    x = [10, 8, 13, 9, 11, 14, 6, 4, 12, 7, 5]
+    y = [8.04, 6.95, 7.58, 8.81, 8.33, 9.96, 7.24, 4.26, 10.84, 4.82, 5.68]
+    df = spark.createDataFrame([(float(a), b) for a, b in zip(x, y)] + [(None, 1.0), (2.0, None)], "x double, y double")
+    s = ST.summary(df, "x", "y").first()
+    assert s.n == 11 and s.pearson_r == pytest.approx(0.81642051634484, abs=1e-12)
+    assert s.slope == pytest.approx(0.500090909090909, abs=1e-12) and s.intercept == pytest.approx(3.00009090909091, abs=1e-12)
+    assert s.r2 == pytest.approx(0.666542459508775, abs=1e-12)
+    assert ST.pearson_p_value(df, "x", "y").first().p_value == pytest.approx(0.00216962887307879, abs=1e-12)
 
 
 def test_constant_column_gives_null_not_error(spark):
@@ -82,13 +63,16 @@ def test_cross_validation_small_grid(spark):
     assert M.predictions(cv.bestModel, test).count() == test.count()
 
 
-def test_t_test_p_value_properties():
-    p = ST.t_test_p_value
-    assert p(0.0, 50) == pytest.approx(1.0)
-    assert p(1.0, 50) == 0.0 and p(None, 50) is None and p(0.3, 2) is None
-    assert p(0.3, 40) == pytest.approx(p(-0.3, 40))
-    assert p(0.1, 40) > p(0.3, 40) > p(0.6, 40)
-    # large samples: t = 1.959964 gives the normal two-sided 5 %
-    n = 10**7
-    r = 1.959964 / math.sqrt(n - 2 + 1.959964**2)
-    assert p(r, n) == pytest.approx(0.05, abs=1e-4)
+def test_t_test_p_value_properties(spark):
+    rows = [(0.0, 50), (1.0, 50), (None, 50), (0.3, 2), (0.3, 40), (-0.3, 40), (0.1, 40), (0.6, 40)]
+    # large samples: t = 1.959964 gives the normal two-sided 5 %, at every size alike
+    rows += [(1.959964 / math.sqrt(n - 2 + 1.959964**2), n) for n in (10**7 - 1, 10**7 + 3, 10**9)]
+    # one and two degrees of freedom have closed forms
+    rows += [(t / math.sqrt(1 + t * t), 3) for t in (0.5, 100.0)] + [(t / math.sqrt(2 + t * t), 4) for t in (2.0, 30.0)]
+    df = spark.createDataFrame([(i, r, n) for i, (r, n) in enumerate(rows)], "i int, r double, n long")
+    p = [x.p for x in df.select("i", ST.t_test_p_value("r", "n").alias("p")).orderBy("i").collect()]
+    assert p[0] == pytest.approx(1.0) and p[1] == 0.0 and p[2] is None and p[3] is None
+    assert p[4] == pytest.approx(p[5]) and p[6] > p[4] > p[7]
+    assert p[8:11] == [pytest.approx(0.05, abs=1e-6)] * 3
+    assert p[11:13] == [pytest.approx(1 - 2 / math.pi * math.atan(t), rel=1e-9) for t in (0.5, 100.0)]
+    assert p[13:] == [pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-8) for t in (2.0, 30.0)]

@@ -1,11 +1,12 @@
 import datetime as dt
+import re
 
 from sunset_engine.operators import traffic as T
 
 FLIGHTS = "event_id long, flight_date date, origin string, dest string, dep_time string, arr_time string"
 AIRPORTS = "airport_id string, latitude_deg string, longitude_deg string, type string"
 
-# Denver on 2019-10-01 at UTC-7 by longitude: sunset 17:41 (1061).
+# Denver on 2019-10-01, daylight saving time: sunset 18:41 (1121).
 DAY = dt.date(2019, 10, 1)
 
 
@@ -73,17 +74,46 @@ def test_flight_plan_broadcasts_and_prunes(spark, tmp_dir):
     near = T.near_sunset_flights(spark.read.parquet(path), _airports(spark), years=(2019, 2019))
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "PushedFilters: [IsNotNull(flight_date), GreaterThan(flight_date" in plan.replace("\n", " ") or \
-        "GreaterThan(flight_date" in plan
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan).group(1)
+    assert "GreaterThanOrEqual(flight_date,2019-01-01)" in pushed and "LessThanOrEqual(flight_date," in pushed
     assert "BatchEvalPython" not in plan
-    # years known: the solar table comes from airports x season days, flights are scanned once
-    assert plan.count("FileScan parquet [event_id") == 1, plan
+    assert plan.count("FileScan parquet [event_id") == 1, plan             # flights are scanned once
     assert near.count() == 50
-    inferred = T.near_sunset_flights(spark.read.parquet(path), _airports(spark))  # years from the dates
-    assert sorted(r.event_id for r in inferred.collect()) == sorted(r.event_id for r in near.collect())
-    # a bound of one row forces the keyed solar table and a shuffle join: same rows
-    keyed = T.near_sunset_flights(spark.read.parquet(path), _airports(spark), max_solar_rows=1)
-    assert sorted(r.event_id for r in keyed.collect()) == sorted(r.event_id for r in near.collect())
+    every_year = T.near_sunset_flights(spark.read.parquet(path), _airports(spark))
+    assert every_year._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [event_id") == 1
+    assert sorted(r.event_id for r in every_year.collect()) == sorted(r.event_id for r in near.collect())
+    # above the bound on airports the same join is not hinted: same rows
+    unhinted = T.near_sunset_flights(spark.read.parquet(path), _airports(spark), max_airports=0)
+    assert sorted(r.event_id for r in unhinted.collect()) == sorted(r.event_id for r in near.collect())
+
+
+def test_every_year_is_kept(spark):
+    s = _sunset(spark)
+    hhmm = f"{s // 60 * 100 + s % 60}.0"
+    flights = spark.createDataFrame([(y, dt.date(y, 10, 1), "APA", "ZZZ", hhmm, "") for y in (1999, 2016, 2019, 2021, 2024)], FLIGHTS)
+    assert sorted(r.event_id for r in T.near_sunset_flights(flights, _airports(spark)).collect()) == [1999, 2016, 2019, 2021, 2024]
+    assert [r.event_id for r in T.near_sunset_flights(flights, _airports(spark), years=(2018, 2020)).collect()] == [2019]
+
+
+def test_seasons_without_a_day_or_with_odd_ends(spark):
+    flights = spark.createDataFrame([(1, DAY, "APA", "APA", "1841.0", "1841.0")], FLIGHTS)
+    for start, end in (((8, 1), (8, 2)), ((11, 1), (2, 1)), ((8, 1), (8, 1))):
+        assert T.near_sunset_flights(flights, _airports(spark), start, end).collect() == []
+        assert T.calendar_solar_table(_airports(spark), start, end, (2019, 2020)).collect() == []
+    days = [r.flight_date for r in T.calendar_solar_table(_airports(spark), (2, 27), (2, 30), (2019, 2020)).where("airport_id = 'APA'").collect()]
+    assert sorted(days) == [dt.date(2019, 2, 28), dt.date(2020, 2, 28), dt.date(2020, 2, 29)]
+    assert T.near_sunset_flights(flights, _airports(spark), (2, 29), (12, 31), (2019, 2019)).count() > 0
+
+
+def test_lookup_agrees_with_the_calendar_table(spark):
+    """The array looked up by day gives the sunset of the airport-day table, over a clock change and two years."""
+    days = [dt.date(y, 11, d) for y in (2019, 2020) for d in (1, 2, 3, 4, 28)]
+    flights = spark.createDataFrame([(i, d, "APA", "ZZZ", "1200.0", "") for i, d in enumerate(days)], FLIGHTS)
+    for offset in ("timezone", "longitude"):
+        table = {r.flight_date: r.sunset_minute for r in T.calendar_solar_table(_airports(spark), years=(2019, 2020), offset=offset)
+                 .where("airport_id = 'APA'").collect()}
+        near = T.near_sunset_flights(flights, _airports(spark), offset=offset, half_window=2000).collect()
+        assert {r.flight_date: r.sunset_minute for r in near} == {d: table[d] for d in days}
 
 
 def test_code_check_is_a_hash_anti_join(spark):
