@@ -70,6 +70,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (a plain sort: many times faster on hashes than hashing them again)."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its values (nulls are empty)."""
     if isinstance(column, pa.ChunkedArray):
@@ -114,13 +120,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = W
                 powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(part) - 1, _BASE, np.uint64)]))
                 inverse = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(part) - 1, _INVERSE, np.uint64)]))
             value = np.where(word, _LOWER[part], np.uint64(0)) * powers[:len(part)]
-            hashes.append(mix(np.add.reduceat(value, starts) * inverse[starts]))
+            sums = np.append(np.uint64(0), np.cumsum(value, dtype=np.uint64))
+            following = np.append(starts[1:], len(part))
+            hashes.append(mix((sums[following] - sums[starts]) * inverse[starts]))
             places.append(starts + at)
             if prefixes:
-                ends = np.append(starts, len(part))
-                nth = np.arange(len(part)) - np.repeat(np.append(0, starts), np.diff(np.append(0, ends)))
-                for size, out in zip(prefixes, begun, strict=True):
-                    out.append(mix(np.add.reduceat(np.where(nth < size, value, np.uint64(0)), starts) * inverse[starts] + _PLACE[size]))
+                letters = np.append(0, np.cumsum(word, dtype=np.int32))
+                size = letters[following] - letters[starts]
+                for most, out in zip(prefixes, begun, strict=True):
+                    out.append(mix((sums[starts + np.minimum(size, most)] - sums[starts]) * inverse[starts] + _PLACE[most]))
         at = to
     found = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     place = np.concatenate(places) if places else np.zeros(0, np.int64)
@@ -137,7 +145,7 @@ def shingle_sets(words: np.ndarray, first: np.ndarray, k: int) -> Iterator[np.nd
     for a, b in zip(first[:-1], first[1:], strict=True):
         m = b - a
         if m >= k:
-            yield np.unique(rolled[a:b - k + 1])
+            yield distinct(rolled[a:b - k + 1])
         elif m:
             yield mix(np.add.reduce(words[a:b] * _PLACE[:m], keepdims=True) + _PLACE[40 + m:41 + m])
         else:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import NOT_ALNUM, string_bytes, table, word_hashes
+from sunset_engine.llm.common import NOT_ALNUM, distinct, string_bytes, table, word_hashes
 
 BITS = 22
 # Beginnings of words, in bytes, that count as features besides whole words.
@@ -29,7 +29,7 @@ BINS = 16
 SHAPES = 8
 # The fit: rated texts per grade (about). A feature has a weight if its share of some grade is so many standard
 # errors off the grade's share; the many words that say nothing would add up over long texts.
-SAMPLE_PER_GRADE = 4000
+SAMPLE_PER_GRADE = 3000
 LEAST_DEVIATION = 4.0
 EPOCHS = 12
 BATCH = 64
@@ -52,25 +52,38 @@ def _classes() -> np.ndarray:
 
 _KIND = _classes()
 _NOT_MARK = _KIND != 4
+# Counted together, each in its half of a 64-bit sum: white space and capitals, digits and marks, line feeds.
+_PAIRS = [(_KIND == a).astype(np.uint64) | (_KIND == b).astype(np.uint64) << np.uint64(32) for a, b in ((0, 1), (3, 4))]
+_PAIRS.append((np.arange(256) == 10).astype(np.uint64))
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of all texts, ascending and distinct within each, and the offsets of the texts."""
+def features(data: np.ndarray, offsets: np.ndarray, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of all texts, ascending and distinct within each, and the offsets of the texts.
+
+    ``used`` marks the features that matter: hashed ones that it does not mark are left out early.
+    """
     n = len(offsets) - 1
     hashed, first, *begun = word_hashes(data, offsets, NOT_ALNUM, PREFIXES)
     words = np.diff(first)
     row = np.repeat(np.arange(n), words) << BITS
     marks, first_mark = word_hashes(data, offsets, _NOT_MARK)
     mark_row = np.repeat(np.arange(n), np.diff(first_mark)) << BITS
-    keys = [np.unique(r | (h >> np.uint64(64 - BITS)).astype(np.int64)) for r, h in ((row, hashed), *((row, b) for b in begun), (mark_row, marks))]
-    distinct = np.bincount(keys[0] >> BITS, minlength=n)
-    key = np.unique(np.concatenate(keys))
+    bucket = lambda h: (h >> np.uint64(64 - BITS)).astype(np.int64)
+    whole = distinct(row | bucket(hashed))
+    different = np.bincount(whole >> BITS, minlength=n)
+    keys = [whole if used is None else whole[used[whole & ((1 << BITS) - 1)]]]
+    for r, h in (*((row, b) for b in begun), (mark_row, marks)):
+        number = bucket(h)
+        matters = slice(None) if used is None else used[number]
+        keys.append(r[matters] | number[matters])
+    key = distinct(np.concatenate(keys))
     text = key >> BITS
     size = np.maximum(1, np.diff(offsets))
-    kind = _KIND[data]
-    share = [np.diff(np.append(0, np.cumsum(kind == c, dtype=np.int64))[offsets]) / size for c in (0, 1, 3, 4)]
-    lines = np.diff(np.append(0, np.cumsum(data == 10, dtype=np.int64))[offsets])
-    shape = [*(np.sqrt(s) for s in share), np.log2(1 + words) / 16, distinct / np.maximum(1, words), size / np.maximum(1, words) / 24, lines / np.maximum(1, words)]
+    counts = [np.diff(np.append(np.uint64(0), np.cumsum(pair[data], dtype=np.uint64))[offsets]) for pair in _PAIRS]
+    low, high = np.uint64((1 << 32) - 1), np.uint64(32)
+    share = [c / size for c in (counts[0] & low, counts[0] >> high, counts[1] & low, counts[1] >> high)]
+    lines = counts[2] & low
+    shape = [*(np.sqrt(s) for s in share), np.log2(1 + words) / 16, different / np.maximum(1, words), size / np.maximum(1, words) / 24, lines / np.maximum(1, words)]
     bins = np.stack([np.clip((s * BINS).astype(np.int64), 0, BINS - 1) + (1 << BITS) + i * BINS for i, s in enumerate(shape)], axis=1)
     ends = np.searchsorted(text, np.arange(n + 1))
     values = np.empty(len(key) + bins.size, np.int64)
@@ -107,9 +120,12 @@ class Model:
 def fit(values: np.ndarray, offsets: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int) -> Model:
     """Weighted maximum likelihood by Adagrad; gaps between thresholds are kept positive."""
     rng = np.random.default_rng(SEED)
-    names, index, texts = np.unique(values, return_inverse=True, return_counts=True)
+    names = distinct(values)
+    index = np.searchsorted(names, values).astype(np.int32)
+    texts = np.bincount(index, minlength=len(names))
     share = np.bincount(grade, minlength=grades) / len(grade)
-    found = np.bincount(np.repeat(grade, np.diff(offsets)) * len(names) + index, minlength=grades * len(names)).reshape(grades, -1)
+    of = np.repeat(grade.astype(np.int8), np.diff(offsets))
+    found = np.stack([np.bincount(index[of == g], minlength=len(names)) for g in range(grades)])
     error = np.sqrt(np.maximum(1e-12, texts * (share * (1 - share))[:, None]))
     used = (np.abs(found - texts * share[:, None]) / error).max(axis=0) >= LEAST_DEVIATION
     w, sq = np.zeros(len(names)), np.full(len(names), 1e-3)
@@ -175,7 +191,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> Model | None:
     rows = rows.sort_values(["grade", "features"])
     grade = rows["grade"].to_numpy()
     size = rows["features"].map(len).to_numpy() // 4
-    values = np.frombuffer(b"".join(rows["features"]), "<i4").astype(np.int64)
+    values = np.frombuffer(b"".join(rows.pop("features")), "<i4")
     share = np.array([counts.get(g, 0) / max(1, (grade == g).sum()) for g in range(grades)])
     return fit(values, np.append(0, np.cumsum(size)), grade, share[grade], grades)
 
@@ -183,8 +199,9 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> Model | None:
 def _rated(shared) -> Callable:
     def run(batches):
         model = Model(*shared.value)
+        used = model.weights != 0
         for batch in batches:
-            tails = np.concatenate([model.tails(*features(data, offsets)) for data, offsets in _sliced(batch.column("text"))] or [np.zeros((0, len(model.thresholds)))])
+            tails = np.concatenate([model.tails(*features(data, offsets, used)) for data, offsets in _sliced(batch.column("text"))] or [np.zeros((0, len(model.thresholds)))])
             yield pa.RecordBatch.from_arrays([batch.column("rest"), batch.column("blank"), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
                                              names=["rest", "blank", "expected_grade", "tail_prob"])
     return run
