@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no language: without a letter, or read as several at once. Labels of ``docs`` train the model."""
     learn = docs.where(F.col("doc_id").isNotNull() & ~byte_gru.held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
-    told = byte_gru.identify(docs.select(*COLUMNS, F.col("text").alias("_read")), byte_gru.train(learn), "_read")
+    told = byte_gru.identify(docs.select(*COLUMNS), byte_gru.train(learn), keep_text=True)
     sure = (F.col("lang_pred") != byte_gru.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
     return told.where(sure).select(*COLUMNS)
 

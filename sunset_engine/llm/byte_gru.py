@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunset_engine.llm.common import string_bytes, table
+from sunset_engine.llm.word_ids import lean_memory
 
 HIDDEN = 8
 WINDOW = 64
@@ -235,8 +236,9 @@ def train(docs: DataFrame) -> Model | None:
     return fit(x, np.ones(x.shape, np.float32) if mask is None else mask, y, languages)
 
 
-def _predicted(shared) -> Callable:
+def _predicted(shared, keep_text: bool) -> Callable:
     def run(batches):
+        lean_memory()
         names, f_bytes, f_state, b_bytes, b_state, out, bias = shared.value
         model = Model(names, Gru(f_bytes, f_state), Gru(b_bytes, b_state), out, bias)
         for batch in batches:
@@ -254,30 +256,32 @@ def _predicted(shared) -> Callable:
             total /= np.maximum(1, np.diff(offsets))
             best = total.argmax(axis=0)
             score = np.clip(total[best, np.arange(batch.num_rows)], 0, 1)
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "text" or keep_text}
             yield pa.RecordBatch.from_pydict(columns | {"lang_pred": pa.array([model.languages[k] for k in best], pa.string()), "score": pa.array(score)})
     return run
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``text_col`` replaced by (lang_pred, score): the language of the whole text and its probability.
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with (lang_pred, score): the language of the whole text and its probability.
 
     A null text, and one without a letter, is ``und`` with score 0, as are all texts when
     there is no model. Rows that repeat, and all other columns, stay as they are, unless
-    named lang_pred or score; an empty table gives no rows.
+    named lang_pred or score; the text stays if ``keep_text``. An empty table gives no rows.
     """
     text = F.col(f"`{text_col}`")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "lang_pred", "score")]
-    known = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    names = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != text_col)]
     if model is None:
-        return docs.select(*rest, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
-    # Texts without a letter are not sent; names are made plain for the way through Python.
-    plain = docs.select(F.struct(*rest).alias("rest") if rest else F.struct(F.lit(0).alias("none")).alias("rest"), known.alias("known"), F.when(known, text).alias("text"))
+        return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    known = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    # Under plain names on the way through Python; the text goes there once.
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c != text_col], known.alias("known"), text.cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.languages, model.forward.bytes, model.forward.state, model.backward.bytes, model.backward.state, model.out, model.bias))
-    out = plain.mapInArrow(_predicted(shared), f"rest {plain.schema['rest'].dataType.simpleString()}, known boolean, lang_pred string, score double")
-    return out.select(*[F.col("rest").getField(c).alias(c) for c in docs.columns if c not in (text_col, "lang_pred", "score")],
-                      F.when(F.col("known"), F.col("lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"), F.when(F.col("known"), F.col("score")).otherwise(0.0).alias("score"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema if f.name != "text" or keep_text)
+    out = plain.mapInArrow(_predicted(shared, keep_text), f"{schema}, lang_pred string, score double")
+    back = [F.col("text").alias(c) if c == text_col else F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    return out.select(*back, F.when(F.col("known"), F.col("lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
+                      F.when(F.col("known"), F.col("score")).otherwise(0.0).alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:

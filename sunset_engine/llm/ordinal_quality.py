@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunset_engine.llm.common import NOT_ALNUM, distinct, string_bytes, table, word_hashes
+from sunset_engine.llm.word_ids import lean_memory
 
 BITS = 22
 # Beginnings of words, in bytes, that count as features besides whole words.
@@ -38,7 +39,7 @@ LEAST_STEPS = 2000
 RATE = 0.15
 DECAY = 2e-5
 SEED = 5
-SLICE_BYTES = 1 << 24
+SLICE_BYTES = 1 << 21
 # Selection: probability of the upper grade.
 KEEP = 0.5
 
@@ -161,6 +162,7 @@ def fit(values: np.ndarray, offsets: np.ndarray, grade: np.ndarray, weight: np.n
 
 
 def _sampled(batches):
+    lean_memory()
     for batch in batches:
         at = 0
         for data, offsets in _sliced(batch.column("text")):
@@ -196,34 +198,42 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> Model | None:
     return fit(values, np.append(0, np.cumsum(size)), grade, share[grade], grades)
 
 
-def _rated(shared) -> Callable:
+def _rated(shared, keep_text: bool) -> Callable:
     def run(batches):
+        lean_memory()
         model = Model(*shared.value)
         used = model.weights != 0
         for batch in batches:
             tails = np.concatenate([model.tails(*features(data, offsets, used)) for data, offsets in _sliced(batch.column("text"))] or [np.zeros((0, len(model.thresholds)))])
-            yield pa.RecordBatch.from_arrays([batch.column("rest"), batch.column("blank"), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
-                                             names=["rest", "blank", "expected_grade", "tail_prob"])
+            passed = [n for n in batch.schema.names if n != "text" or keep_text]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in passed), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
+                                             names=[*passed, "expected_grade", "tail_prob"])
     return run
 
 
-def rate(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+def rate(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with (expected_grade, tail_prob): the mean grade and the chance of the highest.
 
-    Null, empty and blank texts have 0 and 0. Without a model both are null. All columns and
-    rows stay, but for columns already named like the two; an empty table gives no rows.
+    Null, empty and blank texts have 0 and 0. Without a model both are null. All rows and columns
+    stay (the text unless ``keep_text`` is false), but for columns already named like the
+    two; an empty table gives no rows.
     """
     text = F.col(f"`{text_col}`")
-    names = [c for c in docs.columns if c not in ("expected_grade", "tail_prob")]
-    rest = [F.col(f"`{c}`") for c in names]
+    names = [c for c in docs.columns if c not in ("expected_grade", "tail_prob") and (keep_text or c != text_col)]
     if model is None:
-        return docs.select(*rest, F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_prob"))
+        return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_prob"))
     blank = F.coalesce(~text.rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    plain = docs.select(F.struct(*rest).alias("rest"), blank.alias("blank"), text.cast("string").alias("text"))
+    # Under plain names on the way through Python; the text goes there once.
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], blank.alias("blank"), text.cast("string").alias("text"))
+    if keep_text:
+        plain = plain.drop(f"c{names.index(text_col)}")
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
-    out = plain.mapInArrow(_rated(shared), f"rest {plain.schema['rest'].dataType.simpleString()}, blank boolean, expected_grade double, tail_prob double")
+    passed = [c for c in plain.columns if c != "text" or keep_text]
+    schema = ", ".join(f"`{c}` {plain.schema[c].dataType.simpleString()}" for c in passed)
+    out = plain.mapInArrow(_rated(shared, keep_text), f"{schema}, expected_grade double, tail_prob double")
+    back = [F.col("text").alias(c) if keep_text and c == text_col else F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
     value = lambda c: F.when(F.col("blank"), 0.0).otherwise(F.col(c)).alias(c)
-    return out.select(*[F.col("rest").getField(c).alias(c) for c in names], value("expected_grade"), value("tail_prob"))
+    return out.select(*back, value("expected_grade"), value("tail_prob"))
 
 
 def kept(keep: float = KEEP) -> Column:
@@ -246,4 +256,4 @@ def learned(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Model | None:
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's expected grade, chance of being good, and whether it is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return rate(docs, learned(spark, sf_dir, docs)).select("doc_id", "expected_grade", "tail_prob", kept().alias("kept"))
+    return rate(docs, learned(spark, sf_dir, docs), keep_text=False).select("doc_id", "expected_grade", "tail_prob", kept().alias("kept"))
