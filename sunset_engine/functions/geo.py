@@ -7,8 +7,7 @@
 
 Formulas are Python functions over a math namespace ``m`` (see ``mathns``) and
 are applied by ``steps.apply_steps``, one projection per dependency level: every
-intermediate is computed once per row, all inside whole-stage codegen. The same
-step lists render as SQL for the DuckDB cross-check.
+intermediate is computed once per row, all inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -188,8 +187,3 @@ def zone_corner_steps(lat: str, lon: str, dist_m: float, bounds=GRID_BOUNDS,
     def as_group(step):
         return step if isinstance(step, list) else [step]
     return [[pair for step in position for pair in as_group(step)] for position in zip(*chains)]
-
-
-def side_sign(m, c, xa: str, ya: str, xb: str, yb: str, px: str, py: str):
-    """Cross product of edge a->b with a->p; the sign says which side p is on."""
-    return (c(xb) - c(xa)) * (c(py) - c(ya)) - (c(yb) - c(ya)) * (c(px) - c(xa))

@@ -2,8 +2,7 @@
 
 The geodesy formulas in ``geo.py`` are written against a namespace ``m`` with
 ``m.sin``, ``m.sqrt``, ``m.atan2`` ... . ``SPARK`` maps them to built-in Spark
-functions; the cross-check module maps the same names to SQL text, so both
-engines evaluate one formula definition.
+functions.
 """
 
 from __future__ import annotations

@@ -1,10 +1,10 @@
-"""Apply a chain of named column steps, one ``select`` per dependency level.
+"""Apply a chain of named column steps, one projection per dependency level.
 
 Long formulas (sunset, projection, geodesic) are written as ordered steps
 ``(name, fn)``; ``fn(m, c)`` builds the Column from the math namespace ``m`` and
-references to earlier columns ``c(name)``. Each step (or list of independent
-steps) becomes one projection, so Catalyst keeps every intermediate once and
-the chain stays inside one whole-stage-codegen span.
+references to earlier columns ``c(name)``. Each dependency level becomes one projection, so
+Catalyst keeps every intermediate once and the chain stays inside one
+whole-stage-codegen span.
 """
 
 from __future__ import annotations
@@ -16,32 +16,16 @@ from sunset_engine.functions.mathns import SPARK
 
 
 def apply_steps(df: DataFrame, steps: list, drop_prefix: str | None = None) -> DataFrame:
-    """Apply steps as one ``select`` per dependency level.
+    """Add the steps' columns.
 
-    A step is ``(name, fn)`` or a list of independent ``(name, fn)`` pairs added
-    together. Temporaries starting with ``drop_prefix`` are dropped right after
-    their last use, which keeps every intermediate projection narrow.
+    A step is ``(name, fn)`` or a list of independent ``(name, fn)`` pairs. All of them are
+    given to Spark in one ``select`` whose later columns name earlier ones; Spark makes one
+    projection per dependency level of it, and the plan is analysed once, not once a level.
+    Columns starting with ``drop_prefix`` are dropped at the end, and Catalyst prunes
+    them after their last use. A step replaces a column of its name.
     """
-    groups = [step if isinstance(step, list) else [step] for step in steps]
-    built, last_use = [], {}
-    for i, group in enumerate(groups):
-        used: set[str] = set()
-
-        def ref(name: str, used=used):
-            used.add(name)
-            return F.col(name)
-
-        built.append([(name, fn(SPARK, ref)) for name, fn in group])
-        for name in used:
-            last_use[name] = i
-
-    def dead(col: str, i: int) -> bool:
-        return bool(drop_prefix) and col.startswith(drop_prefix) and last_use.get(col, -1) < i
-
-    for i, group in enumerate(built):
-        new = {name for name, _ in group}
-        keep = [c for c in df.columns if c not in new and not dead(c, i)]
-        df = df.select(*keep, *[expr.alias(name) for name, expr in group])
-    if drop_prefix:
-        df = df.drop(*[c for c in df.columns if c.startswith(drop_prefix)])
-    return df
+    pairs = [pair for step in steps for pair in (step if isinstance(step, list) else [step])]
+    made = [name for name, _ in pairs]
+    keep = [c for c in df.columns if c not in made]
+    out = df.select(*keep, *[fn(SPARK, F.col).alias(name) for name, fn in pairs])
+    return out.select(*keep, *[n for n in made if not (drop_prefix and n.startswith(drop_prefix))])

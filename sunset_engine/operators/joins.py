@@ -15,14 +15,14 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (one job reading at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` holds at most ``max_rows`` rows (one count; Parquet files answer it from their footers)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast join only when ``df`` is proven to hold at most ``max_rows`` rows.
 
-    The check is one cheap job that stops after ``max_rows + 1`` rows. Above the
+    The check is one count. Above the
     bound the plain frame is returned, and Spark plans a shuffle join (with AQE
     free to switch strategies at run time).
     """
@@ -40,8 +40,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def materialize_small(df: DataFrame, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a derived lookup table and broadcast it when its row count is within bound."""
-    return broadcast_if_bounded(materialize(df, name), max_rows)

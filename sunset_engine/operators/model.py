@@ -29,20 +29,15 @@ SEED = 42
 TRAIN_FRACTION = 0.7
 
 
-# Rows per partition of the training table: its row count is the airport count,
-# so this is one partition for any real airport list and still splits if it grows.
-ROWS_PER_PARTITION = 50_000
-
-
 def prepare(df: DataFrame) -> DataFrame:
     """Drop rows with any NULL (F9), write the table once (lineage cut) and cache it.
 
-    The partition count follows the row count, so each of the ~500 small jobs
-    of a cross-validation runs as few tasks as the data needs.
+    The table has one row per airport, so it is kept in one sorted partition: bagging and folds
+    depend on rows' places, which then are the same on any cluster and at any size, and
+    each of the ~500 small jobs of a cross-validation runs one task.
     """
     table = materialize(df.na.drop(), "training")
-    n = table.count()
-    return table.coalesce(max(1, -(-n // ROWS_PER_PARTITION))).cache()
+    return table.repartition(1).sortWithinPartitions(*table.columns).cache()
 
 
 def split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SEED,
@@ -69,8 +64,12 @@ def fit_forest(train: DataFrame, features=FEATURES, label: str = LABEL, **params
 
 
 def cross_validate(train: DataFrame, features=FEATURES, label: str = LABEL, trees=GRID_TREES, depths=GRID_DEPTH,
-                   folds: int = FOLDS, seed: int = SEED, parallelism: int = 4) -> CrossValidatorModel:
-    """Grid over trees x depth with k-fold CV on RMSE (M4, M5); ``bestModel`` is refit on all of ``train`` (M9)."""
+                   folds: int = FOLDS, seed: int = SEED, parallelism: int | None = None) -> CrossValidatorModel:
+    """Grid over trees x depth with k-fold CV on RMSE (M4, M5); ``bestModel`` is refit on all of ``train`` (M9).
+
+    As many fits run at once as the session has slots, unless ``parallelism`` says otherwise.
+    """
+    parallelism = parallelism or train.sparkSession.sparkContext.defaultParallelism
     pipeline, rf = forest_pipeline(features, label)
     grid = ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths)).build()
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")

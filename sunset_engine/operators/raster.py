@@ -5,13 +5,17 @@ that are absent hold 0, as do NULL and NaN values (P15). A dense 4614 x 2900
 grid is 13.4 M cells; a sparse table stores only the occupied ones, and every
 operator below accounts for the implicit zeros exactly.
 
+A table has one row per cell; rows outside the grid play no part.
+
 Plan shape of ``zonal_mean``:
 
     airports -> Albers -> 4 Vincenty corners -> pixels             (narrow, per airport)
       -> explode bounding-box rows x cols, half-plane test, in-grid  (narrow, ~140 px per zone)
-    zone pixels (size-checked broadcast) JOIN cells on (row, col)   (cells streamed, no shuffle)
-      -> partial sum/count per zone -> tiny shuffle -> final
-    raster min/max: one scalar subquery over the cells (no cross join)
+      -> zones of each pixel                                          (one row per pixel)
+    cells, scanned once, LEFT JOIN pixels on (row, col)            (broadcast behind a check of the airport count)
+      -> each cell counts for the whole grid and for its zones
+      -> partial sum/count/min/max per zone and for the grid -> tiny shuffle -> final
+    the grid's min and max come from that same aggregate (its exchange is reused)
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from sunset_engine.functions.geo import (GRID_BOUNDS, GRID_RESOLUTION, METRES_PE
 from sunset_engine.operators.joins import is_bounded
 
 ZONE_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
+# Zones whose pixels (about 140 each) may be broadcast.
+BROADCAST_ZONES = 20_000
 
 
 def project_airports(airports: DataFrame) -> DataFrame:
@@ -137,10 +143,15 @@ def normalized_cells(cells: DataFrame, bounds=GRID_BOUNDS, resolution: float = G
     adds one more value that does.
     """
     height, width = grid_shape(bounds, resolution)
+    cells = on_grid(cells, height, width)
     stats = _range_stats(cells, height * width, nodata)
     return cells.select("row", "col", _normalize(_value(nodata), stats).alias("value"))
 
 
+def on_grid(cells: DataFrame, height: int, width: int) -> DataFrame:
+    return cells.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
+
+
 def nonzero_cells(cells: DataFrame) -> DataFrame:
     """Cells whose value is neither 0, NULL nor NaN."""
     return cells.where(nan_to_zero("value") != 0).select("row", "col")
@@ -150,23 +161,27 @@ def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
                resolution: float = GRID_RESOLUTION, nodata: float | None = None) -> DataFrame:
     """Mean normalised cell value over each zone's pixels (A6): ``bird_population``.
 
-    Pixels without a stored cell contribute the normalised value of 0. The zone
-    pixels are broadcast behind a size check and the cells stream past them, so
-    the cell table is never shuffled; only per-zone partial sums move.
+    Pixels without a stored cell contribute the normalised value of 0. Normalising is linear, so
+    the mean is taken over raw values and normalised at the end: the cells are read once, for
+    the zones and for the grid's range alike.
     """
     height, width = grid_shape(bounds, resolution)
-    stats = _range_stats(cells, height * width, nodata)
-    zero = _normalize(F.lit(0.0), stats)
     pix = zone_pixels(zones, bounds, resolution)
-    small = is_bounded(pix)
-    totals = pix.groupBy(*ZONE_KEY).agg(F.count(F.lit(1)).alias("n_pixels"))
-    norm = cells.select("row", "col", _normalize(_value(nodata), stats).alias("v"))
-    matched = (norm.join(F.broadcast(pix) if small else pix, ["row", "col"])
-               .groupBy(*ZONE_KEY).agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("m")))
-    # one row per zone, so at most as many rows as the checked pixel table
-    return (totals.join(F.broadcast(matched) if small else matched, ZONE_KEY, "left")
-            .select("airport_id",
-                    ((F.coalesce(F.col("s"), F.lit(0.0))
-                      + (F.col("n_pixels") - F.coalesce(F.col("m"), F.lit(0))) * zero)
-                     / F.col("n_pixels")).alias("bird_population"),
-                    "n_pixels"))
+    zone = F.struct(*ZONE_KEY)
+    small = is_bounded(zones, BROADCAST_ZONES)
+    by_pixel = pix.groupBy("row", "col").agg(F.collect_list(zone).alias("zones"))
+    by_pixel = F.broadcast(by_pixel) if small else by_pixel
+    whole_grid = F.array(F.lit(None).cast(pix.select(zone.alias("z")).schema["z"].dataType))
+    counted = on_grid(cells, height, width).join(by_pixel, ["row", "col"], "left").select(
+        _value(nodata).alias("v"), F.explode(F.when(F.col("zones").isNull(), whole_grid).otherwise(F.concat(whole_grid, "zones"))).alias("z"))
+    sums = counted.groupBy("z").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("m"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    absent = F.col("m") < F.lit(height * width)
+    grid = sums.where(F.col("z").isNull()).select(F.struct(
+        F.when(absent, F.least("mn", F.lit(0.0))).otherwise(F.col("mn")).alias("mn"),
+        F.when(absent, F.greatest("mx", F.lit(0.0))).otherwise(F.col("mx")).alias("mx")).alias("s")).scalar()
+    mean = F.coalesce(F.col("s"), F.lit(0.0)) / F.col("n_pixels")
+    scaled = F.when(grid.isNull(), mean).otherwise(_normalize(mean, grid))
+    totals = pix.groupBy(*ZONE_KEY).agg(F.count(F.lit(1)).alias("n_pixels")).select(zone.alias("z"), "n_pixels")
+    found = sums.where(F.col("z").isNotNull()).select("z", "s")               # a row per zone
+    return (totals.join(F.broadcast(found) if small else found, "z", "left")
+            .select("z.airport_id", scaled.alias("bird_population"), "n_pixels"))

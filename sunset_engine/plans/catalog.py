@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from sunset_engine.functions import text as X
 from sunset_engine.functions.columns import round_significant, to_double
 from sunset_engine.functions.geo import GRID_BOUNDS
-from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
+from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_iso_date, parse_us_date
 from sunset_engine.operators import model as M
 from sunset_engine.operators import quality as QL
 from sunset_engine.operators import raster as R
 from sunset_engine.operators import stats as ST
 from sunset_engine.operators import traffic as T
-from sunset_engine.operators.joins import materialize
 from sunset_engine.operators.season import season_exclusive, season_inclusive
 from sunset_engine.operators.timezones import nearest_timezone
 from sunset_engine.sources import testdata as TD
@@ -147,26 +146,9 @@ def airports_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.airport_keys(TD.airports(spark, sf_dir)).select(*R.ZONE_KEY)
 
 
-_MEMO: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A small shared intermediate, written once per session and data folder.
-
-    Used for tables bounded by the number of airports that several reports
-    read (zones, the training table): they are built once, written to the
-    checkpoint folder, and every later report reads the files.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _MEMO:
-        _MEMO[key] = materialize(build(), name)
-    return _MEMO[key]
-
-
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones of the airports the flights use (one row per airport inside the grid)."""
-    return _shared(spark, sf_dir, "zones",
-                   lambda: R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID))
+    return R.airport_zones(airports_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID)
 
 
 def sites_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,15 +157,14 @@ def sites_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def site_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones of all airport sites (grows with the scale factor)."""
-    return _shared(spark, sf_dir, "site_zones",
-                   lambda: R.airport_zones(sites_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID))
+    return R.airport_zones(sites_geo(spark, sf_dir), TD.TEST_ZONE_MILES, **GRID)
 
 
 def zonal_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.zonal_mean(zones(spark, sf_dir), TD.raster_cells(spark, sf_dir), **GRID)
 
 
-def build_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zonal bird population joined to strikes per flight (J5): the model's input table."""
     spf = T.strike_per_flight(frequencies(spark, sf_dir), strike_counts(spark, sf_dir))
     return (zonal_means(spark, sf_dir).select("airport_id", "bird_population")
@@ -191,11 +172,6 @@ def build_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("strike_ratio").alias("bird_flight_ratio")), "airport_id"))
 
 
-def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training table, written once per session (the reference writes it as a CSV)."""
-    return _shared(spark, sf_dir, "training", lambda: build_training_table(spark, sf_dir))
-
-
 def _r6(df: DataFrame) -> DataFrame:
     """Round every double column to 6 decimals (cross-engine comparison of sums)."""
     return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
@@ -225,6 +201,34 @@ def model_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return M.split(data, key="airport_id")
 
 
+def rf_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which part of the keyed 70/30 split each training row is in (M6)."""
+    train, test = model_input(spark, sf_dir)
+    return (train.select("airport_id", F.lit("train").alias("part"))
+            .unionAll(test.select("airport_id", F.lit("test").alias("part"))))
+
+
+def rf_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predictions table without its prediction (M8): key, features and target of the test rows."""
+    train, test = model_input(spark, sf_dir)
+    rows = M.predictions(M.fit_forest(train, numTrees=5), test).drop("prediction")
+    return rows.withColumns({c: F.round(c, 6) for c in ("bird_population", "bird_flight_ratio")})
+
+
+def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as text, some in another form or blank, read back as ISO dates."""
+    o = TD.read_table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    text = (F.when(F.col("o_orderkey") % 7 == 0, F.date_format(day, "MM/dd/yyyy")).when(F.col("o_orderkey") % 11 == 0, F.lit(""))
+            .otherwise(F.date_format(day, "yyyy-MM-dd")))
+    return o.select("o_orderkey", text.alias("t")).select("o_orderkey", parse_iso_date("t").alias("order_date"))
+
+
+def solar_calendar_fall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sunsets of the whole season at zone time, the day of the clock change included."""
+    return T.calendar_solar_table(TD.sites(spark, sf_dir), years=(2019, 2019))
+
+
 def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = model_input(spark, sf_dir)
     return M.predictions(M.fit_forest(train), test)
@@ -251,6 +255,10 @@ def queries() -> dict[str, Query]:
         "pearson_p_value": lambda s, d: ST.pearson_p_value(lineitem_xy(s, d), "l_quantity", "l_extendedprice")
         .select("n", F.round("pearson_r", 9).alias("pearson_r"), F.round("p_value", 9).alias("p_value")),
         "training_stats": training_stats,
+        "rf_split": rf_split,
+        "rf_test_rows": rf_test_rows,
+        "iso_dates": iso_dates,
+        "solar_calendar_fall": solar_calendar_fall,
         "rf_predictions": rf_predictions,
         "rf_metrics": rf_metrics,
         "rf_cross_validated": rf_cross_validated,

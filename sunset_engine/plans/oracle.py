@@ -1,14 +1,16 @@
 """DuckDB SQL for every catalog query that SQL can express (the correctness oracle).
 
 Each text runs on the raw test tables (``nation``, ``events``, ``lineitem`` ...)
-and rebuilds the bridging views itself, so it shares no code path with Spark.
+and rebuilds the bridging views itself. Formulas and constants are written out here, in
+``sqltext`` and in ``geosql``; only the test data's parameters and the sunset algorithm's
+published constants are shared with the Spark side.
 Doubles that pass through transcendental math are rounded to 6 decimals in
 both the query and its oracle.
 """
 
 from __future__ import annotations
 
-from sunset_engine.operators import traffic as T
+from sunset_engine.plans import geosql
 from sunset_engine.plans import sqltext as Q
 from sunset_engine.sources import testdata as TD
 
@@ -148,23 +150,25 @@ def _known_codes_cte() -> str:
   where type in ('medium_airport', 'large_airport') and airport_id <> '')"""
 
 
+# Grid of the test raster: 290 rows and 461 columns of 10 km; zones reach 50 miles to a corner.
+GRID_ROWS, GRID_COLS, CELL, ZONE_METRES = 290, 461, 10000.0, 50 * 1609.344
+
+
 def _geo_ctes(sites: bool = False) -> str:
-    from sunset_engine.functions import geo as G
-    bounds, res = G.GRID_BOUNDS, TD.TEST_GRID_RESOLUTION
-    h, w = G.grid_shape(bounds, res)
-    dist = TD.TEST_ZONE_MILES * G.METRES_PER_MILE
     corner_cols = ", ".join(f"c{k}_{v}" for k in range(4) for v in ("x", "y"))
     source = Q.sites_cte() if sites else Q.airports_cte()
+    col, row = geosql.pixel("x", "y", CELL)
     return f"""{source},
+{geosql.constants()},
 geo_src as (select airport_id, latitude_deg, longitude_deg from airports
   where latitude_deg is not null and longitude_deg is not null),
-{Q.step_ctes('geo_src', G.albers_forward_steps('latitude_deg', 'longitude_deg', 'x', 'y', '_pa_'), 'proj0', '_pa_')},
+{geosql.albers('geo_src', 'latitude_deg', 'longitude_deg', 'proj0')},
 proj as (select * from proj0 where isfinite(x) and isfinite(y)),
-{Q.step_ctes('proj', G.albers_inverse_steps('x', 'y', 'lat_back', 'lon_back', '_pi_'), 'rtrip', '_pi_')},
-{Q.step_ctes('proj', G.zone_corner_steps('latitude_deg', 'longitude_deg', dist, bounds, res), 'corn', '_z')},
-{Q.step_ctes('corn', G.pixel_steps('x', 'y', 'col', 'row', bounds, res), 'pix')},
+{geosql.albers_inverse('proj', 'rtrip')},
+{geosql.corners('proj', 'corn', ZONE_METRES, CELL)},
+pix as (select *, {col} as col, {row} as row from corn),
 zones as (select airport_id, latitude_deg, longitude_deg, col, row, {corner_cols} from pix
-  where row >= 0 and row < {h} and col >= 0 and col < {w})"""
+  where row >= 0 and row < {GRID_ROWS} and col >= 0 and col < {GRID_COLS})"""
 
 
 def _side(xa: str, ya: str, xb: str, yb: str) -> str:
@@ -172,8 +176,7 @@ def _side(xa: str, ya: str, xb: str, yb: str) -> str:
 
 
 def _raster_ctes() -> str:
-    from sunset_engine.functions import geo as G
-    h, w = G.grid_shape(G.GRID_BOUNDS, TD.TEST_GRID_RESOLUTION)
+    h, w = GRID_ROWS, GRID_COLS
     v0 = "coalesce(case when isnan(value) then 0.0 else value end, 0.0)"
     s = [_side("c2_x", "c2_y", "c3_x", "c3_y"), _side("c3_x", "c3_y", "c0_x", "c0_y"),
          _side("c0_x", "c0_y", "c1_x", "c1_y"), _side("c1_x", "c1_y", "c2_x", "c2_y")]
@@ -181,10 +184,10 @@ def _raster_ctes() -> str:
 rstats as (
   select case when count(*) < {h * w} then least(min({v0}), 0.0) else min({v0}) end as mn,
          case when count(*) < {h * w} then greatest(max({v0}), 0.0) else max({v0}) end as mx
-  from raster_cells),
+  from raster_cells where row >= 0 and row < {h} and col >= 0 and col < {w}),
 norm as (
   select row, col, case when mx <> mn then ({v0} - mn) / (mx - mn) else {v0} end as value
-  from raster_cells, rstats),
+  from raster_cells, rstats where row >= 0 and row < {h} and col >= 0 and col < {w}),
 zero_norm as (select case when mx <> mn then (0.0 - mn) / (mx - mn) else 0.0 end as z from rstats),
 bbox as (
   select z.*, unnest(generate_series(least(c0_y, c1_y, c2_y, c3_y), greatest(c0_y, c1_y, c2_y, c3_y))) as row_
@@ -364,18 +367,27 @@ joined as (
 {Q.solar_ctes('joined', 'flight_date', 'latitude_deg', 'longitude_deg', 'offset_hours')}
 select airport_id, latitude_deg, longitude_deg, flight_date, sunset_minute from solar"""
 
-    days = T.season_days(START, END, TD.TEST_FLIGHT_YEARS)
-    ranges = " union all ".join(
-        f"select unnest(generate_series(date '{lo}', date '{hi}', interval 1 day))::date as flight_date"
-        for lo, hi in days)
+    (m0, d0), (m1, d1) = START, END
+    y0, y1 = TD.TEST_FLIGHT_YEARS
     q["solar_calendar"] = f"""with {Q.sites_cte()},
-days as ({ranges}),
+days as (select flight_date from (select unnest(generate_series(date '{y0}-01-01', date '{y1}-12-31', interval 1 day))::date as flight_date)
+  where month(flight_date) * 100 + day(flight_date) > {m0 * 100 + d0} and month(flight_date) * 100 + day(flight_date) < {m1 * 100 + d1}),
 joined as (
   select a.airport_id, a.latitude_deg, a.longitude_deg, d.flight_date,
          round(a.longitude_deg / {Q.dbl(15.0)}) as offset_hours
   from airports a join days d on true where a.airport_id <> ''),
 {Q.solar_ctes('joined', 'flight_date', 'latitude_deg', 'longitude_deg', 'offset_hours')}
 select airport_id, latitude_deg, longitude_deg, flight_date, sunset_minute from solar"""
+    q["solar_calendar_fall"] = f"""with {Q.sites_cte()}, {_airport_tz_ctes()},
+days as (select unnest(generate_series(date '2019-08-02', date '2019-11-29', interval 1 day))::date as flight_date),
+joined as (
+  select a.airport_id, a.latitude_deg, a.longitude_deg, d.flight_date, {_tz_offset('d.flight_date', 'z.timezone')} as offset_hours
+  from airports a join airport_tz z on z.airport_id = a.airport_id join days d on true where a.airport_id <> ''),
+{Q.solar_ctes('joined', 'flight_date', 'latitude_deg', 'longitude_deg', 'offset_hours')}
+select airport_id, latitude_deg, longitude_deg, flight_date, sunset_minute from solar"""
+    q["iso_dates"] = """select o_orderkey, case when regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2}') then try_cast(t as date) end as order_date
+from (select o_orderkey, case when o_orderkey % 7 = 0 then strftime(o_orderdate, '%m/%d/%Y') when o_orderkey % 11 = 0 then ''
+        else strftime(o_orderdate, '%Y-%m-%d') end as t from orders)"""
     strikes = _near_strikes_ctes()
     q["strike_counts"] = "with " + strikes + "\nselect * from strike_counts"
     q["near_sunset_strikes"] = "with " + strikes + "\nselect * from near_strikes"
@@ -404,6 +416,10 @@ select count(*) as n, round(corr(bird_population, ratio), 6) as pearson_r,
        round(regr_intercept(ratio, bird_population), 6) as intercept,
        round(regr_r2(ratio, bird_population), 6) as r2
 from training"""
+    split = "('0x' || substr(md5('42:' || airport_id), 1, 7))::bigint % 1000"
+    rows = q["training_table"]
+    q["rf_split"] = f"select airport_id, case when {split} < 700 then 'train' else 'test' end as part from ({rows})"
+    q["rf_test_rows"] = f"""select airport_id, bird_population, flight_count, bird_flight_ratio from ({rows}) where {split} >= 700"""
     q["strike_ratio_left"] = both + """
 select f.airport_id, f.latitude_deg, f.longitude_deg, f.flight_count, s.strike_count,
        cast(coalesce(s.strike_count, 0) as double) / cast(f.flight_count as double) as strike_ratio

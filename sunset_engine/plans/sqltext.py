@@ -9,7 +9,6 @@ so both engines use bit-identical doubles.
 from __future__ import annotations
 
 import math
-from types import SimpleNamespace
 
 from sunset_engine.functions import solar as S
 from sunset_engine.sources import testdata as TD
@@ -144,56 +143,3 @@ def solar_ctes(src: str, d: str, lat: str, lon: str, off: str, name: str = "sola
              f" as sunset_minute from {prev})")
     parts.append(final)
     return ",\n".join(parts)
-
-
-class SqlExpr:
-    """SQL text with arithmetic operators, so the geo formulas can render as SQL."""
-
-    def __init__(self, text: str):
-        self.text = text
-
-    @staticmethod
-    def _t(o) -> str:
-        return o.text if isinstance(o, SqlExpr) else dbl(o)
-
-    def _bin(self, op: str, o, rev: bool = False) -> "SqlExpr":
-        a, b = (self._t(o), self.text) if rev else (self.text, self._t(o))
-        return SqlExpr(f"({a} {op} {b})")
-
-    def __add__(self, o): return self._bin("+", o)
-    def __radd__(self, o): return self._bin("+", o, True)
-    def __sub__(self, o): return self._bin("-", o)
-    def __rsub__(self, o): return self._bin("-", o, True)
-    def __mul__(self, o): return self._bin("*", o)
-    def __rmul__(self, o): return self._bin("*", o, True)
-    def __truediv__(self, o): return self._bin("/", o)
-    def __rtruediv__(self, o): return self._bin("/", o, True)
-    def __neg__(self): return SqlExpr(f"(-{self.text})")
-
-
-def _fn(name: str):
-    return lambda *args: SqlExpr(f"{name}({', '.join(SqlExpr._t(a) for a in args)})")
-
-
-SQLMATH = SimpleNamespace(
-    sin=_fn("sin"), cos=_fn("cos"), tan=_fn("tan"), asin=_fn("asin"), acos=_fn("acos"), atan=_fn("atan"),
-    atan2=_fn("atan2"), sqrt=_fn("sqrt"), ln=_fn("ln"), radians=_fn("radians"), degrees=_fn("degrees"),
-    lit=lambda v: SqlExpr(dbl(v)), col=SqlExpr,
-    trunc_int=lambda x: SqlExpr(f"cast(trunc({SqlExpr._t(x)}) as integer)"),
-)
-
-
-def step_ctes(src: str, steps, name: str, drop_prefix: str | None = None) -> str:
-    """Render geo steps as a CTE chain ending in ``name``; temporaries with ``drop_prefix`` excluded."""
-    parts, prev, made = [], src, []
-    for i, step in enumerate(steps):
-        group = step if isinstance(step, list) else [step]
-        cte = f"{name}_{i}"
-        exprs = ", ".join(f"{fn(SQLMATH, SQLMATH.col).text} as {col}" for col, fn in group)
-        parts.append(f"{cte} as (select *, {exprs} from {prev})")
-        prev = cte
-        made += [col for col, _ in group]
-    drop = [c for c in made if drop_prefix and c.startswith(drop_prefix)]
-    excl = f" exclude ({', '.join(drop)})" if drop else ""
-    parts.append(f"{name} as (select *{excl} from {prev})")
-    return ",\n".join(parts)

@@ -117,3 +117,59 @@ def test_zonal_plan_streams_cells_past_broadcast_pixels(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Subquery" in plan  # raster min/max as a scalar subquery
+
+
+def test_vincenty_published_case(spark):
+    """Flinders Peak to Buninyong, the worked example of the Australian geodetic datum manual (GRS80)."""
+    from sunset_engine.functions.geo import destination_steps
+    from sunset_engine.functions.steps import apply_steps
+
+    dms = lambda d, m, s: d + m / 60 + s / 3600
+    df = spark.createDataFrame([(-dms(37, 57, 3.7203), dms(144, 25, 29.5244))], "lat double, lon double")
+    r = apply_steps(df, destination_steps("lat", "lon", dms(306, 52, 5.37), 54972.271, "lat2", "lon2", "_t"), "_t").first()
+    assert abs(r.lat2 + dms(37, 39, 10.1561)) < 1e-7 and abs(r.lon2 - dms(143, 55, 35.3839)) < 1e-7
+
+
+def test_albers_is_equal_area_and_true_on_its_parallels(spark):
+    import math
+
+    step = 1e-4
+    points = [(lat + i * step, lon + j * step) for lat, lon in ((29.5, -100.0), (45.5, -80.0), (37.0, -96.0)) for i in (0, 1) for j in (0, 1)]
+    rows = [("o", 23.0, -96.0)] + [(str(k), la, lo) for k, (la, lo) in enumerate(points)]
+    df = spark.createDataFrame(rows, "airport_id string, latitude_deg double, longitude_deg double")
+    xy = {r.airport_id: (r.x, r.y) for r in R.project_airports(df).collect()}
+    assert abs(xy["o"][0]) < 1e-6 and abs(xy["o"][1]) < 1e-6
+    a, f = 6378137.0, 1 / 298.257223563
+    e2 = f * (2 - f)
+    for k in range(3):
+        p, q, s, t = (xy[str(4 * k + i)] for i in range(4))                 # (lat, lon), lon + step, lat + step, both
+        lat = math.radians(points[4 * k][0] + step / 2)
+        w = 1 - e2 * math.sin(lat) ** 2
+        east, north = a / math.sqrt(w) * math.cos(lat) * math.radians(step), a * (1 - e2) / w ** 1.5 * math.radians(step)
+        area = abs((t[0] - p[0]) * (s[1] - q[1]) - (t[1] - p[1]) * (s[0] - q[0])) / 2
+        assert abs(area / (east * north) - 1) < 1e-6
+        if k < 2:                                                           # standard parallels keep lengths
+            assert abs(math.dist(p, q) / east - 1) < 1e-5
+
+
+def test_cells_off_the_grid_play_no_part(spark):
+    cells = spark.createDataFrame([(0, 0, 2.0), (1, 1, 4.0), (5, 5, 100.0), (-1, 0, -50.0)], "row int, col int, value double")
+    bounds = (0.0, 0.0, 2.0, 2.0)
+    got = {(r.row, r.col): r.value for r in R.normalized_cells(cells, bounds, 1.0).collect()}
+    assert got == {(0, 0): 0.5, (1, 1): 1.0}
+    zone = spark.createDataFrame([("Z", 0.0, 0.0, 0, 0, 1, 0, 1, 1, 0, 1, 0, 0)],
+                                 "airport_id string, latitude_deg double, longitude_deg double, col int, row int, "
+                                 "c0_x int, c0_y int, c1_x int, c1_y int, c2_x int, c2_y int, c3_x int, c3_y int")
+    m = R.zonal_mean(zone, cells, bounds, 1.0).first()
+    assert (m.n_pixels, m.bird_population) == (4, 0.375)
+
+
+def test_zonal_mean_reads_the_raster_once(spark, tmp_dir):
+    spark.createDataFrame([(r, c, float(r + c)) for r in range(9) for c in range(9)], "row int, col int, value double").write.parquet(f"{tmp_dir}/cells")
+    zone = spark.createDataFrame([("Z", 0.0, 0.0, 5, 5, 7, 2, 7, 7, 2, 7, 2, 2), ("Y", 1.0, 0.0, 5, 5, 8, 1, 8, 6, 3, 6, 3, 1)],
+                                 "airport_id string, latitude_deg double, longitude_deg double, col int, row int, "
+                                 "c0_x int, c0_y int, c1_x int, c1_y int, c2_x int, c2_y int, c3_x int, c3_y int")
+    out = R.zonal_mean(zone, spark.read.parquet(f"{tmp_dir}/cells"), (0.0, 0.0, 9.0, 9.0), 1.0)
+    assert {r.airport_id: r.n_pixels for r in out.collect()} == {"Z": 36, "Y": 36}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "SortMergeJoin" not in plan
