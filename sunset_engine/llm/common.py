@@ -171,7 +171,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             break
         state = here
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("c")).agg(F.least(F.col("c"), F.min("b")).alias("m"))
+        # Written, so that both sides of the join are shuffled for it and Spark can split a hub's edges.
+        least = materialize(both.groupBy(F.col("a").alias("c")).agg(F.least(F.col("c"), F.min("b")).alias("m")), f"{name}-least")
         large = both.where("b > a").join(least, F.col("a") == F.col("c")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.groupBy(F.col("a").alias("c")).agg(F.min("b").alias("m"))
         joined = large.join(down, F.col("a") == F.col("c"))

@@ -215,15 +215,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     shared = sent.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token")
     hits = materialize(sent.join(shared, "token").distinct(), "ngram-hits")
     ranged = F.col("token") < F.lit(range_end(percent) - (1 << 63))
-    counted = hits.join(hits.groupBy("token").agg(F.count("*").alias("texts")), "token").withColumn("ranged", ranged)
+    # Counts by token are written before they are joined: Spark can then split the rows of a hot token.
+    seen = materialize(hits.groupBy("token").agg(F.count("*").alias("texts")), "ngram-seen")
+    counted = hits.join(seen, "token").withColumn("ranged", ranged)
     room = (classes.join(hits.where(ranged).groupBy("cls").agg(F.count("*").alias("common")), "cls", "left")
             .select("cls", "n", F.expr(f"n - (({percent} * n + 99) div 100) + 1 - (low - coalesce(common, 0))").alias("room")).where("room > 0"))
     place = F.row_number().over(Window.partitionBy("cls", "ranged").orderBy("texts", "token"))
     first = materialize(counted.join(room, "cls").withColumn("place", place).where("not ranged or place <= room").select("token", "cls", "n"), "ngram-first")
-    texts = first.groupBy("token").agg(F.count("*").alias("texts")).where("texts > 1")
+    texts = materialize(first.groupBy("token").agg(F.count("*").alias("texts")).where("texts > 1"), "ngram-texts")
     lists = materialize(first.join(texts, "token"), "ngram-lists")
     weight = lists.groupBy("cls").agg((F.sum("texts") / F.max("n")).alias("weight"))
-    hubs = lists.join(weight, "cls").groupBy("token").agg(F.max_by("cls", "weight").alias("hub"))
+    hubs = materialize(lists.join(weight, "cls").groupBy("token").agg(F.max_by("cls", "weight").alias("hub")), "ngram-hubs")
     members = materialize(lists.select("token", "cls").join(hubs, "token").select("cls", "hub").distinct(), "ngram-members")
 
     wanted = materialize(members.select(F.explode(F.array("cls", "hub")).alias("cls")).distinct()
