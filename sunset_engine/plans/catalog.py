@@ -6,6 +6,7 @@ match the SQL texts in ``sunset_engine.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from sunset_engine.operators import stats as ST
 from sunset_engine.operators import traffic as T
 from sunset_engine.operators.season import season_exclusive, season_inclusive
 from sunset_engine.operators.timezones import nearest_timezone
+from sunset_engine.session import scratch_path
+from sunset_engine.sources import csvio
 from sunset_engine.sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,6 +227,43 @@ def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", text.alias("t")).select("o_orderkey", parse_iso_date("t").alias("order_date"))
 
 
+def _file(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def flight_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights written as on-time CSV part files (a quoted comma in every line) and read back."""
+    path, f = _file(spark, "flights-csv"), TD.flights(spark, sf_dir)
+    fixed = {"Airline": "A, Inc.", "Cancelled": "False", "Diverted": "False", "CRSDepTime": "0", "DepDelayMinutes": "0", "DepDelay": "0"}
+    own = {"FlightDate": "flight_date", "Origin": "origin", "Dest": "dest", "DepTime": "dep_time", "ArrTime": "arr_time"}
+    csvio.write_csv(f.select(*[F.lit(fixed[c]).alias(c) if c in fixed else F.col(own[c]).cast("string").alias(c) for c in csvio.FLIGHT_COLUMNS]), path, mode="overwrite")
+    return csvio.read_flights(spark, path).drop("event_id")
+
+
+def cells_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raster cells written by tile row and read back from the tiles below row 256."""
+    path = _file(spark, "cells")
+    csvio.write_cells(TD.raster_cells(spark, sf_dir), path)
+    return csvio.read_cells(spark, path).where("tile_row = 0").select("row", "col", "value")
+
+
+def code_list_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ;-separated code list in one file, read back by its first field."""
+    path = _file(spark, "codes")
+    s = TD.read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("Code"), "s_name")
+    s.repartition(1).write.option("header", True).option("sep", ";").option("quoteAll", True).csv(path)
+    return csvio.read_code_list(spark, path)
+
+
+def ratio_report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratio report as its file holds it, read back (K5, K8)."""
+    path = _file(spark, "ratio")
+    report = T.strike_ratio_left(frequencies(spark, sf_dir), strike_counts(spark, sf_dir))
+    csvio.write_sorted_report(report, path, ["strike_ratio", *T.GROUP_KEY])
+    back = spark.read.schema("airport_id string, latitude_deg double, longitude_deg double, flight_count long, strike_count long, strike_ratio double")
+    return back.option("header", True).csv(path)
+
+
 def solar_calendar_fall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sunsets of the whole season at zone time, the day of the clock change included."""
     return T.calendar_solar_table(TD.sites(spark, sf_dir), years=(2019, 2019))
@@ -258,6 +298,10 @@ def queries() -> dict[str, Query]:
         "rf_split": rf_split,
         "rf_test_rows": rf_test_rows,
         "iso_dates": iso_dates,
+        "flight_csv": flight_csv,
+        "cells_round_trip": cells_round_trip,
+        "code_list_csv": code_list_csv,
+        "ratio_report_file": ratio_report_file,
         "solar_calendar_fall": solar_calendar_fall,
         "rf_predictions": rf_predictions,
         "rf_metrics": rf_metrics,

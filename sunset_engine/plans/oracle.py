@@ -416,6 +416,9 @@ select count(*) as n, round(corr(bird_population, ratio), 6) as pearson_r,
        round(regr_intercept(ratio, bird_population), 6) as intercept,
        round(regr_r2(ratio, bird_population), 6) as r2
 from training"""
+    q["flight_csv"] = f"with {Q.flights_cte()} select flight_date, origin, dest, dep_time, arr_time from flights"
+    q["cells_round_trip"] = f"with {Q.raster_cte()} select row, col, value from raster_cells where row < 256"
+    q["code_list_csv"] = "select 'S' || cast(s_suppkey as varchar) as code from supplier"
     split = "('0x' || substr(md5('42:' || airport_id), 1, 7))::bigint % 1000"
     rows = q["training_table"]
     q["rf_split"] = f"select airport_id, case when {split} < 700 then 'train' else 'test' end as part from ({rows})"
@@ -425,4 +428,5 @@ select f.airport_id, f.latitude_deg, f.longitude_deg, f.flight_count, s.strike_c
        cast(coalesce(s.strike_count, 0) as double) / cast(f.flight_count as double) as strike_ratio
 from freq f left join (select substr(airport_id, 2) as airport_id, strike_count from strike_counts) s
   on f.airport_id = s.airport_id"""
+    q["ratio_report_file"] = q["strike_ratio_left"]
     return q
