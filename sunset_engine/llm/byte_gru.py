@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import string_bytes, table
-from sunset_engine.llm.word_ids import lean_memory
+from sunset_engine.llm.common import lean_memory, string_bytes, table
 
 HIDDEN = 8
 WINDOW = 64

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import math
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,6 @@ def tokenizer_json(path: str) -> str:
         return f.read()
 
 
-def partitions_for(rows: int, per_partition: int, spark: SparkSession) -> int:
-    """At least the session's shuffle width, and enough partitions for ``per_partition`` rows each."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_partition))
-
-
 # ---- words and shingles of whole texts, over Arrow's byte buffers -------------------------------
 
 def _odd_inverse(b: int) -> int:
@@ -88,6 +84,23 @@ def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def text_slices(column: pa.Array, size: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and offsets of runs of texts of about ``size`` bytes, a single longer text by itself."""
+    data, offsets = string_bytes(column)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        yield data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
+        at = to
+
+
+def lean_memory() -> None:
+    """What this worker freed in earlier tasks, and Arrow's buffers from now on, go back to the system."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):          # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """64-bit hash of every word of every text, A-Z lower-cased, and each text's first word.
 

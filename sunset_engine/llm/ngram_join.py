@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import connected_components, mix, shingle_sets, string_bytes, table, word_hashes
+from sunset_engine.llm.common import connected_components, lean_memory, mix, shingle_sets, table, text_slices, word_hashes
 from sunset_engine.operators.joins import broadcast_if_bounded, materialize
 
 # Documents whose ids may be broadcast (8 bytes each) to pick candidates' texts without moving texts.
@@ -59,7 +59,8 @@ def signed(tokens: np.ndarray) -> np.ndarray:
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
-    return shingle_sets(*word_hashes(*string_bytes(batch.column("text"))), k)
+    for data, offsets in text_slices(batch.column("text")):
+        yield from shingle_sets(*word_hashes(data, offsets), k)
 
 
 def _facts(k: int, percent: int) -> Callable:
@@ -67,6 +68,7 @@ def _facts(k: int, percent: int) -> Callable:
     end = np.uint64(range_end(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             n, cls, first = [], [], []
             sent: dict[int, np.ndarray] = {}
@@ -91,15 +93,16 @@ def _facts(k: int, percent: int) -> Callable:
 
 
 def prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The prefix under one of the orders by other hashes."""
+    """The prefix under one of the orders by other hashes, as 32-bit tokens: enough for a filter."""
     p = prefix_length(len(tokens), percent)
     ranks = mix(tokens ^ ORDER_SALTS[order])
-    return np.sort(tokens[np.argpartition(ranks, p - 1)[:p]] if p < len(tokens) else tokens)
+    return (tokens[np.argpartition(ranks, p - 1)[:p]] if p < len(tokens) else tokens).astype(np.uint32).view(np.int32)
 
 
 def _fetched(k: int, percent: int) -> Callable:
     """Rows (cls, text) to (cls, n, the prefixes of the other orders, all tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             wanted = batch.column("cls").to_pylist()
             cls: list[int] = []
@@ -107,8 +110,8 @@ def _fetched(k: int, percent: int) -> Callable:
             for i, tokens in enumerate(_sets(batch, k)):
                 if len(tokens) and class_of(tokens) == wanted[i]:
                     cls.append(wanted[i])
-                    for held, x in zip(out, (prefix(tokens, 0, percent), prefix(tokens, 1, percent), tokens), strict=True):
-                        held.append(x.view(np.int64))
+                    for held, x in zip(out, (prefix(tokens, 0, percent), prefix(tokens, 1, percent), tokens.view(np.int64)), strict=True):
+                        held.append(x)
             if cls:
                 lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in held])), pa.int32()), pa.array(np.concatenate(held))) for held in out]
                 yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array([len(x) for x in out[2]], pa.int64()), *lists], names=["cls", "n", "p1", "p2", "tokens"])
@@ -117,9 +120,13 @@ def _fetched(k: int, percent: int) -> Callable:
 
 def _star(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose sets reach the similarity: sizes, then the other orders, then the sets."""
-    for c in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "p1", "p2", "tokens")]), c)
-    return (pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    def both(left: DataFrame, names: tuple[str, ...]) -> DataFrame:
+        for c in ("a", "b"):
+            left = left.join(sets.select(F.col("cls").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in names]), c)
+        return left
+
+    sized = materialize(both(pairs, ("n",)).where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"), "ngram-sized")
+    return (both(broadcast_if_bounded(sized, BROADCAST_IDS), ("p1", "p2", "tokens"))
             .where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b"))
             .withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long"))
             .where(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"))
@@ -129,7 +136,7 @@ class _Index:
     """Counts of the tokens that a set has in common with each of many sets."""
 
     def __init__(self, sets: list[np.ndarray]):
-        tokens = np.concatenate([np.zeros(0, np.int64), *sets])
+        tokens = np.concatenate(sets) if sets else np.zeros(0, np.int64)
         by = np.argsort(tokens, kind="stable")
         self.tokens, self.owner, self.size = tokens[by], np.repeat(np.arange(len(sets)), [len(x) for x in sets])[by], len(sets)
 
@@ -187,7 +194,8 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.transform(steps(F.col("blocks0")), lambda o: F.struct(F.lit(0).alias("kind"), F.col("block").alias("i"), o.alias("j"))))
     inside = F.transform(steps(F.col("blocks1")), lambda o: F.struct(F.lit(0).alias("kind"), o.alias("i"), F.col("block").alias("j")))
     dealt = dealt.withColumn("to", F.explode(F.when(F.col("role") == 1, outside).otherwise(inside)))
-    return (dealt.select("hub", "to.kind", "to.i", "to.j", "cls", "role", "block").join(sets, "cls")
+    dealt = materialize(dealt.select("hub", "to.kind", "to.i", "to.j", "cls", "role", "block"), "ngram-dealt")
+    return (sets.join(broadcast_if_bounded(dealt, BROADCAST_IDS), "cls")
             .groupBy("hub", "kind", "i", "j").applyInArrow(_compared(percent), "a long, b long"))
 
 
@@ -231,7 +239,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     wanted = materialize(members.select(F.explode(F.array("cls", "hub")).alias("cls")).distinct()
                          .join(classes, "cls").select(F.col("rep").alias("doc_id"), "cls"), "ngram-wanted")
     sets = materialize(docs.join(broadcast_if_bounded(wanted, BROADCAST_IDS), "doc_id").select("cls", "text")
-                       .mapInArrow(_fetched(k, percent), "cls long, n long, p1 array<long>, p2 array<long>, tokens array<long>"), "ngram-sets")
+                       .mapInArrow(_fetched(k, percent), "cls long, n long, p1 array<int>, p2 array<int>, tokens array<long>"), "ngram-sets")
     star = connected_components(_star(members.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")), sets, percent), "ngram-star")
     of = lambda c: star.select(F.col("id").alias(c), F.col("component_id").alias(f"of_{c}"))
     placed = members.unionAll(members.select(F.col("hub").alias("cls"), "hub")).distinct().join(of("cls"), "cls", "left").join(of("hub"), "hub", "left")

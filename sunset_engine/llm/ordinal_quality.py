@@ -12,7 +12,7 @@ back to the grades' shares; rating reads whole texts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import NOT_ALNUM, distinct, string_bytes, table, word_hashes
-from sunset_engine.llm.word_ids import lean_memory
+from sunset_engine.llm.common import NOT_ALNUM, distinct, lean_memory, table, text_slices, word_hashes
 
 BITS = 22
 # Beginnings of words, in bytes, that count as features besides whole words.
@@ -39,7 +38,6 @@ LEAST_STEPS = 2000
 RATE = 0.15
 DECAY = 2e-5
 SEED = 5
-SLICE_BYTES = 1 << 21
 # Selection: probability of the upper grade.
 KEEP = 0.5
 
@@ -96,16 +94,6 @@ def features(data: np.ndarray, offsets: np.ndarray, used: np.ndarray | None = No
     return values, offsets
 
 
-def _sliced(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Bytes and offsets of runs of texts of about ``SLICE_BYTES``."""
-    data, offsets = string_bytes(column)
-    at = 0
-    while at < len(column):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
-        yield data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
-        at = to
-
-
 @dataclass
 class Model:
     weights: np.ndarray           # by feature number
@@ -165,7 +153,7 @@ def _sampled(batches):
     lean_memory()
     for batch in batches:
         at = 0
-        for data, offsets in _sliced(batch.column("text")):
+        for data, offsets in text_slices(batch.column("text")):
             values, ends = features(data, offsets)
             n = len(offsets) - 1
             yield pa.RecordBatch.from_pydict({"grade": batch.column("grade").slice(at, n),
@@ -204,7 +192,7 @@ def _rated(shared, keep_text: bool) -> Callable:
         model = Model(*shared.value)
         used = model.weights != 0
         for batch in batches:
-            tails = np.concatenate([model.tails(*features(data, offsets, used)) for data, offsets in _sliced(batch.column("text"))] or [np.zeros((0, len(model.thresholds)))])
+            tails = np.concatenate([model.tails(*features(data, offsets, used)) for data, offsets in text_slices(batch.column("text"))] or [np.zeros((0, len(model.thresholds)))])
             passed = [n for n in batch.schema.names if n != "text" or keep_text]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in passed), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
                                              names=[*passed, "expected_grade", "tail_prob"])

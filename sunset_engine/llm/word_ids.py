@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from sunset_engine.llm.common import lean_memory
+
 # Characters of text taken together; longer texts are cut between words.
 CHUNK_CHARS = 1 << 23
 # Words whose ids a worker keeps for the batches that follow.
@@ -17,11 +19,6 @@ CACHE_WORDS = 400_000
 ENCODE_AT_ONCE = 20_000
 
 
-def lean_memory() -> None:
-    """Arrow's buffers of this worker go back to the system when they are dropped."""
-    pa.set_memory_pool(pa.system_memory_pool())
-
-
 def load_tokenizer(text: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
