@@ -31,6 +31,7 @@ from sunset_engine.functions.columns import safe_ratio, to_double
 from sunset_engine.functions.solar import (local_minute, near_sunset, offset_from_longitude, offset_from_timezone,
                                            sunset_ut_steps, with_sunset_minute)
 from sunset_engine.functions.steps import apply_steps
+from sunset_engine.functions.text import drop_first_char, strip_quotes
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
 from sunset_engine.operators.joins import broadcast_if_bounded
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
@@ -43,18 +44,13 @@ GROUP_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
 SOLAR_BROADCAST_AIRPORTS = 100_000
 
 
-def clean_code(c):
-    """Airport code with double quotes removed and blanks trimmed."""
-    return F.trim(F.regexp_replace(F.col(c) if isinstance(c, str) else c, '"', ""))
-
-
 def airport_keys(airports: DataFrame, types: list[str] | None = None) -> DataFrame:
     """Airports keyed by code: quotes stripped, empty codes dropped, coordinates as doubles.
 
     Duplicated codes are kept (each copy joins), as the reference does. ``types``
     keeps only the listed airport types (F12), e.g. medium and large airports.
     """
-    cols = [clean_code("airport_id").alias("airport_id"),
+    cols = [strip_quotes("airport_id").alias("airport_id"),
             to_double("latitude_deg").alias("latitude_deg"),
             to_double("longitude_deg").alias("longitude_deg")]
     extra = [c for c in ("type", "timezone") if c in airports.columns]
@@ -219,7 +215,7 @@ def parse_strikes(strikes: DataFrame) -> DataFrame:
     extra = ["timezone"] if "timezone" in strikes.columns else []
     return (strikes
             .select("event_id", *extra,
-                    clean_code("airport_id").alias("airport_id"),
+                    strip_quotes("airport_id").alias("airport_id"),
                     parse_us_date("incident_date").alias("incident_date"),
                     F.col("incident_year"), F.col("incident_month"),
                     clock_to_minutes("time").alias("event_minute"),
@@ -272,18 +268,13 @@ def strike_counts(near_strikes: DataFrame) -> DataFrame:
     return near_strikes.groupBy(*GROUP_KEY).agg(F.count(F.lit(1)).alias("strike_count"))
 
 
-def strip_first_letter(c):
-    """Drop the first character of a code: ``KDEN`` -> ``DEN``."""
-    return F.substring(F.col(c) if isinstance(c, str) else c, 2, 2147483647)
-
-
 def strike_per_flight(frequencies: DataFrame, counts: DataFrame) -> DataFrame:
     """Inner join on the 3-letter code and strikes per flight.
 
     Strike counts keyed by (id, lat, lon) join on the id alone, so an id with two
     strike coordinates yields two rows, as in the reference.
     """
-    s = counts.select(strip_first_letter("airport_id").alias("airport_id"), "strike_count")
+    s = counts.select(drop_first_char("airport_id").alias("airport_id"), "strike_count")
     return (frequencies.join(s, "airport_id")
             .select(*GROUP_KEY,
                     F.col("strike_count").cast("double").alias("strike_count"),
@@ -293,7 +284,7 @@ def strike_per_flight(frequencies: DataFrame, counts: DataFrame) -> DataFrame:
 
 def strike_ratio_left(frequencies: DataFrame, counts: DataFrame) -> DataFrame:
     """Every airport with flights, strikes 0 when none, sorted by ratio."""
-    s = counts.select(strip_first_letter("airport_id").alias("airport_id"), "strike_count")
+    s = counts.select(drop_first_char("airport_id").alias("airport_id"), "strike_count")
     return (frequencies.join(s, "airport_id", "left")
             .select(*GROUP_KEY, "flight_count", "strike_count",
                     safe_ratio(F.coalesce(F.col("strike_count"), F.lit(0)), "flight_count")

@@ -22,6 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunset_engine.functions.text import drop_first_char, strip_quotes
 from sunset_engine.operators import model as M
 from sunset_engine.operators import quality as QL
 from sunset_engine.operators import raster as R
@@ -92,7 +93,7 @@ def strike_job(spark: SparkSession, strikes_path: str, out_path: str, header: bo
     strikes = csvio.read_strikes(spark, strikes_path, header)
     if timezones_path:
         strikes = with_timezones(strikes, csvio.read_timezones(spark, timezones_path),
-                                 T.strip_first_letter(T.clean_code("airport_id")))
+                                 drop_first_char(strip_quotes("airport_id")))
     counts = T.strike_counts(T.near_sunset_strikes(strikes, years, months, offset))
     csvio.write_single_csv(counts, out_path, mode=mode)
     return counts

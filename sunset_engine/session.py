@@ -59,10 +59,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
 
     Only a local session without one (tests) gets a scratch folder; on a cluster
-    a missing setting is an error, never a driver-local folder.
+    a missing setting, or a ``file:`` path, is an error, never a driver-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
+        if configured.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names a machine-local folder; set one shared by the cluster")
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
