@@ -255,8 +255,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents without those whose component has a smaller id. Rows that repeat a kept id stay once, nulls stay."""
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
     again = found.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col)
+    # Within the bound on ids, texts are not moved; beyond it they are joined by id.
+    gone, again = (broadcast_if_bounded(materialize(ids, "ngram-ids"), BROADCAST_IDS) for ids in (gone, again))
+    kept = docs.join(gone, id_col, "left_anti")
     once = kept.join(again, id_col, "left_semi").dropDuplicates([id_col])
     return kept.join(again, id_col, "left_anti").unionByName(once)
 
