@@ -27,13 +27,20 @@ KEY = "example key: pass your own"
 EMAIL = r"(?<![\w.+%-])[A-Za-z0-9_][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"
 CREDENTIAL = r"(?<![A-Za-z])(?i:pass(?:word|wd)|pwd|token|secret|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9_+/=.-]{6,}"
 ACCESS_KEY = r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-DATE = r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w-]|\.\d)"
+DATE = r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?:(?=[Tt]\d{2})|(?![\w-]|\.\d))"
 ADDRESS = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]*\w)"
 PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d){7,12}(?!\w)"
-NUMBERS = "|".join((DATE, ADDRESS, SOCIAL, CARD, PHONE))
-FOUND = rf"{EMAIL}|{CREDENTIAL}|{ACCESS_KEY}|(?=[\d(+])(?:{NUMBERS})"
+NUMBERS = "|".join((DATE, ADDRESS, SOCIAL, PHONE))
+VALUES = rf"{EMAIL}|{CREDENTIAL}|{ACCESS_KEY}|(?=[\d(+])(?:{NUMBERS})"
+# Numbers in a row with 13 digits or more, what is attached before and behind them included: whatever
+# begins in it ends in it, and no lookaround sees past its ends.
+ROW = (r"(?:[.+(-]++|(?<!\w))(?=\d(?:[ ./()+-]{0,3}\d){12})\d++(?:[ ./()+-]{1,3}+\d++)*+"
+       rf"(?:(?!{CREDENTIAL}|{ACCESS_KEY})[\w.%+@-])*+")
+FOUND = rf"{EMAIL}|{CREDENTIAL}|{ACCESS_KEY}|(?=[\d(+.-])(?:{ROW})|(?=[\d(+])(?:{NUMBERS})"
+# Groups of digits in a card number: at most four of four digits or more, and a shorter one.
+CARD_GROUPS = 5
 FIRST_DAY = "1900-01-01"
 # Days from FIRST_DAY: 270 * 271, up to 2100-05-01.
 DAY_BASES = (270, 271)
@@ -165,14 +172,96 @@ def _date(m: Column, key: str) -> Column:
             .when(m.contains("."), dated("dd.MM.yyyy")).otherwise(dated("yyyy-MM-dd")))
 
 
+def _cards(groups: Column, between: Column) -> Column:
+    """Card numbers among the ``groups`` of digits of a row, from left to right: (first, size) in groups.
+
+    A card number is one group, or groups of four digits or more with single spaces or hyphens
+    between and perhaps a shorter last one; the fewest groups that pass the check count.
+    ``between`` has the text before each group and, last, the text behind them all.
+    """
+    before, behind = lambda i: F.get(between, i - 1), lambda i: F.get(between, i)
+    size = lambda i: F.length(F.get(groups, i - 1))
+    joined = lambda i: behind(i).rlike("^-+$")
+
+    def fits(i: Column, k: Column) -> Column:
+        last = i + k - 1
+        long_ = F.forall(F.slice(groups, i, k - 1), lambda g: F.length(g) >= 4) & F.forall(F.slice(between, i + 1, k - 1), lambda s: s.isin(" ", "-"))
+        year = (k > 1) & (size(i) == 4) & (size(i - 1) <= 2) & before(i).isin("/", ".") & (before(i - 1) == before(i))
+        month = (k > 1) & (size(last) < 4) & behind(last).isin("/", ".")
+        # A hyphen behind joins other numbers to it, but for a short last one such as a code.
+        open_ = F.when(last < F.size(groups), ~joined(last) | ((size(last + 1) <= 3) & ~behind(last + 1).rlike(r"^[\w-]*[\w-]"))).otherwise(True)
+        digits = F.array_join(F.slice(groups, i, k), "")
+        return F.when((last <= F.size(groups)) & long_, F.when(F.length(digits).between(13, 19) & open_ & ~F.coalesce(year, F.lit(False)) & ~F.coalesce(month & (last < F.size(groups)), F.lit(False))
+                      & ~before(i).rlike(r"[\w+-]$") & ~behind(last).rlike(r"^(?:[\w-]*\w|[\w.%+-]*@)"), luhn_sum(digits) % 10 == 0)).otherwise(False)
+
+    def at(i: Column) -> Column:
+        some = F.when(size(i) >= 4, F.get(F.filter(F.sequence(F.lit(1), F.lit(CARD_GROUPS)), lambda k: fits(i, k)), F.lit(0)))
+        return F.struct(i.alias("first"), some.alias("size"))
+
+    all_ = F.filter(F.transform(F.sequence(F.lit(1), F.size(groups)), at), lambda w: w["size"].isNotNull())
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<first:int,size:int>>").alias("taken"))
+    return F.aggregate(all_, start, lambda s, w: F.when(w["first"] > s["end"], F.struct(
+        (w["first"] + w["size"] - 1).alias("end"), F.concat(s["taken"], F.array(w)).alias("taken"))).otherwise(s), lambda s: s["taken"])
+
+
+def _total(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n + p["n"])
+
+
+def _changed(old: Column, new: Column) -> Column:
+    """(text, n): ``new`` where it is not null, and 1 where it is another text than ``old``."""
+    return let(F.coalesce(new, old), lambda t: F.struct(t.alias("text"), (t != old).cast("long").alias("n")))
+
+
+def _scanned(text: Column, pattern: str, match: Callable[[Column], Column], gap: Callable[[Column], Column] | None = None) -> Column:
+    """(text, n): matches of ``pattern`` in turn by ``match``, what is between them by ``gap``."""
+    def put(found: Column, gaps: Column) -> Column:
+        t = lambda g: g["text"] if gap else g
+        n = _total(found) + _total(gaps) if gap else _total(found)
+        return F.struct(F.array_join(F.zip_with(gaps, found, lambda g, m: F.concat(t(g), F.coalesce(m["text"], F.lit("")))), "").alias("text"), n.alias("n"))
+
+    gaps = F.split(text, pattern, -1)
+    return let(F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), 0), match), lambda found: let(
+        F.transform(gaps, gap) if gap else gaps, lambda g: put(found, g)))
+
+
+def _parts(m: Column) -> Column:
+    """A row of numbers cut before and behind each of its card numbers. No other format is found in such a number."""
+    def put(groups: Column, between: Column, cards: Column) -> Column:
+        texts = F.flatten(F.zip_with(between, groups, lambda s, g: F.array(s, F.coalesce(g, F.lit("")))))
+        joined = lambda first, n: F.array_join(F.slice(texts, first, n), "")
+
+        def one(i: Column) -> Column:
+            end = F.coalesce(F.get(cards, i - 1)["first"] + F.get(cards, i - 1)["size"] - 1, F.lit(0))
+            first = F.coalesce(F.get(cards, i)["first"], F.size(groups) + 1)
+            card = F.when(i < F.size(cards), joined(2 * first, 2 * F.get(cards, i)["size"] - 1)).otherwise("")
+            return F.array(joined(2 * end + 1, 2 * (first - end) - 1), card)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cards)), one))
+
+    return let(F.regexp_extract_all(m, F.lit(r"(\d+)"), 1), lambda groups: let(F.split(m, r"\d+", -1), lambda between: let(
+        _cards(groups, between), lambda cards: put(groups, between, cards))))
+
+
+def _replaced(m: Column, key: str) -> Column:
+    """(text, n) of a match of ``FOUND``: card numbers first, then the other formats, then what is a card number in any grouping."""
+    def loose(text: Column) -> Column:
+        return _scanned(text, CARD, lambda c: _changed(c, _card(c, key)))
+
+    def rest(text: Column) -> Column:
+        return _scanned(text, VALUES, lambda v: _changed(v, pseudonym(v, key)), loose)
+
+    row = m.rlike(f"^(?!(?:{EMAIL}|{CREDENTIAL}|{ACCESS_KEY})$)(?:{ROW})$")
+    return let(F.transform(F.when(row, _parts(m)).otherwise(F.array(m)), rest), lambda done: F.struct(
+        F.array_join(F.transform(done, lambda d: d["text"]), "").alias("text"), _total(done).alias("n")))
+
+
 def pseudonym(m: Column, key: str) -> Column:
-    """A match's pseudonym, or the match itself where it fails its format's check."""
+    """The pseudonym of a match of ``VALUES``, or null where it fails its format's check."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
-    new = (F.when(m.contains("@") & whole(EMAIL), _email(m, key)).when(whole(CREDENTIAL), _credential(m, key))
-           .when(whole(ACCESS_KEY), F.concat(F.substring(m, 1, 4), scrambled(F.substring(m, 5, 16), key, "access")))
-           .when(whole(DATE), _date(m, key)).when(whole(ADDRESS), _address(m, key)).when(whole(SOCIAL), _social(m, key))
-           .when(whole(CARD), F.coalesce(_card(m, key), F.when(whole(PHONE), _phone(m, key)))).when(whole(PHONE), _phone(m, key)))
-    return F.coalesce(new, m)
+    return (F.when(m.contains("@") & whole(EMAIL), _email(m, key)).when(whole(CREDENTIAL), _credential(m, key))
+            .when(whole(ACCESS_KEY), F.concat(F.substring(m, 1, 4), scrambled(F.substring(m, 5, 16), key, "access")))
+            .when(whole(DATE), _date(m, key)).when(whole(ADDRESS), _address(m, key)).when(whole(SOCIAL), _social(m, key)).when(whole(PHONE), _phone(m, key)))
 
 
 def pseudonymize(docs: DataFrame, key: str = KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
@@ -180,21 +269,23 @@ def pseudonymize(docs: DataFrame, key: str = KEY, text_col: str = "text", count_
 
     Covered are e-mail addresses (the part before the @), credentials after words such as
     password or token, access keys, dates from 1900 to 2100-05-01 (yyyy-mm-dd, dd/mm/yyyy
-    or else mm/dd/yyyy, dd.mm.yyyy), IPv4 addresses, social security numbers, card numbers
-    of 13 to 19 digits with a right check digit, and phone numbers. What fails its format's
-    check stays as it is. A permutation may map a value to itself, a short one more likely.
+    or else mm/dd/yyyy, dd.mm.yyyy; the date of an ISO timestamp too), IPv4 addresses, social
+    security numbers, card numbers of 13 to 19 digits with a right check digit, and phone
+    numbers. What fails its format's check stays as it is. A permutation may map a value to
+    itself, a short one more likely.
+
+    Other numbers may stand before and behind a value. Among several numbers in a row, a card
+    number is one group of digits or groups of four digits or more and a shorter last one; in
+    any other grouping it is found only as the longest row of digits left by the other formats.
+    A hyphen makes one number of two, but for one of up to three digits behind a card number.
+    Where two readings overlap and both pass the check, the one on the left counts.
 
     Null texts stay null, empty texts empty; every row stays, repeated ones included, and
     all other columns pass through, whatever their names. An empty table gives no rows.
     """
     text = F.col(f"`{text_col}`")
 
-    def put(matches: Column) -> Column:
-        return let(F.transform(matches, lambda m: pseudonym(m, key)), lambda new: F.struct(
-            F.array_join(F.zip_with(F.split(text, FOUND, -1), new, lambda t, m: F.concat(t, F.coalesce(m, F.lit("")))), "").alias("text"),
-            F.size(F.filter(F.zip_with(matches, new, lambda a, b: a != b), lambda x: x)).cast("long").alias("n")))
-
-    done = F.when(text.rlike(FOUND), let(F.regexp_extract_all(text, F.lit(f"({FOUND})"), 0), put))
+    done = F.when(text.rlike(FOUND), _scanned(text, FOUND, lambda m: _replaced(m, key)))
     temporary = "_done"
     while temporary in docs.columns:
         temporary += "_"

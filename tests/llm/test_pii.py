@@ -72,3 +72,29 @@ def test_repeated_rows_and_empty_table(spark):
 def test_no_python_in_the_plan(spark, capsys):
     P.op8_feistel_pseudonyms(spark, "/root/testdata/sf0.001").explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_numbers_before_and_behind_a_value(spark):
+    """Each value is replaced as it is on its own; the numbers beside it stay."""
+    values = ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005", "555-234-5678", "(555) 234-5678", "555 234 5679", "+1 555 234 5678",
+              "123-45-6789", "2020-02-29", "31/12/1999", "05.06.2007", "42.144.35.254", "bob.smith@mail.example.com"]
+    around = ["{}", "{} 123", "{} 12/27", "7 {}", "room 123 {}", "id 12 {} 55", "{} 4111111111111111 {}", "No.7 {}; {}", "{} 2020-02-29 10:00"]
+    alone = dict(zip(values, [r.text for r in run(spark, values)]))
+    assert all(a != b for a, b in alone.items())
+    cases = [(v, a) for v in values for a in around]
+    texts = [a.replace("{}", v) for v, a in cases]
+    for (v, a), old, r in zip(cases, texts, run(spark, texts)):
+        more = [alone[x] for x in ("4111111111111111", "2020-02-29") if x in a]
+        expected = a.replace("4111111111111111", alone["4111111111111111"]).replace("2020-02-29", alone["2020-02-29"]).replace("{}", alone[v])
+        assert r.text == expected and r.found == a.count("{}") + len(more), (old, r.text, expected)
+
+
+def test_values_in_a_row(spark):
+    texts = ["555 234 5678 555 234 5679", "4111-1111-1111-1111-123", "4111111111111111 1234.bob@x.com", "2024-01-15T10:00:00Z", "2024-01-15 2024-01-16T10:00", "01/02/2024 4111 1111 1111 1111",
+             "4111111111111111 555-234-5678-home", "4111111111111111 password: hunter22", "No.4111111111111111 123", "7 4111111111111111-password: hunter22", "41 11 11 11 11 11 11 11"]
+    rows = run(spark, texts)
+    assert [r.found for r in rows] == [2, 1, 2, 1, 2, 2, 2, 2, 1, 2, 1]
+    clear = ["5678", "4111-", "bob", "2024-01-15", "2024-01-1", "2024 4111", "234-5678", "hunter", "4111", "hunter", "41 11"]
+    assert not [r.text for r, c in zip(rows, clear) if c in r.text]
+    still = ["4111 1111 1111 1112 123", "4111-1111-1111-1111-abc", "1234-5678-9012-3452-7890", "4111111111111111x 123"]
+    assert [r.text for r in run(spark, still)] == still
