@@ -15,8 +15,9 @@ from sunset_engine.llm import byte_gru, ngram_join, ordinal_quality, packing, pi
 from sunset_engine.operators.joins import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# Documents whose language has at least this probability stay. Below it a text is hardly in any language learned.
-LEAST_LANGUAGE_SCORE = 0.4
+# Documents whose language has at least this probability stay. Below it a text is hardly in any language learned:
+# so many times what an even spread over the languages gives, but no more than the other bound.
+LEAST_LANGUAGE_RATIO, MOST_LANGUAGE_BAR = 1.6, 0.4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +30,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rated.where(ordinal_quality.kept() & ~blank).select(*COLUMNS)
 
 
+def language_bar(languages: int) -> float:
+    """The least probability of a document's language among ``languages``."""
+    return min(MOST_LANGUAGE_BAR, LEAST_LANGUAGE_RATIO / max(1, languages))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no language: without a letter, or read as several at once. Labels of ``docs`` train the model."""
     learn = docs.where(F.col("doc_id").isNotNull() & ~byte_gru.held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
-    told = byte_gru.identify(docs.select(*COLUMNS), byte_gru.train(learn), keep_text=True)
-    sure = (F.col("lang_pred") != byte_gru.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    model = byte_gru.train(learn)
+    told = byte_gru.identify(docs.select(*COLUMNS), model, keep_text=True)
+    sure = (F.col("lang_pred") != byte_gru.UNDETERMINED) & (F.col("score") >= language_bar(len(model.languages) if model else 0))
     return told.where(sure).select(*COLUMNS)
 
 

@@ -18,19 +18,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunset_engine.llm.common import lean_memory, string_bytes, table
+from sunset_engine.operators.joins import broadcast_if_bounded, materialize
 
 HIDDEN = 8
 WINDOW = 64
-# The fit: labelled documents per language (about), languages (the most frequent), windows of each document.
+# The fit: labelled documents per language (about), fewer when all languages together would have more than
+# SAMPLE_DOCUMENTS, but not fewer than LEAST_PER_LANGUAGE; windows of each document.
 SAMPLE_PER_LANGUAGE = 800
-LANGUAGES = 64
+SAMPLE_DOCUMENTS = 51_200
+LEAST_PER_LANGUAGE = 25
 SAMPLE_WINDOWS = 6
 EPOCHS = 5
 BATCH = 192
 RATE = 0.02
 SEED = 11
-# Windows that are read side by side.
+# Windows that are read side by side; fewer, and smaller batches of the fit, above so many languages.
 SIDE_BY_SIDE = 2048
+MANY_LANGUAGES = 128
 UNDETERMINED = "und"
 
 
@@ -126,20 +130,27 @@ def taken(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.n
     return x, None if (length == WINDOW).all() else (at < length).astype(np.float32)
 
 
+def at_once(windows_: int, languages: int) -> int:
+    """So many windows that their labels' probabilities take no more memory with many languages."""
+    return max(8, windows_ * MANY_LANGUAGES // max(MANY_LANGUAGES, languages))
+
+
 def fit(x: np.ndarray, mask: np.ndarray, y: np.ndarray, languages: list[str]) -> Model:
     """Backpropagation through time with Adam: every position of a window has its document's label."""
     rng = np.random.default_rng(SEED)
-    n_h, n_y = HIDDEN, len(languages)
+    n_y = len(languages)
+    n_h = max(HIDDEN, min(8 * HIDDEN, n_y // 4))          # more states tell more languages apart
+    batch = at_once(BATCH, n_y)
     f32 = lambda v: v.astype(np.float32)
     params = [f32(rng.normal(0, 0.3, (3 * n_h, 256))), f32(rng.normal(0, 1 / np.sqrt(n_h), (3 * n_h, n_h))), f32(rng.normal(0, 0.3, (3 * n_h, 256))),
               f32(rng.normal(0, 1 / np.sqrt(n_h), (3 * n_h, n_h))), f32(rng.normal(0, 0.3, (n_y, 2 * n_h))), np.zeros(n_y, np.float32)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    steps = max(1, EPOCHS * -(-x.shape[1] // BATCH))
+    steps = max(1, EPOCHS * -(-x.shape[1] // batch))
     done = 0
     for _ in range(EPOCHS):
         order = rng.permutation(x.shape[1])
-        for at in range(0, len(order), BATCH):
-            pick = order[at:at + BATCH]
+        for at in range(0, len(order), batch):
+            pick = order[at:at + batch]
             grads = gradients(params, x[:, pick], mask[:, pick], y[pick])
             done += 1
             rate = RATE * min(1.0, done / 20) * (1 - 0.95 * done / steps)
@@ -215,14 +226,17 @@ def _sampled(batches):
 def train(docs: DataFrame) -> Model | None:
     """A model from ``docs`` (doc_id, text, lang); None without a labelled text.
 
-    The fit takes a bounded sample: of the ``LANGUAGES`` most frequent languages about
-    ``SAMPLE_PER_LANGUAGE`` documents each (picked by a hash of id and text), and of each
+    Every language that labels a text is learned. The fit takes a bounded sample: of each
+    language about ``SAMPLE_PER_LANGUAGE`` documents (picked by a hash of id and text, one at
+    least), fewer when there are more than ``SAMPLE_DOCUMENTS`` in all, and of each
     ``SAMPLE_WINDOWS`` windows of ``WINDOW`` bytes.
     """
     named = docs.where("lang is not null and text is not null and text <> ''")
-    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    share = F.broadcast(counts)                    # at most LANGUAGES rows
-    draw = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) * F.col("count") < (1 << 30) * SAMPLE_PER_LANGUAGE
+    lot = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30))
+    counts = materialize(named.groupBy("lang").agg(F.count("*").alias("count"), F.min(lot).alias("least")), "gru-languages")
+    each = max(LEAST_PER_LANGUAGE, min(SAMPLE_PER_LANGUAGE, SAMPLE_DOCUMENTS // max(1, counts.count())))
+    share = broadcast_if_bounded(counts)
+    draw = (lot * F.col("count") < (1 << 30) * each) | (lot == F.col("least"))
     rows = named.join(share, "lang").where(draw).select("lang", "text").mapInArrow(_sampled, "lang string, bytes binary").toPandas()
     if not len(rows):
         return None
@@ -245,9 +259,10 @@ def _predicted(shared, keep_text: bool) -> Callable:
             start, length, text = windows(data, offsets)
             total = np.zeros((len(model.languages), batch.num_rows))
             full = length == WINDOW
+            side = at_once(SIDE_BY_SIDE, len(model.languages))
             for some in (np.flatnonzero(full), np.flatnonzero(~full)):
-                for at in range(0, len(some), SIDE_BY_SIDE):
-                    pick = some[at:at + SIDE_BY_SIDE]
+                for at in range(0, len(some), side):
+                    pick = some[at:at + side]
                     x, mask = taken(data, start[pick], length[pick])
                     p = model.probabilities(x, mask).sum(axis=0)
                     for k in range(len(p)):

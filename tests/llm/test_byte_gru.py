@@ -1,3 +1,4 @@
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +73,15 @@ def test_a_long_text_is_read_whole(model):
     data = np.frombuffer(("le la les " * 20 + "the and of " * 200).encode(), np.uint8)
     start, length, text = G.windows(data, np.array([0, 0, len(data), len(data)]))
     assert (text == 1).all() and length.sum() == len(data) and (np.diff(start) == G.WINDOW).all()
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """70 languages, each with its own alphabet; one of them has a single document."""
+    monkeypatch.setattr(G, "SAMPLE_DOCUMENTS", 70 * 3)
+    monkeypatch.setattr(G, "LEAST_PER_LANGUAGE", 3)
+    rows = [(100 * k + i, chr(0x4E00 + 97 * k) * 30, f"l{k:02}") for k in range(70) for i in range(1 if k == 69 else 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = G.train(docs)
+    assert model.languages == [f"l{k:02}" for k in range(70)] and model.out.shape[0] == 70
+    bar = corpus_pipeline.language_bar
+    assert bar(4) == bar(1) == 0.4 and 1 / 70 < bar(70) < 0.03
