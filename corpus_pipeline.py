@@ -36,11 +36,17 @@ def language_bar(languages: int) -> float:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of no language: without a letter, or read as several at once. Labels of ``docs`` train the model."""
+    """Drops documents of no language: without a letter, or read as several at once.
+
+    The labels of ``docs`` train the model, but for those on held-out ids. Without a usable
+    label there is no model, and every text with a letter stays.
+    """
     learn = docs.where(F.col("doc_id").isNotNull() & ~byte_gru.held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
     model = byte_gru.train(learn)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     told = byte_gru.identify(docs.select(*COLUMNS), model, keep_text=True)
-    sure = (F.col("lang_pred") != byte_gru.UNDETERMINED) & (F.col("score") >= language_bar(len(model.languages) if model else 0))
+    sure = (F.col("lang_pred") != byte_gru.UNDETERMINED) & (F.col("score") >= language_bar(len(model.languages)))
     return told.where(sure).select(*COLUMNS)
 
 

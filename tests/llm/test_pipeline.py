@@ -82,3 +82,11 @@ def test_queries_match_their_sql(spark, name):
         expected = c.execute(f"select {', '.join(cols)} from ({catalog.oracle_sql()[name]})").fetchall()
     rows = [tuple(r[c] for c in cols) for r in got.collect()]
     assert len(rows) == len(expected) and sorted(map(str, rows)) == sorted(map(str, expected))
+
+
+def test_language_without_labels_keeps_texts(spark):
+    rows = [(1, "the and of the", None, "s", 14), (2, "été", None, "s", 3), (2, "été", None, "s", 3), (3, "123 ?", None, "s", 5), (4, "", None, "s", 0), (5, None, None, "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.language(spark, docs, SF)
+    assert out.columns == COLUMNS and sorted(r.doc_id for r in out.collect()) == [1, 2, 2]
+    assert corpus_pipeline.language(spark, docs.limit(0), SF).collect() == []
