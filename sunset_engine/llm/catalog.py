@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sunset_engine.llm import binary_codes, ngram_join, segment_search, url_filter, warc
+from sunset_engine.llm import binary_codes, fill_middle, ngram_join, segment_search, url_filter, warc
 from sunset_engine.llm.binary_codes import op1_binary_codes
 from sunset_engine.llm.bpe_table import op10_bpe_table
 from sunset_engine.llm.byte_gru import op3_byte_gru
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_feistel_pseudonyms": op8_feistel_pseudonyms,
     "op9_url_model_ratio": url_filter.op9_url_model_ratio,
     "op10_bpe_table": op10_bpe_table,
+    "op11_fill_middle": fill_middle.op11_fill_middle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -37,6 +38,7 @@ ORACLE: dict[str, str] = {
     "op4_warc_chunks": warc.ORACLE,
     "op5_segment_search": segment_search.ORACLE,
     "op9_url_model_ratio": url_filter.oracle(),
+    "op11_fill_middle": fill_middle.ORACLE,
 }
 
 
