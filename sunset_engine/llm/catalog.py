@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sunset_engine.llm import binary_codes, chat_windows, fill_middle, ngram_join, segment_search, url_filter, warc
+from sunset_engine.llm import alignment, binary_codes, chat_windows, fill_middle, ngram_join, segment_search, url_filter, warc
 from sunset_engine.llm.binary_codes import op1_binary_codes
 from sunset_engine.llm.bpe_table import op10_bpe_table
 from sunset_engine.llm.byte_gru import op3_byte_gru
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_model_ratio": url_filter.op9_url_model_ratio,
     "op10_bpe_table": op10_bpe_table,
     "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op12_alignment": alignment.op12_alignment,
     "op13_chat_windows": chat_windows.op13_chat_windows,
     "pipeline": corpus_pipeline.run,
 }
@@ -40,6 +41,7 @@ ORACLE: dict[str, str] = {
     "op5_segment_search": segment_search.ORACLE,
     "op9_url_model_ratio": url_filter.oracle(),
     "op11_fill_middle": fill_middle.ORACLE,
+    "op12_alignment": alignment.op12_alignment,
     "op13_chat_windows": chat_windows.ORACLE,
 }
 

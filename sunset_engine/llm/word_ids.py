@@ -10,12 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from sunset_engine.llm.common import lean_memory
-
-# Characters of text taken together; longer texts are cut between words.
-CHUNK_CHARS = 1 << 23
-# Words whose ids a worker keeps for the batches that follow.
-CACHE_WORDS = 400_000
+# Bytes of text taken together; longer texts are cut between words.
+CHUNK_BYTES = 1 << 20
+# Words whose ids a task keeps for the runs that follow, of at most so many bytes each.
+CACHE_WORDS, CACHED_BYTES = 200_000, 64
 ENCODE_AT_ONCE = 20_000
 
 
@@ -30,7 +28,7 @@ def load_tokenizer(text: str):
 
 
 class WordIds:
-    """Ids of words as an Arrow list array; the first ``CACHE_WORDS`` words seen are kept."""
+    """Ids of words as an Arrow list array; the first ``CACHE_WORDS`` short words seen are kept."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
@@ -55,37 +53,46 @@ class WordIds:
         at[at < 0] = len(self.words) + np.arange(len(new))
         out = pa.concat_arrays([self.ids, ids]).take(pa.array(at))
         if (room := CACHE_WORDS - len(self.words)) > 0:
-            self.words = pa.concat_arrays([self.words, new.slice(0, room)])
-            self.ids = pa.concat_arrays([self.ids, ids.slice(0, room)])
+            short = pa.array(np.flatnonzero(pc.binary_length(new).to_numpy() <= CACHED_BYTES)[:room])
+            self.words = pa.concat_arrays([self.words, new.take(short)])
+            self.ids = pa.concat_arrays([self.ids, ids.take(short)])
         return out
 
 
-def in_chunks(texts: pa.Array, cut: re.Pattern) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """Parts of bounded length of the texts, in order, with the row of each.
+def in_chunks(texts: pa.Array, cut: re.Pattern, size: int | None = None) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Runs of texts of about ``size`` bytes (by default CHUNK_BYTES), in order, with the row of each; null texts are empty.
 
-    A text longer than the bound is cut at the first place that ``cut`` matches at or after it.
+    A longer text comes by itself, in parts that begin where ``cut`` matches. Runs are slices of Arrow's buffers.
     """
-    lean_memory()
-    rows: list[int] = []
-    parts: list[str] = []
-    size = 0
-    for row, text in enumerate(texts.to_pylist()):
-        text = text or ""
-        while True:
-            if len(text) > CHUNK_CHARS and (m := cut.search(text, CHUNK_CHARS)):
-                part, text = text[:m.start()], text[m.start():]
-            else:
-                part, text = text, None
-            rows.append(row)
-            parts.append(part)
-            size += len(part)
-            if size >= CHUNK_CHARS:
-                yield np.array(rows), pa.array(parts, pa.large_string())
-                rows, parts, size = [], [], 0
-            if text is None:
-                break
-    if rows:
-        yield np.array(rows), pa.array(parts, pa.large_string())
+    size = size or CHUNK_BYTES
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    at = 0
+    while at < len(texts):
+        if sizes[at] > size:
+            text, begin = texts[at].as_py(), 0
+            while begin is not None:
+                m = cut.search(text, begin + size)
+                to = m.start() if m else None
+                yield np.array([at]), pa.array([text[begin:to]], pa.large_string())
+                begin = to
+            at += 1
+        else:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+            yield np.arange(at, to), pc.fill_null(texts.slice(at, to - at).cast(pa.large_string()), "")
+            at = to
+
+
+def packed(x: np.ndarray, kind: str = "<i4") -> bytes:
+    """Integers as byte planes, compressed."""
+    raw = np.ascontiguousarray(x, kind)
+    return pa.compress(raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(x: bytes, n: int, kind: str = "<i4") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = pa.decompress(x, width * n, "zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(kind).ravel()
 
 
 def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:

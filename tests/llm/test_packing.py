@@ -86,7 +86,7 @@ def test_ids_are_the_library_s(monkeypatch, chunk):
     from tokenizers import Tokenizer
     import pyarrow as pa
 
-    monkeypatch.setattr(word_ids, "CHUNK_CHARS", chunk)
+    monkeypatch.setattr(word_ids, "CHUNK_BYTES", chunk)
     tokenizer = Tokenizer.from_file(PATH)
     rows = texts(3)
 
