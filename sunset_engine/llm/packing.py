@@ -3,10 +3,10 @@
 Items are document pieces of 1 to ``capacity`` tokens, so all that a packing needs is how
 many pieces there are of each length: at most ``capacity`` numbers, whatever the size of
 the corpus. The search runs on those numbers. Best-fit decreasing gives the first incumbent.
-Bin completion (Korf) then takes the largest length left, enumerates undominated fillings
-of the room beside it, least waste first, applies each as often as the counts allow, and
+Bin completion (Korf) then takes the largest length left, enumerates all undominated fillings
+of the room beside it, least waste first, applies each as often as the counts allow, completes it by best fit, and
 gives up a branch once its waste exceeds what an incumbent one sequence better would
-allow; it stops when an incumbent meets the lower bound or after a set number of nodes.
+allow; it stops when an incumbent meets the lower bound or after a set number of fillings.
 
 The result is a short list of patterns with repetitions. Spark numbers the pieces of each
 length (by hashed groups, so that no length is numbered in one task) and joins the numbers
@@ -35,7 +35,6 @@ END_ID = 2
 # Pieces of one length that are numbered together.
 GROUP_ROWS = 20_000
 NODES = 3_000
-FILLINGS = 12
 
 Pattern = tuple[tuple[int, ...], int]         # lengths in order, times used
 
@@ -64,110 +63,133 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Best-fit decreasing; sequences that look alike are kept as one entry with a number."""
-    open_bins: dict[int, list[Pattern]] = {}
+    open_bins: list[list[Pattern]] = [[] for _ in range(capacity + 1)]
+    some = 0                                   # bit r: there are sequences with room for r
     for n in sorted(counts, reverse=True):
         left = counts[n]
         while left:
-            rest = min((r for r in open_bins if r >= n and open_bins[r]), default=None)
-            if rest is None:
-                held, times, rest = (), math.ceil(left / (capacity // n)), capacity
-            else:
+            fits = some >> n
+            if fits:
+                rest = n + (fits & -fits).bit_length() - 1
                 held, times = open_bins[rest].pop()
+                if not open_bins[rest]:
+                    some &= ~(1 << rest)
+            else:
+                held, times, rest = (), math.ceil(left / (capacity // n)), capacity
             each = rest // n
             full = min(times, left // each)
             if full:
-                open_bins.setdefault(rest - each * n, []).append((held + (n,) * each, full))
+                open_bins[rest - each * n].append((held + (n,) * each, full))
+                some |= 1 << rest - each * n
                 left -= full * each
                 times -= full
             if left and times and left < each:
-                open_bins.setdefault(rest - left * n, []).append((held + (n,) * left, 1))
+                open_bins[rest - left * n].append((held + (n,) * left, 1))
+                some |= 1 << rest - left * n
                 times -= 1
                 left = 0
             if times and held:
-                open_bins.setdefault(rest, []).append((held, times))
-    return [p for bins in open_bins.values() for p in bins]
+                open_bins[rest].append((held, times))
+                some |= 1 << rest
+    return [p for bins in open_bins for p in bins]
+
+
+def reachable(lengths: list[int], counts: dict[int, int], room: int) -> list[int]:
+    """Sums up to ``room`` that the lengths from each place on can make, as bits: one more entry than lengths."""
+    all_ = (1 << room + 1) - 1
+    out = [1]
+    for n in reversed(lengths):
+        now, left, step = out[-1], min(counts[n], room // n), 1
+        while left:                            # copies in steps that double, the rest at last
+            step = min(step, left)
+            now |= now << n * step & all_
+            left -= step
+            step *= 2
+        out.append(now)
+    return out[::-1]
 
 
-def fillings(counts: dict[int, int], room: int, waste: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` with waste of at most ``waste``, least waste first.
+def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room`` with waste of at most ``waste``, least waste first, one after another.
 
     A single length that fits exactly dominates everything. Otherwise a filling is kept when
     no length left fits into its waste and none of its lengths can be exchanged for a
-    larger one that is left and still fits.
+    larger one that is left and still fits. The sums that can be reached are found first, so no walk ends in vain.
     """
     if room == 0 or counts.get(room):
-        return [(room,) if room else ()]
+        yield (room,) if room else ()
+        return
     lengths = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
-    found: list[tuple[int, ...]] = []
-    steps = 0
+    sums = reachable(lengths, counts, room)
 
-    def walk(at: int, rest: int, held: list[int]) -> None:
-        nonlocal steps
-        steps += 1
-        if len(found) >= FILLINGS or steps > 40 * FILLINGS:
+    def exact(at: int, rest: int, lost: int, spare: int) -> Iterator[tuple[int, ...]]:
+        """``spare`` is the last length passed of which one is left: what it could replace is passed too."""
+        if rest == 0:
+            yield ()
             return
-        more = False
         for i in range(at, len(lengths)):
+            if not sums[i] >> rest & 1:        # nor from any later place
+                return
             n = lengths[i]
-            if n <= rest and held.count(n) < counts[n]:
-                more = True
-                held.append(n)
-                walk(i, rest - n, held)
-                held.pop()
-                if len(found) >= FILLINGS:
-                    return
-        if more or rest > waste:
-            return
-        spare = {n for n in lengths if held.count(n) < counts[n]}
-        if any(n <= rest for n in spare) or any(x < n <= x + rest for x in held for n in spare):
-            return
-        found.append(tuple(held))
+            if not lost or spare - n > lost:
+                for k in range(min(counts[n], rest // n), 0, -1):
+                    if sums[i + 1] >> rest - k * n & 1:
+                        for more in exact(i + 1, rest - k * n, lost, n if k < counts[n] else spare):
+                            yield (n,) * k + more
+            spare = n
 
-    walk(0, room, [])
-    return sorted(set(found), key=lambda f: (room - sum(f), len(f), [-n for n in f]))
+    for lost in range(min(waste, room) + 1):
+        if sums[0] >> room - lost & 1:
+            for held in exact(0, room - lost, lost, room + lost + 1):
+                if not any(held.count(n) < counts[n] for n in lengths if n <= lost):
+                    yield held
 
 
 def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
-    """Patterns that hold every item once: the best packing found and proven or left at ``nodes``."""
+    """Patterns that hold every item once: the best packing found, proven or left after ``nodes`` fillings tried.
+
+    ``nodes`` is the search's only bound; ``lower_bound`` tells how far the result can be from the best.
+    """
     counts = {n: c for n, c in counts.items() if c}
     least = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     size = sum(t for _, t in best)
     total = sum(n * c for n, c in counts.items())
+
+    def options(now: dict[int, int], wasted: int) -> tuple[int, Iterator[tuple[int, ...]]]:
+        largest = max(now)
+        others = dict(now)
+        others[largest] -= 1
+        return largest, fillings(others, capacity - largest, (size - 1) * capacity - total - wasted)
+
     left = nodes
-    stack: list[tuple[dict[int, int], list[Pattern], int, int]] = [(counts, [], 0, 0)]
+    stack = [(counts, [], 0, 0, *options(counts, 0))] if counts else []
     while stack and size > least and left:
-        left -= 1
-        now, made, used, wasted = stack.pop()
-        allowed = (size - 1) * capacity - total - wasted        # waste that one sequence fewer leaves
-        if allowed < 0:
+        now, made, used, wasted, largest, untried = stack[-1]
+        filling = next(untried, None)
+        if filling is None:
+            stack.pop()
             continue
-        if not now:
-            if used < size:
-                best, size = made, used
-            continue
-        if used + lower_bound(now, capacity) >= size:
+        left -= 1
+        allowed = (size - 1) * capacity - total - wasted         # waste that one sequence fewer leaves
+        pattern = (largest, *filling)
+        lost = capacity - sum(pattern)
+        if lost > allowed:                                       # the incumbent got better meanwhile
+            stack.pop()
             continue
-        if left % 16 == 0 or len(now) < 64:                      # best fit completes the branch: a new incumbent, perhaps
-            rest = best_fit(now, capacity)
-            if used + sum(t for _, t in rest) < size:
-                best, size = made + rest, used + sum(t for _, t in rest)
-                continue
-        largest = max(now)
-        others = dict(now)
-        others[largest] -= 1
-        branches = []
-        for filling in fillings(others, capacity - largest, allowed):
-            pattern = (largest, *filling)
-            times = min(now[n] // pattern.count(n) for n in set(pattern))
-            lost = capacity - sum(pattern)
-            if lost:
-                times = max(1, min(times, allowed // lost))
-            after = dict(now)
-            for n in pattern:
-                after[n] -= times
-            branches.append(({n: c for n, c in after.items() if c}, [*made, (pattern, times)], used + times, wasted + lost * times))
-        stack.extend(reversed(branches))
+        times = min(now[n] // pattern.count(n) for n in set(pattern))
+        if lost:
+            times = max(1, min(times, allowed // lost))
+        after = dict(now)
+        for n in pattern:
+            after[n] -= times
+        after = {n: c for n, c in after.items() if c}
+        child, used, wasted = [*made, (pattern, times)], used + times, wasted + lost * times
+        rest = best_fit(after, capacity)                         # completes the branch: a new incumbent, perhaps
+        if used + (n := sum(t for _, t in rest)) < size:
+            best, size = child + rest, used + n
+        if after and used + lower_bound(after, capacity) < size:
+            stack.append((after, child, used, wasted, *options(after, wasted)))
     return best
 
 

@@ -72,7 +72,38 @@ def test_fillings_are_undominated():
         waste = 12 - sum(filling)
         assert waste >= 0 and all(c >= 0 for c in left.values())
         assert not any(c and n <= waste for n, c in left.items())
-    assert K.fillings(counts, 7, 7) == [(7,)]
+    assert list(K.fillings(counts, 7, 7)) == [(7,)]
+
+
+def undominated(held, lost, counts):
+    spare = [n for n in counts if held.count(n) < counts[n]]
+    return not any(n <= lost for n in spare) and not any(x < n <= x + lost for x in held for n in spare)
+
+
+def test_every_undominated_filling_comes_least_waste_first():
+    rng = random.Random(4)
+    for _ in range(60):
+        counts = {n: rng.randint(1, 3) for n in rng.sample(range(2, 15), rng.randint(1, 6))}
+        room, waste = rng.randint(1, 24), rng.randint(0, 5)
+        lengths = sorted(counts, reverse=True)
+        found = [f for f in K.fillings(counts, room, waste)]
+        assert len(found) == len(set(found)) and [room - sum(f) for f in found] == sorted(room - sum(f) for f in found)
+        if counts.get(room):
+            assert found == [(room,)]
+            continue
+        every = {tuple(n for n, k in zip(lengths, ks) for _ in range(k)) for ks in itertools.product(*(range(counts[n] + 1) for n in lengths))}
+        want = {f for f in every if 0 <= room - sum(f) <= waste and undominated(f, room - sum(f), counts)}
+        assert set(found) == want
+
+
+def test_the_search_ends_with_its_nodes_alone():
+    """Many mid-size lengths: fillings are listed one by one, none is left out."""
+    rng = random.Random(8)
+    counts = {n: rng.randint(1, 4) for n in range(90, 700, 2)}
+    size = check(K.bin_completion(counts, 1024), counts, 1024)
+    assert K.lower_bound(counts, 1024) <= size <= check(K.best_fit(counts, 1024), counts, 1024)
+    many = sum(1 for _ in itertools.islice(K.fillings(counts, 900, 0), 5000))
+    assert many == 5000
 
 
 def texts(seed):
