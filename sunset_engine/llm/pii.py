@@ -24,7 +24,10 @@ ROUNDS = 8
 KEY = "example key: pass your own"
 
 # Formats in the order in which they are tried at a place.
-EMAIL = r"(?<![\w.+%-])[A-Za-z0-9_][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"
+# Repeated groups are possessive: the matcher then goes on in a loop, where a greedy group would call itself once a
+# repetition and overflow the stack on long values.
+LABEL = r"[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+"
+EMAIL = rf"(?<![\w.+%-])[A-Za-z0-9_][A-Za-z0-9._%+-]*+@{LABEL}(?:\.{LABEL})++"
 CREDENTIAL = r"(?<![A-Za-z])(?i:pass(?:word|wd)|pwd|token|secret|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9_+/=.-]{6,}"
 ACCESS_KEY = r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 DATE = r"(?<![\w.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?:(?=[Tt]\d{2})|(?![\w-]|\.\d))"
@@ -36,7 +39,7 @@ NUMBERS = "|".join((DATE, ADDRESS, SOCIAL, PHONE))
 VALUES = rf"{EMAIL}|{CREDENTIAL}|{ACCESS_KEY}|(?=[\d(+])(?:{NUMBERS})"
 # Numbers in a row with 13 digits or more, what is attached before and behind them included: whatever
 # begins in it ends in it, and no lookaround sees past its ends.
-ROW = (r"(?:[.+(-]++|(?<!\w))(?=\d(?:[ ./()+-]{0,3}\d){12})\d++(?:[ ./()+-]{1,3}+\d++)*+"
+ROW = (r"(?:(?<![.+(-])[.+(-]++|(?<!\w))(?=\d(?:[ ./()+-]{0,3}\d){12})\d++(?:[ ./()+-]{1,3}+\d++)*+"
        rf"(?:(?!{CREDENTIAL}|{ACCESS_KEY})[\w.%+@-])*+")
 FOUND = rf"{EMAIL}|{CREDENTIAL}|{ACCESS_KEY}|(?=[\d(+.-])(?:{ROW})|(?=[\d(+])(?:{NUMBERS})"
 # Groups of digits in a card number: at most four of four digits or more, and a shorter one.
@@ -72,18 +75,21 @@ def permuted(x: Column, bases: tuple[int, int], key: str, kind: str) -> Column:
 
 
 def _shifted(half: Column, key: str, kind: str, i: Column, other: Column) -> Column:
-    """Each letter and digit of ``half`` moved within its class by a hash of ``other``."""
-    def one(at: Column) -> Column:
-        c = F.substring(half, at, F.lit(1))
-        code, h = F.ascii(c), _hash(key, kind, i, at, other)
-        move = lambda first, n: F.char(first + F.pmod(code - first + h, F.lit(n)))
-        digit = code.between(48, 57)
-        if kind == "hex":
-            table_ = F.lit("0123456789abcdef")
-            return F.when(digit | code.between(97, 102), F.substring(table_, (F.pmod(F.instr(table_, c) - 1 + h, F.lit(16)) + 1).cast("int"), F.lit(1))).otherwise(c)
-        return F.when(digit, move(48, 10)).when(code.between(65, 90), move(65, 26)).when(code.between(97, 122), move(97, 26)).otherwise(c)
+    """Each letter and digit of ``half`` moved within its class by its place and a keyed hash of ``other``, taken once."""
+    seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), other), 256)
+
+    def one(seed: Column) -> Callable[[Column, Column], Column]:
+        def moved(c: Column, at: Column) -> Column:
+            code, h = F.ascii(c), F.xxhash64(seed, at)
+            move = lambda first, n: F.char(first + F.pmod(code - first + F.pmod(h, F.lit(n)), F.lit(n)))
+            digit = code.between(48, 57)
+            if kind == "hex":
+                value = F.when(digit, code - 48).otherwise(code - 87)
+                return F.when(digit | code.between(97, 102), F.lower(F.hex(F.pmod(value + F.pmod(h, F.lit(16)), F.lit(16))))).otherwise(c)
+            return F.when(digit, move(48, 10)).when(code.between(65, 90), move(65, 26)).when(code.between(97, 122), move(97, 26)).otherwise(c)
+        return moved
 
-    return F.when(F.length(half) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), one), "")).otherwise("")
+    return F.when(F.length(half) > 0, let(seed, lambda s: F.array_join(F.transform(F.split(half, ""), one(s)), ""))).otherwise("")
 
 
 def scrambled(x: Column, key: str, kind: str) -> Column:
@@ -228,16 +234,18 @@ def _scanned(text: Column, pattern: str, match: Callable[[Column], Column], gap:
 def _parts(m: Column) -> Column:
     """A row of numbers cut before and behind each of its card numbers. No other format is found in such a number."""
     def put(groups: Column, between: Column, cards: Column) -> Column:
-        texts = F.flatten(F.zip_with(between, groups, lambda s, g: F.array(s, F.coalesce(g, F.lit("")))))
-        joined = lambda first, n: F.array_join(F.slice(texts, first, n), "")
+        def cut(texts: Column) -> Column:
+            joined = lambda first, n: F.array_join(F.slice(texts, first, n), "")
+
+            def one(i: Column) -> Column:
+                end = F.coalesce(F.get(cards, i - 1)["first"] + F.get(cards, i - 1)["size"] - 1, F.lit(0))
+                first = F.coalesce(F.get(cards, i)["first"], F.size(groups) + 1)
+                card = F.when(i < F.size(cards), joined(2 * first, 2 * F.get(cards, i)["size"] - 1)).otherwise("")
+                return F.array(joined(2 * end + 1, 2 * (first - end) - 1), card)
 
-        def one(i: Column) -> Column:
-            end = F.coalesce(F.get(cards, i - 1)["first"] + F.get(cards, i - 1)["size"] - 1, F.lit(0))
-            first = F.coalesce(F.get(cards, i)["first"], F.size(groups) + 1)
-            card = F.when(i < F.size(cards), joined(2 * first, 2 * F.get(cards, i)["size"] - 1)).otherwise("")
-            return F.array(joined(2 * end + 1, 2 * (first - end) - 1), card)
+            return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cards)), one))
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(cards)), one))
+        return let(F.flatten(F.zip_with(between, groups, lambda s, g: F.array(s, F.coalesce(g, F.lit(""))))), cut)
 
     return let(F.regexp_extract_all(m, F.lit(r"(\d+)"), 1), lambda groups: let(F.split(m, r"\d+", -1), lambda between: let(
         _cards(groups, between), lambda cards: put(groups, between, cards))))
