@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import lean_memory, table, tokenizer_json
+from sunset_engine.llm.common import lean, lean_memory, table, tokenizer_json
 from sunset_engine.llm.word_ids import flat, in_chunks, load_tokenizer, packed, unpacked
 from sunset_engine.operators.joins import materialize
 
@@ -416,13 +416,9 @@ def _aligned(shared, digest: bool) -> Callable:
             yield known.row()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
-        try:
-            for row in rows(batches):
-                yield pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in SLICE_SCHEMA], schema=SLICE_SCHEMA)
-        finally:
-            lean_memory()
-    return run
+        for row in rows(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in SLICE_SCHEMA], schema=SLICE_SCHEMA)
+    return lean(run)
 
 
 def _summed(slices: pa.Table, totals: pa.Table) -> pa.Table:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import lean_memory, string_bytes, table
+from sunset_engine.llm.common import lean, string_bytes, table, text_slices
 from sunset_engine.operators.joins import broadcast_if_bounded, materialize
 
 HIDDEN = 8
@@ -251,28 +251,30 @@ def train(docs: DataFrame) -> Model | None:
 
 def _predicted(shared, keep_text: bool) -> Callable:
     def run(batches):
-        lean_memory()
         names, f_bytes, f_state, b_bytes, b_state, out, bias = shared.value
         model = Model(names, Gru(f_bytes, f_state), Gru(b_bytes, b_state), out, bias)
+        side = at_once(SIDE_BY_SIDE, len(model.languages))
         for batch in batches:
-            data, offsets = string_bytes(batch.column("text"))
-            start, length, text = windows(data, offsets)
-            total = np.zeros((len(model.languages), batch.num_rows))
-            full = length == WINDOW
-            side = at_once(SIDE_BY_SIDE, len(model.languages))
-            for some in (np.flatnonzero(full), np.flatnonzero(~full)):
-                for at in range(0, len(some), side):
-                    pick = some[at:at + side]
-                    x, mask = taken(data, start[pick], length[pick])
-                    p = model.probabilities(x, mask).sum(axis=0)
-                    for k in range(len(p)):
-                        total[k] += np.bincount(text[pick], p[k], batch.num_rows)
-            total /= np.maximum(1, np.diff(offsets))
-            best = total.argmax(axis=0)
-            score = np.clip(total[best, np.arange(batch.num_rows)], 0, 1)
+            best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for data, offsets in text_slices(batch.column("text")):
+                texts = len(offsets) - 1
+                start, length, text = windows(data, offsets)
+                total = np.zeros((len(model.languages), texts))
+                full = length == WINDOW
+                for some in (np.flatnonzero(full), np.flatnonzero(~full)):
+                    for at in range(0, len(some), side):
+                        pick = some[at:at + side]
+                        x, mask = taken(data, start[pick], length[pick])
+                        p = model.probabilities(x, mask).sum(axis=0)
+                        for k in range(len(p)):
+                            total[k] += np.bincount(text[pick], p[k], texts)
+                total /= np.maximum(1, np.diff(offsets))
+                best.append(total.argmax(axis=0))
+                score.append(np.clip(total[best[-1], np.arange(texts)], 0, 1))
+            best, score = np.concatenate(best), np.concatenate(score)
             columns = {n: batch.column(n) for n in batch.schema.names if n != "text" or keep_text}
             yield pa.RecordBatch.from_pydict(columns | {"lang_pred": pa.array([model.languages[k] for k in best], pa.string()), "score": pa.array(score)})
-    return run
+    return lean(run)
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +101,17 @@ def lean_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` over a task's batches, with the worker's memory given back before and after."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
+        try:
+            yield from run(batches)
+        finally:
+            lean_memory()
+    return wrapped
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE_SPACE, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """64-bit hash of every word of every text, A-Z lower-cased, and each text's first word.
 

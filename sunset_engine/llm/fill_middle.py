@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import lean_memory, table, text_slices
+from sunset_engine.llm.common import lean, table, text_slices
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SEED = 7
@@ -115,7 +115,6 @@ def _transformed(data: np.ndarray, offsets: np.ndarray, draws: np.ndarray, unit:
 
 def _runs(unit: str, percent: int, spm: int, text: str, draw: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
         for batch in batches:
             draws = np.stack([batch.column(f"{draw}{i}").to_numpy(zero_copy_only=False) for i in range(DRAWS)], axis=1)
             rest = [c for c in batch.schema.names if c != text and not c.startswith(draw)]
@@ -126,7 +125,7 @@ def _runs(unit: str, percent: int, spm: int, text: str, draw: str) -> Callable:
                 made = _transformed(data, offsets, draws[at:to], unit, percent, spm)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *made], names=[*rest, *NAMES])
                 at = to
-    return run
+    return lean(run)
 
 
 def draws(id_: Column, seed: int = SEED) -> list[Column]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import connected_components, lean_memory, mix, shingle_sets, table, text_slices, word_hashes
+from sunset_engine.llm.common import connected_components, lean, mix, shingle_sets, table, text_slices, word_hashes
 from sunset_engine.operators.joins import broadcast_if_bounded, materialize
 
 # Documents whose ids may be broadcast (8 bytes each) to pick candidates' texts without moving texts.
@@ -68,7 +68,6 @@ def _facts(k: int, percent: int) -> Callable:
     end = np.uint64(range_end(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
         for batch in batches:
             n, cls, first = [], [], []
             sent: dict[int, np.ndarray] = {}
@@ -82,14 +81,14 @@ def _facts(k: int, percent: int) -> Callable:
                     sent[c] = signed(tokens[:max(low, prefix_length(len(tokens), percent))])
             m, tokens = len(n), np.concatenate([np.zeros(0, np.int64), *sent.values()])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64()),
+                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64()),
                 "low": pa.array(first, pa.int64()), "token": pa.nulls(m, pa.int64())})
             t = len(tokens)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.nulls(t, pa.int64()), "n": pa.nulls(t, pa.int64()),
+                "doc_id": pa.nulls(t, pa.int64()), "text_hash": pa.nulls(t, pa.int64()), "n": pa.nulls(t, pa.int64()),
                 "cls": pa.array(np.repeat(np.fromiter(sent, np.int64, len(sent)), [len(x) for x in sent.values()])),
                 "low": pa.nulls(t, pa.int64()), "token": pa.array(tokens)})
-    return run
+    return lean(run)
 
 
 def prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -102,7 +101,6 @@ def prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
 def _fetched(k: int, percent: int) -> Callable:
     """Rows (cls, text) to (cls, n, the prefixes of the other orders, all tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
         for batch in batches:
             wanted = batch.column("cls").to_pylist()
             cls: list[int] = []
@@ -115,7 +113,7 @@ def _fetched(k: int, percent: int) -> Callable:
             if cls:
                 lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in held])), pa.int32()), pa.array(np.concatenate(held))) for held in out]
                 yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array([len(x) for x in out[2]], pa.int64()), *lists], names=["cls", "n", "p1", "p2", "tokens"])
-    return run
+    return lean(run)
 
 
 def _star(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +198,7 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row (doc_id, n_shingles, component_id) per document.
+    """One row (doc_id, n_shingles, component_id, text_hash) per document.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a document's set has
     its distinct ``k``-word shingles, or its whole word sequence when it has fewer. Documents
@@ -214,7 +212,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     64-bit hashes.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    facts = materialize(docs.mapInArrow(_facts(k, percent), "doc_id long, n long, cls long, low long, token long"), "ngram-facts")
+    facts = materialize(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_facts(k, percent), "doc_id long, text_hash long, n long, cls long, low long, token long"), "ngram-facts")
     documents, sent = facts.where("token is null"), facts.where("token is not null").select("token", "cls")
     classes = materialize(documents.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"))
                           .where("rep is not null"), "ngram-classes")
@@ -249,23 +247,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     found = connected_components(links.join(rep("a"), "a").join(rep("b"), "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "ngram-all")
     of_class = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("cls", "rep", "component_id")
     return (documents.join(of_class, "cls", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id"), "text_hash"))
 
 
-def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Documents without those whose component has a smaller id. Rows that repeat a kept id stay once, nulls stay."""
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    again = found.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").select(id_col)
-    # Within the bound on ids, texts are not moved; beyond it they are joined by id.
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component of ``found``: the one with the smallest id.
+
+    Rows are told apart by id and text: one that repeats another stays once; of different texts
+    under the kept id, which are alike, the one with the smallest hash stays. Rows without shingles, and rows without an id, all stay.
+    """
+    key = [id_col, "_hash"]
+    told = found.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias("_hash"), "n_shingles", "component_id").where(f"`{id_col}` is not null and n_shingles > 0")
+    same = told.where(f"component_id = `{id_col}`")
+    several = same.groupBy("component_id").agg(F.min("_hash").alias("least"), F.max("_hash").alias("most")).where("least <> most")
+    gone = told.where(f"component_id <> `{id_col}`").select(*key).unionByName(same.join(several, "component_id").where("_hash <> least").select(*key)).distinct()
+    again = told.groupBy(*key).count().where("count > 1").select(*key)
+    # Within the bound on ids, texts are not moved; beyond it they are joined by id and hash.
     gone, again = (broadcast_if_bounded(materialize(ids, "ngram-ids"), BROADCAST_IDS) for ids in (gone, again))
-    kept = docs.join(gone, id_col, "left_anti")
-    once = kept.join(again, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(again, id_col, "left_anti").unionByName(once)
+    kept = docs.withColumn("_hash", F.xxhash64(F.col(f"`{text_col}`").cast("string"))).join(gone, key, "left_anti")
+    once = kept.join(again, key, "left_semi").dropDuplicates(key)
+    return kept.join(again, key, "left_anti").unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Documents of the corpus: 4-word shingles, similarity of 0.85 or more."""
-    return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85).drop("text_hash")
 
 
 ORACLE = r"""

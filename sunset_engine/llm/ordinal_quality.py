@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import NOT_ALNUM, distinct, lean_memory, table, text_slices, word_hashes
+from sunset_engine.llm.common import NOT_ALNUM, distinct, lean, lean_memory, table, text_slices, word_hashes
 
 BITS = 22
 # Beginnings of words, in bytes, that count as features besides whole words.
@@ -188,7 +188,6 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> Model | None:
 
 def _rated(shared, keep_text: bool) -> Callable:
     def run(batches):
-        lean_memory()
         model = Model(*shared.value)
         used = model.weights != 0
         for batch in batches:
@@ -196,7 +195,7 @@ def _rated(shared, keep_text: bool) -> Callable:
             passed = [n for n in batch.schema.names if n != "text" or keep_text]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in passed), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
                                              names=[*passed, "expected_grade", "tail_prob"])
-    return run
+    return lean(run)
 
 
 def rate(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = True) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import table, tokenizer_json
+from sunset_engine.llm.common import lean, table, tokenizer_json
 from sunset_engine.llm.word_ids import WordIds, flat, in_chunks, load_tokenizer
 from sunset_engine.operators.joins import materialize
 
@@ -280,7 +280,7 @@ def _pieces(shared, capacity: int, end_id: int) -> Callable:
             columns = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[2:])],
                                              names=["doc_id", "piece", "start", "length", "ids_crc32"])
-    return run
+    return lean(run)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
