@@ -9,29 +9,29 @@ A table has one row per cell; rows outside the grid play no part.
 
 Plan shape of ``zonal_mean``:
 
-    airports -> Albers -> 4 Vincenty corners -> pixels             (narrow, per airport)
-      -> explode bounding-box rows x cols, half-plane test, in-grid  (narrow, ~140 px per zone)
-      -> zones of each pixel                                          (one row per pixel)
-    cells, scanned once, LEFT JOIN pixels on (row, col)            (broadcast behind a check of the airport count)
-      -> each cell counts for the whole grid and for its zones
+    airports -> Albers -> 4 Vincenty corners -> column intervals by row    (narrow, per airport)
+      -> two rows for each interval and tile of columns
+    cells, scanned once, and these rows                                     (one shuffle by row and tile)
+      -> running sum by column within row and tile
       -> partial sum/count/min/max per zone and for the grid -> tiny shuffle -> final
     the grid's min and max come from that same aggregate (its exchange is reused)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunset_engine.functions.columns import finite, nan_to_zero
 from sunset_engine.functions.geo import (GRID_BOUNDS, GRID_RESOLUTION, METRES_PER_MILE, ZONE_MILES,
                                          albers_forward_steps, albers_inverse_steps, apply_steps, grid_shape,
                                          pixel_steps, zone_corner_steps)
-from sunset_engine.operators.joins import is_bounded
 
 ZONE_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
-# Zones whose pixels (about 140 each) may be broadcast.
-BROADCAST_ZONES = 20_000
+# Columns of the grid that share a running sum.
+TILE = 256
+# Order at one column: an interval's first end, the cell, an interval's last end.
+BEGIN, CELL, END = 0, 1, 2
 
 
 def project_airports(airports: DataFrame) -> DataFrame:
@@ -107,6 +107,46 @@ def zone_pixels(zones: DataFrame, bounds=GRID_BOUNDS, resolution: float = GRID_R
     return z.where(inside & in_grid).select(*ZONE_KEY, "row", "col")
 
 
+def _row_interval(row: Column, sign: int, width: int) -> Column:
+    """First and last column of a grid row that lie on one side (``sign`` of the cross product) of all four edges.
+
+    ``cross >= 0`` is a bound on the column that depends on the edge's direction; corners
+    and rows are whole numbers, so the bounds are as exact as the half-plane test.
+    """
+    xs, ys = [F.col(f"c{k}_x") for k in range(4)], [F.col(f"c{k}_y") for k in range(4)]
+    low, high, possible = [F.least(*xs), F.lit(0)], [F.greatest(*xs), F.lit(width - 1)], []
+    for a, b in ((2, 3), (3, 0), (0, 1), (1, 2)):
+        dx, dy = xs[b] - xs[a], ys[b] - ys[a]
+        at = xs[a] + F.try_divide(dx * (row - ys[a]), dy)     # where the edge's line meets the row
+        level = dx * (row - ys[a])                            # the cross product where the edge lies along the row
+        if sign > 0:                                          # on the line counts as inside
+            below, above, flat = F.floor(at), F.ceil(at), level >= 0
+            high.append(F.when(dy > 0, below))
+            low.append(F.when(dy < 0, above))
+        else:
+            below, above, flat = F.ceil(at) - 1, F.floor(at) + 1, level < 0
+            high.append(F.when(dy < 0, below))
+            low.append(F.when(dy > 0, above))
+        possible.append((dy != 0) | flat)
+    inside = possible[0] & possible[1] & possible[2] & possible[3]
+    first, last = F.greatest(*low).cast("int"), F.least(*high).cast("int")      # both skip the bounds that are NULL
+    return F.struct(row.alias("row"), first.alias("first"), F.when(inside, last).otherwise(first - 1).alias("last"))
+
+
+def zone_intervals(zones: DataFrame, bounds=GRID_BOUNDS, resolution: float = GRID_RESOLUTION) -> DataFrame:
+    """Each zone's pixels as intervals of columns: the zone key, ``n_pixels`` and ``spans`` (row, first, last).
+
+    The same pixels as ``zone_pixels``, without a row for each: a zone has as many intervals as it is high.
+    """
+    height, width = grid_shape(bounds, resolution)
+    ys = [F.col(f"c{k}_y") for k in range(4)]
+    low, high = F.greatest(F.least(*ys), F.lit(0)), F.least(F.greatest(*ys), F.lit(height - 1))
+    rows = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    both = F.concat(F.transform(rows, lambda r: _row_interval(r, 1, width)), F.transform(rows, lambda r: _row_interval(r, -1, width)))
+    found = zones.select(*ZONE_KEY, F.filter(both, lambda x: x["first"] <= x["last"]).alias("spans"))
+    return found.select(*ZONE_KEY, F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1).alias("n_pixels"), "spans").where("n_pixels > 0")
+
+
 def presence_raster(zones: DataFrame) -> DataFrame:
     """Cells holding at least one airport, value 1."""
     return zones.select("row", "col").distinct().withColumn("value", F.lit(1.0).cast("float"))
@@ -162,26 +202,35 @@ def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
     """Mean normalised cell value over each zone's pixels (A6): ``bird_population``.
 
     Pixels without a stored cell contribute the normalised value of 0. Normalising is linear, so
-    the mean is taken over raw values and normalised at the end: the cells are read once, for
-    the zones and for the grid's range alike.
+    the mean is taken over raw values and normalised at the end.
+
+    A zone is a list of column intervals, cut at the borders of tiles of ``TILE`` columns. Their ends are put among the
+    cells of the same row and tile, and one running sum gives every end the sum of the cells before it: an
+    interval's sum is its last end's less its first's. So a zone costs two rows for each grid row
+    and tile it touches, not one for each pixel; the cells are read and shuffled once, for the zones and for the grid's range alike, and nothing is broadcast but the range.
     """
     height, width = grid_shape(bounds, resolution)
-    pix = zone_pixels(zones, bounds, resolution)
-    zone = F.struct(*ZONE_KEY)
-    small = is_bounded(zones, BROADCAST_ZONES)
-    by_pixel = pix.groupBy("row", "col").agg(F.collect_list(zone).alias("zones"))
-    by_pixel = F.broadcast(by_pixel) if small else by_pixel
-    whole_grid = F.array(F.lit(None).cast(pix.select(zone.alias("z")).schema["z"].dataType))
-    counted = on_grid(cells, height, width).join(by_pixel, ["row", "col"], "left").select(
-        _value(nodata).alias("v"), F.explode(F.when(F.col("zones").isNull(), whole_grid).otherwise(F.concat(whole_grid, "zones"))).alias("z"))
-    sums = counted.groupBy("z").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("m"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    spans = zone_intervals(zones.dropDuplicates(ZONE_KEY), bounds, resolution)
+    key = F.struct(*ZONE_KEY)
+    # A row of the grid has few zones' rows per tile: (row, tile) is the unit of the shuffle and of the running sum.
+    piece = F.explode(F.sequence(F.floor(F.col("x.first") / TILE), F.floor(F.col("x.last") / TILE)))
+    cut = spans.select(key.alias("z"), F.explode("spans").alias("x")).select("z", "x", piece.alias("tile"))
+    first, last = F.greatest(F.col("x.first"), F.col("tile") * TILE), F.least(F.col("x.last"), F.col("tile") * TILE + TILE - 1)
+    # At one column: a first end, then the cell, then a last end.
+    ends = F.inline(F.array(F.struct(first.alias("col"), F.lit(BEGIN).alias("part")), F.struct(last.alias("col"), F.lit(END).alias("part"))))
+    marks = cut.select("z", F.col("x.row").alias("row"), "tile", ends).select("z", "row", "tile", F.col("col").cast("int").alias("col"), "part", F.lit(0.0).alias("v"))
+    own = on_grid(cells, height, width).select(
+        F.lit(None).cast(marks.schema["z"].dataType).alias("z"), F.col("row").cast("int").alias("row"), F.floor(F.col("col") / TILE).alias("tile"),
+        F.col("col").cast("int").alias("col"), F.lit(CELL).alias("part"), _value(nodata).alias("v"))
+    through = F.sum("v").over(Window.partitionBy("row", "tile").orderBy("col", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = own.unionByName(marks).withColumn("through", through)
+    sums = summed.groupBy("z").agg(F.sum(F.when(F.col("part") == END, F.col("through")).when(F.col("part") == BEGIN, -F.col("through"))).alias("s"),
+                                   F.count(F.lit(1)).alias("m"), F.min("v").alias("mn"), F.max("v").alias("mx"))
     absent = F.col("m") < F.lit(height * width)
     grid = sums.where(F.col("z").isNull()).select(F.struct(
         F.when(absent, F.least("mn", F.lit(0.0))).otherwise(F.col("mn")).alias("mn"),
         F.when(absent, F.greatest("mx", F.lit(0.0))).otherwise(F.col("mx")).alias("mx")).alias("s")).scalar()
     mean = F.coalesce(F.col("s"), F.lit(0.0)) / F.col("n_pixels")
     scaled = F.when(grid.isNull(), mean).otherwise(_normalize(mean, grid))
-    totals = pix.groupBy(*ZONE_KEY).agg(F.count(F.lit(1)).alias("n_pixels")).select(zone.alias("z"), "n_pixels")
     found = sums.where(F.col("z").isNotNull()).select("z", "s")               # a row per zone
-    return (totals.join(F.broadcast(found) if small else found, "z", "left")
-            .select("z.airport_id", scaled.alias("bird_population"), "n_pixels"))
+    return spans.select(key.alias("z"), "n_pixels").join(found, "z", "left").select("z.airport_id", scaled.alias("bird_population"), "n_pixels")

@@ -1,4 +1,6 @@
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,12 +111,15 @@ def test_nodata_value_counts_as_zero(spark):
     assert masked == [0.0, 0.0, 0.5, 1.0]
 
 
-def test_zonal_plan_streams_cells_past_broadcast_pixels(spark):
+def test_zonal_plan_sums_cells_without_pixels(spark):
+    """Cells meet the zones' ends in one shuffle by row and tile: no row per pixel, no join of the cells."""
     z = R.airport_zones(spark.createDataFrame(SEVEN, AP))
     cells = spark.range(0, 2000).selectExpr("cast(1200 + id % 100 as int) as row",
                                             "cast(1600 + id div 100 as int) as col", "cast(id % 3 as double) as value")
     plan = R.zonal_mean(z, cells)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning(row" in plan and "Window" in plan and "BroadcastExchange" not in plan.split("Subquery")[0]
+    joined = [line for line in plan.splitlines() if "Join" in line]
+    assert all("z#" in line and "col#" not in line for line in joined)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Subquery" in plan  # raster min/max as a scalar subquery
 
@@ -173,3 +178,50 @@ def test_zonal_mean_reads_the_raster_once(spark, tmp_dir):
     assert {r.airport_id: r.n_pixels for r in out.collect()} == {"Z": 36, "Y": 36}
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan parquet") == 1 and "SortMergeJoin" not in plan
+
+
+def test_intervals_hold_the_same_pixels(spark):
+    """Random quadrilaterals, thin, flat, off the grid and single pixels among them."""
+    draw = random.Random(3)
+    rows = []
+    for i in range(400):
+        size = draw.choice([0, 1, 3, 12])
+        x, y = draw.randint(-4, 44), draw.randint(-4, 34)
+        ring = [(size, -size), (size, size), (-size, size), (-size, -size)]
+        if i % 3 == 0:
+            ring = [(draw.randint(-size, size), draw.randint(-size, size)) for _ in range(4)]
+        rows.append((f"A{i}", float(i), 0.0, *[v for a, b in ring for v in (x + a, y + b)]))
+    z = spark.createDataFrame(rows, "airport_id string, latitude_deg double, longitude_deg double, " + ", ".join(f"c{k}_{v} int" for k in range(4) for v in ("x", "y")))
+    grid = dict(bounds=(0.0, 0.0, 40.0, 30.0), resolution=1.0)
+    want = {tuple(r) for r in R.zone_pixels(z, **grid).select("airport_id", "row", "col").collect()}
+    got = R.zone_intervals(z, **grid).collect()
+    pixels = [(r.airport_id, x.row, c) for r in got for x in r.spans for c in range(x.first, x.last + 1)]
+    assert len(pixels) == len(set(pixels)) and set(pixels) == want
+    assert {r.airport_id: r.n_pixels for r in got} == Counter(p[0] for p in want)
+
+
+@pytest.mark.parametrize("tile", [256, 5, 1])
+def test_zonal_mean_by_running_sums(spark, monkeypatch, tile):
+    monkeypatch.setattr(R, "TILE", tile)
+    draw = random.Random(4)
+    zones = []
+    for i in range(60):
+        x, y, n = draw.randint(0, 39), draw.randint(0, 29), draw.choice([0, 2, 6, 50])
+        zones.append((f"A{i}", float(i), 0.0, x + n, y - n, x + n, y + n, x - n, y + n, x - n, y - n))
+    z = spark.createDataFrame(zones + zones[:5], "airport_id string, latitude_deg double, longitude_deg double, " + ", ".join(f"c{k}_{v} int" for k in range(4) for v in ("x", "y")))
+    cells = {(draw.randint(-2, 31), draw.randint(-2, 41)): draw.choice([None, float("nan"), 0.0, draw.random() * 9 - 2]) for _ in range(500)}
+    grid = dict(bounds=(0.0, 0.0, 40.0, 30.0), resolution=1.0)
+    df = spark.createDataFrame([(r, c, v) for (r, c), v in cells.items()], "row int, col int, value double")
+    got = {r.airport_id: (r.bird_population, r.n_pixels) for r in R.zonal_mean(z, df, **grid).collect()}
+    value = {k: 0.0 if v is None or math.isnan(v) else v for k, v in cells.items() if 0 <= k[0] < 30 and 0 <= k[1] < 40}
+    lo, hi = min(0.0, *value.values()), max(0.0, *value.values())
+    own = Counter(r.airport_id for r in R.zone_pixels(z.dropDuplicates(["airport_id"]), **grid).collect())
+    sums = Counter()
+    for r in R.zone_pixels(z.dropDuplicates(["airport_id"]), **grid).collect():
+        sums[r.airport_id] += value.get((r.row, r.col), 0.0)
+    assert set(got) == set(own)
+    for k, (mean, n) in got.items():
+        assert n == own[k] and mean == pytest.approx((sums[k] / n - lo) / (hi - lo), abs=1e-9)
+    # The work per zone grows with its height: no row for a pixel, and no broadcast of pixels.
+    plan = R.zonal_mean(z, df, **grid)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan.split("Subquery")[0]
