@@ -8,7 +8,7 @@ no shuffle. It is an approximation near zone borders; pass denser ``points`` the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunset_engine.functions.columns import as_col
@@ -119,3 +119,9 @@ def with_timezones(df: DataFrame, zones: DataFrame, key: Column | str = "airport
     own = zones.where("code <> '' and timezone <> ''").groupBy("code").agg(F.min("timezone").alias("timezone"))
     own = broadcast_if_bounded(own.withColumnRenamed("code", "_zone_code"))
     return df.drop("timezone").join(own, as_col(key) == F.col("_zone_code"), "left").drop("_zone_code")
+
+
+def timezone_points(spark: SparkSession) -> DataFrame:
+    """The reference points as an inline relation (timezone, lat, lon)."""
+    rows = ", ".join(f"('{tz}', {la}D, {lo}D)" for tz, la, lo in US_TIMEZONE_POINTS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(timezone, lat, lon)")
