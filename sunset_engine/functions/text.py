@@ -40,3 +40,11 @@ def after_last(c, sep: str = ",") -> Column:
 def key_line(key, value, sep: str = ",") -> Column:
     """``key<sep>value`` output line (K9)."""
     return F.concat_ws(sep, as_col(key).cast("string"), as_col(value).cast("string"))
+
+
+def csv_fields(line, schema: str, sep: str = ",") -> Column:
+    """The fields of a delimited text column as a struct of ``schema`` (S6): quotes may hold the separator, doubled quotes one quote.
+
+    A field that does not fit its type is NULL, as are fields that are missing; a NULL line is NULL.
+    """
+    return F.from_csv(as_col(line), F.lit(schema), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})

@@ -249,12 +249,9 @@ def near_sunset_strikes(strikes: DataFrame, years=FALL_YEARS, months=FALL_MONTHS
     """Strikes in the season and within +-``half_window`` minutes of sunset at the strike's position.
 
     The sunset is computed per strike: one pass over the strikes, no shuffle. Zones come
-    from a ``timezone`` column, or without one from the distinct positions, joined back.
+    from a ``timezone`` column, or without one from the strike's position, by an expression over the reference points.
     """
     s = parse_strikes(strikes.where(season_inclusive("incident_year", "incident_month", years, months)))
-    if offset == "timezone" and "timezone" not in s.columns:
-        place = ["latitude_deg", "longitude_deg"]
-        s = s.join(s.select(*place).distinct().withColumn("timezone", nearest_timezone(*place)), place)
     s = with_sunset_minute(_offset(s, "incident_date", offset), "incident_date", "latitude_deg", "longitude_deg", "offset_hours")
     # The window test stays above the formula: pushed below, it would repeat the formula's text at every level.
     return (s.withColumn("sunset_minute", F.explode(F.array("sunset_minute")))

@@ -16,13 +16,15 @@ from sunset_engine.functions import text as X
 from sunset_engine.functions.columns import round_significant, to_double
 from sunset_engine.functions.geo import GRID_BOUNDS
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_iso_date, parse_us_date
+from sunset_engine.operators import forest as FO
 from sunset_engine.operators import model as M
 from sunset_engine.operators import quality as QL
 from sunset_engine.operators import raster as R
 from sunset_engine.operators import stats as ST
 from sunset_engine.operators import traffic as T
+from sunset_engine.operators.nearest import with_nearest
 from sunset_engine.operators.season import season_exclusive, season_inclusive
-from sunset_engine.operators.timezones import nearest_timezone
+from sunset_engine.operators.timezones import nearest_timezone, timezone_points
 from sunset_engine.session import scratch_path
 from sunset_engine.sources import csvio
 from sunset_engine.sources import testdata as TD
@@ -50,6 +52,11 @@ def near_strikes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  offset="longitude")
 
 
+def near_strikes_tz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strikes near sunset at the time of the zone of their place."""
+    return T.near_sunset_strikes(TD.strikes(spark, sf_dir), TD.TEST_STRIKE_YEARS, TD.TEST_STRIKE_MONTHS, offset="timezone")
+
+
 def strike_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.strike_counts(near_strikes(spark, sf_dir))
 
@@ -212,12 +219,85 @@ def rf_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rf_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The predictions table without its prediction (M8): key, features and target of the test rows."""
-    train, test = model_input(spark, sf_dir)
-    rows = M.predictions(M.fit_forest(train, numTrees=5), test).drop("prediction")
+    """The rows that predictions are made for (M8): key, features and target of the test part."""
+    _, test = model_input(spark, sf_dir)
+    rows = test.select("airport_id", *M.FEATURES, M.LABEL)
     return rows.withColumns({c: F.round(c, 6) for c in ("bird_population", "bird_flight_ratio")})
 
 
+def rf_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cross-validation fold of each training row, by the hash of its key (M4)."""
+    train, _ = model_input(spark, sf_dir)
+    return train.select("airport_id", M.fold_of("airport_id").alias("fold"))
+
+
+def rf_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of every fold by the forest that did not see it, from stored predictions (M4, M5)."""
+    train, _ = model_input(spark, sf_dir)
+    return M.fold_scores(M.out_of_fold(train, "airport_id"))
+
+
+def saved_forest(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    train, test = model_input(spark, sf_dir)
+    path = _file(spark, "forest")
+    M.save(M.fit_forest(train), path)
+    return path, test
+
+
+def rf_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of a forest that was saved in the shared folder and loaded again (K6)."""
+    path, test = saved_forest(spark, sf_dir)
+    return M.predictions(M.load(path), test)
+
+
+def rf_node_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions by walking the nodes of a saved forest as rows, without the model library (M1-M3, M7)."""
+    path, test = saved_forest(spark, sf_dir)
+    return FO.score(test, FO.node_table(spark, path), list(M.FEATURES), M.FOREST["maxDepth"]).select("airport_id", *M.FEATURES, M.LABEL, "prediction")
+
+
+def nation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small forest as rows: a tree of depth 2 for each nation, whose thresholds and values follow from its key."""
+    n = TD.read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("k"))
+    leaf = lambda i, v: F.struct(F.lit(i).alias("node"), F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("threshold"),
+                                 F.lit(None).cast("int").alias("left"), F.lit(None).cast("int").alias("right"), v.cast("double").alias("value"))
+    inner = lambda i, f, t, left, right: F.struct(F.lit(i).alias("node"), F.lit(f).alias("feature"), t.cast("double").alias("threshold"),
+                                                  F.lit(left).alias("left"), F.lit(right).alias("right"), F.lit(0.0).alias("value"))
+    k = F.col("k")
+    nodes = F.array(inner(0, 0, 5 + k * 2, 1, 4), inner(1, 1, 10000 + k * 1000, 2, 3), leaf(2, k), leaf(3, k * 2 + 1),
+                    inner(4, 1, 70000 - k * 1000, 5, 6), leaf(5, k * 3 + 2), leaf(6, k * 5 - 7))
+    return n.select(k.alias("tree"), F.inline(nodes))
+
+
+def forest_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item scored by a forest given as rows (M7)."""
+    return FO.score(lineitem_xy(spark, sf_dir), nation_forest(spark, sf_dir), ["l_quantity", "l_extendedprice"], 2).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+
+
+def row_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split without a key (M6), on a table whose rows repeat: rows by value and part."""
+    rows = TD.read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").alias("quantity"))
+    train, test = M.split(rows)
+    both = train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
+    return both.groupBy("l_returnflag", "l_linestatus", "quantity", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def depots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point per supplier, spread like the sites but beside them."""
+    k = F.col("s_suppkey")
+    return TD.read_table(spark, sf_dir, "supplier").select("s_name", (F.lit(27.3037) + ((k * 71) % 2000) / 100.0).alias("lat"), (F.lit(-120.6929) + ((k * 97) % 4900) / 100.0).alias("lon"))
+
+
+def nearest_depot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier's point nearest to every site, by the cell index."""
+    return with_nearest(TD.sites(spark, sf_dir), depots(spark, sf_dir), "s_name").select("airport_id", "s_name")
+
+
+def timezone_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone of every site from the inline reference points, by the cell index."""
+    return with_nearest(TD.sites(spark, sf_dir), timezone_points(spark), "timezone").select("airport_id", "timezone")
+
+
 def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates as text, some in another form or blank, read back as ISO dates."""
     o = TD.read_table(spark, sf_dir, "orders")
@@ -240,18 +320,49 @@ def flight_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvio.read_flights(spark, path).drop("event_id")
 
 
+def flight_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight lines put together from many files, each with its header line, read without any of them."""
+    path, f = _file(spark, "flights-joined"), TD.flights(spark, sf_dir)
+    own = {"FlightDate": "flight_date", "Origin": "origin", "Dest": "dest", "DepTime": "dep_time", "ArrTime": "arr_time"}
+    line = F.concat_ws(",", *[F.coalesce(F.col(own[c]).cast("string"), F.lit("")) if c in own else F.lit("0") for c in csvio.FLIGHT_COLUMNS])
+    # A header before every hundredth flight, and before the first of every part.
+    first = (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0) | (F.col("event_id") % 100 == 0)
+    lines = f.select(F.explode(F.when(first, F.array(F.lit(",".join(csvio.FLIGHT_COLUMNS)), line)).otherwise(F.array(line))).alias("value"))
+    lines.write.text(path)
+    return csvio.read_flights(spark, path).drop("event_id")
+
+
+def csv_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of a delimited text column, with quoted commas, doubled quotes and values that don't fit."""
+    c = TD.read_table(spark, sf_dir, "customer")
+    key = F.when(F.col("c_custkey") % 13 == 0, "none").otherwise(F.col("c_custkey").cast("string"))
+    line = F.concat_ws(",", key, F.concat(F.lit('"'), "c_name", F.lit(', Inc."')), F.concat(F.lit('"the ""'), "c_mktsegment", F.lit('"" one"')), (F.col("c_custkey") % 100 / 4).cast("string"))
+    lines = c.select("c_custkey", F.when(F.col("c_custkey") % 17 != 0, line).alias("line"))
+    return lines.select("c_custkey", X.csv_fields("line", "key bigint, name string, segment string, share double").alias("f")).select("c_custkey", "f.*")
+
+
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types inferred from a CSV file, and of a column without values the declared one (S3)."""
+    path = _file(spark, "part-csv")
+    p = TD.read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    csvio.write_csv(p.select("p_partkey", F.concat(F.lit("n, "), k.cast("string")).alias("name"), (k / 4).alias("quarter"), F.when(k % 3 == 0, k % 2 == 0).alias("even"),
+                             F.date_add(F.lit("2020-01-01").cast("date"), (k % 1000).cast("int")).alias("day"), F.lit(None).cast("double").alias("nothing")), path)
+    return csvio.column_types(csvio.read_inferred(spark, path, {"nothing": "double", "name": "string"}))
+
+
 def cells_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raster cells written by tile row and read back from the tiles below row 256."""
+    """Raster cells written by tile row and read back, all tiles."""
     path = _file(spark, "cells")
     csvio.write_cells(TD.raster_cells(spark, sf_dir), path)
-    return csvio.read_cells(spark, path).where("tile_row = 0").select("row", "col", "value")
+    return csvio.read_cells(spark, path).select("row", "col", "value", "tile_row")
 
 
 def code_list_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ;-separated code list in one file, read back by its first field."""
+    """The codes of the nations that have customers, as a ;-separated list in one file, read back by its first field."""
     path = _file(spark, "codes")
-    s = TD.read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("Code"), "s_name")
-    s.repartition(1).write.option("header", True).option("sep", ";").option("quoteAll", True).csv(path)
+    n = TD.read_table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))       # a nation is one of 25
+    csvio.write_single_csv(n.select(F.concat(F.lit("N"), "c_nationkey").alias("Code"), "customers"), path, sep=";", quote_all=True)
     return csvio.read_code_list(spark, path)
 
 
@@ -303,6 +414,18 @@ def queries() -> dict[str, Query]:
         "code_list_csv": code_list_csv,
         "ratio_report_file": ratio_report_file,
         "solar_calendar_fall": solar_calendar_fall,
+        "rf_folds": rf_folds,
+        "rf_fold_scores": rf_fold_scores,
+        "rf_saved": rf_saved,
+        "rf_node_scores": rf_node_scores,
+        "forest_walk": forest_walk,
+        "row_split": row_split,
+        "nearest_depot": nearest_depot,
+        "timezone_by_place": timezone_by_place,
+        "flight_csv_headers": flight_csv_headers,
+        "csv_columns": csv_columns,
+        "inferred_types": inferred_types,
+        "near_sunset_strikes_tz": near_strikes_tz,
         "rf_predictions": rf_predictions,
         "rf_metrics": rf_metrics,
         "rf_cross_validated": rf_cross_validated,

@@ -143,8 +143,7 @@ def model_job(spark: SparkSession, training_path: str, out_prefix: str, cross_va
               parallelism: int | None = None, model_suffix: str = "-model",
               predictions_suffix: str = "-predictions") -> tuple[DataFrame, dict[str, float]]:
     """Cross-validated forest: saves the best pipeline and the test predictions, returns metrics."""
-    data = M.prepare(csvio.read_training(spark, training_path))
-    train, test = M.split(data)
+    train, test = map(M.prepare, M.split(csvio.read_training(spark, training_path).na.drop()))
     model = M.cross_validate(train, parallelism=parallelism).bestModel if cross_validate else M.fit_forest(train)
     M.save(model, out_prefix + model_suffix)
     pred = M.predictions(model, test)

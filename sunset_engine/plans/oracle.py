@@ -55,7 +55,16 @@ freq as (
   from near group by airport_id, latitude_deg, longitude_deg)"""
 
 
-def _near_strikes_ctes() -> str:
+def _near_strikes_ctes(by_timezone: bool = False) -> str:
+    offset = f"round(longitude_deg / {Q.dbl(15.0)})"
+    zones = ""
+    if by_timezone:
+        near = _haversine("p.latitude_deg", "p.longitude_deg", "z.la", "z.lo")
+        zones = f"""{_tz_points()},
+zoned as (select event_id, arg_min(z.tz, struct_pack(d := {near}, tz := z.tz)) as timezone from parsed p join tz_points z on true
+          where p.latitude_deg is not null and p.longitude_deg is not null group by event_id),
+"""
+        offset = _tz_offset("incident_date", "(select timezone from zoned where zoned.event_id = parsed.event_id)")
     y0, y1 = TD.TEST_STRIKE_YEARS
     m0, m1 = TD.TEST_STRIKE_MONTHS
     return f"""{Q.strikes_cte()},
@@ -67,8 +76,8 @@ parsed as (
          {Q.to_double('airport_longitude')} as longitude_deg
   from strikes
   where incident_year between {y0} and {y1} and incident_month between {m0} and {m1}),
-typed as (
-  select *, round(longitude_deg / {Q.dbl(15.0)}) as offset_hours from parsed
+{zones}typed as (
+  select *, {offset} as offset_hours from parsed
   where event_minute is not null and latitude_deg is not null and longitude_deg is not null
     and incident_date is not null),
 {Q.solar_ctes('typed', 'incident_date', 'latitude_deg', 'longitude_deg', 'offset_hours', name='ssolar')},
@@ -417,11 +426,33 @@ select count(*) as n, round(corr(bird_population, ratio), 6) as pearson_r,
        round(regr_r2(ratio, bird_population), 6) as r2
 from training"""
     q["flight_csv"] = f"with {Q.flights_cte()} select flight_date, origin, dest, dep_time, arr_time from flights"
-    q["cells_round_trip"] = f"with {Q.raster_cte()} select row, col, value from raster_cells where row < 256"
-    q["code_list_csv"] = "select 'S' || cast(s_suppkey as varchar) as code from supplier"
+    q["flight_csv_headers"] = q["flight_csv"]
+    q["cells_round_trip"] = f"with {Q.raster_cte()} select row, col, value, cast(row // 256 as integer) as tile_row from raster_cells"
+    q["code_list_csv"] = "select distinct 'N' || cast(c_nationkey as varchar) as code from customer"
+    q["csv_columns"] = """select c_custkey, case when c_custkey % 17 <> 0 and c_custkey % 13 <> 0 then c_custkey end as key,
+  case when c_custkey % 17 <> 0 then c_name || ', Inc.' end as name, case when c_custkey % 17 <> 0 then 'the "' || c_mktsegment || '" one' end as segment,
+  case when c_custkey % 17 <> 0 then (c_custkey % 100) / 4.0::double end as share from customer"""
+    q["inferred_types"] = """select * from (values
+  (0, 'p_partkey', 'int', (select count(*) from part)), (1, 'name', 'string', (select count(*) from part)), (2, 'quarter', 'double', (select count(*) from part)),
+  (3, 'even', 'boolean', (select count(*) from part where p_partkey % 3 = 0)), (4, 'day', 'date', (select count(*) from part)), (5, 'nothing', 'double', 0)) as t(position, name, type, n_values)"""
+    q["near_sunset_strikes_tz"] = "with " + _near_strikes_ctes(by_timezone=True) + "\nselect * from near_strikes"
+    q["timezone_by_place"] = q["nearest_timezone"]
+    q["nearest_depot"] = f"""with {Q.sites_cte()},
+depots as (select s_name, {Q.dbl(27.3037)} + ((s_suppkey * 71) % 2000) / {Q.dbl(100.0)} as lat, {Q.dbl(-120.6929)} + ((s_suppkey * 97) % 4900) / {Q.dbl(100.0)} as lon from supplier)
+select airport_id, arg_min(s_name, struct_pack(d := {_haversine('latitude_deg', 'longitude_deg', 'lat', 'lon')}, n := s_name)) as s_name
+from airports join depots on true group by airport_id"""
+    q["forest_walk"] = """select l_orderkey, l_linenumber, round((select avg(case when l_quantity <= 5 + k * 2 then case when l_extendedprice <= 10000 + k * 1000 then k else k * 2 + 1 end
+  else case when l_extendedprice <= 70000 - k * 1000 then k * 3 + 2 else k * 5 - 7 end end) from (select n_nationkey as k from nation)), 6) as prediction
+from lineitem"""
+    copies = """select l_returnflag as f, l_linestatus as s, cast(l_quantity as integer) as q,
+  row_number() over (partition by l_returnflag, l_linestatus, cast(l_quantity as integer)) as copy from lineitem"""
+    row = """'42:{"l_returnflag":"' || f || '","l_linestatus":"' || s || '","quantity":"' || q || '"}:' || copy"""
+    q["row_split"] = f"""select f as l_returnflag, s as l_linestatus, q as quantity,
+  case when ('0x' || substr(md5({row}), 1, 7))::bigint % 1000 < 700 then 'train' else 'test' end as part, count(*) as n from ({copies}) group by 1, 2, 3, 4"""
     split = "('0x' || substr(md5('42:' || airport_id), 1, 7))::bigint % 1000"
     rows = q["training_table"]
     q["rf_split"] = f"select airport_id, case when {split} < 700 then 'train' else 'test' end as part from ({rows})"
+    q["rf_folds"] = f"""select airport_id, cast(('0x' || substr(md5('fold:42:' || airport_id), 1, 7))::bigint % 5 as integer) as fold from ({rows}) where {split} < 700"""
     q["rf_test_rows"] = f"""select airport_id, bird_population, flight_count, bird_flight_ratio from ({rows}) where {split} >= 700"""
     q["strike_ratio_left"] = both + """
 select f.airport_id, f.latitude_deg, f.longitude_deg, f.flight_count, s.strike_count,

@@ -3,7 +3,7 @@
 The large inputs (flights, airports) have a declared schema: no inference pass over them, and bad
 values become NULL (``PERMISSIVE``) instead of failing the job. The CSV reader is
 quote-aware, so a quoted comma such as ``"A, Inc."`` stays inside its field, and
-it accepts CRLF line ends. ``header=True`` drops the header line of every file.
+it accepts CRLF line ends. ``header=True`` drops header lines wherever they stand.
 """
 
 from __future__ import annotations
@@ -31,10 +31,30 @@ def _strings(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+def header_fields(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> list[str | None] | None:
+    """The fields of the first line found at ``path``; None where there is no line. One line is read."""
+    line = spark.read.text(path).first()
+    if line is None:
+        return None
+    parsed = F.from_csv(F.lit(line.value), F.lit(_strings(columns).simpleString()[len("struct<"):-1].replace(":", " ")), {"sep": sep, "quote": '"', "escape": '"'})
+    return list(spark.range(1).select(parsed.alias("f")).first().f)
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str], header: bool = True, sep: str = ",") -> DataFrame:
-    """Typed CSV scan with a declared all-string schema."""
-    return (spark.read.schema(_strings(columns)).option("header", header).option("sep", sep)
+    """Typed CSV scan with a declared all-string schema.
+
+    With ``header`` every row that equals the header is dropped, wherever it stands: files put together from
+    several hold their header lines in the middle. The header is the first line found. The test is a filter on the rows as they are parsed.
+    """
+    rows = (spark.read.schema(_strings(columns)).option("header", False).option("sep", sep)
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    names = header_fields(spark, path, columns, sep) if header else None
+    if names is None:
+        return rows
+    is_header = F.lit(True)
+    for column, name in zip(columns, names, strict=True):
+        is_header = is_header & F.col(column).eqNullSafe(F.lit(name))
+    return rows.where(~is_header)
 
 
 def read_flights(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -83,9 +103,27 @@ def read_timezones(spark: SparkSession, path: str, sep: str = ",", header: bool
     return raw.select(strip_quotes(F.col(raw.columns[code])).alias("code"), strip_quotes(F.col(raw.columns[zone])).alias("timezone"))
 
 
+# Declared types of the training table, for columns whose values don't tell (all of them missing).
+TRAINING_TYPES = {"airport_id": "string", "bird_population": "double", "bird_strike_count": "double", "flight_count": "double", "bird_flight_ratio": "double"}
+
+
+def read_inferred(spark: SparkSession, path: str, fallback: dict[str, str] | None = None, header: bool = True, sep: str = ",") -> DataFrame:
+    """CSV with inferred types (S3). A column that inference leaves as text is cast to its type in ``fallback``, where it has one; what does not fit is NULL."""
+    df = spark.read.option("header", header).option("inferSchema", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path)
+    unclear = {c: t for c, t in (fallback or {}).items() if t != "string" and dict(df.dtypes).get(c) == "string"}
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in unclear.items()})
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """The columns as rows: (position, name, type, n_values), the last the number that are not NULL, in one pass over the table."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(f"c{i}").alias("n_values")) for i, (c, t) in enumerate(df.dtypes)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def read_training(spark: SparkSession, path: str) -> DataFrame:
     """The training table CSV with inferred types, as the model stage reads it (S3)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return read_inferred(spark, path, TRAINING_TYPES)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
@@ -93,13 +131,13 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
+def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists", sep: str = ",", quote_all: bool = False) -> None:
     """One CSV file for a small report; fails if the path exists unless ``mode`` says otherwise (K1, K3).
 
     The single partition is taken only at the sink, after every aggregate ran
     with full parallelism.
     """
-    df.coalesce(1).write.mode(mode).option("header", header).csv(path)
+    df.coalesce(1).write.mode(mode).option("header", header).option("sep", sep).option("quoteAll", quote_all).csv(path)
 
 
 def write_sorted_report(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
