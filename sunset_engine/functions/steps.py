@@ -9,7 +9,7 @@ whole-stage-codegen span.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunset_engine.functions.mathns import SPARK
@@ -29,3 +29,21 @@ def apply_steps(df: DataFrame, steps: list, drop_prefix: str | None = None) -> D
     keep = [c for c in df.columns if c not in made]
     out = df.select(*keep, *[fn(SPARK, F.col).alias(name) for name, fn in pairs])
     return out.select(*keep, *[n for n in made if not (drop_prefix and n.startswith(drop_prefix))])
+
+
+def step_value(steps: list, out: str) -> Column:
+    """The value of step ``out`` as one expression in which every step is computed once.
+
+    For formulas inside a higher-order function, where there are no columns to add: each step is bound
+    as the variable of a one-element ``transform``.
+    """
+    pairs = [pair for step in steps for pair in (step if isinstance(step, list) else [step])]
+
+    def bound(i: int, made: dict[str, Column]) -> Column:
+        name, fn = pairs[i]
+        value = fn(SPARK, made.__getitem__)
+        if name == out:
+            return value
+        return F.get(F.transform(F.array(value), lambda v: bound(i + 1, {**made, name: v})), F.lit(0))
+
+    return bound(0, {})

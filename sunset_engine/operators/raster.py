@@ -14,7 +14,7 @@ Plan shape of ``zonal_mean``:
     cells, scanned once, and these rows                                     (one shuffle by row and tile)
       -> running sum by column within row and tile
       -> partial sum/count/min/max per zone and for the grid -> tiny shuffle -> final
-    the grid's min and max come from that same aggregate (its exchange is reused)
+    the grid's min and max come from that same aggregate
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from sunset_engine.functions.columns import finite, nan_to_zero
 from sunset_engine.functions.geo import (GRID_BOUNDS, GRID_RESOLUTION, METRES_PER_MILE, ZONE_MILES,
                                          albers_forward_steps, albers_inverse_steps, apply_steps, grid_shape,
                                          pixel_steps, zone_corner_steps)
+from sunset_engine.operators.joins import materialize
 
 ZONE_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
 # Columns of the grid that share a running sum.
@@ -136,7 +137,8 @@ def _row_interval(row: Column, sign: int, width: int) -> Column:
 def zone_intervals(zones: DataFrame, bounds=GRID_BOUNDS, resolution: float = GRID_RESOLUTION) -> DataFrame:
     """Each zone's pixels as intervals of columns: the zone key, ``n_pixels`` and ``spans`` (row, first, last).
 
-    The same pixels as ``zone_pixels``, without a row for each: a zone has as many intervals as it is high.
+    The same pixels as ``zone_pixels``, without a row for each: a zone has as many intervals as it is high, none if it
+    is off the grid. Filter ``n_pixels`` on the written table only: pushed down, the filter repeats all formulas below it.
     """
     height, width = grid_shape(bounds, resolution)
     ys = [F.col(f"c{k}_y") for k in range(4)]
@@ -144,7 +146,7 @@ def zone_intervals(zones: DataFrame, bounds=GRID_BOUNDS, resolution: float = GRI
     rows = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
     both = F.concat(F.transform(rows, lambda r: _row_interval(r, 1, width)), F.transform(rows, lambda r: _row_interval(r, -1, width)))
     found = zones.select(*ZONE_KEY, F.filter(both, lambda x: x["first"] <= x["last"]).alias("spans"))
-    return found.select(*ZONE_KEY, F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1).alias("n_pixels"), "spans").where("n_pixels > 0")
+    return found.select(*ZONE_KEY, F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["last"] - x["first"] + 1).alias("n_pixels"), "spans")
 
 
 def presence_raster(zones: DataFrame) -> DataFrame:
@@ -197,35 +199,40 @@ def nonzero_cells(cells: DataFrame) -> DataFrame:
     return cells.where(nan_to_zero("value") != 0).select("row", "col")
 
 
-def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
-               resolution: float = GRID_RESOLUTION, nodata: float | None = None) -> DataFrame:
-    """Mean normalised cell value over each zone's pixels (A6): ``bird_population``.
-
-    Pixels without a stored cell contribute the normalised value of 0. Normalising is linear, so
-    the mean is taken over raw values and normalised at the end.
+def interval_sums(spans: DataFrame, cells: DataFrame, nodata: float | None = None) -> DataFrame:
+    """Sum of the cells in each zone's intervals, (z, s), and of the whole grid the count and range of the stored cells, (m, mn, mx) where ``z`` is NULL.
 
-    A zone is a list of column intervals, cut at the borders of tiles of ``TILE`` columns. Their ends are put among the
+    Intervals are cut at the borders of tiles of ``TILE`` columns. Their ends are put among the
     cells of the same row and tile, and one running sum gives every end the sum of the cells before it: an
     interval's sum is its last end's less its first's. So a zone costs two rows for each grid row
-    and tile it touches, not one for each pixel; the cells are read and shuffled once, for the zones and for the grid's range alike, and nothing is broadcast but the range.
+    and tile it touches, not one for each pixel; the cells are read and shuffled once and nothing is broadcast.
     """
-    height, width = grid_shape(bounds, resolution)
-    spans = zone_intervals(zones.dropDuplicates(ZONE_KEY), bounds, resolution)
     key = F.struct(*ZONE_KEY)
-    # A row of the grid has few zones' rows per tile: (row, tile) is the unit of the shuffle and of the running sum.
     piece = F.explode(F.sequence(F.floor(F.col("x.first") / TILE), F.floor(F.col("x.last") / TILE)))
     cut = spans.select(key.alias("z"), F.explode("spans").alias("x")).select("z", "x", piece.alias("tile"))
     first, last = F.greatest(F.col("x.first"), F.col("tile") * TILE), F.least(F.col("x.last"), F.col("tile") * TILE + TILE - 1)
     # At one column: a first end, then the cell, then a last end.
     ends = F.inline(F.array(F.struct(first.alias("col"), F.lit(BEGIN).alias("part")), F.struct(last.alias("col"), F.lit(END).alias("part"))))
     marks = cut.select("z", F.col("x.row").alias("row"), "tile", ends).select("z", "row", "tile", F.col("col").cast("int").alias("col"), "part", F.lit(0.0).alias("v"))
-    own = on_grid(cells, height, width).select(
-        F.lit(None).cast(marks.schema["z"].dataType).alias("z"), F.col("row").cast("int").alias("row"), F.floor(F.col("col") / TILE).alias("tile"),
-        F.col("col").cast("int").alias("col"), F.lit(CELL).alias("part"), _value(nodata).alias("v"))
+    own = cells.select(F.lit(None).cast(marks.schema["z"].dataType).alias("z"), F.col("row").cast("int").alias("row"), F.floor(F.col("col") / TILE).alias("tile"),
+                       F.col("col").cast("int").alias("col"), F.lit(CELL).alias("part"), _value(nodata).alias("v"))
     through = F.sum("v").over(Window.partitionBy("row", "tile").orderBy("col", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     summed = own.unionByName(marks).withColumn("through", through)
-    sums = summed.groupBy("z").agg(F.sum(F.when(F.col("part") == END, F.col("through")).when(F.col("part") == BEGIN, -F.col("through"))).alias("s"),
+    return summed.groupBy("z").agg(F.sum(F.when(F.col("part") == END, F.col("through")).when(F.col("part") == BEGIN, -F.col("through"))).alias("s"),
                                    F.count(F.lit(1)).alias("m"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+
+
+def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
+               resolution: float = GRID_RESOLUTION, nodata: float | None = None) -> DataFrame:
+    """Mean normalised cell value over each zone's pixels (A6): ``bird_population``.
+
+    Pixels without a stored cell contribute the normalised value of 0. Normalising is linear, so
+    the mean is taken over raw values (``interval_sums``) and normalised at the end. Rows that repeat a zone share it.
+    """
+    height, width = grid_shape(bounds, resolution)
+    # Zones and sums are used twice each. Written once, their long formulas are planned and computed once.
+    spans = materialize(zone_intervals(zones.dropDuplicates(ZONE_KEY), bounds, resolution), "zone-spans").where("n_pixels > 0")
+    sums = materialize(interval_sums(spans, on_grid(cells, height, width), nodata), "zone-sums")
     absent = F.col("m") < F.lit(height * width)
     grid = sums.where(F.col("z").isNull()).select(F.struct(
         F.when(absent, F.least("mn", F.lit(0.0))).otherwise(F.col("mn")).alias("mn"),
@@ -233,4 +240,4 @@ def zonal_mean(zones: DataFrame, cells: DataFrame, bounds=GRID_BOUNDS,
     mean = F.coalesce(F.col("s"), F.lit(0.0)) / F.col("n_pixels")
     scaled = F.when(grid.isNull(), mean).otherwise(_normalize(mean, grid))
     found = sums.where(F.col("z").isNotNull()).select("z", "s")               # a row per zone
-    return spans.select(key.alias("z"), "n_pixels").join(found, "z", "left").select("z.airport_id", scaled.alias("bird_population"), "n_pixels")
+    return spans.select(F.struct(*ZONE_KEY).alias("z"), "n_pixels").join(found, "z", "left").select("z.airport_id", scaled.alias("bird_population"), "n_pixels")

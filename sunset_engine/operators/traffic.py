@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sunset_engine.functions.columns import safe_ratio, to_double
 from sunset_engine.functions.solar import (local_minute, near_sunset, offset_from_longitude, offset_from_timezone,
                                            sunset_ut_steps, with_sunset_minute)
-from sunset_engine.functions.steps import apply_steps
+from sunset_engine.functions.steps import step_value
 from sunset_engine.functions.text import drop_first_char, strip_quotes
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
 from sunset_engine.operators.joins import broadcast_if_bounded
@@ -177,11 +177,12 @@ def airport_sunsets(airports: DataFrame, start=FALL_START, end=FALL_END, offset:
         zone = nearest_timezone("latitude_deg", "longitude_deg")
         zone = F.coalesce(F.col("timezone"), zone) if "timezone" in ap.columns else zone
     lo, hi = season_day_range(start, end)
-    days = F.explode(F.sequence(F.lit(lo), F.lit(hi))) if lo <= hi else F.explode(F.array().cast("array<int>"))
     each = ap.withColumn("zone", zone).groupBy(*GROUP_KEY, "zone").agg(F.count(F.lit(1)).alias("copies"))
-    each = apply_steps(each.withColumn("day", days), sunset_ut_steps("day", "latitude_deg", "longitude_deg", "ut"), "_sun_")
-    return (each.groupBy(*GROUP_KEY, "zone", "copies").agg(F.sort_array(F.collect_list(F.struct("day", "ut"))).alias("s"))
-            .select(*GROUP_KEY, "zone", "copies", F.lit(lo).alias("first_day"), F.col("s.ut").alias("sunsets")))
+    if lo > hi:                                # a season without a day: no airport has a sunset
+        return each.where("false").select("*", F.lit(lo).alias("first_day"), F.array().cast("array<double>").alias("sunsets"))
+    # One projection: the formula is bound within the array, so airports are neither multiplied by days nor grouped again.
+    sunset = F.transform(F.sequence(F.lit(lo), F.lit(hi)), lambda day: step_value(sunset_ut_steps(day, "latitude_deg", "longitude_deg", "ut"), "ut"))
+    return each.select(*GROUP_KEY, "zone", "copies", F.lit(lo).alias("first_day"), sunset.alias("sunsets"))
 
 
 def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 
-from sunset_engine.functions import solar as S
 from sunset_engine.sources import testdata as TD
 
 
@@ -111,25 +110,25 @@ def season_exclusive(d: str, start, end) -> str:
 
 
 def solar_ctes(src: str, d: str, lat: str, lon: str, off: str, name: str = "solar") -> str:
-    """CTE chain ``{name}`` = ``src`` plus ``sunset_minute`` (same algorithm as functions.solar)."""
-    cos_zenith = math.cos(S.OFFICIAL_ZENITH_DEG * (math.pi / 180.0))
+    """CTE chain ``{name}`` = ``src`` plus ``sunset_minute``: the published algorithm with its numbers written out."""
+    cos_zenith = math.cos(90.8333 * (math.pi / 180.0))
     steps = [
         ("_sun_lh", f"{lon} / {dbl(15.0)}"),
         ("_sun_t", f"dayofyear({d}) + ({dbl(18.0)} - _sun_lh) / {dbl(24.0)}"),
-        ("_sun_m", f"_sun_t * {dbl(S.MEAN_ANOMALY_RATE)} - {dbl(S.MEAN_ANOMALY_OFFSET)}"),
-        ("_sun_l", pm(f"_sun_m + sin(radians(_sun_m)) * {dbl(S.CENTER_EQ_1)}"
-                      f" + sin(radians(_sun_m * {dbl(2.0)})) * {dbl(S.CENTER_EQ_2)}"
-                      f" + {dbl(S.PERIHELION_LONGITUDE)}", 360.0)),
-        ("_sun_ra0", pm(f"degrees(atan(tan(radians(_sun_l)) * {dbl(S.RIGHT_ASCENSION_FACTOR)}))", 360.0)),
+        ("_sun_m", f"_sun_t * {dbl(0.9856)} - {dbl(3.289)}"),
+        ("_sun_l", pm(f"_sun_m + sin(radians(_sun_m)) * {dbl(1.916)}"
+                      f" + sin(radians(_sun_m * {dbl(2.0)})) * {dbl(0.02)}"
+                      f" + {dbl(282.634)}", 360.0)),
+        ("_sun_ra0", pm(f"degrees(atan(tan(radians(_sun_l)) * {dbl(0.91764)}))", 360.0)),
         ("_sun_ra", f"(_sun_ra0 + floor(_sun_l / {dbl(90.0)}) * {dbl(90.0)}"
                     f" - floor(_sun_ra0 / {dbl(90.0)}) * {dbl(90.0)}) / {dbl(15.0)}"),
-        ("_sun_sd", f"sin(radians(_sun_l)) * {dbl(S.DECLINATION_SINE_FACTOR)}"),
+        ("_sun_sd", f"sin(radians(_sun_l)) * {dbl(0.39782)}"),
         ("_sun_cd", "cos(asin(_sun_sd))"),
         ("_sun_ch", f"case when _sun_cd * cos(radians({lat})) = 0 then null else"
                     f" ({dbl(cos_zenith)} - _sun_sd * sin(radians({lat}))) / (_sun_cd * cos(radians({lat}))) end"),
         ("_sun_ut", f"case when abs(_sun_ch) <= {dbl(1.0)} then "
-                    + pm(f"degrees(acos(_sun_ch)) / {dbl(15.0)} + _sun_ra - _sun_t * {dbl(S.SIDEREAL_RATE)}"
-                         f" - {dbl(S.SIDEREAL_OFFSET)} - _sun_lh", 24.0) + " end"),
+                    + pm(f"degrees(acos(_sun_ch)) / {dbl(15.0)} + _sun_ra - _sun_t * {dbl(0.06571)}"
+                         f" - {dbl(6.622)} - _sun_lh", 24.0) + " end"),
     ]
     parts = []
     prev = src
