@@ -8,8 +8,8 @@ deviation). Bounds are taken from one segment to many, each level only for what
 before left; pairs that still could enter a query's best k are computed exactly.
 
 All queries meet all vectors in blocks: vectors are packed into blocks that are dealt to
-groups, the blocks of queries are copied to every group, and a task keeps the best k of each
-query over its blocks, which also raises the bar for the blocks that follow.
+groups, the blocks of queries are copied to every group, and a task takes one block of queries at a time through
+its group's vectors, keeping the best k of each query, which also raises the bar for the vectors that follow.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunset_engine.llm.common import table
+from sunset_engine.llm.common import lean, table
 from sunset_engine.operators.joins import materialize
 
 VECTOR_BLOCK = 4096
@@ -60,6 +60,8 @@ def _packed(size: int) -> Callable:
 def narrow(values: np.ndarray) -> np.ndarray:
     """The smallest integer type that holds all values."""
     most = np.abs(values).max(initial=0)
+    if most >= 2 ** 63:
+        raise ValueError("a component times 256 does not fit into a long")
     return values.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if most < np.iinfo(t).max or t is np.int64))
 
 
@@ -78,6 +80,8 @@ class Best:
     def __init__(self, ids: np.ndarray, x: np.ndarray, keys: np.ndarray, k: int):
         self.ids, self.x, self.keys, self.k = ids, x, keys, k
         self.whole = float(np.abs(x).max(initial=0))
+        if self.whole >= 2.0 ** 63:
+            raise ValueError("a component times 256 does not fit into a long")
         self.features = [segment_features(x, s) for s in SEGMENTS]
         self.bar = np.full(len(ids), -math.inf)
         self.rows = (np.zeros(0, np.int64),) * 3
@@ -109,29 +113,42 @@ class Best:
         else:
             score = np.concatenate([np.einsum("ij,ij->i", self.x[q[s:s + 65536]].astype(np.int64), x[cols[v[s:s + 65536]]].astype(np.int64)) for s in range(0, len(q), 65536)] or [np.zeros(0, np.int64)])
         found = ids[cols[v]]
+        if not exact:                          # sums in longs are right if their true value fits, whatever wrapped on the way
+            about = np.concatenate([np.einsum("ij,ij->i", self.x[q[s:s + 65536]], x[cols[v[s:s + 65536]]]) for s in range(0, len(q), 65536)] or [np.zeros(0)])
+            if (np.abs(about[found != self.ids[q]]) >= 2.0 ** 63 * (1 - 1e-9)).any():
+                raise ValueError("a score does not fit into a long")
         fits = (found != self.ids[q]) & (score >= self.bar[q])
         self.add(q[fits], score[fits], found[fits])
 
 
 def _searched(k: int) -> Callable:
+    """Rows of a query block and a block of vectors to the best k of each query: one query block is held at a time.
+
+    A query block's rows come one after another. If one came back later, its best would be taken anew and
+    given out again; the ranking that follows takes the best of both.
+    """
+    def found(best: Best) -> pa.RecordBatch:
+        q, score, ids = best.rows
+        return pa.RecordBatch.from_pydict({"query_id": pa.array(best.ids[q]), "key": pa.array(best.keys[q]), "vec_id": pa.array(ids), "score": pa.array(score)})
+
     def run(batches):
-        blocks: dict[str, Best] = {}
-        read = lambda b, t, d: np.frombuffer(b, t).reshape(-1, d).astype(np.float64)
+        name, best = None, None
         for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                if r["qblock"] not in blocks:
-                    x = np.array(r["qvalues"], np.float64).reshape(-1, dim)
-                    blocks[r["qblock"]] = Best(np.array(r["qids"], np.int64), x, np.array(r["qkeys"], np.int64), k)
-                ids, x = np.frombuffer(r["ids"], np.int64), read(r["values"], r["type"], dim)
+            names, dims, ids_, types, values = (batch.column(c).to_pylist() for c in ("qblock", "dim", "ids", "type", "values"))
+            for i, dim in enumerate(dims):
+                if names[i] != name:
+                    if best is not None:
+                        yield found(best)
+                    own = lambda c, i=i: batch.column(c)[i].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
+                    name, best = names[i], Best(own("qids"), own("qvalues").reshape(-1, dim), own("qkeys"), k)
+                ids, x = np.frombuffer(ids_[i], np.int64), np.frombuffer(values[i], types[i]).reshape(-1, dim).astype(np.float64)
                 features = [segment_features(x, s) for s in SEGMENTS]
                 for at in range(0, len(ids), SLICE):
                     to = slice(at, at + SLICE)
-                    blocks[r["qblock"]].meet(ids[to], x[to], [f[to] for f in features])
-        for best in blocks.values():
-            q, score, ids = best.rows
-            yield pa.RecordBatch.from_pydict({"query_id": pa.array(best.ids[q]), "key": pa.array(best.keys[q]), "vec_id": pa.array(ids), "score": pa.array(score)})
-    return run
+                    best.meet(ids[to], x[to], [f[to] for f in features])
+        if best is not None:
+            yield found(best)
+    return lean(run)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", embedding_col: str = "embedding") -> DataFrame:
@@ -140,7 +157,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     Scores are inner products of floor(256 * component) as integers; all candidates, if there
     are fewer than ``k``; ties go to the smaller id. A vector under the query's own id is no
     candidate. Vectors without an id, null, empty or holding null or non-finite components
-    take no part on either side, and a query meets only vectors of its own length. Equal query
+    take no part on either side, and a query meets only vectors of its own length. Where a component or
+    the score of a pair that counts leaves the range of a long, the search fails. Equal query
     rows are answered once; vectors that repeat under one id are candidates once for every row.
     Other columns are not read; empty tables give no rows.
     """
@@ -162,7 +180,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
             .groupBy("dim", "part").agg(F.collect_list(F.struct("vec_id", F.xxhash64("embedding").alias("key"), F.transform("embedding", lambda v: F.floor(256 * v.cast("double")).cast("double")).alias("x"))).alias("q"))
             .select("dim", F.concat_ws("-", "dim", "part").alias("qblock"), F.col("q.vec_id").alias("qids"), F.col("q.key").alias("qkeys"), F.flatten("q.x").alias("qvalues"))
             .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
-    met = blocks.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")).join(held, ["g", "dim"])
+    # A merge join goes through its left side row by row: all vectors of the group for one query block, then the next block.
+    met = held.hint("merge").join(blocks.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")), ["g", "dim"])
     best = met.select("dim", "ids", "type", "values", "qblock", "qids", "qkeys", "qvalues").mapInArrow(_searched(k), "query_id long, key long, vec_id long, score long")
     order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

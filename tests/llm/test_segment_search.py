@@ -48,3 +48,28 @@ def test_bounds_hold_at_every_resolution():
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert S.top_k(none, none).collect() == []
+
+
+def test_scores_beyond_a_long_fail(spark):
+    for big in (1e300, 1e9):
+        v = spark.createDataFrame([(i, [big] * 24) for i in range(3)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="fit into a long"):
+            S.top_k(v, v).collect()
+
+
+def test_one_query_block_is_held_at_a_time(spark, monkeypatch):
+    """Blocks of few queries and vectors, in several groups: the same results, whatever comes first."""
+    monkeypatch.setattr(S, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(S, "VECTOR_BLOCK", 5)
+    monkeypatch.setattr(S, "GROUP_BLOCKS", 2)
+    draw = np.random.default_rng(3)
+    rows = [(i, draw.integers(-20, 20, 6).astype(float).tolist()) for i in range(60)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in S.top_k(v, v, 4).collect())
+    want = []
+    for q, x in rows:
+        best = sorted((-int(np.dot(np.floor(256 * np.array(x)), np.floor(256 * np.array(y)))), i) for i, y in rows if i != q)[:4]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    plan = S.top_k(v, v)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
