@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunset_engine.llm.common import table
-from sunset_engine.operators.joins import materialize
+from sunset_engine.operators.joins import broadcast_if_bounded, materialize
 
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 ORDER = 4
@@ -26,6 +26,8 @@ ORDER = 4
 PRIOR = 2.0
 # Chance of a character at order 0 before any is seen.
 BASE = 1.0 / 256
+# Grams whose scores may be broadcast: some 40 bytes each.
+BROADCAST_GRAMS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # First hex digits of a URL's MD5 that keep it for calibration.
 CALIBRATION = ("0", "1", "2")
@@ -69,10 +71,13 @@ def _scores(train: DataFrame, grams: DataFrame) -> DataFrame:
     lengths = F.explode(F.sequence(F.lit(1), F.lit(ORDER + 1))).alias("k")
     ends = counted.select("ruled", "n", "gram", lengths).withColumn("s", F.expr("right(gram, k)"))
     seen = ends.groupBy("s").agg(*sums)
-    context = ends.withColumn("s", F.expr("left(s, k - 1)")).groupBy("s", "k").agg(*sums)
+    context = ends.where("k > 1").withColumn("s", F.expr("left(s, k - 1)")).groupBy("s", "k").agg(*sums)
     asked = grams.select("gram", lengths).withColumn("s", F.expr("right(gram, k)")).withColumn("c", F.expr("left(s, k - 1)"))
-    joined = (asked.join(seen, "s", "left")
-              .join(context.select(F.col("s").alias("c"), F.col("k"), F.col("a").alias("ca"), F.col("b").alias("cb")), ["c", "k"], "left"))
+    known = asked.join(seen, "s", "left")
+    # The empty context is one row for all grams: a scalar, not a join key.
+    total = counted.agg(*sums).select(F.struct("a", "b").alias("t")).scalar()
+    longer = known.where("k > 1").join(context.select(F.col("s").alias("c"), F.col("k"), F.col("a").alias("ca"), F.col("b").alias("cb")), ["c", "k"], "left")
+    joined = longer.unionByName(known.where("k = 1").withColumns({"ca": total.getField("a"), "cb": total.getField("b")}))
     orders = range(1, ORDER + 2)
     wide = joined.groupBy("gram").agg(*[F.coalesce(F.max(F.when(F.col("k") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for k in orders for c in ("a", "b", "ca", "cb")])
     chance = {}
@@ -101,7 +106,8 @@ def filter_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
                        .withColumn("held", F.substring(F.md5("url"), 1, 1).isin(*CALIBRATION)), "url-distinct")
     judged = materialize(_grams(urls.where("ruled is null or held"), ["uid", "ruled"]), "url-judged")
     llr = materialize(_scores(urls.where("ruled is not null and not held"), judged.select("gram").distinct()), "url-scores")
-    scored = materialize(judged.join(llr, "gram").groupBy("uid").agg(F.avg("llr").alias("score"), F.first("ruled").alias("held_as")), "url-scored")
+    # Beginnings like http:// are in every URL. Within the bound, grams are not shuffled; beyond it Spark splits such keys' rows.
+    scored = materialize(judged.join(broadcast_if_bounded(llr, BROADCAST_GRAMS), "gram").groupBy("uid").agg(F.avg("llr").alias("score"), F.first("ruled").alias("held_as")), "url-scored")
     t = threshold(scored)
     found = rows.join(scored.where("held_as is null").select("uid", "score"), "uid", "left")
     verdict = F.coalesce("ruled", F.when(F.col("score") < F.lit(t), "block").otherwise("allow")) if t is not None else F.coalesce("ruled", F.lit("allow"))

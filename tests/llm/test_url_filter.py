@@ -42,3 +42,9 @@ def test_matches_sql(spark, sf):
     with duckdb.connect() as c:
         c.execute(f"create view pages as select * from '{d}/pages.parquet'")
         assert got == set(c.execute(f"select page_id, host, path, rule, verdict from ({U.oracle()})").fetchall())
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "http://a.org/" + "x/" * 20_000), (2, "http://b.com/de/" + "y" * 9_000), (3, "http://c.net/" + "z?" * 10_000), (4, "http://d.org/a"), (5, "http://e.com/de/b")]
+    got = {r.page_id: r.verdict for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[1] == "allow" and got[2] == "block" and set(got) == {1, 2, 3, 4, 5}
