@@ -85,3 +85,39 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert model.languages == [f"l{k:02}" for k in range(70)] and model.out.shape[0] == 70
     bar = corpus_pipeline.language_bar
     assert bar(4) == bar(1) == 0.4 and 1 / 70 < bar(70) < 0.03
+
+
+def test_prediction_against_a_loop_over_positions(spark, monkeypatch):
+    """Every position of every window read one after another, in plain floats, and averaged over the document."""
+    monkeypatch.setattr(G, "WINDOW", 5)
+    rng = np.random.default_rng(4)
+    n_h, names = 3, ["aa", "bb", "cc"]
+    f32 = lambda *shape: rng.normal(0, 0.7, shape).astype(np.float32)
+    model = G.Model(names, G.Gru(f32(3 * n_h, 256), f32(3 * n_h, n_h)), G.Gru(f32(3 * n_h, 256), f32(3 * n_h, n_h)), f32(3, 2 * n_h), f32(3))
+    texts = ["a", "abcde", "abcdefg", "é日本 xyz" * 3, None, "", "123 !", "q" * 23]
+
+    def states(gru, window):
+        h, out = np.zeros(n_h), []
+        for byte in window:
+            a, g = gru.bytes[:, byte].astype(float), gru.state.astype(float) @ h
+            z, r = (1 / (1 + np.exp(-(a[i:i + n_h] + g[i:i + n_h]))) for i in (0, n_h))
+            n = np.tanh(a[2 * n_h:] + r * g[2 * n_h:])
+            h = (1 - z) * n + z * h
+            out.append(h)
+        return out
+
+    def brute(text):
+        if not any(c.isalpha() for c in text or ""):
+            return G.UNDETERMINED, 0.0
+        data, total = text.encode(), np.zeros(3)
+        for at in range(0, len(data), 5):
+            w = data[at:at + 5]
+            for h, b in zip(states(model.forward, w), reversed(states(model.backward, w[::-1]))):
+                logits = model.out.astype(float) @ np.concatenate([h, b]) + model.bias
+                total += np.exp(logits) / np.exp(logits).sum()
+        return names[total.argmax()], total.max() / len(data)
+
+    got = G.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in got:
+        name, score = brute(texts[r.doc_id])
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-5)

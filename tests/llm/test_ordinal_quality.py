@@ -78,3 +78,21 @@ def test_toxic_words_are_caught_without_being_capped(spark, model):
     df = spark.createDataFrame([(1, clean), (2, clean + " loser idiot scum moron")], "doc_id long, text string")
     a, b = (r.expected_grade for r in O.rate(df, model).orderBy("doc_id").collect())
     assert b < a
+
+
+def test_rating_against_a_sum_over_features(spark):
+    """Tails and expected grade of each text from its features' weights, added up one by one."""
+    rng = np.random.default_rng(6)
+    weights = rng.normal(0, 0.5, (1 << O.BITS) + O.SHAPES * O.BINS).astype(np.float32)
+    model = O.Model(weights, np.array([-0.7, 0.4, 1.9]))
+    texts = ["one two three", "A b, c!", "", None, " \n", "word " * 3000, "é 日本\n" * 40, "x"]
+    got = {r.doc_id: r for r in O.rate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), model).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        if not (text or "").strip():
+            assert (got[i].expected_grade, got[i].tail_prob) == (0.0, 0.0)
+            continue
+        values, _ = O.features(*string_bytes(pa.array([text])))
+        score = sum(float(weights[v]) for v in values)
+        tails = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        assert got[i].expected_grade == pytest.approx(sum(tails), rel=1e-6) and got[i].tail_prob == pytest.approx(tails[-1], rel=1e-6)
