@@ -41,7 +41,6 @@ ORACLE: dict[str, str] = {
     "op5_segment_search": segment_search.ORACLE,
     "op9_url_model_ratio": url_filter.oracle(),
     "op11_fill_middle": fill_middle.ORACLE,
-    "op12_alignment": alignment.op12_alignment,
     "op13_chat_windows": chat_windows.ORACLE,
 }
 
