@@ -40,8 +40,8 @@ from sunset_engine.operators.timezones import nearest_timezone
 
 GROUP_KEY = ["airport_id", "latitude_deg", "longitude_deg"]
 
-# Airports whose arrays (8 bytes a season day) may be broadcast: within 100 MB for a season of 120 days.
-SOLAR_BROADCAST_AIRPORTS = 100_000
+# Sunsets (8 bytes each, one per airport and season day) that may be broadcast: within 100 MB.
+SOLAR_BROADCAST_VALUES = 12_000_000
 
 
 def airport_keys(airports: DataFrame, types: list[str] | None = None) -> DataFrame:
@@ -188,14 +188,17 @@ def airport_sunsets(airports: DataFrame, start=FALL_START, end=FALL_END, offset:
 def near_sunset_flights(flights: DataFrame, airports: DataFrame, start=FALL_START, end=FALL_END,
                         years: tuple[int, int] | None = None, offset: str = "timezone",
                         half_window: int = 30, compat: bool = False,
-                        max_airports: int = SOLAR_BROADCAST_AIRPORTS) -> DataFrame:
+                        max_airports: int | None = None) -> DataFrame:
     """Flight ends within +-``half_window`` minutes of local sunset at their airport.
 
     Every flight end meets its airport's row (``airport_sunsets``) in one hash join and
-    looks its day up by index. ``max_airports`` bounds the broadcast of those rows; with
-    more, the same join is planned by shuffle. ``years`` only narrows the flights read.
+    looks its day up by index. ``max_airports`` bounds the broadcast of those rows, by default so that all their sunsets
+    are ``SOLAR_BROADCAST_VALUES`` at most; with more, the same join is planned by shuffle. ``years`` only narrows the flights read.
     """
     ends = _season_ends(flights, start, end, years, compat)
+    if max_airports is None:
+        first, last = season_day_range(start, end)
+        max_airports = SOLAR_BROADCAST_VALUES // max(1, last - first + 1)
     sunsets = broadcast_if_bounded(airport_sunsets(airports, start, end, offset), max_airports)
     hours = offset_from_longitude("longitude_deg") if offset == "longitude" else offset_from_timezone("flight_date", "zone")
     ut = F.get("sunsets", F.dayofyear("flight_date") - F.col("first_day"))
