@@ -11,9 +11,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text taken together; longer texts are cut between words.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 22
 # Words whose ids a task keeps for the runs that follow, of at most so many bytes each.
-CACHE_WORDS, CACHED_BYTES = 200_000, 64
+CACHE_WORDS, CACHED_BYTES = 400_000, 64
 ENCODE_AT_ONCE = 20_000
 
 
