@@ -18,6 +18,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Documents whose language has at least this probability stay. Below it a text is hardly in any language learned:
 # so many times what an even spread over the languages gives, but no more than the other bound.
 LEAST_LANGUAGE_RATIO, MOST_LANGUAGE_BAR = 1.6, 0.4
+PACKING_RUN_BYTES, PACKING_KEPT_WORDS = 1 << 19, 100_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +64,11 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 1024 tokens."""
-    return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    """Pieces of documents in sequences of at most 1024 tokens.
+
+    Executors come to this stage with the memory of those before it, so its tasks take small runs of texts.
+    """
+    return packing.pack_documents(docs, run_bytes=PACKING_RUN_BYTES, kept_words=PACKING_KEPT_WORDS).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -251,11 +251,11 @@ def _cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
         yield piece, a, b - a, zlib.crc32(raw[4 * a:4 * b])
 
 
-def _pieces(shared, capacity: int, end_id: int) -> Callable:
+def _pieces(shared, capacity: int, end_id: int, run_bytes: int | None, kept_words: int | None) -> Callable:
     end = np.array([end_id], np.uint32)
 
     def run(batches):
-        encode = WordIds(load_tokenizer(shared.value))
+        encode = WordIds(load_tokenizer(shared.value), kept_words)
         for batch in batches:
             out: list[tuple] = []
             row, held = -1, []
@@ -266,7 +266,7 @@ def _pieces(shared, capacity: int, end_id: int) -> Callable:
                     whole = np.concatenate([*held, end])
                     out.extend((ids[row], *x) for x in _cut(whole, capacity))
 
-            for rows, texts in in_chunks(batch.column("text"), SAFE_CUT):
+            for rows, texts in in_chunks(batch.column("text"), SAFE_CUT, run_bytes):
                 words, codes, offsets = _word_parts(texts)
                 values, ends = flat(_ids_of(encode, words).take(pa.array(codes)))
                 values = values.view(np.uint32)
@@ -284,15 +284,16 @@ def _pieces(shared, capacity: int, end_id: int) -> Callable:
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", run_bytes: int | None = None, kept_words: int | None = None) -> DataFrame:
     """Documents to pieces (doc_id, piece, start, length, ids_crc32) of at most ``capacity`` tokens.
 
     A document is its ids by the tokenizer and then ``end_id`` (a null or empty text: that id
-    alone). Only longer ones are cut; the first piece takes what whole pieces leave.
+    alone). Only longer ones are cut; the first piece takes what whole pieces leave. A task encodes runs of texts of
+    ``run_bytes`` and keeps the ids of ``kept_words`` words: less memory for more time, the same pieces.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _pieces(shared, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        _pieces(shared, capacity, end_id, run_bytes, kept_words), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # ---- assignment ---------------------------------------------------------------------------------
@@ -345,7 +346,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
             .drop("_n", "_from", "_to", "_each", "_sequence", "_at"))
 
 
-def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, run_bytes: int | None = None, kept_words: int | None = None) -> DataFrame:
     """Documents to packed pieces: (length, doc_id, piece, start, ids_crc32, sequence_id, offset).
 
     Null and empty texts are one end token; rows that repeat, and rows without an id, are
@@ -355,7 +356,7 @@ def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    return pack(token_pieces(docs, tokenizer_json(path)))
+    return pack(token_pieces(docs, tokenizer_json(path), run_bytes=run_bytes, kept_words=kept_words))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,10 +28,11 @@ def load_tokenizer(text: str):
 
 
 class WordIds:
-    """Ids of words as an Arrow list array; the first ``CACHE_WORDS`` short words seen are kept."""
+    """Ids of words as an Arrow list array; the first ``kept`` short words seen (by default CACHE_WORDS) are kept."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, kept: int | None = None):
         self.tokenizer = tokenizer
+        self.kept = CACHE_WORDS if kept is None else kept
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.words = pa.array([], pa.string())
         self.ids = pa.array([], pa.list_(pa.int32()))
@@ -52,7 +53,7 @@ class WordIds:
         at = known.to_numpy(zero_copy_only=False).copy() if known.null_count == 0 else pc.fill_null(known, -1).to_numpy(zero_copy_only=False).copy()
         at[at < 0] = len(self.words) + np.arange(len(new))
         out = pa.concat_arrays([self.ids, ids]).take(pa.array(at))
-        if (room := CACHE_WORDS - len(self.words)) > 0:
+        if (room := self.kept - len(self.words)) > 0:
             short = pa.array(np.flatnonzero(pc.binary_length(new).to_numpy() <= CACHED_BYTES)[:room])
             self.words = pa.concat_arrays([self.words, new.take(short)])
             self.ids = pa.concat_arrays([self.ids, ids.take(short)])
