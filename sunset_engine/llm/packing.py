@@ -251,7 +251,7 @@ def _cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
         yield piece, a, b - a, zlib.crc32(raw[4 * a:4 * b])
 
 
-def _pieces(shared, capacity: int, end_id: int, run_bytes: int | None, kept_words: int | None) -> Callable:
+def _pieces(shared, capacity: int, end_id: int, run_bytes: int | None = None, kept_words: int | None = None) -> Callable:
     end = np.array([end_id], np.uint32)
 
     def run(batches):
