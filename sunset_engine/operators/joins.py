@@ -29,6 +29,15 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
+def spread(df: DataFrame, parts: int = 0) -> DataFrame:
+    """``df`` dealt evenly over two tasks a slot (or ``parts``, if more), for rows of few bytes that take much work.
+
+    Files are split by bytes: a table of short rows is one task, whatever has to be done with each.
+    The number is given, so AQE does not join the tasks again by their bytes.
+    """
+    return df.repartition(max(parts, 2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

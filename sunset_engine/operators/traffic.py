@@ -33,7 +33,7 @@ from sunset_engine.functions.solar import (local_minute, near_sunset, offset_fro
 from sunset_engine.functions.steps import step_value
 from sunset_engine.functions.text import drop_first_char, strip_quotes
 from sunset_engine.functions.timeparse import clock_to_minutes, hhmm_to_minutes, parse_us_date
-from sunset_engine.operators.joins import broadcast_if_bounded
+from sunset_engine.operators.joins import broadcast_if_bounded, spread
 from sunset_engine.operators.season import (FALL_END, FALL_MONTHS, FALL_START, FALL_YEARS, season_exclusive,
                                             season_inclusive)
 from sunset_engine.operators.timezones import nearest_timezone
@@ -74,14 +74,23 @@ def flight_roles(flights: DataFrame) -> DataFrame:
     return flights.select("event_id", "flight_date", F.inline(ends))
 
 
-def _offset(df: DataFrame, date: str, offset: str) -> DataFrame:
-    if offset == "longitude":
-        return df.withColumn("offset_hours", offset_from_longitude("longitude_deg"))
+def _zoned(places: DataFrame, offset: str) -> DataFrame:
+    """With ``zone``, the zone of every place: its ``timezone``, or else the nearest reference point's; NULL for offsets by longitude.
+
+    The search of the nearest point is the dear part, so places get it before their rows are multiplied by days.
+    """
+    if offset not in ("longitude", "timezone"):
+        raise ValueError(f"offset must be 'longitude' or 'timezone', not {offset!r}")
+    zone = F.lit(None).cast("string")
     if offset == "timezone":
-        tz = F.col("timezone") if "timezone" in df.columns else F.lit(None).cast("string")
-        tz = F.coalesce(tz, nearest_timezone("latitude_deg", "longitude_deg"))
-        return df.withColumn("offset_hours", offset_from_timezone(date, tz))
-    raise ValueError(f"offset must be 'longitude' or 'timezone', not {offset!r}")
+        zone = nearest_timezone("latitude_deg", "longitude_deg")
+        zone = F.coalesce(F.col("timezone"), zone) if "timezone" in places.columns else zone
+    return places.withColumn("zone", zone)
+
+
+def _offset(zoned: DataFrame, date: str, offset: str) -> DataFrame:
+    hours = offset_from_longitude("longitude_deg") if offset == "longitude" else offset_from_timezone(date, "zone")
+    return zoned.withColumn("offset_hours", hours)
 
 
 def _season(flights: DataFrame, start, end, years) -> DataFrame:
@@ -136,24 +145,23 @@ def solar_table(flights: DataFrame, airports: DataFrame, start=FALL_START, end=F
     season = _season(flights, start, end, years)
     keys = (season.select("flight_date", F.explode(F.array("origin", "dest")).alias("airport_id"))
             .where(F.col("airport_id") != "").distinct())
-    return _solar(keys.join(broadcast_if_bounded(airport_keys(airports)), "airport_id"), offset)
+    return _solar(keys.join(broadcast_if_bounded(_zoned(airport_keys(airports), offset)), "airport_id"), offset)
 
 
 def calendar_solar_table(airports: DataFrame, start=FALL_START, end=FALL_END, years=FALL_YEARS,
                          offset: str = "timezone") -> DataFrame:
     """Sunset minute for every airport on every day of the season (E1), without reading flights.
 
-    Each airport row expands to its season days with ``explode(sequence(...))``:
+    Each airport row gets its zone and then expands to its season days with ``explode(sequence(...))``:
     #airports x #days rows, a size known before anything runs.
     """
     days = season_days(start, end, years)
     ranges = F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in days])
     if not days:                               # a season without a day
         ranges = F.array().cast("array<struct<lo:date,hi:date>>")
-    ap = airport_keys(airports)
-    extra = [c for c in ("timezone",) if c in ap.columns]
-    days = (ap.select(*GROUP_KEY, *extra, F.explode(ranges).alias("r"))
-            .select(*GROUP_KEY, *extra, F.explode(F.sequence("r.lo", "r.hi")).alias("flight_date")))
+    ap = _zoned(spread(airport_keys(airports)), offset)
+    days = (ap.select(*GROUP_KEY, "zone", F.explode(ranges).alias("r"))
+            .select(*GROUP_KEY, "zone", F.explode(F.sequence("r.lo", "r.hi")).alias("flight_date")))
     return _solar(days, offset)
 
 
@@ -169,15 +177,8 @@ def airport_sunsets(airports: DataFrame, start=FALL_START, end=FALL_END, offset:
     Columns: the group key, ``zone`` (NULL for offsets by longitude), ``first_day`` and
     ``sunsets`` (index 0 is that day of the year), ``copies`` (rows of this airport).
     """
-    if offset not in ("longitude", "timezone"):
-        raise ValueError(f"offset must be 'longitude' or 'timezone', not {offset!r}")
-    ap = airport_keys(airports)
-    zone = F.lit(None).cast("string")
-    if offset == "timezone":
-        zone = nearest_timezone("latitude_deg", "longitude_deg")
-        zone = F.coalesce(F.col("timezone"), zone) if "timezone" in ap.columns else zone
     lo, hi = season_day_range(start, end)
-    each = ap.withColumn("zone", zone).groupBy(*GROUP_KEY, "zone").agg(F.count(F.lit(1)).alias("copies"))
+    each = _zoned(airport_keys(airports), offset).groupBy(*GROUP_KEY, "zone").agg(F.count(F.lit(1)).alias("copies"))
     if lo > hi:                                # a season without a day: no airport has a sunset
         return each.where("false").select("*", F.lit(lo).alias("first_day"), F.array().cast("array<double>").alias("sunsets"))
     # One projection: the formula is bound within the array, so airports are neither multiplied by days nor grouped again.
@@ -256,7 +257,7 @@ def near_sunset_strikes(strikes: DataFrame, years=FALL_YEARS, months=FALL_MONTHS
     from a ``timezone`` column, or without one from the strike's position, by an expression over the reference points.
     """
     s = parse_strikes(strikes.where(season_inclusive("incident_year", "incident_month", years, months)))
-    s = with_sunset_minute(_offset(s, "incident_date", offset), "incident_date", "latitude_deg", "longitude_deg", "offset_hours")
+    s = with_sunset_minute(_offset(_zoned(s, offset), "incident_date", offset), "incident_date", "latitude_deg", "longitude_deg", "offset_hours")
     # The window test stays above the formula: pushed below, it would repeat the formula's text at every level.
     return (s.withColumn("sunset_minute", F.explode(F.array("sunset_minute")))
             .where(near_sunset("event_minute", "sunset_minute", half_window))

@@ -125,3 +125,14 @@ def test_code_check_is_a_hash_anti_join(spark):
     plan = missing._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "BroadcastNestedLoopJoin" not in plan
     assert [r.code for r in missing.collect()] == ["XXX"]
+
+
+def test_zones_are_searched_once_an_airport_not_once_a_day(spark):
+    table = T.calendar_solar_table(_airports(spark), years=(2019, 2020))
+    lines = table._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    searched = [i for i, x in enumerate(lines) if "lambdafunction" in x]          # a plan's last lines run first
+    assert searched and min(searched) > max(i for i, x in enumerate(lines) if "Generate" in x)
+    keys = T.solar_table(spark.createDataFrame([(1, DAY, "APA", "APA", "1800.0", "1800.0")], FLIGHTS), _airports(spark))
+    lines = keys._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert min(i for i, x in enumerate(lines) if "lambdafunction" in x) > min(i for i, x in enumerate(lines) if "Join" in x)
+    assert table.rdd.getNumPartitions() > 1
