@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 50_000
 # Documents in one output batch.
 OUT_ROWS = 500
-# Bytes of text that share a list of distinct words.
+# Bytes of text that share a list of distinct words; a longer text has its own, and comes to it in parts of that size.
 CHUNK_BYTES = 1 << 23
 
 CHUNKS = "chunk long, doc_ids array<long>, words array<int>, rows array<int>, codes binary, size long, bucket int, list binary, places binary, list_size long, n int"
@@ -40,10 +41,9 @@ CHUNKS = "chunk long, doc_ids array<long>, words array<int>, rows array<int>, co
 
 def _split(buckets: int) -> Callable:
     """Documents to one row per chunk with its codes and one row per chunk and bucket with the words."""
-    def rows_of(chunk: int, ids: list, per_row: np.ndarray, part_rows: np.ndarray, words: pa.Array):
-        coded = words.dictionary_encode()
-        codes = coded.indices.to_numpy()
-        names = coded.dictionary
+    def rows_of(chunk: int, ids: list, per_row: np.ndarray, text_rows: np.ndarray, words: pa.ChunkedArray):
+        codes = np.concatenate([part.indices.to_numpy() for part in words.chunks])
+        names = words.chunk(0).dictionary
         often = np.bincount(codes, minlength=len(names))
         data, offsets = string_bytes(names)
         hashed, first = word_hashes(data, offsets, np.zeros(256, bool))
@@ -54,7 +54,7 @@ def _split(buckets: int) -> Callable:
         place = np.empty(len(names), np.int64)
         place[by] = np.arange(len(names))
         nothing = dict.fromkeys(("doc_ids", "words", "rows", "codes", "size", "bucket", "list", "places", "list_size", "n"))
-        yield nothing | {"chunk": chunk, "doc_ids": ids, "words": per_row.tolist(), "rows": part_rows.tolist(), "codes": packed(place[codes]), "size": len(codes)}
+        yield nothing | {"chunk": chunk, "doc_ids": ids, "words": per_row.tolist(), "rows": text_rows.tolist(), "codes": packed(place[codes]), "size": len(codes)}
         within = by[np.argsort(bucket[by], kind="stable")]
         ends = np.searchsorted(bucket[within], np.arange(buckets + 1))
         names = names.take(pa.array(within))
@@ -71,11 +71,15 @@ def _split(buckets: int) -> Callable:
         chunk = TaskContext.get().partitionId() << 32       # a task that runs again gives the same numbers
         for batch in batches:
             ids = batch.column("doc_id")
-            for rows, parts in in_chunks(batch.column("text"), BLANK, CHUNK_BYTES):
-                split = pc.ascii_split_whitespace(parts)
+            for _, parts in groupby(in_chunks(batch.column("text"), BLANK, CHUNK_BYTES), key=lambda run: int(run[0][0])):
+                # A text that comes in parts is one row of one chunk, like any other.
+                per_row, words = np.zeros(1, np.int64), []
+                for rows, texts in parts:
+                    split = pc.ascii_split_whitespace(texts)
+                    per_row = per_row + np.diff(split.offsets.to_numpy())
+                    words.append(split.flatten().cast(pa.string()).dictionary_encode())
                 chunk += 1
-                words = split.flatten().cast(pa.string())
-                out = list(rows_of(chunk, ids.take(pa.array(rows)).to_pylist(), np.diff(split.offsets.to_numpy()), rows, words))
+                out = list(rows_of(chunk, ids.take(pa.array(rows)).to_pylist(), per_row, rows, pa.chunked_array(words).unify_dictionaries()))
                 yield pa.RecordBatch.from_pylist(out, schema)
     return lean(run)
 
@@ -102,7 +106,7 @@ def _encoded(shared) -> Callable:
 
 
 def _joined(chunks: pa.Table, words: pa.Table):
-    """A chunk's ids in the places of its words: one row of ids for each part of a document."""
+    """A chunk's ids in the places of its words: one row of ids for each document."""
     lengths, ids, places = [], [], []
     for r in words.to_pylist():
         places.append(np.cumsum(unpacked(r["places"], r["n"])))

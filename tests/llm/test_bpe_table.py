@@ -43,6 +43,22 @@ def test_encodes_and_decodes_like_the_library(spark, monkeypatch, chunk):
         assert joined == total
 
 
+@pytest.mark.parametrize("chunk", [50, 400])
+def test_texts_longer_than_a_chunk_are_one_row(spark, monkeypatch, chunk):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(B, "CHUNK_BYTES", chunk)
+    t = Tokenizer.from_file(PATH)
+    rng = random.Random(8)
+    long = ["".join(rng.choice(["word", "Words'", "é", "日本", " ", "  ", "\n", "\t", "1", "!!"]) for _ in range(n)) for n in (40, 200, 900, 900)]
+    rows = [(i, x) for i, x in enumerate(["short", long[0], None, long[1], "y" * 700, long[2], "", "z z", long[3], " " * 900])] + [(None, long[2]), (3, long[1]), (3, long[1])]
+    tokenizer = tokenizer_json(PATH)
+    ids = B.encode(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), tokenizer)
+    encoded = [(i, t.encode(x or "", add_special_tokens=False).ids) for i, x in rows]
+    assert sorted((str(r.doc_id), list(r.ids)) for r in ids.collect()) == sorted((str(i), x) for i, x in encoded)
+    assert sorted((str(r.doc_id), r.decoded) for r in B.decode(ids, tokenizer).collect()) == sorted((str(i), t.decode(x, skip_special_tokens=False)) for i, x in encoded)
+
+
 def test_empty_table(spark):
     assert B.encode(spark.createDataFrame([], "doc_id long, text string"), tokenizer_json(PATH)).collect() == []
 
