@@ -171,19 +171,12 @@ def pixel_steps(x: str, y: str, col_out: str, row_out: str, bounds=GRID_BOUNDS,
     ]]
 
 
-def zone_corner_steps(lat: str, lon: str, dist_m: float, bounds=GRID_BOUNDS,
-                      resolution: float = GRID_RESOLUTION, bearings=CORNER_BEARINGS) -> list[Step]:
-    """Corner k of the zone: destination on bearing k, projected, to pixel ``c{k}_x``/``c{k}_y``.
+def zone_corner_steps(lat: str, lon: str, dist_m: float, k: int, bounds=GRID_BOUNDS,
+                      resolution: float = GRID_RESOLUTION, bearings=CORNER_BEARINGS) -> list:
+    """Corner ``k`` of the zone: destination on its bearing, projected, to pixel ``c{k}_x``/``c{k}_y``.
 
-    The four corners' chains are independent, so step i of every corner is
-    grouped into one ``withColumns``.
+    A chain for each corner: all four at once are too much code for one method.
     """
-    chains = []
-    for k, brg in enumerate(bearings):
-        chain = destination_steps(lat, lon, brg, dist_m, f"_z{k}lat", f"_z{k}lon", f"_z{k}v")
-        chain += albers_forward_steps(f"_z{k}lat", f"_z{k}lon", f"_z{k}x", f"_z{k}y", f"_z{k}a")
-        chain += pixel_steps(f"_z{k}x", f"_z{k}y", f"c{k}_x", f"c{k}_y", bounds, resolution)
-        chains.append(chain)
-    def as_group(step):
-        return step if isinstance(step, list) else [step]
-    return [[pair for step in position for pair in as_group(step)] for position in zip(*chains)]
+    chain = destination_steps(lat, lon, bearings[k], dist_m, f"_z{k}lat", f"_z{k}lon", f"_z{k}v")
+    chain += albers_forward_steps(f"_z{k}lat", f"_z{k}lon", f"_z{k}x", f"_z{k}y", f"_z{k}a")
+    return chain + pixel_steps(f"_z{k}x", f"_z{k}y", f"c{k}_x", f"c{k}_y", bounds, resolution)

@@ -31,6 +31,22 @@ def apply_steps(df: DataFrame, steps: list, drop_prefix: str | None = None) -> D
     return out.select(*keep, *[n for n in made if not (drop_prefix and n.startswith(drop_prefix))])
 
 
+def computed(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows; nothing that follows is merged with the formulas of ``columns``.
+
+    Tests of a column are otherwise pushed below its formula, whose text they repeat at every level, and long
+    chains are compiled into one method; the JVM only interprets methods of more than 8000 bytes.
+    """
+    for c in columns:
+        df = df.withColumn(c, F.explode(F.array(c)))
+    return df
+
+
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet ``condition``, tested above the formulas of its columns (see ``computed``)."""
+    return computed(df.withColumn("_holds", condition), "_holds").where("_holds").drop("_holds")
+
+
 def step_value(steps: list, out: str) -> Column:
     """The value of step ``out`` as one expression in which every step is computed once.
 

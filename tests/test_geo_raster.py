@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -223,3 +224,19 @@ def test_zonal_mean_by_running_sums(spark, monkeypatch, tile):
     assert set(got) == set(own)
     for k, (mean, n) in got.items():
         assert n == own[k] and mean == pytest.approx((sums[k] / n - lo) / (hi - lo), abs=1e-9)
+
+
+@pytest.mark.parametrize("query", [lambda z: z, R.zone_labels, R.zone_outline, R.zone_pixels])
+def test_zone_code_is_compiled_and_dealt_to_many_tasks(spark, query):
+    sites = spark.range(3000).coalesce(1).select(F.col("id").cast("string").alias("airport_id"), (27.3 + F.col("id") * 37 % 2000 / 100).alias("latitude_deg"),
+                                                 (-120.7 + F.col("id") * 53 % 4900 / 100).alias("longitude_deg"))
+    found = query(R.airport_zones(sites))
+    assert found.rdd.getNumPartitions() > 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")              # its plans are compiled as they run
+    try:
+        plan = query(R.airport_zones(sites))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) <= 8000                                # the JVM compiles no larger method
