@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunset_engine.operators.joins import materialize
+from sunset_engine.operators.joins import materialize, spread
 
 # The reference model setup.
 FEATURES = ("bird_population", "flight_count")
@@ -31,7 +31,9 @@ SEED = 42
 TRAIN_FRACTION = 0.7
 # Airports are some 80,000 rows: a larger table than this is not one partition.
 ONE_PARTITION_ROWS = 500_000
-COPY, FOLD = "_copy", "_fold"
+COPY, FIRST, FOLD = "_copy", "_first", "_fold"
+# Copies of a row that one task numbers together.
+RUN_COPIES = 10_000
 
 
 def prepare(df: DataFrame, max_rows: int = ONE_PARTITION_ROWS) -> DataFrame:
@@ -71,7 +73,11 @@ def split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SEED,
 def numbered_copies(df: DataFrame) -> DataFrame:
     """``df`` with the number of each row among the rows equal to it, from 1: counted before the shuffle, then told apart again."""
     counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(COPY))
-    return counted.withColumn(COPY, F.explode(F.sequence(F.lit(1).cast("long"), COPY)))
+    # A few rows may have most of the copies: they are dealt in runs of bounded length.
+    last = F.least(F.col(COPY), F.col(FIRST) + (RUN_COPIES - 1))
+    runs = counted.withColumn(FIRST, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPY), F.lit(RUN_COPIES).cast("long")))).withColumn(COPY, last)
+    dealt = spread(runs, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.withColumn(COPY, F.explode(F.sequence(F.col(FIRST), F.col(COPY)))).drop(FIRST)
 
 
 def fold_of(key: Column | str, folds: int = FOLDS, seed: int = SEED) -> Column:

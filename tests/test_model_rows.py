@@ -80,6 +80,16 @@ def test_split_without_a_key_does_not_depend_on_partitions(spark):
     assert len(parts[0][0]) > 40                  # copies of a row fall on both sides
 
 
+def test_copies_of_one_row_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(M, "RUN_COPIES", 100)
+    same = spark.range(5000).select(F.lit("x").alias("a"), F.lit(None).cast("int").alias("b"))
+    numbered = M.numbered_copies(same.unionAll(same.limit(250).withColumn("a", F.lit("y"))))
+    got = numbered.withColumn("task", F.spark_partition_id()).collect()
+    assert Counter((r.a, r[M.COPY]) for r in got) == Counter([("x", k + 1) for k in range(5000)] + [("y", k + 1) for k in range(250)])
+    by_task = Counter(r.task for r in got)
+    assert len(by_task) >= 4 and max(by_task.values()) < 5250 / 2
+
+
 def test_prepared_table_is_one_partition_up_to_its_bound(spark):
     assert M.prepare(_table(spark)).rdd.getNumPartitions() == 1
     large = M.prepare(_table(spark), max_rows=20)
