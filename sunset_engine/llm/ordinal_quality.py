@@ -38,6 +38,8 @@ LEAST_STEPS = 2000
 RATE = 0.15
 DECAY = 2e-5
 SEED = 5
+# Bytes of text whose features are taken together, and passed on.
+SLICE_BYTES = 1 << 19
 # Selection: probability of the upper grade.
 KEEP = 0.5
 
@@ -153,7 +155,7 @@ def _sampled(batches):
     lean_memory()
     for batch in batches:
         at = 0
-        for data, offsets in text_slices(batch.column("text")):
+        for data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
             values, ends = features(data, offsets)
             n = len(offsets) - 1
             yield pa.RecordBatch.from_pydict({"grade": batch.column("grade").slice(at, n),
@@ -188,13 +190,19 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int) -> Model | None:
 
 def _rated(shared, keep_text: bool) -> Callable:
     def run(batches):
-        model = Model(*shared.value)
+        places, values, thresholds = shared.value
+        model = Model(np.zeros((1 << BITS) + SHAPES * BINS, np.float32), thresholds)
+        model.weights[places] = values
         used = model.weights != 0
         for batch in batches:
-            tails = np.concatenate([model.tails(*features(data, offsets, used)) for data, offsets in text_slices(batch.column("text"))] or [np.zeros((0, len(model.thresholds)))])
             passed = [n for n in batch.schema.names if n != "text" or keep_text]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in passed), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
-                                             names=[*passed, "expected_grade", "tail_prob"])
+            at = 0
+            for data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
+                tails = model.tails(*features(data, offsets, used))
+                part = batch.slice(at, len(tails))
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in passed), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])],
+                                                 names=[*passed, "expected_grade", "tail_prob"])
+                at += len(tails)
     return lean(run)
 
 
@@ -214,7 +222,8 @@ def rate(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], blank.alias("blank"), text.cast("string").alias("text"))
     if keep_text:
         plain = plain.drop(f"c{names.index(text_col)}")
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
+    places = np.flatnonzero(model.weights)
+    shared = docs.sparkSession.sparkContext.broadcast((places, model.weights[places], model.thresholds))
     passed = [c for c in plain.columns if c != "text" or keep_text]
     schema = ", ".join(f"`{c}` {plain.schema[c].dataType.simpleString()}" for c in passed)
     out = plain.mapInArrow(_rated(shared, keep_text), f"{schema}, expected_grade double, tail_prob double")

@@ -96,3 +96,22 @@ def test_rating_against_a_sum_over_features(spark):
         score = sum(float(weights[v]) for v in values)
         tails = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
         assert got[i].expected_grade == pytest.approx(sum(tails), rel=1e-6) and got[i].tail_prob == pytest.approx(tails[-1], rel=1e-6)
+
+
+def test_rated_texts_are_passed_on_in_slices():
+    """A batch of many texts neither makes its features at once nor comes back as one batch."""
+    from types import SimpleNamespace
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["good", "loser", "a", "Word", "!!"]) for _ in range(rng.randint(0, 400))) for _ in range(3000)] + ["", "long " * 200_000, "end"]
+    places = np.arange(0, 1 << O.BITS, 3)
+    weights = np.zeros((1 << O.BITS) + O.SHAPES * O.BINS, np.float32)
+    weights[places] = (places % 11 - 5) / 8
+    model = O.Model(weights, np.array([-0.5, 0.5]))
+    batch = pa.RecordBatch.from_pydict({"c0": list(range(len(texts))), "text": texts})
+    out = list(O._rated(SimpleNamespace(value=(places, weights[places], model.thresholds)), True)(iter([batch])))
+    assert all(b.num_rows == 1 or sum(len(t) for t in b.column("text").to_pylist()) <= 1 << 20 for b in out) and len(out) > 3
+    whole = pa.Table.from_batches(out)
+    assert whole.column("c0").to_pylist() == list(range(len(texts))) and whole.column("text").to_pylist() == texts
+    tails = model.tails(*O.features(*string_bytes(pa.array(texts)), weights != 0))
+    assert np.allclose(whole.column("tail_prob").to_numpy(), tails[:, -1]) and np.allclose(whole.column("expected_grade").to_numpy(), tails.sum(axis=1))
