@@ -69,14 +69,14 @@ def test_stages_take_odd_rows(spark):
 def test_run_and_registration(spark):
     assert "pipeline" in catalog.queries() and corpus_pipeline.ORACLE_SQL is None
     names = [q for q in catalog.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_queries_match_their_sql(spark, name):
     got = catalog.queries()[name](spark, SF)
     with duckdb.connect() as c:
-        for t in ("documents", "embeddings", "pages"):
+        for t in ("documents", "embeddings", "pages", "conversations"):
             c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
         cols = sorted(got.columns)
         expected = c.execute(f"select {', '.join(cols)} from ({catalog.oracle_sql()[name]})").fetchall()
