@@ -255,7 +255,8 @@ def _predicted(shared, keep_text: bool) -> Callable:
         model = Model(names, Gru(f_bytes, f_state), Gru(b_bytes, b_state), out, bias)
         side = at_once(SIDE_BY_SIDE, len(model.languages))
         for batch in batches:
-            best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+            passed = [n for n in batch.schema.names if n != "text" or keep_text]
+            row = 0
             for data, offsets in text_slices(batch.column("text")):
                 texts = len(offsets) - 1
                 start, length, text = windows(data, offsets)
@@ -269,11 +270,12 @@ def _predicted(shared, keep_text: bool) -> Callable:
                         for k in range(len(p)):
                             total[k] += np.bincount(text[pick], p[k], texts)
                 total /= np.maximum(1, np.diff(offsets))
-                best.append(total.argmax(axis=0))
-                score.append(np.clip(total[best[-1], np.arange(texts)], 0, 1))
-            best, score = np.concatenate(best), np.concatenate(score)
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "text" or keep_text}
-            yield pa.RecordBatch.from_pydict(columns | {"lang_pred": pa.array([model.languages[k] for k in best], pa.string()), "score": pa.array(score)})
+                best = total.argmax(axis=0)
+                score = np.clip(total[best, np.arange(texts)], 0, 1)
+                part = batch.slice(row, texts)
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in passed), pa.array([model.languages[k] for k in best], pa.string()), pa.array(score)],
+                                                 names=[*passed, "lang_pred", "score"])
+                row += texts
     return lean(run)
 
 

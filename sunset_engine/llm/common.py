@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from sunset_engine.operators.joins import materialize
 
 MASK = (1 << 64) - 1
 # Bytes hashed at once: eight bytes a power, a few arrays of that size at a time.
-WINDOW_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,12 +86,12 @@ def string_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
 
 
 def text_slices(column: pa.Array, size: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Bytes and offsets of runs of texts of about ``size`` bytes, a single longer text by itself."""
-    data, offsets = string_bytes(column)
+    """Bytes and offsets of runs of texts of about ``size`` bytes, a single longer text by itself; only a run is copied."""
+    ends = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64))
     at = 0
     while at < len(column):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        yield data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+        yield string_bytes(column.slice(at, to - at))
         at = to
 
 

@@ -35,6 +35,8 @@ BROADCAST_IDS = 1_000_000
 # A block of a hub's classes: tokens of their sets, and classes.
 BLOCK_TOKENS = 500_000
 BLOCK_ROWS = 2048
+# Bytes of text whose sets are made together, and passed on.
+SLICE_BYTES = 1 << 19
 ORDER_SALTS = np.array([0x5BE0CD19137E2179, 0x243F6A8885A308D3], np.uint64)
 SIGN = np.uint64(1 << 63)
 
@@ -58,9 +60,13 @@ def signed(tokens: np.ndarray) -> np.ndarray:
     return (tokens ^ SIGN).view(np.int64)
 
 
-def _sets(batch: pa.RecordBatch, k: int) -> Iterator[np.ndarray]:
-    for data, offsets in text_slices(batch.column("text")):
-        yield from shingle_sets(*word_hashes(data, offsets), k)
+def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[pa.RecordBatch, Iterator[np.ndarray]]]:
+    """Slices of a batch, and the sets of each."""
+    at = 0
+    for data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
+        n = len(offsets) - 1
+        yield batch.slice(at, n), shingle_sets(*word_hashes(data, offsets), k)
+        at += n
 
 
 def _facts(k: int, percent: int) -> Callable:
@@ -70,24 +76,28 @@ def _facts(k: int, percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, cls, first = [], [], []
-            sent: dict[int, np.ndarray] = {}
-            for tokens in _sets(batch, k):
-                c = class_of(tokens) if len(tokens) else None
-                low = int(np.searchsorted(tokens, end))
-                n.append(len(tokens))
-                cls.append(c)
-                first.append(low)
-                if c is not None and c not in sent:
-                    sent[c] = signed(tokens[:max(low, prefix_length(len(tokens), percent))])
-            m, tokens = len(n), np.concatenate([np.zeros(0, np.int64), *sent.values()])
+            seen: set[int] = set()
+            for _, sets in _sets(batch, k):
+                sent: dict[int, np.ndarray] = {}
+                for tokens in sets:
+                    c = class_of(tokens) if len(tokens) else None
+                    low = int(np.searchsorted(tokens, end))
+                    n.append(len(tokens))
+                    cls.append(c)
+                    first.append(low)
+                    if c is not None and c not in seen:
+                        seen.add(c)
+                        sent[c] = signed(tokens[:max(low, prefix_length(len(tokens), percent))])
+                tokens = np.concatenate([np.zeros(0, np.int64), *sent.values()])
+                t = len(tokens)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.nulls(t, pa.int64()), "text_hash": pa.nulls(t, pa.int64()), "n": pa.nulls(t, pa.int64()),
+                    "cls": pa.array(np.repeat(np.fromiter(sent, np.int64, len(sent)), [len(x) for x in sent.values()])),
+                    "low": pa.nulls(t, pa.int64()), "token": pa.array(tokens)})
+            # Side by side, so that the file's reader passes over the tokens when only documents are asked for.
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n": pa.array(n, pa.int64()), "cls": pa.array(cls, pa.int64()),
-                "low": pa.array(first, pa.int64()), "token": pa.nulls(m, pa.int64())})
-            t = len(tokens)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.nulls(t, pa.int64()), "text_hash": pa.nulls(t, pa.int64()), "n": pa.nulls(t, pa.int64()),
-                "cls": pa.array(np.repeat(np.fromiter(sent, np.int64, len(sent)), [len(x) for x in sent.values()])),
-                "low": pa.nulls(t, pa.int64()), "token": pa.array(tokens)})
+                "low": pa.array(first, pa.int64()), "token": pa.nulls(len(n), pa.int64())})
     return lean(run)
 
 
@@ -101,13 +111,12 @@ def prefix(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
 def _fetched(k: int, percent: int) -> Callable:
     """Rows (cls, text) to (cls, n, the prefixes of the other orders, all tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = batch.column("cls").to_pylist()
+        for part, sets in (x for batch in batches for x in _sets(batch, k)):
             cls: list[int] = []
             out: list[list[np.ndarray]] = [[], [], []]
-            for i, tokens in enumerate(_sets(batch, k)):
-                if len(tokens) and class_of(tokens) == wanted[i]:
-                    cls.append(wanted[i])
+            for wanted, tokens in zip(part.column("cls").to_pylist(), sets, strict=True):
+                if len(tokens) and class_of(tokens) == wanted:
+                    cls.append(wanted)
                     for held, x in zip(out, (prefix(tokens, 0, percent), prefix(tokens, 1, percent), tokens.view(np.int64)), strict=True):
                         held.append(x)
             if cls:

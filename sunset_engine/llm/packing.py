@@ -333,8 +333,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
     counts = {r[0]: r[1] for r in sizes.groupBy(length_col).agg(F.sum("count")).collect()}      # at most ``capacity`` rows
     if counts and not 1 <= min(counts) <= max(counts) <= capacity:
         raise ValueError(f"lengths must lie in 1 to {capacity}")
-    plan = spark.createDataFrame(slots(bin_completion(counts, capacity, nodes)) if counts else [],
-                                 f"`{length_col}` long, _from long, _to long, _each long, _sequence long, _at long")
+    found = slots(bin_completion(counts, capacity, nodes)) if counts else []
+    # An Arrow table: rows of Python would start a second set of Python workers on every executor.
+    plan = spark.createDataFrame(pa.table({c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate((length_col, "_from", "_to", "_each", "_sequence", "_at"))}))
     before = sizes.withColumn("_before", F.sum("count").over(Window.partitionBy(length_col).orderBy("_group")) - F.col("count")).drop("count")
     number = F.row_number().over(Window.partitionBy(length_col, "_group").orderBy(*order)) - 1
     ranked = (grouped.withColumn("_n", number).join(before, [length_col, "_group"])

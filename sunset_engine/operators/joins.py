@@ -43,9 +43,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage (a lost executor re-reads the files instead of
     recomputing the pipeline) and costs one job, unlike ``checkpoint()``, which
-    computes an unpersisted input twice.
+    computes an unpersisted input twice. Nothing looks for a _SUCCESS file, and none is made:
+    on a local file system each file made starts a process to set its mode.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return spark.read.parquet(path)

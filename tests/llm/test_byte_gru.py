@@ -121,3 +121,27 @@ def test_prediction_against_a_loop_over_positions(spark, monkeypatch):
     for r in got:
         name, score = brute(texts[r.doc_id])
         assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-5)
+
+
+def test_texts_are_passed_on_in_slices():
+    """A batch of many texts does not come back as one batch."""
+    import random
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcd \u00e9") for _ in range(1500)) for _ in range(4000)] + ["", "end"]
+    state = lambda *shape: np.random.default_rng(5).normal(0, 0.3, shape).astype(np.float32)
+    parts = (["aa", "bb", "cc"], state(24, 256), state(24, 8), state(24, 256), state(24, 8), state(3, 16), np.zeros(3, np.float32))
+    batch = pa.RecordBatch.from_pydict({"c0": list(range(len(texts))), "text": texts})
+    out = list(G._predicted(SimpleNamespace(value=parts), True)(iter([batch])))
+    assert len(out) > 2 and all(sum(len(t.encode()) for t in b.column("text").to_pylist()) <= 1 << 21 for b in out)
+    whole = pa.Table.from_batches(out)
+    assert whole.column("c0").to_pylist() == list(range(len(texts))) and whole.column("text").to_pylist() == texts
+    model = G.Model(parts[0], G.Gru(*parts[1:3]), G.Gru(*parts[3:5]), *parts[5:])
+    for i in (0, 1800, 3999, 4001):
+        data = np.frombuffer(texts[i].encode(), np.uint8)
+        start, length, _ = G.windows(data, np.array([0, len(data)]))
+        p = model.probabilities(*G.taken(data, start, length)).sum(axis=(0, 2)) / len(data)
+        assert whole.column("lang_pred")[i].as_py() == parts[0][p.argmax()] and whole.column("score")[i].as_py() == pytest.approx(p.max(), rel=1e-4)

@@ -72,3 +72,31 @@ def test_keep_one_of_each_group(spark):
 
 def test_empty_table(spark):
     assert J.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_facts_and_sets_are_passed_on_in_slices():
+    """A batch of many texts comes back as many batches, and each class is still sent once a batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(200)) for _ in range(1500)]
+    texts += [None, "", "a b", texts[0], texts[-1], "x " * 400_000, texts[7]]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(n), pa.int64()), "text": pa.array(texts), "text_hash": pa.array(range(n), pa.int64())})
+    out = list(J._facts(5, 80)(iter([batch])))
+    assert len(out) > 4 and max(b.num_rows for b in out) < 60_000
+    whole = pa.Table.from_batches(out).to_pylist()
+    documents, sent = [r for r in whole if r["token"] is None], [r for r in whole if r["token"] is not None]
+    assert [r["doc_id"] for r in documents] == [r["text_hash"] for r in documents] == list(range(n))
+    assert documents[0]["cls"] == documents[-4]["cls"] and documents[-7]["cls"] is documents[-6]["cls"] is None
+    for r, t in zip(documents, texts):
+        words = (t or "").split()
+        assert r["n"] == (len({tuple(words[i:i + 5]) for i in range(len(words) - 4)}) if len(words) > 4 else bool(words))
+    assert len(sent) == len({(r["cls"], r["token"]) for r in sent}) and {r["cls"] for r in sent} == {r["cls"] for r in documents if r["cls"] is not None}
+
+    fetched = list(J._fetched(5, 80)(iter([pa.RecordBatch.from_pydict({"cls": pa.array([r["cls"] for r in documents], pa.int64()), "text": pa.array(texts)})])))
+    assert len(fetched) > 2 and max(b.num_rows for b in fetched) < 1000
+    rows = pa.Table.from_batches(fetched).to_pylist()
+    assert [(r["cls"], r["n"]) for r in rows] == [(r["cls"], r["n"]) for r in documents if r["cls"] is not None]
+    assert all(J.class_of(np.array(r["tokens"], np.int64).view(np.uint64)) == r["cls"] for r in rows[:50])

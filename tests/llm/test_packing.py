@@ -155,3 +155,10 @@ def test_packing_is_gapless_and_whole(spark, monkeypatch):
 def test_lengths_out_of_range_are_refused(spark):
     with pytest.raises(ValueError):
         K.pack(spark.createDataFrame([(1, 0, 1025)], "doc_id long, piece int, length long"))
+
+
+def test_plan_needs_no_python_workers(spark):
+    """Rows of Python would start a second set of Python workers on every executor."""
+    packed = K.pack(spark.createDataFrame([(1, 0, 5), (2, 0, 7)], "doc_id long, piece int, length long"), 10)
+    assert "ExistingRDD" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc_id, r.length, r.offset) for r in packed.collect()) == [(1, 5, 0), (2, 7, 0)]

@@ -197,3 +197,13 @@ def test_ingest_leaves_splitting_to_spark(spark, files):
     """The write asks for a rebalance by month, which has no fixed number of buckets."""
     f = csvio.read_flights(spark, os.path.join(files, "flights.csv")).selectExpr("*", "year(flight_date) y", "month(flight_date) m")
     assert "REBALANCE_PARTITIONS_BY_COL" in f.hint("rebalance", "y", "m")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_written_tables_have_no_mark_of_success(spark):
+    """Each file made on a local file system starts a process; nothing looks for the mark."""
+    import os
+
+    from sunset_engine.operators.joins import materialize
+
+    df = materialize(spark.range(5), "marks")
+    assert df.count() == 5 and "_SUCCESS" not in os.listdir(os.path.dirname(df.inputFiles()[0].removeprefix("file://")))
