@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from itertools import groupby
 
 import numpy as np
@@ -35,15 +35,32 @@ MAX_BUCKETS = 50_000
 OUT_ROWS = 500
 # Bytes of text that share a list of distinct words; a longer text has its own, and comes to it in parts of that size.
 CHUNK_BYTES = 1 << 23
+# Bytes of text that are split into words at once.
+SLICE_BYTES = 1 << 20
 
 CHUNKS = "chunk long, doc_ids array<long>, words array<int>, rows array<int>, codes binary, size long, bucket int, list binary, places binary, list_size long, n int"
 
 
+def _coded(parts: Iterable[tuple[np.ndarray, pa.Array]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """A chunk's rows, the words of each, the words' codes, and the distinct words in the order of their codes.
+
+    A text that comes in parts is one row.
+    """
+    per_row, words = np.zeros(1, np.int64), []
+    for rows, texts in parts:
+        here = np.zeros(len(rows), np.int64)
+        for at, some in in_chunks(texts, BLANK, SLICE_BYTES):
+            split = pc.ascii_split_whitespace(some)
+            here[at] += np.diff(split.offsets.to_numpy())
+            words.append(split.flatten().cast(pa.string()).dictionary_encode())
+        per_row = per_row + here
+    words = pa.chunked_array(words).unify_dictionaries()
+    return rows, per_row, np.concatenate([part.indices.to_numpy() for part in words.chunks]), words.chunk(0).dictionary
+
+
 def _split(buckets: int) -> Callable:
     """Documents to one row per chunk with its codes and one row per chunk and bucket with the words."""
-    def rows_of(chunk: int, ids: list, per_row: np.ndarray, text_rows: np.ndarray, words: pa.ChunkedArray):
-        codes = np.concatenate([part.indices.to_numpy() for part in words.chunks])
-        names = words.chunk(0).dictionary
+    def rows_of(chunk: int, ids: list, per_row: np.ndarray, text_rows: np.ndarray, codes: np.ndarray, names: pa.Array):
         often = np.bincount(codes, minlength=len(names))
         data, offsets = string_bytes(names)
         hashed, first = word_hashes(data, offsets, np.zeros(256, bool))
@@ -51,8 +68,8 @@ def _split(buckets: int) -> Callable:
         some = np.diff(first) > 0
         bucket[some] = (hashed % np.uint64(buckets)).astype(np.int64)
         by = np.lexsort((bucket, -np.floor(np.log2(np.maximum(often, 1))).astype(np.int64)))
-        place = np.empty(len(names), np.int64)
-        place[by] = np.arange(len(names))
+        place = np.empty(len(names), np.int32)
+        place[by] = np.arange(len(names), dtype=np.int32)
         nothing = dict.fromkeys(("doc_ids", "words", "rows", "codes", "size", "bucket", "list", "places", "list_size", "n"))
         yield nothing | {"chunk": chunk, "doc_ids": ids, "words": per_row.tolist(), "rows": text_rows.tolist(), "codes": packed(place[codes]), "size": len(codes)}
         within = by[np.argsort(bucket[by], kind="stable")]
@@ -67,20 +84,16 @@ def _split(buckets: int) -> Callable:
     schema = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("rows", pa.list_(pa.int32())), ("codes", pa.binary()), ("size", pa.int64()),
                         ("bucket", pa.int32()), ("list", pa.binary()), ("places", pa.binary()), ("list_size", pa.int64()), ("n", pa.int32())])
 
+    def made(chunk: int, ids: pa.Array, rows: np.ndarray, per_row: np.ndarray, codes: np.ndarray, names: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist(list(rows_of(chunk, ids.take(pa.array(rows)).to_pylist(), per_row, rows, codes, names)), schema)
+
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32       # a task that runs again gives the same numbers
         for batch in batches:
             ids = batch.column("doc_id")
             for _, parts in groupby(in_chunks(batch.column("text"), BLANK, CHUNK_BYTES), key=lambda run: int(run[0][0])):
-                # A text that comes in parts is one row of one chunk, like any other.
-                per_row, words = np.zeros(1, np.int64), []
-                for rows, texts in parts:
-                    split = pc.ascii_split_whitespace(texts)
-                    per_row = per_row + np.diff(split.offsets.to_numpy())
-                    words.append(split.flatten().cast(pa.string()).dictionary_encode())
                 chunk += 1
-                out = list(rows_of(chunk, ids.take(pa.array(rows)).to_pylist(), per_row, rows, pa.chunked_array(words).unify_dictionaries()))
-                yield pa.RecordBatch.from_pylist(out, schema)
+                yield made(chunk, ids, *_coded(parts))
     return lean(run)
 
 

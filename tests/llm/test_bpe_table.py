@@ -68,3 +68,31 @@ def test_packing_of_integers():
 
     x = np.array([0, 1, 255, 256, 70000, -3], np.int32)
     assert B.unpacked(B.packed(x), 6).tolist() == x.tolist() and B.unpacked(B.packed(x[:0]), 0).tolist() == []
+
+
+def test_chunks_are_split_in_slices(monkeypatch):
+    """No more than a slice is split at once; the rows are those of a chunk split whole."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a ", "bb", "\u00e9 ", "word\n", " ", "z"]) for _ in range(rng.randint(0, 60))) for _ in range(400)] + [None, "", "one two", "q " * 90]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    monkeypatch.setattr(B, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 1)))
+    monkeypatch.setattr(B, "CHUNK_BYTES", 4000)
+    split, most = B.pc.ascii_split_whitespace, []
+
+    def counted(x):
+        most.append(B.pc.sum(B.pc.binary_length(x)).as_py())
+        return split(x)
+
+    def rows(size):
+        most.clear()
+        monkeypatch.setattr(B, "SLICE_BYTES", size)
+        return pa.Table.from_batches(list(B._split(3)(iter([batch])))).to_pylist()
+
+    monkeypatch.setattr(B, "pc", SimpleNamespace(ascii_split_whitespace=counted, sum=B.pc.sum, binary_length=B.pc.binary_length))
+    whole = rows(1 << 20)
+    assert len(whole) > 8
+    assert rows(500) == whole and max(most) <= 500
