@@ -103,6 +103,11 @@ def _encoded(shared) -> Callable:
 
     def run(group: pa.Table) -> pa.Table:
         lean_memory()
+        done = encoded(group)
+        lean_memory()                         # workers wait for their next task without what this one used
+        return done
+
+    def encoded(group: pa.Table) -> pa.Table:
         if not held:
             held["encoder"] = WordIds(load_tokenizer(shared.value))
         lists = [pa.array(pa.decompress(b, s, "zstd", asbytes=True).decode().split(" "), pa.string()) for b, s in zip(group.column("list").to_pylist(), group.column("list_size").to_pylist(), strict=True)]
@@ -145,9 +150,10 @@ def _joined(chunks: pa.Table, words: pa.Table):
 
 def _cogrouped(chunks: pa.Table, words: pa.Table) -> pa.Table:
     lean_memory()
-    batches = list(_joined(chunks, words))
     schema = pa.schema([("chunk", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    return pa.Table.from_batches(batches, schema)
+    done = pa.Table.from_batches(list(_joined(chunks, words)), schema)
+    lean_memory()
+    return done
 
 
 def _stored(split: DataFrame, buckets: int) -> DataFrame:

@@ -96,3 +96,14 @@ def test_chunks_are_split_in_slices(monkeypatch):
     whole = rows(1 << 20)
     assert len(whole) > 8
     assert rows(500) == whole and max(most) <= 500
+
+
+def test_groups_give_memory_back(monkeypatch):
+    """Before and after each group, so that workers wait without what the last group used."""
+    import pyarrow as pa
+
+    calls = []
+    monkeypatch.setattr(B, "lean_memory", lambda: calls.append(1))
+    chunks = pa.table({c: pa.array([], pa.int64()) for c in ("chunk", "doc_ids", "words", "rows", "codes", "size")})
+    words = pa.table({c: pa.array([], pa.int64()) for c in ("chunk", "places", "n", "lengths", "ids", "n_ids")})
+    assert B._cogrouped(chunks, words).num_rows == 0 and len(calls) == 2
