@@ -188,25 +188,31 @@ def pieces(tokenizer: str) -> list[str | None]:
     return [t.id_to_token(i) for i in range(t.get_vocab_size(with_added_tokens=True))]
 
 
-def _decoded(shared, col: str) -> Callable:
+def _decoded(shared, col: str, numbers: str | None = None) -> Callable:
     def run(batches):
-        vocabulary = pa.array(shared.value, pa.string())
+        tables = {"decoded": pa.array(shared.value, pa.string())}
+        if numbers is not None:
+            tables[numbers] = pa.array(range(len(shared.value)), pa.int32()).cast(pa.string())
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
                 values, offsets = flat(part.column(col))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), vocabulary.take(pa.array(values)))
+                values, offsets = pa.array(values), pa.array(offsets, pa.int32())
                 names = [n for n in part.schema.names if n != col]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pc.binary_join(lists, " ")], names=[*names, "decoded"])
+                spelled = [pc.binary_join(pa.ListArray.from_arrays(offsets, table.take(values)), " ") for table in tables.values()]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *spelled], names=[*names, *tables])
     return lean(run)
 
 
-def decode(ids: DataFrame, tokenizer: str, col: str = "ids") -> DataFrame:
+def decode(ids: DataFrame, tokenizer: str, col: str = "ids", numbers: str | None = None) -> DataFrame:
     """Ids to text: each id is looked up in the id-to-piece table (as large as the vocabulary) and the pieces
-    are joined by a space, as a tokenizer without a decoder does. ``col`` is replaced by ``decoded``."""
+    are joined by a space, as a tokenizer without a decoder does. ``col`` is replaced by ``decoded``, and by
+    the decimal ids joined by a space if ``numbers`` names a column for them: one Arrow string a row, where a
+    cast of the ids to strings makes several Java objects for each."""
     shared = ids.sparkSession.sparkContext.broadcast(pieces(tokenizer))
-    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema if f.name != col)
-    return ids.mapInArrow(_decoded(shared, col), f"{rest}, decoded string")
+    rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema if f.name != col]
+    made = ["decoded string"] + ([f"`{numbers}` string"] if numbers is not None else [])
+    return ids.mapInArrow(_decoded(shared, col, numbers), ", ".join(rest + made))
 
 
 def op10_bpe_table(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
@@ -217,5 +223,5 @@ def op10_bpe_table(spark: SparkSession, sf_dir: str, path: str | None = None) ->
         path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = tokenizer_json(path)
     ids = encode(table(spark, sf_dir, "documents"), tokenizer)
-    listed = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
-    return decode(listed, tokenizer).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    spelled = decode(ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids"), tokenizer, numbers="numbers")
+    return spelled.select("doc_id", "n_tokens", F.sha2("numbers", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -107,3 +107,25 @@ def test_groups_give_memory_back(monkeypatch):
     chunks = pa.table({c: pa.array([], pa.int64()) for c in ("chunk", "doc_ids", "words", "rows", "codes", "size")})
     words = pa.table({c: pa.array([], pa.int64()) for c in ("chunk", "places", "n", "lengths", "ids", "n_ids")})
     assert B._cogrouped(chunks, words).num_rows == 0 and len(calls) == 2
+
+
+def test_decimal_ids_come_from_the_tasks(spark, tmp_path):
+    """The ids' digest casts no ids to strings in the JVM, which made it hold most of its heap; its value is that of the ids themselves."""
+    import hashlib
+
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    rows = [(i, x) for i, x in enumerate(texts())] + [(None, "again again"), (0, "again again"), (0, "again again")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = B.op10_bpe_table(spark, str(tmp_path), PATH)
+    assert "cast(ids" not in got._jdf.queryExecution().toString().lower()
+
+    def digest(x):
+        return hashlib.sha256(x.encode()).hexdigest()
+
+    encoded = [(i, t.encode(x or "", add_special_tokens=False).ids) for i, x in rows]
+    expected = [(str(i), len(x), digest(" ".join(map(str, x))), digest(t.decode(x, skip_special_tokens=False))) for i, x in encoded]
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == sorted(expected)
+    spelled = B.decode(spark.createDataFrame([(1, [5, 0, 12]), (2, [])], "n int, ids array<int>"), tokenizer_json(PATH), numbers="as text")
+    assert sorted((r.n, r["as text"]) for r in spelled.collect()) == [(1, "5 0 12"), (2, "")]
