@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ MAX_BUCKETS = 50_000
 OUT_ROWS = 500
 # Bytes of text that share a list of distinct words; a longer text has its own, and comes to it in parts of that size.
 CHUNK_BYTES = 1 << 23
+# Words whose codes share a row of a chunk: rows of some 300 KB, which the JVM frees as soon as it is done with them.
+ROW_WORDS = 1 << 18
 # Bytes of text that are split into words at once.
 SLICE_BYTES = 1 << 20
 
@@ -59,7 +61,7 @@ def _coded(parts: Iterable[tuple[np.ndarray, pa.Array]]) -> tuple[np.ndarray, np
 
 
 def _split(buckets: int) -> Callable:
-    """Documents to one row per chunk with its codes and one row per chunk and bucket with the words."""
+    """Documents to rows per chunk with its codes, whole documents in each, and one row per chunk and bucket with the words."""
     def rows_of(chunk: int, ids: list, per_row: np.ndarray, text_rows: np.ndarray, codes: np.ndarray, names: pa.Array):
         often = np.bincount(codes, minlength=len(names))
         data, offsets = string_bytes(names)
@@ -71,7 +73,11 @@ def _split(buckets: int) -> Callable:
         place = np.empty(len(names), np.int32)
         place[by] = np.arange(len(names), dtype=np.int32)
         nothing = dict.fromkeys(("doc_ids", "words", "rows", "codes", "size", "bucket", "list", "places", "list_size", "n"))
-        yield nothing | {"chunk": chunk, "doc_ids": ids, "words": per_row.tolist(), "rows": text_rows.tolist(), "codes": packed(place[codes]), "size": len(codes)}
+        begin = np.append(0, np.cumsum(per_row))
+        cuts = np.flatnonzero(np.diff(begin[:-1] // ROW_WORDS)) + 1
+        for a, z in pairwise([0, *cuts.tolist(), len(per_row)]):
+            some = place[codes[begin[a]:begin[z]]]
+            yield nothing | {"chunk": chunk, "doc_ids": ids[a:z], "words": per_row[a:z].tolist(), "rows": text_rows[a:z].tolist(), "codes": packed(some), "size": len(some)}
         within = by[np.argsort(bucket[by], kind="stable")]
         ends = np.searchsorted(bucket[within], np.arange(buckets + 1))
         names = names.take(pa.array(within))
@@ -124,7 +130,7 @@ def _encoded(shared) -> Callable:
 
 
 def _joined(chunks: pa.Table, words: pa.Table):
-    """A chunk's ids in the places of its words: one row of ids for each document."""
+    """A chunk's ids in the places of its words, one row of codes at a time: one row of ids for each document."""
     lengths, ids, places = [], [], []
     for r in words.to_pylist():
         places.append(np.cumsum(unpacked(r["places"], r["n"])))

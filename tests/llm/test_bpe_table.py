@@ -129,3 +129,25 @@ def test_decimal_ids_come_from_the_tasks(spark, tmp_path):
     assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == sorted(expected)
     spelled = B.decode(spark.createDataFrame([(1, [5, 0, 12]), (2, [])], "n int, ids array<int>"), tokenizer_json(PATH), numbers="as text")
     assert sorted((r.n, r["as text"]) for r in spelled.collect()) == [(1, "5 0 12"), (2, "")]
+
+
+def test_codes_of_a_chunk_come_in_short_rows(spark, monkeypatch):
+    """A chunk's codes were one row of megabytes; a text stays in one row, and each text is there once."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(B, "ROW_WORDS", 20)
+    monkeypatch.setattr(B, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 1)))
+    given = [x if x is None or len(x) < 3000 else x[:200] for x in texts()] + ["long " * 70, "", None, "a b"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(given)), pa.int64()), "text": pa.array(given)})
+    rows = [r for r in pa.Table.from_batches(list(B._split(3)(iter([batch])))).to_pylist() if r["bucket"] is None]
+    assert len(rows) > 20 and {r["chunk"] for r in rows} == {(1 << 32) + 1}
+    assert [i for r in rows for i in r["doc_ids"]] == list(range(len(given))) == [i for r in rows for i in r["rows"]]
+    assert all(r["size"] == sum(r["words"]) and sum(r["words"][:-1]) <= 20 for r in rows)
+
+    t = Tokenizer.from_file(PATH)
+    got = B.encode(spark.createDataFrame(enumerate(given), "doc_id long, text string").coalesce(1), tokenizer_json(PATH))
+    assert sorted((r.doc_id, list(r.ids)) for r in got.collect()) == [(i, t.encode(x or "", add_special_tokens=False).ids) for i, x in enumerate(given)]
+    assert B.encode(spark.createDataFrame([(1, " "), (2, None)], "doc_id long, text string").coalesce(1), tokenizer_json(PATH)).count() == 2
